@@ -1,0 +1,20 @@
+"""Partitioning helpers for CPU-heavy narrow stages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster only when its scan is too coarse.
+
+    A text scan from a few large files (or one unsplittable row group) yields
+    fewer tasks than cores, and the regex stage then runs on a handful of
+    threads. At warehouse scale the scan already has thousands of splits and
+    this is a no-op, so the text is shuffled only when that pays off.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
