@@ -96,15 +96,12 @@ def regex_skill_matches(
     headline, snippet, match. That is a ``min(struct)`` aggregate, whose
     map-side partial step collapses a hot duplicated id before the shuffle.
     """
-    prepared = spread_for_cpu(
-        ads.select("id", "publication_month", "headline", "description_text")
-    ).select(
-        "id",
-        "publication_month",
+    prepared = with_search_columns(
+        spread_for_cpu(ads.select("id", "publication_month", "headline", "description_text")),
         "headline",
-        tx.snippet(F.col("description_text")).alias("description_snippet"),
-        tx.search_text(F.col("headline"), F.col("description_text")).alias("_search"),
-    ).withColumn("_folded", prefilter_text(F.col("_search"), dialect))
+        "description_text",
+        dialect,
+    ).withColumn("description_snippet", tx.snippet(F.col("description_text")))
     found = prepared.select(
         "id",
         "publication_month",
@@ -166,6 +163,27 @@ def ams_skills(ads: DataFrame) -> DataFrame:
     )
 
 
+def with_search_columns(
+    df: DataFrame, headline: str, description: str, dialect: str
+) -> DataFrame:
+    """Add ``_search`` (headline + ' ' + description) and ``_folded`` (its prefilter form).
+
+    Computed once per row in their own projection; every alias then refers
+    to the columns instead of re-deriving the text.
+    """
+    return df.withColumn(
+        "_search", tx.search_text(F.col(headline), F.col(description))
+    ).withColumn("_folded", prefilter_text(F.col("_search"), dialect))
+
+
+def _sorted_matches(match_array: Column) -> Column:
+    found = F.transform(
+        match_array,
+        lambda m: F.struct(m["skill"].alias("skill"), m["matched_text"].alias("matched_text")),
+    )
+    return F.array_sort(found)
+
+
 def skill_matches_column(
     text: Column,
     taxonomy: dict[str, list[str]] | None = None,
@@ -173,14 +191,10 @@ def skill_matches_column(
 ) -> Column:
     """Per-text extraction (D3): ``array<struct<skill, matched_text>>`` sorted by skill.
 
-    NULL or empty text gives an empty array; the match is not trimmed.
+    NULL or empty text gives an empty array; the match is not trimmed. For
+    whole tables prefer ``job_skill_lists``, which derives the text once.
     """
-    safe = F.coalesce(text, F.lit(""))
-    found = F.transform(
-        skill_match_array(safe, taxonomy, dialect),
-        lambda m: F.struct(m["skill"].alias("skill"), m["matched_text"].alias("matched_text")),
-    )
-    return F.array_sort(found)
+    return _sorted_matches(skill_match_array(F.coalesce(text, F.lit("")), taxonomy, dialect))
 
 
 def skill_list_column(
@@ -196,10 +210,20 @@ def job_skill_lists(
     dialect: str = "python",
     description_col: str = "description__text",
 ) -> DataFrame:
-    """``job_skill_lists``: id, publication_date, skills[] for the live sample."""
-    search = tx.search_text(F.col("headline"), F.col(description_col))
-    return job_ads.select(
-        "id", "publication_date", skill_list_column(search, taxonomy, dialect).alias("skills")
+    """``job_skill_lists``: id, publication_date, skills[] (sorted) per ad."""
+    prepared = with_search_columns(
+        spread_for_cpu(job_ads.select("id", "publication_date", "headline", description_col)),
+        "headline",
+        description_col,
+        dialect,
+    )
+    matches = skill_match_array(
+        F.col("_search"), taxonomy, dialect, folded=F.col("_folded")
+    )
+    return prepared.select(
+        "id",
+        "publication_date",
+        F.transform(_sorted_matches(matches), lambda m: m["skill"]).alias("skills"),
     )
 
 

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 
 
 def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster only when its scan is too coarse.
+    """Round-robin ``df`` over the cluster only when its input is too coarse.
 
-    A text scan from a few large files (or one unsplittable row group) yields
-    fewer tasks than cores, and the regex stage then runs on a handful of
-    threads. At warehouse scale the scan already has thousands of splits and
-    this is a no-op, so the text is shuffled only when that pays off.
+    A text scan of a few files (or of one unsplittable row group) yields
+    fewer tasks than cores, and the regex stage would then run on a handful
+    of threads. A warehouse-scale table has thousands of files and this is a
+    no-op, so the text is shuffled only when that pays off. The decision uses
+    the driver-side file listing; it runs no job.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if len(df.inputFiles()) < target:
         return df.repartition(target)
     return df

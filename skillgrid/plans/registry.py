@@ -2,7 +2,8 @@
 
 Each query runs over the whole given tables (through the stand-in ads
 binding); none samples, caps or filters rows to stay cheap. Limits appear
-only where the top-k is the feature.
+only where the top-k is the feature. Exploration parameters (date window,
+selected skills, metric, top-n) play the role of the dashboard's widgets.
 """
 
 from __future__ import annotations
@@ -11,30 +12,94 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skillgrid.operators import explore, extract, marts, qa
 from skillgrid.plans.warehouse import warehouse
+from skillgrid.sources import archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Exploration parameters (the dashboard's sidebar). A mid-month start drops
+# that month, as the date filter compares month starts.
+WINDOW_START = "2023-03-15"
+WINDOW_END = "2024-10-31"
+SELECTED_SKILLS = ["python", "sql", "csharp", "dotnet", "rust", "power_bi"]
+METRIC = "share_of_ads"
+TOP_N = 10
+# Archive replacement scenario: one archive reloaded, one reloaded empty.
+RELOADED_ARCHIVE = "src3"
+EMPTIED_ARCHIVE = "src7"
 
-def q_regex_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse(spark, sf_dir).regex_matches()
 
+def _wh(spark: SparkSession, sf_dir: str):
+    return warehouse(spark, sf_dir)
 
-def q_regex_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse(spark, sf_dir).regex_skills()
 
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.filter_months(_wh(spark, sf_dir).trends(), WINDOW_START, WINDOW_END)
 
-def q_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse(spark, sf_dir).monthly_counts()
 
+def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.filter_skills(_filtered(spark, sf_dir), SELECTED_SKILLS)
 
-def q_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse(spark, sf_dir).trends()
+
+def _live_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live-sample shaped ads: nested description flattened to ``description__text``."""
+    ads = _wh(spark, sf_dir).ads()
+    return ads.select(
+        "id", "publication_date", "headline", ads.description_text.alias("description__text")
+    )
+
+
+def _geo_summary(spark: SparkSession, sf_dir: str, top_n: int | None) -> DataFrame:
+    return explore.geo_summary(
+        _wh(spark, sf_dir).geography(), WINDOW_START, WINDOW_END, SELECTED_SKILLS, METRIC, top_n
+    )
 
 
 QUERIES: dict[str, Query] = {
-    "regex_matches": q_regex_matches,
-    "regex_skills": q_regex_skills,
-    "monthly_counts": q_monthly_counts,
-    "trends": q_trends,
+    # step 1: extraction -> marts
+    "regex_matches": lambda s, d: _wh(s, d).regex_matches(),
+    "regex_skills": lambda s, d: _wh(s, d).regex_skills(),
+    "monthly_counts": lambda s, d: _wh(s, d).monthly_counts(),
+    "trends": lambda s, d: _wh(s, d).trends(),
+    # step 2: provided labels, lineage, catalogue, live sample
+    "ams_skills": lambda s, d: _wh(s, d).ams_skills(),
+    "all_skills": lambda s, d: _wh(s, d).all_skills(),
+    "skill_sources": lambda s, d: marts.skill_sources(_wh(s, d).all_skills()),
+    "ams_catalogue": lambda s, d: marts.ams_catalogue(_wh(s, d).ams_skills()),
+    "job_skill_lists": lambda s, d: extract.job_skill_lists(_live_sample(s, d)),
+    "job_skills": lambda s, d: extract.job_skills(extract.job_skill_lists(_live_sample(s, d))),
+    # step 3: geography
+    "ad_locations": lambda s, d: marts.ad_locations(_wh(s, d).stg_ads()),
+    "geography": lambda s, d: _wh(s, d).geography(),
+    # step 4: QA and data tests
+    "qa_summary": lambda s, d: qa.qa_summary(_wh(s, d).regex_matches()),
+    "qa_top": lambda s, d: qa.qa_top(qa.qa_summary(_wh(s, d).regex_matches())),
+    "samples": lambda s, d: qa.skill_samples(_wh(s, d).regex_matches()),
+    "quality_report": lambda s, d: qa.quality_report(_wh(s, d).test_tables()),
+    "share_violations": lambda s, d: qa.share_violations(_wh(s, d).trends(), _wh(s, d).geography()),
+    "not_empty_check": lambda s, d: qa.not_empty_check(_wh(s, d).monthly_counts()),
+    # step 5: exploration
+    "trend_filter": _selected,
+    "skill_totals": lambda s, d: explore.skill_totals(_wh(s, d).trends()),
+    "top_skills": lambda s, d: explore.top_skills(_wh(s, d).monthly_counts(), 30),
+    "top_n_month": lambda s, d: explore.top_n_month(_filtered(s, d), METRIC, TOP_N),
+    "growth": lambda s, d: explore.growth(_filtered(s, d), METRIC, TOP_N, ascending=False),
+    "decline": lambda s, d: explore.growth(_filtered(s, d), METRIC, TOP_N, ascending=True),
+    "trend_pivot": lambda s, d: explore.trend_pivot(_selected(s, d), SELECTED_SKILLS, METRIC),
+    "geo_summary": lambda s, d: _geo_summary(s, d, TOP_N),
+    "map_points": lambda s, d: explore.map_points(_geo_summary(s, d, None), METRIC),
+    "kpis": lambda s, d: explore.kpis(_filtered(s, d), METRIC),
+    "months": lambda s, d: explore.months(_wh(s, d).trends()),
+    "detail_table": lambda s, d: explore.detail_table(_filtered(s, d), METRIC),
+    # step 6: ingestion
+    "stg_ads": lambda s, d: _wh(s, d).stg_ads(),
+    "flatten_ads": lambda s, d: archives.flatten_ads(
+        archives.parse_ad_lines(archives.raw_lines_from_ads(_wh(s, d).ads()))
+    ),
+    "archive_validation": lambda s, d: marts.archive_validation(_wh(s, d).ads()),
+    "load_totals": lambda s, d: marts.load_totals(_wh(s, d).ads()),
+    "replace_partition": lambda s, d: _wh(s, d).replace_partition_demo(
+        RELOADED_ARCHIVE, EMPTIED_ARCHIVE
+    ),
 }

@@ -18,9 +18,11 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from skillgrid.operators import extract, marts
-from skillgrid.session import apply_defaults, materialize
-from skillgrid.sources import binding
+from skillgrid.session import apply_defaults, materialize, stage_path
+from skillgrid.sources import archives, binding
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str, bool], SkillWarehouse] = {}
@@ -85,6 +87,35 @@ class SkillWarehouse:
             keep=True,
         )
 
+    # --- data tests ----------------------------------------------------
+    def test_tables(self) -> dict[str, DataFrame]:
+        """The tables the data tests run on, by their warehouse names."""
+        return {
+            "historical_job_ads": self.ads(),
+            "historical_job_skills": self.ams_skills(),
+            "historical_regex_skills": self.regex_skills(),
+            "monthly_skill_counts": self.monthly_counts(),
+            "mart_dashboard_skill_trends": self.trends(),
+            "mart_skill_geography": self.geography(),
+        }
+
+    # --- replace-by-archive --------------------------------------------
+    def replace_partition_demo(self, reloaded: str, emptied: str) -> DataFrame:
+        """Write the ads table, then reload two archives into it.
+
+        ``reloaded`` comes back as a newer extract (``source_year`` + 10);
+        ``emptied`` comes back with no rows and must disappear. Returns the
+        table as read back after the replacement.
+        """
+        path = stage_path(self.spark, "ads_table")
+        ads = self.ads()
+        archives.write_ads(ads, path)
+        new_load = ads.where(F.col("source_archive") == reloaded).withColumn(
+            "source_year", F.col("source_year") + 10
+        )
+        archives.write_ads(new_load, path, append=True, archives=[reloaded, emptied])
+        return archives.read_ads_table(self.spark, path, ads.select(*binding.ADS_COLUMNS).schema)
+
 
 def warehouse(spark: SparkSession, sf_dir: str, materialize_stages: bool = True) -> SkillWarehouse:
     """The (cached) warehouse of one session and input folder."""
