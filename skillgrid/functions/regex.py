@@ -37,12 +37,16 @@ PREFILTER_FOLDS = {
     "python": ("ſKİı", "skii"),  # + dotted / dotless i
 }
 
+# POSIX classes inside [...]. RE2 case-folds a class under the 'i' flag, so a
+# class of letters also holds the two non-ASCII letters that fold onto ASCII
+# (long s, Kelvin sign); Java does not fold \p{...} classes, so add them.
+_FOLDS_TO_ASCII = r"\x{17F}\x{212A}"
 _POSIX = {
-    "alnum": r"\p{Alnum}",
-    "alpha": r"\p{Alpha}",
+    "alnum": r"\p{Alnum}" + _FOLDS_TO_ASCII,
+    "alpha": r"\p{Alpha}" + _FOLDS_TO_ASCII,
     "digit": r"\p{Digit}",
-    "lower": r"\p{Lower}",
-    "upper": r"\p{Upper}",
+    "lower": r"\p{Lower}" + _FOLDS_TO_ASCII,
+    "upper": r"\p{Upper}" + _FOLDS_TO_ASCII,
     "space": _RE2_SPACE,
     "punct": r"\p{Punct}",
     "xdigit": r"\p{XDigit}",

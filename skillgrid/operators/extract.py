@@ -43,39 +43,61 @@ def prefilter_text(search_text: Column, dialect: str) -> Column:
     return F.lower(F.translate(search_text, src, dst))
 
 
-def skill_match_array(
-    search_text: Column,
+def _sql_string(value: str) -> str:
+    """A Spark SQL string literal (backslash-escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def skill_match_sql(
+    search: str,
+    folded: str | None = None,
     taxonomy: dict[str, list[str]] | None = None,
     dialect: str = "re2",
     prefilter: bool = True,
-    folded: Column | None = None,
-) -> Column:
-    """``array<struct<skill, pattern_order, matched_text>>``, one entry per matched skill.
+) -> str:
+    """SQL text of ``array<struct<skill, pattern_order, matched_text>>``, one entry per matched skill.
 
-    ``matched_text`` is the raw regex match (group 0) of the winning alias.
-    Pass ``search_text``/``folded`` as column references computed in a
-    projection below: the expression mentions them once per alias, and
-    Catalyst keeps a multiply-referenced projection instead of inlining it.
+    ``search``/``folded`` are SQL expressions (usually column references) for
+    the text and its prefilter form. Per skill, an ordered ``CASE WHEN`` over
+    its aliases: the first alias that matches wins, ``matched_text`` is the
+    raw match (group 0). Each alias is guarded by ``contains`` on its anchor.
     """
     if folded is None:
-        folded = prefilter_text(search_text, dialect)
-    per_skill: list[Column] = []
+        src, dst = PREFILTER_FOLDS[dialect]
+        folded = f"lower(translate({search}, {_sql_string(src)}, {_sql_string(dst)}))"
+    per_skill = []
     for skill, patterns in _grouped_patterns(taxonomy, dialect).items():
-        branch = None
+        branches = []
         for order, pattern in enumerate(patterns):
-            java = to_java(pattern, dialect)
-            hit = search_text.rlike(java)
+            java = _sql_string(to_java(pattern, dialect))
+            hit = f"{search} RLIKE {java}"
             anchor = literal_anchor(pattern) if prefilter else None
             if anchor:
-                hit = folded.contains(anchor) & hit
-            value = F.struct(
-                F.lit(skill).alias("skill"),
-                F.lit(order).alias("pattern_order"),
-                F.regexp_extract(search_text, java, 0).alias("matched_text"),
+                hit = f"contains({folded}, {_sql_string(anchor)}) AND {hit}"
+            branches.append(
+                f"WHEN {hit} THEN named_struct('skill', {_sql_string(skill)}, "
+                f"'pattern_order', {order}, 'matched_text', regexp_extract({search}, {java}, 0))"
             )
-            branch = F.when(hit, value) if branch is None else branch.when(hit, value)
-        per_skill.append(branch)
-    return F.array_compact(F.array(*per_skill))
+        per_skill.append("CASE " + " ".join(branches) + " END")
+    return "array_compact(array(" + ",\n".join(per_skill) + "))"
+
+
+def skill_match_array(
+    search_col: str = "_search",
+    folded_col: str | None = "_folded",
+    taxonomy: dict[str, list[str]] | None = None,
+    dialect: str = "re2",
+    prefilter: bool = True,
+) -> Column:
+    """The match array over the named text columns, as one parsed expression.
+
+    Built as SQL text and parsed once by Spark (one call instead of ~1,500
+    Python-to-JVM calls). Pass ``search_col``/``folded_col`` computed in a
+    projection below: the expression mentions them once per alias, and
+    Catalyst keeps a multiply-referenced projection instead of inlining it.
+    """
+    folded = f"`{folded_col}`" if folded_col else None
+    return F.expr(skill_match_sql(f"`{search_col}`", folded, taxonomy, dialect, prefilter))
 
 
 def regex_skill_matches(
@@ -107,11 +129,7 @@ def regex_skill_matches(
         "publication_month",
         "headline",
         "description_snippet",
-        F.inline(
-            skill_match_array(
-                F.col("_search"), taxonomy, dialect, prefilter, folded=F.col("_folded")
-            )
-        ),
+        F.inline(skill_match_array("_search", "_folded", taxonomy, dialect, prefilter)),
     ).withColumn("matched_text", tx.trim_space_separators(F.col("matched_text")))
     if not dedupe_ids:
         return found.select(*MATCH_COLUMNS)
@@ -185,23 +203,25 @@ def _sorted_matches(match_array: Column) -> Column:
 
 
 def skill_matches_column(
-    text: Column,
+    text_sql: str,
     taxonomy: dict[str, list[str]] | None = None,
     dialect: str = "python",
 ) -> Column:
-    """Per-text extraction (D3): ``array<struct<skill, matched_text>>`` sorted by skill.
+    """Per-text extraction (D3) of a SQL expression or column name.
 
-    NULL or empty text gives an empty array; the match is not trimmed. For
-    whole tables prefer ``job_skill_lists``, which derives the text once.
+    ``array<struct<skill, matched_text>>`` sorted by skill; NULL or empty text
+    gives an empty array; the match is not trimmed. For whole tables prefer
+    ``job_skill_lists``, which derives the text once per row.
     """
-    return _sorted_matches(skill_match_array(F.coalesce(text, F.lit("")), taxonomy, dialect))
+    safe = f"coalesce({text_sql}, '')"
+    return _sorted_matches(F.expr(skill_match_sql(safe, None, taxonomy, dialect)))
 
 
 def skill_list_column(
-    text: Column, taxonomy: dict[str, list[str]] | None = None, dialect: str = "python"
+    text_sql: str, taxonomy: dict[str, list[str]] | None = None, dialect: str = "python"
 ) -> Column:
     """Skill names only (D4), sorted."""
-    return F.transform(skill_matches_column(text, taxonomy, dialect), lambda m: m["skill"])
+    return F.transform(skill_matches_column(text_sql, taxonomy, dialect), lambda m: m["skill"])
 
 
 def job_skill_lists(
@@ -217,9 +237,7 @@ def job_skill_lists(
         description_col,
         dialect,
     )
-    matches = skill_match_array(
-        F.col("_search"), taxonomy, dialect, folded=F.col("_folded")
-    )
+    matches = skill_match_array("_search", "_folded", taxonomy, dialect)
     return prepared.select(
         "id",
         "publication_date",
@@ -228,9 +246,14 @@ def job_skill_lists(
 
 
 def job_skills(skill_lists: DataFrame) -> DataFrame:
-    """``job_skills``: one row per (ad, skill); empty lists give no rows."""
+    """``job_skills``: one row per (ad, skill); empty lists give no rows.
+
+    ``explode_outer`` + a NULL filter equals ``explode`` here, and keeps
+    Catalyst from inferring a ``size(skills) > 0`` filter that predicate
+    pushdown would inline, re-running the whole extraction below the scan.
+    """
     return skill_lists.select(
-        "id", "publication_date", F.explode("skills").alias("skill")
+        "id", "publication_date", F.explode_outer("skills").alias("skill")
     ).where(F.col("skill").isNotNull())
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skillgrid.operators import explore, extract, marts, qa
+from skillgrid.operators import explore, marts, qa
 from skillgrid.plans.warehouse import warehouse
 from skillgrid.sources import archives
 
@@ -42,14 +42,6 @@ def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.filter_skills(_filtered(spark, sf_dir), SELECTED_SKILLS)
 
 
-def _live_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live-sample shaped ads: nested description flattened to ``description__text``."""
-    ads = _wh(spark, sf_dir).ads()
-    return ads.select(
-        "id", "publication_date", "headline", ads.description_text.alias("description__text")
-    )
-
-
 def _geo_summary(spark: SparkSession, sf_dir: str, top_n: int | None) -> DataFrame:
     return explore.geo_summary(
         _wh(spark, sf_dir).geography(), WINDOW_START, WINDOW_END, SELECTED_SKILLS, METRIC, top_n
@@ -67,8 +59,8 @@ QUERIES: dict[str, Query] = {
     "all_skills": lambda s, d: _wh(s, d).all_skills(),
     "skill_sources": lambda s, d: marts.skill_sources(_wh(s, d).all_skills()),
     "ams_catalogue": lambda s, d: marts.ams_catalogue(_wh(s, d).ams_skills()),
-    "job_skill_lists": lambda s, d: extract.job_skill_lists(_live_sample(s, d)),
-    "job_skills": lambda s, d: extract.job_skills(extract.job_skill_lists(_live_sample(s, d))),
+    "job_skill_lists": lambda s, d: _wh(s, d).job_skill_lists(),
+    "job_skills": lambda s, d: _wh(s, d).job_skills(),
     # step 3: geography
     "ad_locations": lambda s, d: marts.ad_locations(_wh(s, d).stg_ads()),
     "geography": lambda s, d: _wh(s, d).geography(),

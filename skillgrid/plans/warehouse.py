@@ -65,6 +65,21 @@ class SkillWarehouse:
     def all_skills(self) -> DataFrame:
         return marts.all_skills(self.ams_skills(), self.regex_skills())
 
+    def live_sample(self) -> DataFrame:
+        """Live-sample shaped ads: nested description flattened to ``description__text``."""
+        ads = self.ads()
+        return ads.select(
+            "id", "publication_date", "headline", ads.description_text.alias("description__text")
+        )
+
+    def job_skill_lists(self) -> DataFrame:
+        return self._stage(
+            "job_skill_lists", lambda: extract.job_skill_lists(self.live_sample()), keep=True
+        )
+
+    def job_skills(self) -> DataFrame:
+        return extract.job_skills(self.job_skill_lists())
+
     # --- marts ---------------------------------------------------------
     def monthly_counts(self) -> DataFrame:
         return self._stage(
