@@ -10,12 +10,15 @@ the ad text is read once and never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skillgrid.functions import text as tx
 from skillgrid.functions.regex import PREFILTER_FOLDS, literal_anchor, to_java
 from skillgrid.functions.taxonomy import TECH_SKILLS, pattern_rows
+from skillgrid.operators.joins import is_bounded
 from skillgrid.operators.partitioning import spread_for_cpu
 
 MATCH_COLUMNS = [
@@ -100,23 +103,18 @@ def skill_match_array(
     return F.expr(skill_match_sql(f"`{search_col}`", folded, taxonomy, dialect, prefilter))
 
 
-def regex_skill_matches(
+def found_skill_matches(
     ads: DataFrame,
     taxonomy: dict[str, list[str]] | None = None,
     dialect: str = "re2",
-    dedupe_ids: bool = True,
     prefilter: bool = True,
 ) -> DataFrame:
-    """``historical_regex_skill_matches``: one row per (id, skill).
+    """Per-ad matches before the id dedupe: ``MATCH_COLUMNS`` + ``pattern_order``.
 
     search_text = headline + ' ' + description (NULL parts become ''); the
     match is trimmed of Unicode space separators; the snippet is the first
-    400 characters of the whitespace-collapsed description.
-
-    Ids are not unique across archives. With ``dedupe_ids`` one row per
-    (id, skill) survives globally: lowest pattern_order, then earliest month,
-    headline, snippet, match. That is a ``min(struct)`` aggregate, whose
-    map-side partial step collapses a hot duplicated id before the shuffle.
+    400 characters of the whitespace-collapsed description. A narrow stage:
+    one projection and a generator over each ad row, no shuffle of the text.
     """
     prepared = with_search_columns(
         spread_for_cpu(ads.select("id", "publication_month", "headline", "description_text")),
@@ -124,15 +122,20 @@ def regex_skill_matches(
         "description_text",
         dialect,
     ).withColumn("description_snippet", tx.snippet(F.col("description_text")))
-    found = prepared.select(
+    return prepared.select(
         "id",
         "publication_month",
         "headline",
         "description_snippet",
         F.inline(skill_match_array("_search", "_folded", taxonomy, dialect, prefilter)),
     ).withColumn("matched_text", tx.trim_space_separators(F.col("matched_text")))
-    if not dedupe_ids:
-        return found.select(*MATCH_COLUMNS)
+
+
+def dedupe_matches(found: DataFrame) -> DataFrame:
+    """One row per (id, skill): lowest pattern_order, then earliest month, headline,
+    snippet, match. A ``min(struct)`` aggregate; its map-side partial step
+    collapses a hot duplicated id before the shuffle.
+    """
     best = found.groupBy("id", "skill").agg(
         F.min(
             F.struct(
@@ -154,6 +157,60 @@ def regex_skill_matches(
     )
 
 
+def duplicate_ids(ads: DataFrame) -> DataFrame:
+    """Ids on more than one ad row (NULL counts as one id, as in SQL grouping).
+
+    A narrow aggregate over the id column only; partial aggregation collapses
+    a hot id map-side.
+    """
+    return ads.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("id")
+
+
+# Duplicated ids are broadcast to flag their matches only up to this many.
+DUPLICATE_IDS_BROADCAST_ROWS = 1_000_000
+
+
+def regex_skill_matches(
+    ads: DataFrame,
+    taxonomy: dict[str, list[str]] | None = None,
+    dialect: str = "re2",
+    dedupe_ids: bool = True,
+    prefilter: bool = True,
+    stage: Callable[..., DataFrame] | None = None,
+) -> DataFrame:
+    """``historical_regex_skill_matches``: one row per (id, skill).
+
+    Ids are not unique across archives, and one row per (id, skill) survives
+    globally (``dedupe_matches``). Without ``stage`` every match row goes
+    through that aggregate's shuffle. With ``stage`` (a function that writes
+    a frame to shared storage and reads it back, e.g. ``session.materialize``)
+    only the matches of duplicated ids are shuffled: the duplicated ids are
+    found by a narrow id-only aggregate; when their number is proven small
+    they are broadcast to flag matches in the same pass that extracts them;
+    flagged rows are written partitioned by the flag, unique ones pass
+    straight through, and only the flagged ones are deduplicated. Beyond the
+    bound every row is flagged, which is the plain full dedupe.
+    """
+    found = found_skill_matches(ads, taxonomy, dialect, prefilter)
+    if not dedupe_ids:
+        return found.select(*MATCH_COLUMNS)
+    if stage is None:
+        return dedupe_matches(found)
+    dups = stage(duplicate_ids(ads), "duplicate_ids")
+    if is_bounded(dups, DUPLICATE_IDS_BROADCAST_ROWS):
+        flags = F.broadcast(dups.select(F.col("id").alias("_dup_id"), F.lit(True).alias("is_dup")))
+        flagged = (
+            found.join(flags, found["id"].eqNullSafe(flags["_dup_id"]), "left")
+            .drop("_dup_id")
+            .withColumn("is_dup", F.coalesce(F.col("is_dup"), F.lit(False)))
+        )
+    else:
+        flagged = found.withColumn("is_dup", F.lit(True))
+    raw = stage(flagged, "regex_matches_raw", partition_by=["is_dup"])
+    unique = raw.where(~F.col("is_dup")).select(*MATCH_COLUMNS)
+    return unique.unionByName(dedupe_matches(raw.where(F.col("is_dup"))))
+
+
 def regex_skills(matches: DataFrame) -> DataFrame:
     """``historical_regex_skills``: the compact (id, month, skill) table."""
     return matches.select(

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
@@ -17,9 +22,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     so it is cheap for the dimension tables it is meant for, and a side that
     grows with the data silently falls back to a shuffle join.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

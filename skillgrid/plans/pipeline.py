@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from skillgrid.operators import extract, marts, qa
+from skillgrid.session import materialize
 from skillgrid.sources import archives
 from skillgrid.sources.sinks import write_table
 
@@ -52,7 +53,9 @@ def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame
     ).select(*archives.ADS_COLUMNS)
     t: dict[str, DataFrame] = {"historical_job_ads": ads}
     t["historical_job_skills"] = _write(extract.ams_skills(ads), warehouse_dir, "historical_job_skills")
-    matches = _write(extract.regex_skill_matches(ads), warehouse_dir, "historical_regex_skill_matches")
+    matches = _write(
+        extract.regex_skill_matches(ads, stage=materialize), warehouse_dir, "historical_regex_skill_matches"
+    )
     t["historical_regex_skill_matches"] = matches
     t["historical_regex_skills"] = _write(extract.regex_skills(matches), warehouse_dir, "historical_regex_skills")
     t["historical_regex_skill_qa_summary"] = _write(

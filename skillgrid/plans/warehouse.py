@@ -52,9 +52,15 @@ class SkillWarehouse:
 
     # --- extraction ----------------------------------------------------
     def regex_matches(self) -> DataFrame:
-        return self._stage(
-            "regex_matches", lambda: extract.regex_skill_matches(self.ads()), keep=True
-        )
+        """Backed by written tables: unique-id matches pass through, only the
+        matches of duplicated ids are shuffled for the (id, skill) dedupe."""
+        if "regex_matches" not in self._tables:
+            if self.materialize_stages:
+                df = extract.regex_skill_matches(self.ads(), stage=materialize)
+            else:
+                df = extract.regex_skill_matches(self.ads())
+            self._tables["regex_matches"] = df
+        return self._tables["regex_matches"]
 
     def regex_skills(self) -> DataFrame:
         return extract.regex_skills(self.regex_matches())

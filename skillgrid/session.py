@@ -91,4 +91,6 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    # Read back with the writer's schema: partition values keep their types
+    # (a boolean flag is not re-inferred as a string) and the column order.
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

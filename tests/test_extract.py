@@ -164,3 +164,21 @@ def test_job_skill_lists_and_job_skills(spark):
     assert lists == {"1": ["python", "rust"], "2": [], "3": []}
     skills = sorted((r.id, r.skill) for r in extract.job_skills(extract.job_skill_lists(ads)).collect())
     assert skills == [("1", "python"), ("1", "rust")]
+
+
+def test_staged_dedupe_equals_full_dedupe(spark):
+    from skillgrid.session import materialize
+
+    rows = [
+        ("7", M2, "Python", None),
+        ("7", M1, "python and sql", None),
+        ("8", M1, "Rust", "Docker"),
+        (None, M1, "Go programming", None),
+        (None, M2, "golang", None),
+        ("9", M2, "C# and C++", None),
+    ]
+    ads = _ads(spark, rows)
+    full = sorted(map(tuple, extract.regex_skill_matches(ads).collect()), key=repr)
+    staged = sorted(map(tuple, extract.regex_skill_matches(ads, stage=materialize).collect()), key=repr)
+    assert staged == full
+    assert sorted(r.id or "" for r in extract.duplicate_ids(ads).collect()) == ["", "7"]
