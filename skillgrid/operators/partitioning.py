@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from skillgrid.session import parallelism
+
 
 def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster only when its input is too coarse.
@@ -14,8 +16,7 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     no-op, so the text is shuffled only when that pays off. The decision uses
     the driver-side file listing; it runs no job.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
+    target = min_partitions or parallelism(df.sparkSession)
     if len(df.inputFiles()) < target:
         return df.repartition(target)
     return df

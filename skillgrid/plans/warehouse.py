@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.operators import extract, marts
-from skillgrid.session import apply_defaults, materialize, stage_path
+from skillgrid.session import app_id, apply_defaults, materialize, stage_path
 from skillgrid.sources import archives, binding
 
 _LOCK = threading.Lock()
@@ -141,7 +141,7 @@ class SkillWarehouse:
 def warehouse(spark: SparkSession, sf_dir: str, materialize_stages: bool = True) -> SkillWarehouse:
     """The (cached) warehouse of one session and input folder."""
     apply_defaults(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize_stages)
+    key = (app_id(spark), sf_dir.rstrip("/"), materialize_stages)
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None or wh.spark is not spark:

@@ -72,10 +72,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (from the context, else from the session settings)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # a session without a reachable SparkContext
+        return spark.conf.get("spark.app.id", "app")
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (default parallelism, else the shuffle width)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint root for one materialised table."""
     root = checkpoint_root(spark).rstrip("/")
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     return f"{root}/skillgrid-stages/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -12,13 +12,9 @@ rebuild overwrites it, an append replaces only the loaded archives.
 
 from __future__ import annotations
 
-import io
 import re
-import zipfile
-from collections.abc import Iterator
 from pathlib import Path
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,31 +72,43 @@ def archive_paths(raw_dir: str | Path, years: list[int] | None = None) -> list[s
 
 
 # --- S2: zip member streaming -------------------------------------------------
-def _jsonl_member(archive: zipfile.ZipFile, path: str) -> str:
-    members = [n for n in archive.namelist() if n.endswith(".jsonl")]
-    if len(members) != 1:
-        raise ValueError(f"Expected exactly one JSONL file in {path}, found {len(members)}")
-    return members[0]
-
-
-def _stream_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, year in zip(batch["path"], batch["source_year"], strict=True):
-            name = Path(path).name
-            with zipfile.ZipFile(path) as archive:
-                member = _jsonl_member(archive, path)
-                with archive.open(member) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-                    lines: list[str] = []
-                    for line in text:
-                        line = line.rstrip("\r\n")
-                        if line.strip():
-                            lines.append(line)
-                        if len(lines) >= LINE_BATCH:
+def _archive_streamer(line_batch: int):
+    """The per-archive reader shipped to Python workers.
+
+    Defined as a closure so it is serialised by value: workers need only the
+    standard library and pandas, not this package on their import path.
+    """
+
+    def stream(batches):
+        import io
+        import zipfile
+        from pathlib import PurePath
+
+        import pandas as pd
+
+        for batch in batches:
+            for path, year in zip(batch["path"], batch["source_year"], strict=True):
+                name = PurePath(path).name
+                with zipfile.ZipFile(path) as archive:
+                    members = [n for n in archive.namelist() if n.endswith(".jsonl")]
+                    if len(members) != 1:
+                        raise ValueError(
+                            f"Expected exactly one JSONL file in {path}, found {len(members)}"
+                        )
+                    with archive.open(members[0]) as raw:
+                        text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
+                        lines: list[str] = []
+                        for line in text:
+                            line = line.rstrip("\r\n")
+                            if line.strip():
+                                lines.append(line)
+                            if len(lines) >= line_batch:
+                                yield pd.DataFrame({"line": lines, "source_archive": name, "source_year": year})
+                                lines = []
+                        if lines:
                             yield pd.DataFrame({"line": lines, "source_archive": name, "source_year": year})
-                            lines = []
-                    if lines:
-                        yield pd.DataFrame({"line": lines, "source_archive": name, "source_year": year})
+
+    return stream
 
 
 def read_archive_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -113,7 +121,7 @@ def read_archive_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     listing = spark.createDataFrame(
         [(p, archive_year(p)) for p in paths], "path string, source_year int"
     ).repartition(max(1, len(paths)))
-    return listing.mapInPandas(_stream_archives, LINES_SCHEMA)
+    return listing.mapInPandas(_archive_streamer(LINE_BATCH), LINES_SCHEMA)
 
 
 def read_jsonl_lines(spark: SparkSession, path: str, source_archive: str, source_year: int) -> DataFrame:

@@ -134,3 +134,35 @@ def test_prefilter_changes_nothing(spark, texts_df):
     b = extract.regex_skill_matches(ads, prefilter=False).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert len(a) > 500
+
+
+def test_full_matches_equal_duckdb_on_adversarial_texts(spark, texts_df):
+    """Whole D1 rows (match text with trim, snippet) against the SQL formulation."""
+    from skillgrid.plans.oracle import PATTERNS_CTE
+
+    _, rows = texts_df
+    extra = ["a C# b", "x Python　", "  SQL  ", "C#\x0b", "Go programming  "]
+    rows = rows + [(len(rows) + i, t) for i, t in enumerate(extra)]
+    ads_rows = [(str(i), t, f"desc {t} \t\n {t}") for i, t in rows]
+    ads = spark.createDataFrame(ads_rows, "id string, headline string, description_text string").select(
+        "id", F.lit(None).cast("timestamp_ntz").alias("publication_month"), "headline", "description_text"
+    )
+    got = {
+        (r.id, r.skill): (r.matched_text, r.description_snippet)
+        for r in extract.regex_skill_matches(ads).collect()
+    }
+    con = duckdb.connect()
+    con.execute("create table ads(id varchar, headline varchar, description_text varchar)")
+    con.executemany("insert into ads values (?, ?, ?)", ads_rows)
+    sql = f"""with {PATTERNS_CTE}
+    select id, skill, matched_text, description_snippet from (
+      select a.id, p.skill,
+        trim(regexp_extract(a.s, p.pattern, 0, 'i')) as matched_text,
+        left(regexp_replace(coalesce(a.description_text, ''), '\\s+', ' ', 'g'), 400) as description_snippet,
+        row_number() over (partition by a.id, p.skill order by p.pattern_order) as rk
+      from (select *, coalesce(headline, '') || ' ' || coalesce(description_text, '') as s from ads) a
+      join patterns p on regexp_matches(a.s, p.pattern, 'i')
+    ) where rk = 1"""
+    want = {(i, s): (m, d) for i, s, m, d in con.execute(sql).fetchall()}
+    assert got == want
+    assert len(want) > 1000
