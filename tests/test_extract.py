@@ -182,3 +182,41 @@ def test_staged_dedupe_equals_full_dedupe(spark):
     staged = sorted(map(tuple, extract.regex_skill_matches(ads, stage=materialize).collect()), key=repr)
     assert staged == full
     assert sorted(r.id or "" for r in extract.duplicate_ids(ads).collect()) == ["", "7"]
+
+
+def test_shadowed_aliases_are_never_reported(spark):
+    """An alias whose every match is also matched by an earlier alias of the
+    same skill can never be the reported one."""
+    m = _matches(
+        spark,
+        [
+            ("1", M1, "Apache Spark", None),
+            ("2", M1, "apache airflow", None),
+            ("3", M1, "Google Cloud Platform", None),
+            ("4", M1, "Power BI Desktop", None),
+            ("5", M1, "large language models", None),
+        ],
+    )
+    found = extract.regex_skill_matches(
+        _ads(spark, [("1", M1, "Apache Spark", None)]), dedupe_ids=False
+    ).collect()
+    assert [r.matched_text for r in found] == ["Spark"]
+    assert m[("1", "spark")].matched_text == "Spark"
+    assert m[("2", "airflow")].matched_text == "airflow"
+    assert m[("3", "gcp")].matched_text == "Google Cloud"
+    assert m[("4", "power_bi")].matched_text == "Power BI"
+    # the singular alias needs a boundary after "model", so the plural alias reports
+    assert m[("5", "llm")].matched_text == "large language models"
+
+
+def test_invariants_on_driver_tables(spark):
+    from skillgrid.plans.warehouse import SkillWarehouse
+
+    from .conftest import SF_SMALL
+
+    wh = SkillWarehouse(spark, SF_SMALL, materialize_stages=False)
+    dup = wh.regex_matches().groupBy("id", "skill").count().where("count > 1").count()
+    assert dup == 0
+    bounds = wh.trends().where("share_of_ads < 0 or share_of_ads > 1").count()
+    assert bounds == 0 and wh.trends().count() > 0
+    assert wh.geography().where("share_of_ads < 0 or share_of_ads > 1").count() == 0
