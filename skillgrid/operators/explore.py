@@ -74,6 +74,23 @@ def top_skills(monthly_counts: DataFrame, k: int = 30) -> DataFrame:
     )
 
 
+def top_by_rows(skills: DataFrame, k: int) -> DataFrame:
+    """Top ``k`` skills by row count (mentions), ties by skill."""
+    return (
+        skills.groupBy("skill")
+        .agg(F.count("*").alias("mentions"))
+        .orderBy(F.desc("mentions"), F.asc("skill"))
+        .limit(k)
+    )
+
+
+def newest_first(monthly_counts: DataFrame, k: int = 20) -> DataFrame:
+    """First ``k`` rows by month descending, then mentions descending."""
+    return monthly_counts.orderBy(
+        F.desc("publication_month"), F.desc("mentions"), F.asc("skill")
+    ).limit(k)
+
+
 def rows_at_month(df: DataFrame, which: str = "max", month=None) -> DataFrame:
     """Rows of the first ("min"), last ("max") or a given month, without a collect."""
     if month is not None:

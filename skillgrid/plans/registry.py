@@ -61,6 +61,13 @@ QUERIES: dict[str, Query] = {
     "ams_catalogue": lambda s, d: marts.ams_catalogue(_wh(s, d).ams_skills()),
     "job_skill_lists": lambda s, d: _wh(s, d).job_skill_lists(),
     "job_skills": lambda s, d: _wh(s, d).job_skills(),
+    # printed top-k reports of the build steps
+    "regex_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).regex_skills(), 30),
+    "ams_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).ams_skills(), 20),
+    "ams_catalogue_top": lambda s, d: marts.ams_catalogue(_wh(s, d).ams_skills())
+    .orderBy("ads", "skill", ascending=[False, True])
+    .limit(100),
+    "monthly_sample": lambda s, d: explore.newest_first(_wh(s, d).monthly_counts(), 20),
     # step 3: geography
     "ad_locations": lambda s, d: marts.ad_locations(_wh(s, d).stg_ads()),
     "geography": lambda s, d: _wh(s, d).geography(),
