@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skillgrid.functions.text import month_start
+from skillgrid.operators.partitioning import spread_for_cpu
+from skillgrid.session import parallelism
 from skillgrid.sources.binding import ADS_COLUMNS
 
 LINE_BATCH = 10_000
@@ -121,7 +123,11 @@ def read_archive_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     listing = spark.createDataFrame(
         [(p, archive_year(p)) for p in paths], "path string, source_year int"
     ).repartition(max(1, len(paths)))
-    return listing.mapInPandas(_archive_streamer(LINE_BATCH), LINES_SCHEMA)
+    lines = listing.mapInPandas(_archive_streamer(LINE_BATCH), LINES_SCHEMA)
+    # Unzipping is sequential per archive, JSON parsing is not: with fewer
+    # archives than task slots, deal the lines out before they are parsed.
+    slots = parallelism(spark)
+    return lines.repartition(slots) if len(paths) < slots else lines
 
 
 def read_jsonl_lines(spark: SparkSession, path: str, source_archive: str, source_year: int) -> DataFrame:
@@ -210,7 +216,7 @@ def raw_lines_from_ads(ads: DataFrame) -> DataFrame:
     as_struct = F.to_json(F.struct(*common, *[label(c).alias(c) for c in occ], *tail))
     as_list = F.to_json(F.struct(*common, *[F.array(label(c)).alias(c) for c in occ], *tail))
     even = (F.col("id").cast("long") % 2) == 0
-    return ads.select(
+    return spread_for_cpu(ads).select(
         F.when(even, as_struct).otherwise(as_list).alias("line"),
         "source_archive",
         "source_year",
