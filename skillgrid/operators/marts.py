@@ -102,30 +102,34 @@ def skill_geography(
     """``mart_skill_geography``: skill demand per month and municipality.
 
     The denominator is distinct ads per (month, municipality_code) *after*
-    the coordinate filter. Skills join located ads on (id, month), which may
-    multiply rows when an id repeats inside a month, as in the SQL model.
+    the coordinate filter. In the SQL model skills join located ads on
+    (id, month), so an id repeated inside a month multiplies rows, and the
+    centroid is the mean over those pairs. Here located ads are first reduced
+    to one row per (id, month, location) with a row count and coordinate
+    sums; the centroid is sum / count over the joined rows, which is the same
+    mean, and a repeated id contributes one row per location, not one per copy,
+    so no key emits all pairs. The denominator comes from the same reduced rows.
     """
+    loc_keys = ["municipality", "municipality_code", "region", "region_code"]
     located = ad_locations(ads, lon_bounds, lat_bounds)
-    location_ads = located.groupBy("publication_month", "municipality_code").agg(
+    per_ad = located.groupBy("id", "publication_month", *loc_keys).agg(
+        F.count("*").alias("n"),
+        F.sum("longitude").alias("lon_sum"),
+        F.sum("latitude").alias("lat_sum"),
+    )
+    location_ads = per_ad.groupBy("publication_month", "municipality_code").agg(
         F.count_distinct("id").alias("location_ads")
     )
     skills = regex_skills.select("id", "publication_month", "skill")
-    joined = skills.join(located, ["id", "publication_month"], "inner").join(
+    joined = skills.join(per_ad, ["id", "publication_month"], "inner").join(
         location_ads, ["publication_month", "municipality_code"], "left"
     )
-    keys = [
-        "publication_month",
-        "skill",
-        "municipality",
-        "municipality_code",
-        "region",
-        "region_code",
-    ]
+    keys = ["publication_month", "skill", *loc_keys]
     return (
         joined.groupBy(*keys)
         .agg(
-            F.avg("longitude").alias("longitude"),
-            F.avg("latitude").alias("latitude"),
+            (F.sum("lon_sum") / F.sum("n")).alias("longitude"),
+            (F.sum("lat_sum") / F.sum("n")).alias("latitude"),
             F.count_distinct("id").alias("mentions"),
             F.max("location_ads").alias("ads"),
         )

@@ -144,3 +144,21 @@ def test_samples_keep_newest_twenty(spark):
     assert min(r.publication_month for r in got) == dt.datetime(2024, 9, 1)
     summary = qa.qa_summary(matches).collect()[0]
     assert (summary.ads, summary.matches, summary.matched_terms) == (60, 60, 1)
+
+
+def test_geography_repeated_id_keeps_pair_semantics(spark):
+    """An id repeated inside a month with two locations: the centroid is the
+    mean over (skill, located ad) pairs, as the SQL join computes it."""
+    rows = [
+        ("9", M1, M1, "Lund", "1281", "Skåne", "12", 13.0, 56.0, "a"),
+        ("9", M1, M1, "Lund", "1281", "Skåne", "12", 13.0, 56.0, "b"),
+        ("9", M1, M1, "Lund", "1281", "Skåne", "12", 14.0, 57.0, "c"),
+        ("8", M1, M1, "Lund", "1281", "Skåne", "12", 16.0, 60.0, "c"),
+    ]
+    ads = spark.createDataFrame(rows, ADS)
+    skills = spark.createDataFrame(
+        [("9", M1, "python"), ("8", M1, "python")], "id string, publication_month timestamp_ntz, skill string"
+    )
+    (g,) = marts.skill_geography(skills, ads).collect()
+    # pairs: id 9 x 3 located rows + id 8 x 1 -> mean lon (13+13+14+16)/4
+    assert (g.longitude, g.latitude, g.mentions, g.ads, g.share_of_ads) == (14.0, 57.25, 2, 2, 1.0)
