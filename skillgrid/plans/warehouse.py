@@ -134,7 +134,8 @@ class SkillWarehouse:
         new_load = ads.where(F.col("source_archive") == reloaded).withColumn(
             "source_year", F.col("source_year") + 10
         )
-        archives.write_ads(new_load, path, append=True, archives=[reloaded, emptied])
+        archives.replace_archive(new_load, path, reloaded)
+        archives.replace_archive(new_load.where(F.lit(False)), path, emptied)
         return archives.read_ads_table(self.spark, path, ads.select(*binding.ADS_COLUMNS).schema)
 
 

@@ -224,31 +224,44 @@ def raw_lines_from_ads(ads: DataFrame) -> DataFrame:
 
 
 # --- S6, S7: write ------------------------------------------------------------
-def write_ads(ads: DataFrame, table_path: str, append: bool = False, archives: list[str] | None = None) -> None:
-    """Full rebuild, or replace-by-archive when ``append``.
+# Characters Hive-style partition folders escape as %XX.
+_PATH_ESCAPES = set('"#%\'*/:=?\\{[]^\x7f') | {chr(c) for c in range(0x20)}
 
-    Replacement uses dynamic partition overwrite on ``source_archive``: only
-    partitions present in ``ads`` are rewritten. An archive that was reloaded
-    but is now empty still has its old rows removed.
+
+def partition_dir(table_path: str, archive: str) -> str:
+    """Folder of one archive's partition, with partition-value escaping."""
+    value = "".join(f"%{ord(c):02X}" if c in _PATH_ESCAPES else c for c in archive)
+    return f"{table_path.rstrip('/')}/source_archive={value}"
+
+
+def write_ads(ads: DataFrame, table_path: str) -> None:
+    """Full rebuild: the table becomes exactly ``ads``, partitioned by archive."""
+    ads.select(*ADS_COLUMNS).write.mode("overwrite").partitionBy("source_archive").parquet(table_path)
+
+
+def replace_archive(archive_ads: DataFrame, table_path: str, archive: str) -> None:
+    """Replace one archive's rows (delete + insert of the SQL loader).
+
+    A static overwrite of that archive's partition folder: whatever the new
+    load holds, possibly nothing, becomes the archive's content, and other
+    archives are untouched. Reads the new load once.
+    """
+    cols = [c for c in ADS_COLUMNS if c != "source_archive"]
+    archive_ads.select(*cols).write.mode("overwrite").parquet(partition_dir(table_path, archive))
+
+
+def replace_archives_dynamic(ads: DataFrame, table_path: str) -> None:
+    """Replace every archive present in ``ads`` in one job (dynamic overwrite).
+
+    For micro-batches, where each archive file arrives with its rows.
     """
-    writer = ads.select(*ADS_COLUMNS).write.partitionBy("source_archive")
-    if not append:
-        writer.mode("overwrite").parquet(table_path)
-        return
-    spark = ads.sparkSession
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table_path)
-    if archives:
-        present = {r[0] for r in ads.select("source_archive").distinct().collect()}
-        for name in sorted(set(archives) - present):
-            clear_archive(spark, table_path, name, ads.schema)
-
-
-def clear_archive(spark: SparkSession, table_path: str, archive: str, schema: T.StructType) -> None:
-    """Overwrite one archive's partition with no rows."""
-    fields = [f for f in schema.fields if f.name != "source_archive"]
-    empty = spark.createDataFrame([], T.StructType(fields))
-    part = f"{table_path.rstrip('/')}/source_archive={archive}"
-    empty.write.mode("overwrite").parquet(part)
+    (
+        ads.select(*ADS_COLUMNS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("source_archive")
+        .parquet(table_path)
+    )
 
 
 def read_ads_table(spark: SparkSession, table_path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -266,8 +279,32 @@ def load_archives(
     years: list[int] | None = None,
     append: bool = False,
 ) -> DataFrame:
-    """Discover, read, flatten and write archives; return the written table."""
+    """Discover, read, flatten and write archives; return the written table.
+
+    A rebuild reads all archives in one job. ``append`` replaces archive by
+    archive (one job each, like the SQL loader's delete + insert), so an
+    archive that is now empty is cleared and every zip is read once.
+    """
     paths = archive_paths(raw_dir, years)
-    ads = flatten_ads(parse_ad_lines(read_archive_lines(spark, paths)))
-    write_ads(ads, table_path, append=append, archives=[Path(p).name for p in paths])
-    return read_ads_table(spark, table_path, ads.schema)
+
+    def load(selected: list[str]) -> DataFrame:
+        return flatten_ads(parse_ad_lines(read_archive_lines(spark, selected)))
+
+    if not append or not _table_exists(spark, table_path):
+        ads = load(paths)
+        write_ads(ads, table_path)
+        return read_ads_table(spark, table_path, ads.schema)
+    schema = None
+    for path in paths:
+        ads = load([path])
+        schema = ads.schema
+        replace_archive(ads, table_path, Path(path).name)
+    return read_ads_table(spark, table_path, schema)
+
+
+def _table_exists(spark: SparkSession, table_path: str) -> bool:
+    try:
+        spark.read.parquet(table_path).schema  # noqa: B018
+        return True
+    except Exception:
+        return False

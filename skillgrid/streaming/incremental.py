@@ -22,7 +22,7 @@ from skillgrid.sources import archives
 def _replace_batch(table_path: str):
     def write(batch: DataFrame, _epoch: int) -> None:
         ads = archives.flatten_ads(archives.parse_ad_lines(batch))
-        archives.write_ads(ads, table_path, append=True)
+        archives.replace_archives_dynamic(ads, table_path)
 
     return write
 
