@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SNIPPET_CHARS = 400
+from skillgrid.functions.constants import SNIPPET_CHARS
 
 
 def search_text(headline: Column, description: Column) -> Column:

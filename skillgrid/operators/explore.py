@@ -14,13 +14,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skillgrid.functions.constants import RADIUS_BASE, RADIUS_SPAN
 from skillgrid.operators.joins import attach_one_row
 
 METRICS = ("share_of_ads", "mentions")
 GEO_KEYS = ["municipality", "municipality_code", "region", "longitude", "latitude"]
-# Map bubble radius: base + scaled share of the largest value.
-RADIUS_BASE = 3_000.0
-RADIUS_SPAN = 35_000.0
 
 
 def _metric(metric: str) -> str:

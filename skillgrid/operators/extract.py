@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skillgrid.functions import text as tx
+from skillgrid.functions.constants import LABEL_SOURCE, REGEX_SOURCE
 from skillgrid.functions.regex import PREFILTER_FOLDS, literal_anchor, to_java
 from skillgrid.functions.taxonomy import TECH_SKILLS, pattern_rows
 from skillgrid.operators.joins import is_bounded
@@ -214,7 +215,7 @@ def regex_skill_matches(
 def regex_skills(matches: DataFrame) -> DataFrame:
     """``historical_regex_skills``: the compact (id, month, skill) table."""
     return matches.select(
-        "id", "publication_month", "skill", F.lit("regex").alias("skill_source")
+        "id", "publication_month", "skill", F.lit(REGEX_SOURCE).alias("skill_source")
     )
 
 
@@ -234,7 +235,7 @@ def ams_skills(ads: DataFrame) -> DataFrame:
         ads.select("id", "publication_month", F.explode(labels).alias("s"))
         .select("id", "publication_month", F.col("s.label").alias("skill"))
         .where(F.col("skill").isNotNull())
-        .withColumn("skill_source", F.lit("ams"))
+        .withColumn("skill_source", F.lit(LABEL_SOURCE))
     )
 
 

@@ -11,6 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skillgrid.functions.constants import (
+    LATITUDE_BOUNDS,
+    LONGITUDE_BOUNDS,
+    UNKNOWN_REGION,
+    UNKNOWN_REGION_CODE,
+)
+
 STG_COLUMNS = [
     "id",
     "publication_date",
@@ -32,10 +39,6 @@ STG_COLUMNS = [
     "source_year",
 ]
 
-# Default geography bounds (longitude, latitude), inclusive.
-LONGITUDE_BOUNDS = (10.0, 25.0)
-LATITUDE_BOUNDS = (55.0, 70.0)
-
 
 def stg_ads(ads: DataFrame) -> DataFrame:
     """Staging projection: the ad columns without the two label arrays."""
@@ -86,8 +89,8 @@ def ad_locations(
         "publication_month",
         "municipality",
         "municipality_code",
-        F.coalesce(F.col("region"), F.lit("Unknown")).alias("region"),
-        F.coalesce(F.col("region_code"), F.lit("unknown")).alias("region_code"),
+        F.coalesce(F.col("region"), F.lit(UNKNOWN_REGION)).alias("region"),
+        F.coalesce(F.col("region_code"), F.lit(UNKNOWN_REGION_CODE)).alias("region_code"),
         "longitude",
         "latitude",
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES_PER_SKILL = 20
-QA_TOP = 30
+from skillgrid.functions.constants import LABEL_SOURCE, QA_TOP, REGEX_SOURCE, SAMPLES_PER_SKILL
 
 
 def qa_summary(matches: DataFrame) -> DataFrame:
@@ -51,11 +50,11 @@ SOURCE_TESTS = [
     ("historical_job_ads", "not_null", "id", None),
     ("historical_job_ads", "not_null", "publication_month", None),
     ("historical_job_skills", "not_null", "id", None),
-    ("historical_job_skills", "accepted_values", "skill_source", ("ams",)),
+    ("historical_job_skills", "accepted_values", "skill_source", (LABEL_SOURCE,)),
     ("historical_regex_skills", "not_null", "id", None),
     ("historical_regex_skills", "not_null", "publication_month", None),
     ("historical_regex_skills", "not_null", "skill", None),
-    ("historical_regex_skills", "accepted_values", "skill_source", ("regex",)),
+    ("historical_regex_skills", "accepted_values", "skill_source", (REGEX_SOURCE,)),
 ]
 MART_NOT_NULL = {
     "monthly_skill_counts": ["publication_month", "skill", "mentions"],

@@ -1,6 +1,6 @@
 """End-to-end warehouse build over job-ad archives (the batch pipeline).
 
-    python -m skillgrid.plans.pipeline --raw RAW_DIR --warehouse OUT_DIR [--years 2024 2025] [--append]
+    python -m skillgrid.plans.build --raw RAW_DIR --warehouse OUT_DIR [--years 2024 2025] [--append]
 
 Steps, each writing one Parquet table under the warehouse folder:
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skillgrid.functions.constants import CATALOGUE_TOP, LABEL_TOP, MONTHLY_SAMPLE, MONTHLY_TOP, REGEX_TOP
 from skillgrid.operators import explore, marts, qa
 from skillgrid.plans.warehouse import warehouse
 from skillgrid.sources import archives
@@ -62,12 +63,12 @@ QUERIES: dict[str, Query] = {
     "job_skill_lists": lambda s, d: _wh(s, d).job_skill_lists(),
     "job_skills": lambda s, d: _wh(s, d).job_skills(),
     # printed top-k reports of the build steps
-    "regex_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).regex_skills(), 30),
-    "ams_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).ams_skills(), 20),
+    "regex_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).regex_skills(), REGEX_TOP),
+    "ams_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).ams_skills(), LABEL_TOP),
     "ams_catalogue_top": lambda s, d: marts.ams_catalogue(_wh(s, d).ams_skills())
     .orderBy("ads", "skill", ascending=[False, True])
-    .limit(100),
-    "monthly_sample": lambda s, d: explore.newest_first(_wh(s, d).monthly_counts(), 20),
+    .limit(CATALOGUE_TOP),
+    "monthly_sample": lambda s, d: explore.newest_first(_wh(s, d).monthly_counts(), MONTHLY_SAMPLE),
     # step 3: geography
     "ad_locations": lambda s, d: marts.ad_locations(_wh(s, d).stg_ads()),
     "geography": lambda s, d: _wh(s, d).geography(),
@@ -81,7 +82,7 @@ QUERIES: dict[str, Query] = {
     # step 5: exploration
     "trend_filter": _selected,
     "skill_totals": lambda s, d: explore.skill_totals(_wh(s, d).trends()),
-    "top_skills": lambda s, d: explore.top_skills(_wh(s, d).monthly_counts(), 30),
+    "top_skills": lambda s, d: explore.top_skills(_wh(s, d).monthly_counts(), MONTHLY_TOP),
     "top_n_month": lambda s, d: explore.top_n_month(_filtered(s, d), METRIC, TOP_N),
     "growth": lambda s, d: explore.growth(_filtered(s, d), METRIC, TOP_N, ascending=False),
     "decline": lambda s, d: explore.growth(_filtered(s, d), METRIC, TOP_N, ascending=True),

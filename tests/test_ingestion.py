@@ -155,16 +155,16 @@ def test_archive_stream_available_now(spark, tmp_dir):
     assert sorted(r.id for r in second.collect()) == ["0", "1", "2", "7"]
 
 
-def test_pipeline_end_to_end(spark, raw_dir, tmp_dir):
-    from skillgrid.plans import pipeline
+def test_build_end_to_end(spark, raw_dir, tmp_dir):
+    from skillgrid.plans import build
 
     wh = str(tmp_dir / "warehouse")
     with pytest.raises(RuntimeError, match="Load archives first"):
-        pipeline.build_skills(spark, wh)
+        build.build_skills(spark, wh)
     # the malformed line gives an all-NULL ad, which the not_null tests report
     with pytest.raises(AssertionError, match="historical_job_ads"):
-        pipeline.run(spark, str(raw_dir), wh)
-    report = pipeline.run(spark, str(raw_dir), wh, fail_on_test=False)
+        build.run(spark, str(raw_dir), wh)
+    report = build.run(spark, str(raw_dir), wh, fail_on_test=False)
     failures = {(r.table_name, r.column_name): r.failures for r in report.collect() if r.failures}
     assert failures == {("historical_job_ads", "id"): 1, ("historical_job_ads", "publication_month"): 1}
     trends = spark.read.parquet(f"{wh}/mart_dashboard_skill_trends")
