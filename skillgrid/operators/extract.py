@@ -52,6 +52,26 @@ def _sql_string(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _skill_gate(anchors: list[str | None], min_len: int = 3) -> str | None:
+    """Longest substring shared by every alias anchor of a skill (or None).
+
+    Every match of every alias contains its anchor, hence the gate: when the
+    gate is absent from a text no alias of the skill can match, and one
+    ``contains`` skips them all.
+    """
+    if len(anchors) < 2 or any(a is None for a in anchors):
+        return None
+    base = min(anchors, key=len)
+    best = ""
+    for i in range(len(base)):
+        for j in range(i + len(best) + 1, len(base) + 1):
+            if all(base[i:j] in a for a in anchors):
+                best = base[i:j]
+            else:
+                break
+    return best if len(best) >= min_len else None
+
+
 def skill_match_sql(
     search: str,
     folded: str | None = None,
@@ -71,18 +91,22 @@ def skill_match_sql(
         folded = f"lower(translate({search}, {_sql_string(src)}, {_sql_string(dst)}))"
     per_skill = []
     for skill, patterns in _grouped_patterns(taxonomy, dialect).items():
+        anchors = [literal_anchor(p) if prefilter else None for p in patterns]
         branches = []
-        for order, pattern in enumerate(patterns):
+        for order, (pattern, anchor) in enumerate(zip(patterns, anchors, strict=True)):
             java = _sql_string(to_java(pattern, dialect))
             hit = f"{search} RLIKE {java}"
-            anchor = literal_anchor(pattern) if prefilter else None
             if anchor:
                 hit = f"contains({folded}, {_sql_string(anchor)}) AND {hit}"
             branches.append(
                 f"WHEN {hit} THEN named_struct('skill', {_sql_string(skill)}, "
                 f"'pattern_order', {order}, 'matched_text', regexp_extract({search}, {java}, 0))"
             )
-        per_skill.append("CASE " + " ".join(branches) + " END")
+        expr = "CASE " + " ".join(branches) + " END"
+        gate = _skill_gate(anchors)
+        if gate:
+            expr = f"CASE WHEN contains({folded}, {_sql_string(gate)}) THEN {expr} END"
+        per_skill.append(expr)
     return "array_compact(array(" + ",\n".join(per_skill) + "))"
 
 
