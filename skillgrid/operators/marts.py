@@ -111,7 +111,8 @@ def skill_geography(
     to one row per (id, month, location) with a row count and coordinate
     sums; the centroid is sum / count over the joined rows, which is the same
     mean, and a repeated id contributes one row per location, not one per copy,
-    so no key emits all pairs. The denominator comes from the same reduced rows.
+    so no key emits all pairs. The denominator is a distinct count per
+    (month, municipality_code); Catalyst prunes it to a narrow id/location scan.
     """
     loc_keys = ["municipality", "municipality_code", "region", "region_code"]
     located = ad_locations(ads, lon_bounds, lat_bounds)
