@@ -172,3 +172,20 @@ def test_build_end_to_end(spark, raw_dir, tmp_dir):
     # id 3 is in both archives: one row per (id, skill) survives, at its earliest month
     assert got[(2022, "python")] == 3 and got[(2022, "sql")] == 3
     assert got[(2024, "python")] == 2 and got[(2024, "sql")] == 2
+
+
+def test_dashboard_views_over_built_warehouse(spark, raw_dir, tmp_dir):
+    from skillgrid.plans import build, report
+
+    wh = str(tmp_dir / "warehouse")
+    build.run(spark, str(raw_dir), wh, fail_on_test=False)
+    views = report.from_warehouse(spark, wh, metric="mentions", top_n=5)
+    assert set(views) == {
+        "kpis", "trend_pivot", "top_n_month", "growth", "decline", "geo_summary", "map_points", "detail_table"
+    }
+    k = views["kpis"].first()
+    assert (k.skills, k.months) == (2, 2)  # python and sql, March 2022 and March 2024
+    assert sorted(views["trend_pivot"].columns) == ["publication_month", "python", "sql"]
+    assert {r.skill for r in views["growth"].collect()} == {"python", "sql"}
+    with pytest.raises(RuntimeError, match="Build the warehouse first"):
+        report.from_warehouse(spark, str(tmp_dir / "missing"))
