@@ -3,9 +3,11 @@
 The regex "theta join" of ads x patterns is unrolled into one expression per
 skill: an ordered ``CASE WHEN`` over that skill's aliases, so the first alias
 that matches wins without a join or a window over wide rows. Each alias is
-guarded by a ``contains`` test on its longest literal, which skips the regex
-engine for almost every (ad, alias) pair. All of it is a narrow projection:
-the ad text is read once and never shuffled.
+guarded by a ``contains`` test on its longest literal (and each skill by a
+literal all its aliases share), which skips the regex engine for almost every
+(ad, alias) pair. All of it is a narrow projection: the ad text is read once
+and never shuffled. Only the (id, skill) dedupe shuffles, and with a staging
+function only for duplicated ids.
 """
 
 from __future__ import annotations

@@ -6,10 +6,11 @@ Mirrors the table DAG of the original pipeline:
         \-> provided-label skills         \-> geography
                                            \-> QA summary / samples
 
-The expensive stage (the regex scan over all ad text) and the two marts the
-exploration queries read are written as Parquet under the session's
-checkpoint folder, so later queries re-read files instead of re-scanning text,
-and a lost executor never forces a re-scan. Cheap projections stay lazy.
+The expensive stages (the regex scans over all ad text: taxonomy matches and
+per-ad skill lists) and the two marts the exploration queries read are
+written as Parquet under the session's checkpoint folder, so later queries
+re-read files instead of re-scanning text, and a lost executor never forces
+a re-scan. Cheap projections and aggregates stay lazy.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from skillgrid.operators import extract, marts
