@@ -54,22 +54,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` setting). Only a local-mode session without one
     gets a fresh private folder, as tests do; a cluster session must name it.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session: only the setting is visible
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder") from None
     current = sc.getCheckpointDir()
+    if current:
+        return current
+    current = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir", None
-        )
-        if not current:
-            if not sc.master.startswith("local"):
-                raise RuntimeError(
-                    "spark.checkpoint.dir is not set; point it at a shared folder "
-                    "(HDFS/S3/ABFS) so stages can be materialised"
-                )
-            current = tempfile.mkdtemp(prefix="skillgrid-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a shared folder "
+                "(HDFS/S3/ABFS) so stages can be materialised"
+            )
+        current = tempfile.mkdtemp(prefix="skillgrid-ckpt-")
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def app_id(spark: SparkSession) -> str:
