@@ -1,9 +1,9 @@
 """Exploration queries over the trend and geography marts.
 
 These are the questions the original dashboard answers in pandas, as lazy
-DataFrame functions. "First/last/latest month" values are 1-row global
-aggregates attached by a broadcast equi-join (bounded by construction), never
-collected to the driver. Every top-k sorts by the metric and then ``skill``
+DataFrame functions. "First/last/latest month" rows come from a left-semi
+join on the month with a one-row aggregate (bounded by construction), never
+from a value collected to the driver. Every top-k sorts by the metric and then ``skill``
 (or the location keys) so that ties are deterministic.
 """
 
@@ -93,9 +93,9 @@ def rows_at_month(df: DataFrame, which: str = "max", month=None) -> DataFrame:
     """Rows of the first ("min"), last ("max") or a given month, without a collect."""
     if month is not None:
         return df.where(F.to_date("publication_month") == F.lit(_as_date(month)))
-    bound = getattr(F, which)("publication_month").alias("_m")
-    picked = attach_one_row(df, df.agg(bound))
-    return picked.where(F.col("publication_month") == F.col("_m")).drop("_m")
+    bound = df.agg(getattr(F, which)("publication_month").alias("publication_month"))
+    # a left-semi equi-join on the month with a one-row (broadcast) side
+    return df.join(F.broadcast(bound), "publication_month", "left_semi")
 
 
 def top_n_month(filtered: DataFrame, metric: str = "share_of_ads", n: int = 10, month=None) -> DataFrame:
@@ -135,16 +135,18 @@ def kpis(filtered: DataFrame, metric: str = "share_of_ads") -> DataFrame:
     The top skill is the largest metric, ties to the smallest skill name.
     """
     m = _metric(metric)
-    counts = filtered.agg(
+    # One aggregate, no join: the struct orderings pick the latest month's
+    # largest ads, and its largest metric with the smallest skill name.
+    newest = -F.unix_micros(F.col("publication_month").cast("timestamp"))
+    latest = F.max(F.struct("publication_month", "ads"))
+    top = F.min(F.struct(newest.alias("t"), (-F.col(m)).alias("v"), F.col("skill")))
+    return filtered.agg(
         F.count_distinct("skill").alias("skills"),
         F.count_distinct("publication_month").alias("months"),
+        latest.getField("publication_month").alias("latest_month"),
+        latest.getField("ads").alias("latest_ads"),
+        top.getField("skill").alias("top_skill"),
     )
-    latest = rows_at_month(filtered, "max").agg(
-        F.max("publication_month").alias("latest_month"),
-        F.max("ads").alias("latest_ads"),
-        F.min(F.struct((-F.col(m)).alias("neg"), F.col("skill"))).getField("skill").alias("top_skill"),
-    )
-    return attach_one_row(counts, latest)
 
 
 def detail_table(filtered: DataFrame, metric: str = "share_of_ads") -> DataFrame:
