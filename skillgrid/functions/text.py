@@ -23,6 +23,29 @@ def snippet(description: Column, chars: int = SNIPPET_CHARS) -> Column:
     return F.left(collapse_whitespace(F.coalesce(description, F.lit(""))), F.lit(chars))
 
 
+# Collapsing a prefix of a text gives a prefix of the collapsed text, so the
+# snippet can be cut from the collapsed first SNIPPET_WINDOW characters unless
+# those collapse to fewer than the snippet length (long whitespace runs).
+SNIPPET_WINDOW = 4_000
+
+
+def snippet_head(description: Column, window: int = SNIPPET_WINDOW) -> Column:
+    """Collapsed first ``window`` characters of the description ('' for NULL)."""
+    return collapse_whitespace(F.left(F.coalesce(description, F.lit("")), F.lit(window)))
+
+
+def snippet_from_head(
+    head: Column, description: Column, chars: int = SNIPPET_CHARS, window: int = SNIPPET_WINDOW
+) -> Column:
+    """Same value as ``snippet(description)``; collapses the whole text only when
+    the collapsed head is too short and the description is longer than the window."""
+    whole = F.coalesce(description, F.lit(""))
+    enough = (F.length(whole) <= window) | (F.length(head) >= chars)
+    return F.when(enough, F.left(head, F.lit(chars))).otherwise(
+        F.left(collapse_whitespace(whole), F.lit(chars))
+    )
+
+
 def trim_space_separators(text: Column) -> Column:
     """SQL ``trim``: strips Unicode space separators (Zs, e.g. NBSP), not tab/newline."""
     return F.regexp_replace(text, r"^\p{Zs}+|\p{Zs}+\z", "")

@@ -44,9 +44,17 @@ def _grouped_patterns(
 
 
 def prefilter_text(search_text: Column, dialect: str) -> Column:
-    """Lower-cased text the literal anchors are searched in."""
+    """Lower-cased text the literal anchors are searched in.
+
+    The fold characters are rare, and ``translate`` is costly on long text,
+    so it runs only for texts that contain one (byte scans decide).
+    """
     src, dst = PREFILTER_FOLDS[dialect]
-    return F.lower(F.translate(search_text, src, dst))
+    present = None
+    for c in src:
+        hit = search_text.contains(c)
+        present = hit if present is None else present | hit
+    return F.lower(F.when(present, F.translate(search_text, src, dst)).otherwise(search_text))
 
 
 def _sql_string(value: str) -> str:
@@ -90,7 +98,9 @@ def skill_match_sql(
     """
     if folded is None:
         src, dst = PREFILTER_FOLDS[dialect]
-        folded = f"lower(translate({search}, {_sql_string(src)}, {_sql_string(dst)}))"
+        present = " OR ".join(f"contains({search}, {_sql_string(c)})" for c in src)
+        translated = f"translate({search}, {_sql_string(src)}, {_sql_string(dst)})"
+        folded = f"lower(CASE WHEN {present} THEN {translated} ELSE {search} END)"
     per_skill = []
     for skill, patterns in _grouped_patterns(taxonomy, dialect).items():
         anchors = [literal_anchor(p) if prefilter else None for p in patterns]
@@ -148,7 +158,10 @@ def found_skill_matches(
         "headline",
         "description_text",
         dialect,
-    ).withColumn("description_snippet", tx.snippet(F.col("description_text")))
+    ).withColumn("_head", tx.snippet_head(F.col("description_text")))
+    prepared = prepared.withColumn(
+        "description_snippet", tx.snippet_from_head(F.col("_head"), F.col("description_text"))
+    )
     return prepared.select(
         "id",
         "publication_month",

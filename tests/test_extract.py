@@ -220,3 +220,15 @@ def test_invariants_on_driver_tables(spark):
     bounds = wh.trends().where("share_of_ads < 0 or share_of_ads > 1").count()
     assert bounds == 0 and wh.trends().count() > 0
     assert wh.geography().where("share_of_ads < 0 or share_of_ads > 1").count() == 0
+
+
+def test_snippet_from_head_equals_full_snippet(spark):
+    from skillgrid.functions import text as tx
+
+    texts = [None, "", "a  b", "x" * 5000, " " * 4500 + "tail words", "word " * 1000,
+             "\t\n".join(["ab"] * 3000), " " * 3999 + "y" * 600]
+    df = spark.createDataFrame([(t,) for t in texts], "d string").withColumn("h", tx.snippet_head(F.col("d")))
+    got = df.select(
+        tx.snippet(F.col("d")).alias("full"), tx.snippet_from_head(F.col("h"), F.col("d")).alias("fast")
+    ).collect()
+    assert all(r.full == r.fast for r in got)
