@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Settings every job relies on: UTC wall-clock months, ANSI errors, and AQE
 # (runtime broadcast of small aggregates, partition coalescing, skew splits).
@@ -111,6 +112,10 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    # Read back with the writer's schema: partition values keep their types
-    # (a boolean flag is not re-inferred as a string) and the column order.
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    # Read back with the writer's schema (data columns, then partition
+    # columns): partition values keep their types (a boolean flag is not
+    # re-inferred as a string); the select restores the column order.
+    parts = set(partition_by or [])
+    fields = [f for f in df.schema.fields if f.name not in parts]
+    fields += [f for f in df.schema.fields if f.name in parts]
+    return spark.read.schema(T.StructType(fields)).parquet(path).select(*df.columns)

@@ -70,3 +70,10 @@ def test_spread_only_for_coarse_inputs(spark):
     one = materialize(spark.range(1000).coalesce(1), "one_file")
     spread = spread_for_cpu(one, 8)
     assert spread is not one and spread.rdd.getNumPartitions() == 8
+
+
+def test_materialize_keeps_types_and_order_with_a_leading_partition_column(spark):
+    df = spark.createDataFrame([(True, "a", 1), (False, "b", 2)], "flag boolean, name string, n int")
+    back = materialize(df, "leading_partition", partition_by=["flag"])
+    assert back.schema == df.schema
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
