@@ -189,3 +189,14 @@ def test_dashboard_views_over_built_warehouse(spark, raw_dir, tmp_dir):
     assert {r.skill for r in views["growth"].collect()} == {"python", "sql"}
     with pytest.raises(RuntimeError, match="Build the warehouse first"):
         report.from_warehouse(spark, str(tmp_dir / "missing"))
+
+
+def test_plain_jsonl_is_a_splittable_scan(spark, tmp_dir):
+    path = tmp_dir / "2025.jsonl"
+    path.write_text("\n".join(json.dumps(_ad(i, 2025, "list")) for i in range(50)) + "\n{bad json\n")
+    lines = archives.read_jsonl_lines(spark, str(path), "2025.jsonl", 2025)
+    ads = archives.flatten_ads(archives.parse_ad_lines(lines))
+    rows = ads.collect()
+    assert len(rows) == 51 and sum(r.id is None for r in rows) == 1
+    assert {r.source_archive for r in rows} == {"2025.jsonl"} and {r.source_year for r in rows} == {2025}
+    assert "FileScan text" in ads._jdf.queryExecution().executedPlan().toString()
