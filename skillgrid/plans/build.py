@@ -110,6 +110,24 @@ def run(
     return report
 
 
+def reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The console reports of the build steps, as DataFrames."""
+    from skillgrid.functions import constants as fixed
+    from skillgrid.operators import explore
+
+    ads = tables["historical_job_ads"]
+    return {
+        "archive validation": marts.archive_validation(ads),
+        "load totals": marts.load_totals(ads),
+        "top provided labels": explore.top_by_rows(tables["historical_job_skills"], fixed.LABEL_TOP),
+        "top regex skills": explore.top_by_rows(tables["historical_regex_skills"], fixed.REGEX_TOP),
+        "regex QA summary": qa.qa_top(tables["historical_regex_skill_qa_summary"], fixed.QA_TOP),
+        "skill sources": marts.skill_sources(tables["all_historical_job_skills"]),
+        "monthly skill counts, newest": explore.newest_first(tables["monthly_skill_counts"], fixed.MONTHLY_SAMPLE),
+        "top skills by monthly mentions": explore.top_skills(tables["monthly_skill_counts"], fixed.MONTHLY_TOP),
+    }
+
+
 def main() -> None:
     from skillgrid.session import build_session
 
@@ -121,7 +139,26 @@ def main() -> None:
     parser.add_argument("--master", default="local[*]")
     args = parser.parse_args()
     spark = build_session(master=args.master)
-    run(spark, args.raw, args.warehouse, args.years, args.append).show(30, truncate=False)
+    report = run(spark, args.raw, args.warehouse, args.years, args.append, fail_on_test=False)
+    for title, df in reports(build_skills_tables(spark, args.warehouse)).items():
+        print(f"== {title}")
+        df.show(100, truncate=False)
+    print("== data tests")
+    report.show(30, truncate=False)
+
+
+def build_skills_tables(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame]:
+    """The written tables of a built warehouse, by name."""
+    names = [
+        "historical_job_ads",
+        "historical_job_skills",
+        "historical_regex_skills",
+        "historical_regex_skill_qa_summary",
+        "all_historical_job_skills",
+        "monthly_skill_counts",
+    ]
+    hint = "Build the warehouse first."
+    return {n: require_table(spark, _table(warehouse_dir, n), hint) for n in names}
 
 
 if __name__ == "__main__":

@@ -200,3 +200,15 @@ def test_plain_jsonl_is_a_splittable_scan(spark, tmp_dir):
     assert len(rows) == 51 and sum(r.id is None for r in rows) == 1
     assert {r.source_archive for r in rows} == {"2025.jsonl"} and {r.source_year for r in rows} == {2025}
     assert "FileScan text" in ads._jdf.queryExecution().executedPlan().toString()
+
+
+def test_build_reports(spark, raw_dir, tmp_dir):
+    from skillgrid.plans import build
+
+    wh = str(tmp_dir / "warehouse")
+    build.run(spark, str(raw_dir), wh, fail_on_test=False)
+    views = build.reports(build.build_skills_tables(spark, wh))
+    got = {k: v.count() for k, v in views.items()}
+    assert got["archive validation"] == 2 and got["load totals"] == 1 and got["skill sources"] == 2
+    top = [(r.skill, r.mentions) for r in views["top regex skills"].collect()]
+    assert top == [("python", 5), ("sql", 5)]  # ids 1-5; id 3 is in both archives, kept once
