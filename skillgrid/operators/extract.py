@@ -88,13 +88,16 @@ def skill_match_sql(
     taxonomy: dict[str, list[str]] | None = None,
     dialect: str = "re2",
     prefilter: bool = True,
+    with_text: bool = True,
 ) -> str:
     """SQL text of ``array<struct<skill, pattern_order, matched_text>>``, one entry per matched skill.
 
     ``search``/``folded`` are SQL expressions (usually column references) for
     the text and its prefilter form. Per skill, an ordered ``CASE WHEN`` over
     its aliases: the first alias that matches wins, ``matched_text`` is the
-    raw match (group 0). Each alias is guarded by ``contains`` on its anchor.
+    raw match (group 0), or NULL without ``with_text`` (one regex call per hit
+    instead of two, for callers that need skill names only). Each alias is
+    guarded by ``contains`` on its anchor.
     """
     if folded is None:
         src, dst = PREFILTER_FOLDS[dialect]
@@ -110,9 +113,10 @@ def skill_match_sql(
             hit = f"{search} RLIKE {java}"
             if anchor:
                 hit = f"contains({folded}, {_sql_string(anchor)}) AND {hit}"
+            text = f"regexp_extract({search}, {java}, 0)" if with_text else "CAST(NULL AS STRING)"
             branches.append(
                 f"WHEN {hit} THEN named_struct('skill', {_sql_string(skill)}, "
-                f"'pattern_order', {order}, 'matched_text', regexp_extract({search}, {java}, 0))"
+                f"'pattern_order', {order}, 'matched_text', {text})"
             )
         expr = "CASE " + " ".join(branches) + " END"
         gate = _skill_gate(anchors)
@@ -128,6 +132,7 @@ def skill_match_array(
     taxonomy: dict[str, list[str]] | None = None,
     dialect: str = "re2",
     prefilter: bool = True,
+    with_text: bool = True,
 ) -> Column:
     """The match array over the named text columns, as one parsed expression.
 
@@ -137,7 +142,7 @@ def skill_match_array(
     Catalyst keeps a multiply-referenced projection instead of inlining it.
     """
     folded = f"`{folded_col}`" if folded_col else None
-    return F.expr(skill_match_sql(f"`{search_col}`", folded, taxonomy, dialect, prefilter))
+    return F.expr(skill_match_sql(f"`{search_col}`", folded, taxonomy, dialect, prefilter, with_text))
 
 
 def found_skill_matches(
@@ -334,11 +339,12 @@ def job_skill_lists(
         description_col,
         dialect,
     )
-    matches = skill_match_array("_search", "_folded", taxonomy, dialect)
+    matches = skill_match_array("_search", "_folded", taxonomy, dialect, with_text=False)
+    # entries are already in taxonomy order with one per skill: sort the names
     return prepared.select(
         "id",
         "publication_date",
-        F.transform(_sorted_matches(matches), lambda m: m["skill"]).alias("skills"),
+        F.array_sort(F.transform(matches, lambda m: m["skill"])).alias("skills"),
     )
 
 
