@@ -55,10 +55,21 @@ def monthly_ads(ads: DataFrame) -> DataFrame:
     return ads.groupBy("publication_month").agg(F.count_distinct("id").alias("ads"))
 
 
-def monthly_skill_counts(regex_skills: DataFrame) -> DataFrame:
-    """``monthly_skill_counts``: distinct ads mentioning each skill per month."""
+def distinct_ids(one_row_per_id_skill: bool):
+    """``count(distinct id)``, or ``count(*)`` where rows are known to be unique per
+    (id, skill) within each group: then the two are equal, and the count needs
+    only map-side partial sums instead of a shuffle of every (group, id) pair."""
+    return F.count("*") if one_row_per_id_skill else F.count_distinct("id")
+
+
+def monthly_skill_counts(regex_skills: DataFrame, one_row_per_id_skill: bool = False) -> DataFrame:
+    """``monthly_skill_counts``: distinct ads mentioning each skill per month.
+
+    Pass ``one_row_per_id_skill`` for the deduplicated regex skills (one row
+    per (id, skill) globally), where a row count is the distinct-id count.
+    """
     return regex_skills.groupBy("publication_month", "skill").agg(
-        F.count_distinct("id").alias("mentions")
+        distinct_ids(one_row_per_id_skill).alias("mentions")
     )
 
 
@@ -101,6 +112,7 @@ def skill_geography(
     ads: DataFrame,
     lon_bounds: tuple[float, float] = LONGITUDE_BOUNDS,
     lat_bounds: tuple[float, float] = LATITUDE_BOUNDS,
+    one_row_per_id_skill: bool = False,
 ) -> DataFrame:
     """``mart_skill_geography``: skill demand per month and municipality.
 
@@ -113,6 +125,8 @@ def skill_geography(
     mean, and a repeated id contributes one row per location, not one per copy,
     so no key emits all pairs. The denominator is a distinct count per
     (month, municipality_code); Catalyst prunes it to a narrow id/location scan.
+    With skills unique per (id, skill), joined rows are unique per
+    (id, month, skill, location), and mentions is a row count.
     """
     loc_keys = ["municipality", "municipality_code", "region", "region_code"]
     located = ad_locations(ads, lon_bounds, lat_bounds)
@@ -134,7 +148,7 @@ def skill_geography(
         .agg(
             (F.sum("lon_sum") / F.sum("n")).alias("longitude"),
             (F.sum("lat_sum") / F.sum("n")).alias("latitude"),
-            F.count_distinct("id").alias("mentions"),
+            distinct_ids(one_row_per_id_skill).alias("mentions"),
             F.max("location_ads").alias("ads"),
         )
         .select(*keys, "longitude", "latitude", "mentions", "ads", share("mentions", "ads").alias("share_of_ads"))

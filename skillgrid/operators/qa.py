@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from skillgrid.functions.constants import LABEL_SOURCE, QA_TOP, REGEX_SOURCE, SAMPLES_PER_SKILL
 
 
-def qa_summary(matches: DataFrame) -> DataFrame:
-    """Per skill: distinct ads, match rows, distinct lower-cased matched terms."""
+def qa_summary(matches: DataFrame, one_row_per_id_skill: bool = False) -> DataFrame:
+    """Per skill: distinct ads, match rows, distinct lower-cased matched terms.
+
+    With one match row per (id, skill), distinct ads is the row count, and the
+    only distinct aggregate left is the (low-cardinality) matched terms.
+    """
+    ads = F.count("*") if one_row_per_id_skill else F.count_distinct("id")
     return matches.groupBy("skill").agg(
-        F.count_distinct("id").alias("ads"),
+        ads.alias("ads"),
         F.count("*").alias("matches"),
         F.count_distinct(F.lower("matched_text")).alias("matched_terms"),
     )

@@ -59,7 +59,7 @@ def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame
     t["historical_regex_skill_matches"] = matches
     t["historical_regex_skills"] = _write(extract.regex_skills(matches), warehouse_dir, "historical_regex_skills")
     t["historical_regex_skill_qa_summary"] = _write(
-        qa.qa_summary(matches), warehouse_dir, "historical_regex_skill_qa_summary"
+        qa.qa_summary(matches, one_row_per_id_skill=True), warehouse_dir, "historical_regex_skill_qa_summary"
     )
     t["historical_regex_skill_samples"] = _write(
         qa.skill_samples(matches), warehouse_dir, "historical_regex_skill_samples"
@@ -70,7 +70,9 @@ def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame
         "all_historical_job_skills",
     )
     counts = _write(
-        marts.monthly_skill_counts(t["historical_regex_skills"]), warehouse_dir, "monthly_skill_counts"
+        marts.monthly_skill_counts(t["historical_regex_skills"], one_row_per_id_skill=True),
+        warehouse_dir,
+        "monthly_skill_counts",
     )
     t["monthly_skill_counts"] = counts
     stg = marts.stg_ads(ads)
@@ -78,7 +80,9 @@ def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame
         marts.skill_trends(counts, stg), warehouse_dir, "mart_dashboard_skill_trends"
     )
     t["mart_skill_geography"] = _write(
-        marts.skill_geography(t["historical_regex_skills"], stg), warehouse_dir, "mart_skill_geography"
+        marts.skill_geography(t["historical_regex_skills"], stg, one_row_per_id_skill=True),
+        warehouse_dir,
+        "mart_skill_geography",
     )
     return t
 

@@ -73,8 +73,8 @@ QUERIES: dict[str, Query] = {
     "ad_locations": lambda s, d: marts.ad_locations(_wh(s, d).stg_ads()),
     "geography": lambda s, d: _wh(s, d).geography(),
     # step 4: QA and data tests
-    "qa_summary": lambda s, d: qa.qa_summary(_wh(s, d).regex_matches()),
-    "qa_top": lambda s, d: qa.qa_top(qa.qa_summary(_wh(s, d).regex_matches())),
+    "qa_summary": lambda s, d: qa.qa_summary(_wh(s, d).regex_matches(), one_row_per_id_skill=True),
+    "qa_top": lambda s, d: qa.qa_top(qa.qa_summary(_wh(s, d).regex_matches(), one_row_per_id_skill=True)),
     "samples": lambda s, d: qa.skill_samples(_wh(s, d).regex_matches()),
     "quality_report": lambda s, d: qa.quality_report(_wh(s, d).test_tables()),
     "share_violations": lambda s, d: qa.share_violations(_wh(s, d).trends(), _wh(s, d).geography()),

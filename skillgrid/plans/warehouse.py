@@ -90,7 +90,7 @@ class SkillWarehouse:
     def monthly_counts(self) -> DataFrame:
         return self._stage(
             "monthly_counts",
-            lambda: marts.monthly_skill_counts(self.regex_skills()),
+            lambda: marts.monthly_skill_counts(self.regex_skills(), one_row_per_id_skill=True),
             keep=False,
         )
 
@@ -104,7 +104,9 @@ class SkillWarehouse:
     def geography(self) -> DataFrame:
         return self._stage(
             "geography",
-            lambda: marts.skill_geography(self.regex_skills(), self.stg_ads()),
+            lambda: marts.skill_geography(
+                self.regex_skills(), self.stg_ads(), one_row_per_id_skill=True
+            ),
             keep=True,
         )
 

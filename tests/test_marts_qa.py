@@ -162,3 +162,19 @@ def test_geography_repeated_id_keeps_pair_semantics(spark):
     (g,) = marts.skill_geography(skills, ads).collect()
     # pairs: id 9 x 3 located rows + id 8 x 1 -> mean lon (13+13+14+16)/4
     assert (g.longitude, g.latitude, g.mentions, g.ads, g.share_of_ads) == (14.0, 57.25, 2, 2, 1.0)
+
+
+def test_row_count_equals_distinct_ids_for_deduplicated_skills(spark):
+    from skillgrid.operators import extract
+
+    rows = [("7", M2, "Python", None), ("7", M1, "python, sql", None), ("8", M1, "SQL", None), ("9", M1, "Rust", "sql")]
+    ads = spark.createDataFrame(rows, "id string, publication_month timestamp_ntz, headline string, description_text string")
+    rs = extract.regex_skills(extract.regex_skill_matches(ads))
+    exact = sorted(map(tuple, marts.monthly_skill_counts(rs).collect()))
+    fast = sorted(map(tuple, marts.monthly_skill_counts(rs, one_row_per_id_skill=True).collect()))
+    assert exact == fast
+    loc = _ads(spark).union(spark.createDataFrame(
+        [("9", M1, M1, "Lund", "1281", "Skåne", "12", 13.25, 55.75, "z")], ADS))
+    g1 = sorted(map(tuple, marts.skill_geography(rs, loc).collect()), key=repr)
+    g2 = sorted(map(tuple, marts.skill_geography(rs, loc, one_row_per_id_skill=True).collect()), key=repr)
+    assert g1 == g2
