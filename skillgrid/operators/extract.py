@@ -222,6 +222,7 @@ def regex_skill_matches(
     dedupe_ids: bool = True,
     prefilter: bool = True,
     stage: Callable[..., DataFrame] | None = None,
+    dup_ids: DataFrame | None = None,
 ) -> DataFrame:
     """``historical_regex_skill_matches``: one row per (id, skill).
 
@@ -241,7 +242,7 @@ def regex_skill_matches(
         return found.select(*MATCH_COLUMNS)
     if stage is None:
         return dedupe_matches(found)
-    dups = stage(duplicate_ids(ads), "duplicate_ids")
+    dups = dup_ids if dup_ids is not None else stage(duplicate_ids(ads), "duplicate_ids")
     if is_bounded(dups, DUPLICATE_IDS_BROADCAST_ROWS):
         flags = F.broadcast(dups.select(F.col("id").alias("_dup_id"), F.lit(True).alias("is_dup")))
         flagged = (

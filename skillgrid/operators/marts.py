@@ -17,6 +17,7 @@ from skillgrid.functions.constants import (
     UNKNOWN_REGION,
     UNKNOWN_REGION_CODE,
 )
+from skillgrid.operators.joins import is_bounded
 
 STG_COLUMNS = [
     "id",
@@ -50,9 +51,32 @@ def share(numerator: str, denominator: str):
     return F.col(numerator).cast("double") / F.nullif(F.col(denominator), F.lit(0))
 
 
-def monthly_ads(ads: DataFrame) -> DataFrame:
+# Duplicated ids are broadcast to flag rows only up to this many.
+DUPLICATE_IDS_BROADCAST_ROWS = 1_000_000
+
+
+def distinct_ads(df: DataFrame, keys: list[str], alias: str, dup_ids: DataFrame | None = None) -> DataFrame:
+    """``count(distinct id)`` per ``keys``, over rows that are one per ad row.
+
+    Given the ids that occur on more than one ad row (``dup_ids``, proven
+    small), every other id is a single row, so its count is a row count;
+    only flagged rows need the distinct count. One aggregate: unflagged rows
+    collapse map-side instead of shuffling every (group, id) pair. Without
+    ``dup_ids``, or beyond the bound, it is the plain exact distinct count.
+    """
+    if dup_ids is None or not is_bounded(dup_ids, DUPLICATE_IDS_BROADCAST_ROWS):
+        return df.groupBy(*keys).agg(F.count_distinct("id").alias(alias))
+    flags = F.broadcast(dup_ids.select(F.col("id").alias("_dup_id"), F.lit(True).alias("_dup")))
+    flagged = df.join(flags, df["id"].eqNullSafe(flags["_dup_id"]), "left")
+    dup = F.col("_dup").isNotNull()
+    single = F.count(F.when(~dup & F.col("id").isNotNull(), F.lit(1)))
+    repeated = F.count_distinct(F.when(dup, F.col("id")))
+    return flagged.groupBy(*keys).agg((single + repeated).alias(alias))
+
+
+def monthly_ads(ads: DataFrame, dup_ids: DataFrame | None = None) -> DataFrame:
     """Distinct ads per publication month."""
-    return ads.groupBy("publication_month").agg(F.count_distinct("id").alias("ads"))
+    return distinct_ads(ads, ["publication_month"], "ads", dup_ids)
 
 
 def distinct_ids(one_row_per_id_skill: bool):
@@ -73,9 +97,11 @@ def monthly_skill_counts(regex_skills: DataFrame, one_row_per_id_skill: bool = F
     )
 
 
-def skill_trends(monthly_counts: DataFrame, ads: DataFrame) -> DataFrame:
+def skill_trends(
+    monthly_counts: DataFrame, ads: DataFrame, dup_ids: DataFrame | None = None
+) -> DataFrame:
     """``mart_dashboard_skill_trends``: mentions, ads and share of ads per month."""
-    per_month = monthly_ads(ads)
+    per_month = monthly_ads(ads, dup_ids)
     return monthly_counts.join(per_month, "publication_month", "inner").select(
         "publication_month",
         "skill",
@@ -113,6 +139,7 @@ def skill_geography(
     lon_bounds: tuple[float, float] = LONGITUDE_BOUNDS,
     lat_bounds: tuple[float, float] = LATITUDE_BOUNDS,
     one_row_per_id_skill: bool = False,
+    dup_ids: DataFrame | None = None,
 ) -> DataFrame:
     """``mart_skill_geography``: skill demand per month and municipality.
 
@@ -135,9 +162,8 @@ def skill_geography(
         F.sum("longitude").alias("lon_sum"),
         F.sum("latitude").alias("lat_sum"),
     )
-    location_ads = per_ad.groupBy("publication_month", "municipality_code").agg(
-        F.count_distinct("id").alias("location_ads")
-    )
+    # per_ad holds one row per ad for every id on a single ad row
+    location_ads = distinct_ads(per_ad, ["publication_month", "municipality_code"], "location_ads", dup_ids)
     skills = regex_skills.select("id", "publication_month", "skill")
     joined = skills.join(per_ad, ["id", "publication_month"], "inner").join(
         location_ads, ["publication_month", "municipality_code"], "left"

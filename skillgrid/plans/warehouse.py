@@ -50,13 +50,22 @@ class SkillWarehouse:
     def stg_ads(self) -> DataFrame:
         return marts.stg_ads(self.ads())
 
+    def duplicate_ids(self) -> DataFrame | None:
+        """Ids on more than one ad row, written once and shared by the dedupe and
+        the distinct-ad denominators (None when stages are not materialised)."""
+        if not self.materialize_stages:
+            return None
+        return self._stage("duplicate_ids", lambda: extract.duplicate_ids(self.ads()), keep=True)
+
     # --- extraction ----------------------------------------------------
     def regex_matches(self) -> DataFrame:
         """Backed by written tables: unique-id matches pass through, only the
         matches of duplicated ids are shuffled for the (id, skill) dedupe."""
         if "regex_matches" not in self._tables:
             if self.materialize_stages:
-                df = extract.regex_skill_matches(self.ads(), stage=materialize)
+                df = extract.regex_skill_matches(
+                    self.ads(), stage=materialize, dup_ids=self.duplicate_ids()
+                )
             else:
                 df = extract.regex_skill_matches(self.ads())
             self._tables["regex_matches"] = df
@@ -97,7 +106,7 @@ class SkillWarehouse:
     def trends(self) -> DataFrame:
         return self._stage(
             "trends",
-            lambda: marts.skill_trends(self.monthly_counts(), self.stg_ads()),
+            lambda: marts.skill_trends(self.monthly_counts(), self.stg_ads(), self.duplicate_ids()),
             keep=True,
         )
 
@@ -105,7 +114,10 @@ class SkillWarehouse:
         return self._stage(
             "geography",
             lambda: marts.skill_geography(
-                self.regex_skills(), self.stg_ads(), one_row_per_id_skill=True
+                self.regex_skills(),
+                self.stg_ads(),
+                one_row_per_id_skill=True,
+                dup_ids=self.duplicate_ids(),
             ),
             keep=True,
         )

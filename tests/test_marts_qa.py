@@ -159,9 +159,13 @@ def test_geography_repeated_id_keeps_pair_semantics(spark):
     skills = spark.createDataFrame(
         [("9", M1, "python"), ("8", M1, "python")], "id string, publication_month timestamp_ntz, skill string"
     )
+    from skillgrid.operators import extract
+
     (g,) = marts.skill_geography(skills, ads).collect()
     # pairs: id 9 x 3 located rows + id 8 x 1 -> mean lon (13+13+14+16)/4
     assert (g.longitude, g.latitude, g.mentions, g.ads, g.share_of_ads) == (14.0, 57.25, 2, 2, 1.0)
+    (f,) = marts.skill_geography(skills, ads, one_row_per_id_skill=True, dup_ids=extract.duplicate_ids(ads)).collect()
+    assert tuple(f) == tuple(g)
 
 
 def test_row_count_equals_distinct_ids_for_deduplicated_skills(spark):
@@ -178,3 +182,15 @@ def test_row_count_equals_distinct_ids_for_deduplicated_skills(spark):
     g1 = sorted(map(tuple, marts.skill_geography(rs, loc).collect()), key=repr)
     g2 = sorted(map(tuple, marts.skill_geography(rs, loc, one_row_per_id_skill=True).collect()), key=repr)
     assert g1 == g2
+
+
+def test_distinct_ads_with_duplicate_flags_equals_count_distinct(spark):
+    from skillgrid.operators import extract
+
+    rows = [("1", M1), ("2", M1), ("2", M1), ("2", M2), ("3", M2), (None, M1), (None, M2), (None, M2), ("4", M2)]
+    for sample in (rows, [r for r in rows if r[0] is not None] + [(None, M1)]):
+        ads = spark.createDataFrame(sample, "id string, publication_month timestamp_ntz")
+        dups = extract.duplicate_ids(ads)
+        exact = sorted(map(tuple, marts.distinct_ads(ads, ["publication_month"], "ads").collect()))
+        fast = sorted(map(tuple, marts.distinct_ads(ads, ["publication_month"], "ads", dups).collect()))
+        assert exact == fast
