@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,20 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+_BOUND_CHECKS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``.
+
+    Remembered per DataFrame object (weakly), so a shared stage table such as
+    the duplicated ids is counted once however many operators consult it.
+    Meant for immutable inputs; build a new DataFrame for a changed source.
+    """
+    checks = _BOUND_CHECKS.setdefault(df, {})
+    if max_rows not in checks:
+        checks[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return checks[max_rows]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
