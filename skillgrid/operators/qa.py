@@ -74,7 +74,6 @@ MART_NOT_NULL = {
         "ads",
     ],
 }
-REPORT_COLUMNS = ["table_name", "test_name", "column_name", "failures"]
 
 
 def _check_expr(test: str, column: str | None, accepted: tuple[str, ...] | None):
