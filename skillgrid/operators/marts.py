@@ -199,6 +199,37 @@ def ams_catalogue(ams: DataFrame) -> DataFrame:
     )
 
 
+def ams_catalogue_from_ads(ads: DataFrame, dup_ids: DataFrame | None = None) -> DataFrame:
+    """``ams_catalogue`` computed from the ads' label arrays without shuffling
+    every (label, id) pair.
+
+    For an id on a single ad row, "distinct ads with this label" is the
+    number of first occurrences of the label in that ad's label list
+    (``array_position`` = position + 1); only duplicated ids (``dup_ids``,
+    proven small) need a distinct count. Same result as ``ams_catalogue``;
+    without a bounded duplicate set it is exactly that.
+    """
+    empty = F.array().cast("array<struct<label:string>>")
+    labels = F.concat(
+        F.coalesce(F.col("must_have_skills").cast("array<struct<label:string>>"), empty),
+        F.coalesce(F.col("nice_to_have_skills").cast("array<struct<label:string>>"), empty),
+    ).getField("label")
+    rows = (
+        ads.select("id", labels.alias("labels"))
+        .select("id", "labels", F.posexplode("labels").alias("pos", "skill"))
+        .where(F.col("skill").isNotNull())
+    )
+    if dup_ids is None or not is_bounded(dup_ids, DUPLICATE_IDS_BROADCAST_ROWS):
+        return ams_catalogue(rows.select("id", "skill"))
+    flags = F.broadcast(dup_ids.select(F.col("id").alias("_dup_id"), F.lit(True).alias("_dup")))
+    flagged = rows.join(flags, rows["id"].eqNullSafe(flags["_dup_id"]), "left")
+    dup = F.col("_dup").isNotNull()
+    first = F.array_position("labels", F.col("skill")) == F.col("pos") + 1
+    single = F.count(F.when(~dup & F.col("id").isNotNull() & first, F.lit(1)))
+    repeated = F.count_distinct(F.when(dup, F.col("id")))
+    return flagged.groupBy("skill").agg((single + repeated).alias("ads"), F.count("*").alias("mentions"))
+
+
 def archive_validation(ads: DataFrame) -> DataFrame:
     """Per-archive load report: rows, distinct ads, first/last publication date."""
     return ads.groupBy("source_archive").agg(

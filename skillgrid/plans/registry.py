@@ -59,13 +59,14 @@ QUERIES: dict[str, Query] = {
     "ams_skills": lambda s, d: _wh(s, d).ams_skills(),
     "all_skills": lambda s, d: _wh(s, d).all_skills(),
     "skill_sources": lambda s, d: marts.skill_sources(_wh(s, d).all_skills()),
-    "ams_catalogue": lambda s, d: marts.ams_catalogue(_wh(s, d).ams_skills()),
+    "ams_catalogue": lambda s, d: _wh(s, d).ams_catalogue(),
     "job_skill_lists": lambda s, d: _wh(s, d).job_skill_lists(),
     "job_skills": lambda s, d: _wh(s, d).job_skills(),
     # printed top-k reports of the build steps
     "regex_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).regex_skills(), REGEX_TOP),
     "ams_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).ams_skills(), LABEL_TOP),
-    "ams_catalogue_top": lambda s, d: marts.ams_catalogue(_wh(s, d).ams_skills())
+    "ams_catalogue_top": lambda s, d: _wh(s, d)
+    .ams_catalogue()
     .orderBy("ads", "skill", ascending=[False, True])
     .limit(CATALOGUE_TOP),
     "monthly_sample": lambda s, d: explore.newest_first(_wh(s, d).monthly_counts(), MONTHLY_SAMPLE),

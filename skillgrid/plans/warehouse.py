@@ -77,6 +77,10 @@ class SkillWarehouse:
     def ams_skills(self) -> DataFrame:
         return extract.ams_skills(self.ads())
 
+    def ams_catalogue(self) -> DataFrame:
+        """Distinct ads and mentions per provided label, from the label arrays."""
+        return marts.ams_catalogue_from_ads(self.ads(), self.duplicate_ids())
+
     def all_skills(self) -> DataFrame:
         return marts.all_skills(self.ams_skills(), self.regex_skills())
 

@@ -194,3 +194,29 @@ def test_distinct_ads_with_duplicate_flags_equals_count_distinct(spark):
         exact = sorted(map(tuple, marts.distinct_ads(ads, ["publication_month"], "ads").collect()))
         fast = sorted(map(tuple, marts.distinct_ads(ads, ["publication_month"], "ads", dups).collect()))
         assert exact == fast
+
+
+def test_catalogue_from_ads_equals_catalogue(spark):
+    from skillgrid.operators import extract
+
+    schema = (
+        "id string, publication_month timestamp_ntz, "
+        "must_have_skills array<struct<label:string>>, nice_to_have_skills array<struct<label:string>>"
+    )
+    L = lambda *xs: [{"label": x} for x in xs]
+    ads = spark.createDataFrame(
+        [
+            ("1", M1, L("SQL", None, "SQL"), L("SQL", "Go")),
+            ("2", M1, None, L("Java")),
+            ("2", M2, L("Java", "Go"), None),
+            (None, M1, L("Go"), []),
+            (None, M2, L("Go"), None),
+            ("3", M1, [], []),
+            ("4", M2, L("Rust"), L("Rust")),
+        ],
+        schema,
+    )
+    exact = sorted(map(tuple, marts.ams_catalogue(extract.ams_skills(ads)).collect()))
+    fast = sorted(map(tuple, marts.ams_catalogue_from_ads(ads, extract.duplicate_ids(ads)).collect()))
+    plain = sorted(map(tuple, marts.ams_catalogue_from_ads(ads).collect()))
+    assert fast == exact == plain
