@@ -37,8 +37,13 @@ def main() -> None:
     )
     show("duplicate ids (narrow id-only aggregate)", extract.duplicate_ids(ads))
     show("regex matches as read by the marts", wh.regex_matches())
-    show("trends build", marts.skill_trends(wh.monthly_counts(), wh.stg_ads()))
-    show("geography build", marts.skill_geography(wh.regex_skills(), wh.stg_ads()))
+    show("trends build", marts.skill_trends(wh.monthly_counts(), wh.stg_ads(), wh.duplicate_ids()))
+    show(
+        "geography build",
+        marts.skill_geography(
+            wh.regex_skills(), wh.stg_ads(), one_row_per_id_skill=True, dup_ids=wh.duplicate_ids()
+        ),
+    )
     show("samples (top 20 per skill)", qa.skill_samples(wh.regex_matches()))
     spark.stop()
 
