@@ -77,7 +77,7 @@ def source_targets(sized: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 5) -> DataFrame:
-    """``docs`` with ``__size``, ``source_size``, ``target`` and ``__copies`` (0, 1 or 2) added."""
+    """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__copies`` (0, 1 or 2) added."""
     sized = docs.withColumn("__source", _source_key(F.col("source"))).withColumn("__size", words(F.col("text")))
     stats = source_targets(sized.select("__source", "__size"))
     rows = stats.agg(F.sum("__n")).first()[0] or 0
@@ -89,9 +89,9 @@ def mix(docs: DataFrame, seed: int = 5) -> DataFrame:
         "__identity": identity,
     })
     order = [F.col("__size"), F.col("__identity"), F.col("doc_id")]
-    facts = stats.select("__source", "source_size", "target")
+    facts = stats.select("__source", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
     found = row_rank(bucketed, ["__source"], ["__class", "__salt"], order, "__before", facts)
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    expected = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
     offset = F.pmod(F.xxhash64(F.lit(seed), "__source"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     crossed = F.floor(F.col("__before") * expected + expected + offset) - F.floor(F.col("__before") * expected + offset)
     copies = F.least(F.greatest(crossed, F.lit(0)), F.lit(MOST_COPIES)).cast("int")
@@ -102,7 +102,7 @@ def mixed_documents(docs: DataFrame, seed: int = 5) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every document row."""
     narrow = docs.select("doc_id", "source", "text")
     return mix(narrow, seed).select(
-        "doc_id", F.col("__size").alias("size"), "source_size", "target",
+        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
         (F.col("__copies") * F.col("__size")).cast("long").alias("taken"),
     )
 

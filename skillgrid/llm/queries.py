@@ -14,6 +14,7 @@ from skillgrid.llm import (
     ngram_join,
     quality_gam,
     sharding,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
@@ -42,6 +43,10 @@ def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read(spark, sf_dir, "pages"))
 
@@ -62,7 +67,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_token_counts, op2_bit_sliced_search, op3_template_decontamination, op4_quality_gam, op5_systematic_mix,
-        op7_html_extraction, op8_hash_tree, op9_url_filters, op10_ngram_join,
+        op6_suffix_dedup, op7_html_extraction, op8_hash_tree, op9_url_filters, op10_ngram_join,
     )
 }
 

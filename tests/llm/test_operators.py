@@ -1,0 +1,415 @@
+"""The other operators against brute force, oracles and their laws."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from skillgrid.llm import bit_sliced, html_extract, mixing, quality_gam, sharding, suffix_dedup, token_counts, url_filter
+from skillgrid.llm.queries import ORACLE_SQL, QUERIES
+
+from .helpers import DOCS, awkward_docs, prose, with_clashes
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_with_an_oracle(spark, name):
+    db = duckdb.connect()
+    for t in ("embeddings", "pages"):
+        db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    got = QUERIES[name](spark, SF)
+    want = db.sql(ORACLE_SQL[name])
+    assert got.columns == want.columns
+    assert rows_of(got) == sorted(want.fetchall(), key=repr)
+
+
+# 1: token counts
+
+
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _truth(tokenizer, text):
+    return len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_token_counts_of_awkward_documents(spark, plain_tokenizer):
+    rows = awkward_docs(random.Random(1)) + [(50, "a <|endoftext|> b<|endoftext|>" * 40, "en", "a", 1), (51, "  two\u00a0 \u2003 blanks  ", "en", "a", 1)]
+    got = token_counts.count_tokens(with_clashes(spark.createDataFrame(rows, DOCS)))
+    assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    want = [(r[0], len((r[1] or "").encode()), n := _truth(plain_tokenizer, r[1] or ""), n > 512) for r in rows]
+    assert rows_of(got) == sorted(want, key=repr)
+
+
+_HARD = st.text(alphabet=st.sampled_from("abcXYéß'sт漢 0189 \n\t.,!<|>endoftx\u00a0"), max_size=300)
+
+
+@settings(max_examples=150, deadline=None)
+@given(text=_HARD, chunk=st.integers(8, 60), overlap=st.integers(2, 20))
+def test_chunks_splice_exactly(plain_tokenizer, text, chunk, overlap):
+    counter = token_counts.TokenCounter(public_tokenizers.path("byte_bpe_50k.json"), chunk, overlap)
+    assert counter.huge(text) == _truth(plain_tokenizer, text)
+    assert counter.counts([text, text + " end", "x" + text]) == [_truth(plain_tokenizer, t) for t in (text, text + " end", "x" + text)]
+
+
+def test_chunks_of_long_runs_widen_until_they_align(plain_tokenizer):
+    rng = random.Random(2)
+    letters = "".join(rng.choice("abcdefgh") for _ in range(9000))
+    for text in (letters, letters.upper() + "é" * 500 + letters, "a" * 5000, " " * 3000 + "x", "1" * 4000, "!?" * 2000, "<|endoftext|>" * 300, "漢字" * 2000):
+        counter = token_counts.TokenCounter(public_tokenizers.path("byte_bpe_50k.json"), 700, 16)
+        assert counter.huge(text) == _truth(plain_tokenizer, text)
+
+
+def test_other_tokenizers_take_texts_whole(plain_tokenizer):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counter, plain = token_counts.TokenCounter(path, 20, 4), Tokenizer.from_file(path)
+    assert not counter.separable
+    text = "Some Words <|endoftext|> more words, and more of them"
+    assert counter.counts([text]) == [_truth(plain, text)]
+
+
+# 2: bit-sliced search
+
+
+def _brute_search(rows, k):
+    def sound(v):
+        return v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v)
+
+    ints = [(i, [int(np.floor(1024 * float(x))) for x in v]) for i, v in rows if i is not None and sound(v)]
+    asked = {}
+    for i, v in ints:
+        if i % 100 == 0:
+            asked[i] = min(asked.get(i, (len(v), v)), (len(v), v))
+    out = []
+    for q, (n, v) in asked.items():
+        found = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in ints if i != q and len(w) == n)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
+    return sorted(out)
+
+
+def test_search_equals_brute_force_with_ties_and_odd_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8).astype(np.float32)]) for i in range(400)]
+    rows += [(500 + i, [0.25] * 8) for i in range(300)] + [(700 + i, [0.0] * 8) for i in range(120)]
+    rows += [(900, None), (1000, [1.0, None] + [0.0] * 6), (1100, [float("nan")] * 8), (1200, [float("inf")] * 8), (1300, []), (None, [0.1] * 8)]
+    rows += [(1400, [0.5, -0.5]), (1401, [0.25, 0.25]), (300, [0.3] * 8), (301, rows[301][1])]
+    df = with_clashes(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    for block, group, k in ((64, 2, 10), (4096, 512, 10), (100, 3, 1), (50, 2, 2000)):
+        got = bit_sliced.top_k(df, df.where("vec_id % 100 = 0"), k, block, group)
+        assert sorted(map(tuple, got.collect())) == _brute_search(rows, k)
+    assert bit_sliced.nearest(df.limit(0)).count() == 0
+
+
+def test_weighted_sum_adds_bitmaps():
+    rng = np.random.default_rng(4)
+    parts, rows, queries = 5, 130, 7
+    c = rng.integers(0, 64, (rows, parts))
+    w = rng.integers(0, 64, (queries, parts))
+    negative = rng.random((queries, parts)) < 0.4
+    slices = np.zeros((parts, 6, 24), np.uint8)
+    for b in range(6):
+        packed = np.packbits((c >> b) & 1 != 0, axis=0, bitorder="little")
+        slices[:, b, : packed.shape[0]] = packed.T
+    sums = bit_sliced.weighted_sum(slices.view(np.uint64), w, negative)
+    bits = [np.unpackbits(s.view(np.uint8), axis=1, bitorder="little")[:, :rows].astype(int) for s in sums]
+    got = sum(b << k for k, b in enumerate(bits))
+    want = np.where(negative[:, None, :], 63 - c[None], c[None]) * w[:, None, :]
+    assert (got == want.sum(2)).all()
+
+
+# 4: quality
+
+
+def test_quality_separates_the_held_out_fold(spark):
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op4_quality_gam"](spark, sf)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    frame = got.toPandas()
+    assert frame.held_out.tolist() == [zlib.crc32(str(i).encode()) % 5 == 0 for i in frame.doc_id]
+    assert frame.score.between(0, 1).all() and (frame.predicted == (frame.score >= 0.3)).all()
+    labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas().drop_duplicates("doc_id")
+    test = frame[frame.held_out].merge(labels, on="doc_id")
+    assert (test.predicted == test.quality).mean() > 0.95
+
+
+def test_quality_never_sees_held_out_labels_or_other_columns(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 30) + ("###" if i % 3 == 0 else ""), "en", "a", 1) for i in range(200)]
+    labels = [(i, int(i % 3 != 0), 0) for i in range(200)]
+    flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, t) for i, q, t in labels]
+    schema = "doc_id long, quality int, toxic int"
+    docs = spark.createDataFrame(rows, DOCS)
+    one = rows_of(quality_gam.quality_scores(docs, spark.createDataFrame(labels, schema)))
+    assert one == rows_of(quality_gam.quality_scores(docs, spark.createDataFrame(flipped, schema)))
+    assert one == rows_of(quality_gam.quality_scores(with_clashes(docs), spark.createDataFrame(labels, schema)))
+
+
+def test_quality_without_labels_and_on_awkward_rows(spark):
+    schema = "doc_id long, quality int, toxic int"
+    docs = spark.createDataFrame(awkward_docs(random.Random(6)), DOCS)
+    none = quality_gam.quality_scores(docs, spark.createDataFrame([], schema)).collect()
+    assert len(none) == docs.count() and {r.score for r in none} == {0.5}
+    one = quality_gam.quality_scores(docs, spark.createDataFrame([(6, 1, 0), (7, None, 0), (None, 1, 0), (8, 3, 0)], schema)).collect()
+    assert all(0 <= r.score <= 1 for r in one)
+    assert quality_gam.quality_scores(docs.limit(0), spark.createDataFrame([(6, 1, 0)], schema)).count() == 0
+
+
+def test_additive_model_learns_single_and_pair_effects():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4000, 4))
+    y = ((x[:, 0] > 0.5) ^ ((x[:, 1] > 0) & (x[:, 2] > 0))).astype(int)
+    model = quality_gam.fit(x[:3000], y[:3000])
+    assert ((model.score(x[3000:]) > 0.5) == y[3000:]).mean() > 0.9
+    assert {1, 2} in [{i, j} for i, j, *_ in model.pairs]
+    by_hand = model.intercept + sum(t[np.searchsorted(c, x[0, j], side="right")] for j, (c, t) in enumerate(zip(model.cuts, model.tables, strict=True)))
+    by_hand += sum(t[np.searchsorted(a, x[0, i], side="right"), np.searchsorted(b, x[0, j], side="right")] for i, j, a, b, t in model.pairs)
+    assert model.score(x[:1])[0] == pytest.approx(1 / (1 + np.exp(-by_hand)))
+
+
+# 5: mixing
+
+
+def _targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    total, target, open_ = 1.5 * sum(sizes.values()), {}, set(order)
+    while open_:
+        left = total - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
+        over = {s for s in open_ if share[s] >= 2 * sizes[s]}
+        if not over:
+            return target | share
+        target |= {s: 2.0 * sizes[s] for s in over}
+        open_ -= over
+    return target
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mix_meets_its_targets(spark, seed):
+    rng = random.Random(seed)
+    rows = awkward_docs(rng)[:3] + [(1000 + i, prose(rng, rng.randint(1, 60)), "en", rng.choice(["a", "b", "é", "z", None, "ab"]), 1) for i in range(1500)]
+    rows += [(9000 + i, prose(rng, 30), "en", "tiny", 1) for i in range(3)]
+    docs = with_clashes(spark.createDataFrame(rows, DOCS))
+    got = mixing.mixed_documents(docs)
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    result = rows_of(got)
+    assert result == rows_of(mixing.mixed_documents(docs.repartition(5)))
+    sizes, of = Counter(), {}
+    for i, text, _, source, _ in rows:
+        sizes[source] += len((text or "").split())
+        of[i] = source
+    want, taken = _targets(sizes), defaultdict(int)
+    for i, size, source_size, target, took in result:
+        assert source_size == sizes[of[i]] and target == pytest.approx(want[of[i]]) and took in (0, size, 2 * size)
+        taken[of[i]] += took
+    assert all(abs(taken[s] - want[s]) <= 130 for s in sizes)
+    copies = Counter(r.doc_id for r in mixing.emit_copies(docs).collect())
+    assert copies == Counter({i: took // size for i, size, _, _, took in result if took})
+
+
+def test_mix_of_awkward_and_empty_tables(spark):
+    docs = spark.createDataFrame(awkward_docs(random.Random(8)), DOCS)
+    assert mixing.mixed_documents(docs).count() == docs.count()
+    empty = mixing.mixed_documents(docs.where("doc_id in (1, 2, 3)")).collect()
+    assert [(r.size, r.target, r.taken) for r in empty] == [(0, 0.0, 0)] * 3
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0
+    assert mixing.emit_copies(docs).columns == docs.columns
+
+
+# 6: suffix arrays
+
+
+def _brute_cut(rows, length):
+    seen = Counter()
+    for _, text in rows:
+        b = (text or "").encode()
+        seen.update(b[k : k + length] for k in range(len(b) - length + 1))
+    out = []
+    for i, text in rows:
+        b = (text or "").encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - length + 1):
+            if seen[b[k : k + length]] > 1:
+                gone[k : k + length] = True
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        out.append((i, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("length", "gram", "shard", "piece"), [(20, 5, 4, 1 << 20), (12, 4, 3, 50), (25, 25, 4096, 1 << 20)])
+def test_cut_equals_brute_force(spark, monkeypatch, length, gram, shard, piece):
+    """Small shards salt the shared marks and need the merge; small pieces cut texts in the scan."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abé c") for _ in range(n))
+    p, q = text(60), text(33)
+    rows = [(1, p + text(40)), (2, text(20) + p + text(20)), (3, None), (4, ""), (5, "ab" * 100), (6, "x" * 90), (7, "x" * 500)]
+    rows += [(8, q + p[:30] + q), (9, p + q), (9, p + q), (None, p[5:45]), (10, text(15)), (11, "ab" * 40 + q), (12, "abc" * 30)]
+    rows += [(100 + i, text(5) + q + text(7)) for i in range(30)]
+    docs = with_clashes(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = suffix_dedup.deduplicate(docs, length, gram, shard)
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert rows_of(got) == _brute_cut(rows, length)
+
+
+def test_cut_of_given_and_awkward_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assert rows_of(suffix_dedup.deduplicate(docs)) == _brute_cut([tuple(r) for r in docs.collect()], 200)
+    rows = awkward_docs(random.Random(10))
+    assert suffix_dedup.deduplicate(spark.createDataFrame(rows, DOCS)).count() == len(rows)
+    assert suffix_dedup.deduplicate(docs.limit(0)).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(max_size=200), st.integers(1, 5), st.integers(1, 300))
+def test_suffix_array_and_common_prefixes(seed, repeats, most):
+    text = bytes(b % 3 for b in seed) * repeats
+    data = np.frombuffer(text, np.uint8)
+    order = suffix_dedup.suffix_array(data)
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    shared = suffix_dedup.common_prefixes(data, order, most)
+    for r in range(1, len(order)):
+        a, b = text[order[r - 1] :], text[order[r] :]
+        k = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        assert shared[r] == min(k, most)
+
+
+# 7: HTML
+
+
+_PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{{}}</style><script>var t="<p>no</p>";</script></head><body class="has-sidebar">
+<header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice"><p>We use cookies</p></div>
+<div class="ad">Buy</div>{body}<aside>More</aside><form><label>Mail</label><input></form>
+<section id="comments"><h2>Comments</h2><p>A very long comment that says nothing new at all, yet goes on and on for many words indeed</p></section>
+<footer>&copy; us</footer></body></html>"""
+_LONG = "This is a long paragraph of running text that no menu would have, with more than enough words in it."
+
+
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        ("<article><h1>T &amp; t</h1><p>One\n  two<b> bold</b></p><p>Of.</p><div class='ad'>x</div><p>Last&nbsp;&nbsp;x</p></article>", "T & t\nOne two bold\nOf.\nLast x"),
+        (f"<main><p>{_LONG}<p>Short.<br>Next<table><tr><td>a<td>b</table></main>", f"{_LONG}\nShort.\nNext\na\nb"),
+        (f"<div class='content'><p>{_LONG}</p><p>Of.</p></div>", f"{_LONG}\nOf."),
+        ("<article><p>a<!-- <p>no</p> -->b</p><script>if (a<b) {}</script><p>c &lt; d</p></article>", "ab\nc < d"),
+        ("<article><header><h2>Head</h2></header><p>Text</p><footer>By me</footer></article>", "Head\nText"),
+        ("<article><div class=sidebar><p>no</article>", ""),
+    ],
+)
+def test_main_text(body, want):
+    assert html_extract.main_text(_PAGE.format(body=body)) == want
+
+
+def test_main_text_of_awkward_pages(spark):
+    rows = [
+        (1, "u", None), (2, "u", ""), (3, None, "plain words"), (None, "u", "<p>cut off &amp; <b>here"), (5, "u", "<article><p>x</p><p>y <a href='"),
+        (6, "u", "<div class='ad'>unclosed <article><p>Kept.</p></article>"), (7, "u", "<p>" * 3000 + "deep" + "</div>" * 3000), (7, "u", "<<<>>> a < b"),
+        (8, "u", "<article>" + "<p>word word</p>" * 20_000 + "</article>"),
+    ]
+    got = html_extract.extract_pages(with_clashes(spark.createDataFrame(rows, "page_id long, url string, html string")))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    texts = {r.page_id: r.text for r in got.collect()}
+    assert texts[1] == texts[2] == "" and texts[3] == "plain words" and texts[None] == "cut off & here"
+    assert texts[5] == "x\ny" and texts[6] == "Kept." and texts[8].count("\n") == 19_999
+    assert all(r.n_chars == len(r.text) for r in got.collect())
+    assert html_extract.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_main_text_of_given_pages_is_the_article(spark):
+    import re
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    for p in pages:
+        article = re.search(r"<article>(.*?)(</article>|\Z)", p.html, re.S)
+        blocks = re.split(r"</?(?:p|h1|br)>", re.sub(r"</?b>", "", article[1]))
+        from html import unescape
+
+        want = "\n".join(t for t in (" ".join(unescape(re.sub(r"<[^>]*\Z", "", b)).split()) for b in blocks) if t)
+        assert html_extract.main_text(p.html) == want
+
+
+# 8: sharding
+
+
+def test_hash_tree_keeps_its_law(spark):
+    rows = awkward_docs(random.Random(11)) + [(5000 + i, "t", "en", "a", 1) for i in range(3000)]
+    got = sharding.shard_documents(with_clashes(spark.createDataFrame(rows, DOCS)))
+    assert got.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    result = got.collect()
+    for r in result:
+        assert 0 <= r.shard < 40 and r.grown_shard in (r.shard, 40) and r.law == "key"
+    slots = defaultdict(list)
+    for r in result:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    want = sorted(((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, *_ in rows), key=repr)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in result), key=repr) == want
+    counts = Counter(r.shard for r in result)
+    assert len(counts) == 40 and max(counts.values()) < 3 * len(result) / 40
+    assert sharding.shard_documents(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_hash_tree_moves_rows_only_where_weights_change(spark):
+    docs = spark.range(4000).withColumnRenamed("id", "doc_id")
+    place = lambda n, w=None: {r.doc_id: r["__shard"] for r in sharding.with_shard(docs, n, w).collect()}
+    before = place(21)
+    for n in (22, 23, 24, 25, 33):
+        after = place(n)
+        assert all(after[i] == before[i] or after[i] >= 21 for i in before)
+    heavier = place(21, {5: 3.0})
+    assert {heavier[i] for i in before if heavier[i] != before[i]} == {5}
+    share = sum(s == 5 for s in heavier.values()) / 4000
+    assert share == pytest.approx(3 / 23, abs=0.03)
+    gone = place(21, {5: 0.0})
+    assert {before[i] for i in before if gone[i] != before[i]} == {5}
+
+
+# 9: URL filters
+
+
+def _judge(url, rules):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+        host = "".join(c.lower() if c.isascii() else c for c in rest[:cut])
+        rest = rest[cut:]
+        path = rest[: min((rest.find(c) for c in "?#" if c in rest), default=len(rest))]
+    fit = [(len(h + p), len(h), v == "block", h + p, v) for h, p, v in rules if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fit, default=None)
+    return host, path, best and best[3], best[4] if best else "allow"
+
+
+def test_url_rules_equal_brute_force(spark):
+    urls = [
+        None, "", "no scheme", "://", "http://", "https://Example.ORG", "https://example.org/", "https://a.example.org/es/x?q#f", "http://example.org/es",
+        "http://notexample.org/es/", "http://x.com/fr/1", "http://x.com/de/2#a", "http://com/de/", "http://a.b.c.com/fr/de/", "http://org?x=/es/",
+        "ftp://example.org/en/123", "http://example.org/en/2", "http://example.org./es/", "http://example.org:80/es/", "HTTP://ÄX.com/fr/", "a://b://c.org/",
+        "http://" + "a." * 400 + "com/de/" + "x" * 50_000, "http://x.net/", "http://x.com/fr/1", "http://.org/", "http://example.org/en/1\nx",
+    ]
+    rows = [(i if i != 3 else None, u, None) for i, u in enumerate(urls)] + [(7, urls[7], "x")]
+    pages = with_clashes(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    extra = [("c.com", "/fr/de", "allow"), ("c.com", "/fr/de", "block"), ("example.org", "", "block"), ("com", "", "allow"), ("", "/", "block"), (None, "/", "block")]
+    for rules in (url_filter.RULES, url_filter.RULES + extra, []):
+        got = url_filter.judge(pages, url_filter.rule_table(spark, rules))
+        assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
+        sound = [r for r in rules if r[0]]
+        assert rows_of(got) == sorted(((i, *_judge(u, sound)) for i, u, _ in rows), key=repr)
+    assert url_filter.judge(pages.limit(0), url_filter.rule_table(spark)).count() == 0
