@@ -10,11 +10,9 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from skillgrid.operators import extract, marts, qa  # noqa: E402
 from skillgrid.plans.warehouse import warehouse  # noqa: E402
-from skillgrid.session import build_session, materialize  # noqa: E402
+from skillgrid.session import build_session  # noqa: E402
 
 
 def show(title: str, df) -> None:
@@ -28,15 +26,9 @@ def main() -> None:
     spark = build_session()
     wh = warehouse(spark, sf_dir)
     ads = wh.ads()
-    found = extract.found_skill_matches(ads)
-    dups = materialize(extract.duplicate_ids(ads), "duplicate_ids")
-    flags = F.broadcast(dups.select(F.col("id").alias("_dup_id"), F.lit(True).alias("is_dup")))
-    show(
-        "regex stage: extraction + duplicate-id flag (written partitioned by the flag)",
-        found.join(flags, found["id"].eqNullSafe(flags["_dup_id"]), "left"),
-    )
+    show("regex stage: extraction and one row per (id, skill)", extract.regex_skill_matches(ads))
     show("duplicate ids (narrow id-only aggregate)", extract.duplicate_ids(ads))
-    show("regex matches as read by the marts", wh.regex_matches())
+    show("regex matches as read by samples and QA", wh.regex_matches())
     show("trends build", marts.skill_trends(wh.monthly_counts(), wh.stg_ads(), wh.duplicate_ids()))
     show(
         "geography build",

@@ -12,7 +12,6 @@ function only for duplicated ids.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +20,6 @@ from skillgrid.functions import text as tx
 from skillgrid.functions.constants import LABEL_SOURCE, REGEX_SOURCE
 from skillgrid.functions.regex import PREFILTER_FOLDS, literal_anchor, to_java
 from skillgrid.functions.taxonomy import TECH_SKILLS, pattern_rows
-from skillgrid.operators.joins import is_bounded
-from skillgrid.operators.partitioning import spread_for_cpu
 
 MATCH_COLUMNS = [
     "id",
@@ -159,7 +156,7 @@ def found_skill_matches(
     one projection and a generator over each ad row, no shuffle of the text.
     """
     prepared = with_search_columns(
-        spread_for_cpu(ads.select("id", "publication_month", "headline", "description_text")),
+        ads.select("id", "publication_month", "headline", "description_text"),
         "headline",
         "description_text",
         dialect,
@@ -211,50 +208,22 @@ def duplicate_ids(ads: DataFrame) -> DataFrame:
     return ads.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("id")
 
 
-# Duplicated ids are broadcast to flag their matches only up to this many.
-DUPLICATE_IDS_BROADCAST_ROWS = 1_000_000
-
-
 def regex_skill_matches(
     ads: DataFrame,
     taxonomy: dict[str, list[str]] | None = None,
     dialect: str = "re2",
     dedupe_ids: bool = True,
     prefilter: bool = True,
-    stage: Callable[..., DataFrame] | None = None,
-    dup_ids: DataFrame | None = None,
 ) -> DataFrame:
     """``historical_regex_skill_matches``: one row per (id, skill).
 
     Ids are not unique across archives, and one row per (id, skill) survives
-    globally (``dedupe_matches``). Without ``stage`` every match row goes
-    through that aggregate's shuffle. With ``stage`` (a function that writes
-    a frame to shared storage and reads it back, e.g. ``session.materialize``)
-    only the matches of duplicated ids are shuffled: the duplicated ids are
-    found by a narrow id-only aggregate; when their number is proven small
-    they are broadcast to flag matches in the same pass that extracts them;
-    flagged rows are written partitioned by the flag, unique ones pass
-    straight through, and only the flagged ones are deduplicated. Beyond the
-    bound every row is flagged, which is the plain full dedupe.
+    globally (``dedupe_matches``). The plan is the same whatever the number of
+    repeated ids: the ad text is scanned where it lies, and only the match
+    rows (headline and snippet, no text) go through the aggregate's shuffle.
     """
     found = found_skill_matches(ads, taxonomy, dialect, prefilter)
-    if not dedupe_ids:
-        return found.select(*MATCH_COLUMNS)
-    if stage is None:
-        return dedupe_matches(found)
-    dups = dup_ids if dup_ids is not None else stage(duplicate_ids(ads), "duplicate_ids")
-    if is_bounded(dups, DUPLICATE_IDS_BROADCAST_ROWS):
-        flags = F.broadcast(dups.select(F.col("id").alias("_dup_id"), F.lit(True).alias("is_dup")))
-        flagged = (
-            found.join(flags, found["id"].eqNullSafe(flags["_dup_id"]), "left")
-            .drop("_dup_id")
-            .withColumn("is_dup", F.coalesce(F.col("is_dup"), F.lit(False)))
-        )
-    else:
-        flagged = found.withColumn("is_dup", F.lit(True))
-    raw = stage(flagged, "regex_matches_raw", partition_by=["is_dup"])
-    unique = raw.where(~F.col("is_dup")).select(*MATCH_COLUMNS)
-    return unique.unionByName(dedupe_matches(raw.where(F.col("is_dup"))))
+    return dedupe_matches(found) if dedupe_ids else found.select(*MATCH_COLUMNS)
 
 
 def regex_skills(matches: DataFrame) -> DataFrame:
@@ -335,7 +304,7 @@ def job_skill_lists(
 ) -> DataFrame:
     """``job_skill_lists``: id, publication_date, skills[] (sorted) per ad."""
     prepared = with_search_columns(
-        spread_for_cpu(job_ads.select("id", "publication_date", "headline", description_col)),
+        job_ads.select("id", "publication_date", "headline", description_col),
         "headline",
         description_col,
         dialect,

@@ -1,42 +1,10 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers."""
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it is proven to hold at most this
-# many rows; beyond it the join stays a shuffle (sort-merge) join.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-_BOUND_CHECKS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``.
-
-    Remembered per DataFrame object (weakly), so a shared stage table such as
-    the duplicated ids is counted once however many operators consult it.
-    Meant for immutable inputs; build a new DataFrame for a changed source.
-    """
-    checks = _BOUND_CHECKS.setdefault(df, {})
-    if max_rows not in checks:
-        checks[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return checks[max_rows]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan),
-    so it is cheap for the dimension tables it is meant for, and a side that
-    grows with the data silently falls back to a shuffle join.
-    """
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a global aggregate (exactly one row) to every row.

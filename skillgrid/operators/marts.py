@@ -17,7 +17,6 @@ from skillgrid.functions.constants import (
     UNKNOWN_REGION,
     UNKNOWN_REGION_CODE,
 )
-from skillgrid.operators.joins import is_bounded
 
 STG_COLUMNS = [
     "id",
@@ -51,22 +50,19 @@ def share(numerator: str, denominator: str):
     return F.col(numerator).cast("double") / F.nullif(F.col(denominator), F.lit(0))
 
 
-# Duplicated ids are broadcast to flag rows only up to this many.
-DUPLICATE_IDS_BROADCAST_ROWS = 1_000_000
-
-
 def distinct_ads(df: DataFrame, keys: list[str], alias: str, dup_ids: DataFrame | None = None) -> DataFrame:
     """``count(distinct id)`` per ``keys``, over rows that are one per ad row.
 
-    Given the ids that occur on more than one ad row (``dup_ids``, proven
-    small), every other id is a single row, so its count is a row count;
-    only flagged rows need the distinct count. One aggregate: unflagged rows
-    collapse map-side instead of shuffling every (group, id) pair. Without
-    ``dup_ids``, or beyond the bound, it is the plain exact distinct count.
+    Given the ids that occur on more than one ad row (``dup_ids``), every
+    other id is a single row, so its count is a row count; only flagged rows
+    need the distinct count. One aggregate: unflagged rows collapse map-side
+    instead of shuffling every (group, id) pair. The flagging join is planned
+    by Spark from the size of ``dup_ids`` in bytes. Without ``dup_ids`` it is
+    the plain exact distinct count. NULL ids are not counted.
     """
-    if dup_ids is None or not is_bounded(dup_ids, DUPLICATE_IDS_BROADCAST_ROWS):
+    if dup_ids is None:
         return df.groupBy(*keys).agg(F.count_distinct("id").alias(alias))
-    flags = F.broadcast(dup_ids.select(F.col("id").alias("_dup_id"), F.lit(True).alias("_dup")))
+    flags = dup_ids.select(F.col("id").alias("_dup_id"), F.lit(True).alias("_dup"))
     flagged = df.join(flags, df["id"].eqNullSafe(flags["_dup_id"]), "left")
     dup = F.col("_dup").isNotNull()
     single = F.count(F.when(~dup & F.col("id").isNotNull(), F.lit(1)))
@@ -80,10 +76,11 @@ def monthly_ads(ads: DataFrame, dup_ids: DataFrame | None = None) -> DataFrame:
 
 
 def distinct_ids(one_row_per_id_skill: bool):
-    """``count(distinct id)``, or ``count(*)`` where rows are known to be unique per
-    (id, skill) within each group: then the two are equal, and the count needs
-    only map-side partial sums instead of a shuffle of every (group, id) pair."""
-    return F.count("*") if one_row_per_id_skill else F.count_distinct("id")
+    """``count(distinct id)``, or ``count(id)`` where rows are known to be unique per
+    (id, skill) within each group: then the two are equal (neither counts a NULL
+    id), and the count needs only map-side partial sums instead of a shuffle of
+    every (group, id) pair."""
+    return F.count("id") if one_row_per_id_skill else F.count_distinct("id")
 
 
 def monthly_skill_counts(regex_skills: DataFrame, one_row_per_id_skill: bool = False) -> DataFrame:
@@ -150,10 +147,13 @@ def skill_geography(
     to one row per (id, month, location) with a row count and coordinate
     sums; the centroid is sum / count over the joined rows, which is the same
     mean, and a repeated id contributes one row per location, not one per copy,
-    so no key emits all pairs. The denominator is a distinct count per
-    (month, municipality_code); Catalyst prunes it to a narrow id/location scan.
-    With skills unique per (id, skill), joined rows are unique per
-    (id, month, skill, location), and mentions is a row count.
+    so no key emits all pairs. With skills unique per (id, skill), joined rows
+    are unique per (id, month, skill, location), and mentions is a row count.
+
+    The denominator is counted over the located rows themselves (narrow, and
+    without an id-level shuffle when ``dup_ids`` is given) and joined after the
+    aggregate: month and code are among its keys, so no joined pair is ever
+    shuffled on a hot municipality.
     """
     loc_keys = ["municipality", "municipality_code", "region", "region_code"]
     located = ad_locations(ads, lon_bounds, lat_bounds)
@@ -162,22 +162,20 @@ def skill_geography(
         F.sum("longitude").alias("lon_sum"),
         F.sum("latitude").alias("lat_sum"),
     )
-    # per_ad holds one row per ad for every id on a single ad row
-    location_ads = distinct_ads(per_ad, ["publication_month", "municipality_code"], "location_ads", dup_ids)
+    location_ads = distinct_ads(located, ["publication_month", "municipality_code"], "ads", dup_ids)
     skills = regex_skills.select("id", "publication_month", "skill")
-    joined = skills.join(per_ad, ["id", "publication_month"], "inner").join(
-        location_ads, ["publication_month", "municipality_code"], "left"
-    )
     keys = ["publication_month", "skill", *loc_keys]
-    return (
-        joined.groupBy(*keys)
+    mentions = (
+        skills.join(per_ad, ["id", "publication_month"], "inner")
+        .groupBy(*keys)
         .agg(
             (F.sum("lon_sum") / F.sum("n")).alias("longitude"),
             (F.sum("lat_sum") / F.sum("n")).alias("latitude"),
             distinct_ids(one_row_per_id_skill).alias("mentions"),
-            F.max("location_ads").alias("ads"),
         )
-        .select(*keys, "longitude", "latitude", "mentions", "ads", share("mentions", "ads").alias("share_of_ads"))
+    )
+    return mentions.join(location_ads, ["publication_month", "municipality_code"], "left").select(
+        *keys, "longitude", "latitude", "mentions", "ads", share("mentions", "ads").alias("share_of_ads")
     )
 
 
@@ -199,37 +197,6 @@ def ams_catalogue(ams: DataFrame) -> DataFrame:
     )
 
 
-def ams_catalogue_from_ads(ads: DataFrame, dup_ids: DataFrame | None = None) -> DataFrame:
-    """``ams_catalogue`` computed from the ads' label arrays without shuffling
-    every (label, id) pair.
-
-    For an id on a single ad row, "distinct ads with this label" is the
-    number of first occurrences of the label in that ad's label list
-    (``array_position`` = position + 1); only duplicated ids (``dup_ids``,
-    proven small) need a distinct count. Same result as ``ams_catalogue``;
-    without a bounded duplicate set it is exactly that.
-    """
-    empty = F.array().cast("array<struct<label:string>>")
-    labels = F.concat(
-        F.coalesce(F.col("must_have_skills").cast("array<struct<label:string>>"), empty),
-        F.coalesce(F.col("nice_to_have_skills").cast("array<struct<label:string>>"), empty),
-    ).getField("label")
-    rows = (
-        ads.select("id", labels.alias("labels"))
-        .select("id", "labels", F.posexplode("labels").alias("pos", "skill"))
-        .where(F.col("skill").isNotNull())
-    )
-    if dup_ids is None or not is_bounded(dup_ids, DUPLICATE_IDS_BROADCAST_ROWS):
-        return ams_catalogue(rows.select("id", "skill"))
-    flags = F.broadcast(dup_ids.select(F.col("id").alias("_dup_id"), F.lit(True).alias("_dup")))
-    flagged = rows.join(flags, rows["id"].eqNullSafe(flags["_dup_id"]), "left")
-    dup = F.col("_dup").isNotNull()
-    first = F.array_position("labels", F.col("skill")) == F.col("pos") + 1
-    single = F.count(F.when(~dup & F.col("id").isNotNull() & first, F.lit(1)))
-    repeated = F.count_distinct(F.when(dup, F.col("id")))
-    return flagged.groupBy("skill").agg((single + repeated).alias("ads"), F.count("*").alias("mentions"))
-
-
 def archive_validation(ads: DataFrame) -> DataFrame:
     """Per-archive load report: rows, distinct ads, first/last publication date."""
     return ads.groupBy("source_archive").agg(

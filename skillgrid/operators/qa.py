@@ -11,10 +11,10 @@ from skillgrid.functions.constants import LABEL_SOURCE, QA_TOP, REGEX_SOURCE, SA
 def qa_summary(matches: DataFrame, one_row_per_id_skill: bool = False) -> DataFrame:
     """Per skill: distinct ads, match rows, distinct lower-cased matched terms.
 
-    With one match row per (id, skill), distinct ads is the row count, and the
-    only distinct aggregate left is the (low-cardinality) matched terms.
+    With one match row per (id, skill), distinct ads is the count of non-NULL
+    ids, and the only distinct aggregate left is the (low-cardinality) matched terms.
     """
-    ads = F.count("*") if one_row_per_id_skill else F.count_distinct("id")
+    ads = F.count("id") if one_row_per_id_skill else F.count_distinct("id")
     return matches.groupBy("skill").agg(
         ads.alias("ads"),
         F.count("*").alias("matches"),

@@ -11,7 +11,12 @@ Steps, each writing one Parquet table under the warehouse folder:
 3. ``historical_regex_skill_qa_summary`` and ``historical_regex_skill_samples``.
 4. ``all_historical_job_skills``, ``monthly_skill_counts``,
    ``mart_dashboard_skill_trends``, ``mart_skill_geography``.
-5. The data tests; a failing test raises unless ``fail_on_test=False``.
+5. ``ams_skill_catalogue`` and its CSV; with ``--live``, ``job_skill_lists`` and
+   ``job_skills`` from landed search responses.
+6. The data tests; a failing test raises unless ``fail_on_test=False``.
+
+The session is the submitter's: master, memory and partition numbers are left
+to ``spark-submit``.
 """
 
 from __future__ import annotations
@@ -23,9 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from skillgrid.operators import extract, marts, qa
-from skillgrid.session import materialize
-from skillgrid.sources import archives
-from skillgrid.sources.sinks import write_table
+from skillgrid.sources import archives, live
+from skillgrid.sources.sinks import export_csv, write_table
 
 
 def require_table(spark: SparkSession, path: str, hint: str) -> DataFrame:
@@ -53,9 +57,8 @@ def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame
     ).select(*archives.ADS_COLUMNS)
     t: dict[str, DataFrame] = {"historical_job_ads": ads}
     t["historical_job_skills"] = _write(extract.ams_skills(ads), warehouse_dir, "historical_job_skills")
-    matches = _write(
-        extract.regex_skill_matches(ads, stage=materialize), warehouse_dir, "historical_regex_skill_matches"
-    )
+    matches = _write(extract.regex_skill_matches(ads), warehouse_dir, "historical_regex_skill_matches")
+    dup_ids = _write(extract.duplicate_ids(ads), warehouse_dir, "duplicate_ad_ids")
     t["historical_regex_skill_matches"] = matches
     t["historical_regex_skills"] = _write(extract.regex_skills(matches), warehouse_dir, "historical_regex_skills")
     t["historical_regex_skill_qa_summary"] = _write(
@@ -77,16 +80,26 @@ def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame
     t["monthly_skill_counts"] = counts
     stg = marts.stg_ads(ads)
     t["mart_dashboard_skill_trends"] = _write(
-        marts.skill_trends(counts, stg), warehouse_dir, "mart_dashboard_skill_trends"
+        marts.skill_trends(counts, stg, dup_ids), warehouse_dir, "mart_dashboard_skill_trends"
     )
     t["mart_skill_geography"] = _write(
-        marts.skill_geography(t["historical_regex_skills"], stg, one_row_per_id_skill=True),
+        marts.skill_geography(t["historical_regex_skills"], stg, one_row_per_id_skill=True, dup_ids=dup_ids),
         warehouse_dir,
         "mart_skill_geography",
     )
+    t["ams_skill_catalogue"] = _write(marts.ams_catalogue(t["historical_job_skills"]), warehouse_dir, "ams_skill_catalogue")
+    # One row per label: a small table, exported as one file.
+    export_csv(t["ams_skill_catalogue"].orderBy(F.desc("ads"), "skill"), _table(warehouse_dir, "ams_skill_catalogue_csv"), single_file=True)
     return t
 
 
+def build_live_sample(spark: SparkSession, landed: str, warehouse_dir: str, limit: int | None = None) -> dict[str, DataFrame]:
+    """``job_ads``, ``job_skill_lists`` and ``job_skills`` from landed search responses."""
+    ads = _write(live.landed_hits(spark, landed, limit), warehouse_dir, "job_ads")
+    lists = _write(extract.job_skill_lists(ads), warehouse_dir, "job_skill_lists")
+    return {"job_ads": ads, "job_skill_lists": lists, "job_skills": _write(extract.job_skills(lists), warehouse_dir, "job_skills")}
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,
@@ -109,7 +122,7 @@ def run(
     report = _write(report, warehouse_dir, "data_test_report")
     failed = report.where(F.col("failures") > 0)
     if fail_on_test and failed.limit(1).count():
-        rows = [tuple(r) for r in failed.limit(30).collect()]  # a bounded, small report
+        rows = [tuple(r) for r in failed.collect()]  # at most one row per declared test
         raise AssertionError(f"data tests failed: {rows}")
     return report
 
@@ -133,17 +146,19 @@ def reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def main() -> None:
-    from skillgrid.session import build_session
+    from skillgrid.session import job_session
 
     parser = argparse.ArgumentParser(description="Build the skill warehouse from job-ad archives.")
     parser.add_argument("--raw", required=True, help="folder of YYYY*.jsonl.zip archives")
     parser.add_argument("--warehouse", required=True, help="output folder for the tables")
     parser.add_argument("--years", type=int, nargs="+")
-    parser.add_argument("--append", action="store_true", help="replace only the selected archives")
-    parser.add_argument("--master", default="local[*]")
+    parser.add_argument("--append", action="store_true", help="keep the archives that are not loaded now")
+    parser.add_argument("--live", help="folder of landed search responses")
     args = parser.parse_args()
-    spark = build_session(master=args.master)
+    spark = job_session()
     report = run(spark, args.raw, args.warehouse, args.years, args.append, fail_on_test=False)
+    if args.live:
+        build_live_sample(spark, args.live, args.warehouse)
     for title, df in reports(build_skills_tables(spark, args.warehouse)).items():
         print(f"== {title}")
         df.show(100, truncate=False)

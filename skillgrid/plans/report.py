@@ -75,7 +75,7 @@ def from_warehouse(spark: SparkSession, warehouse_dir: str, **params) -> dict[st
 
 
 def main() -> None:
-    from skillgrid.session import build_session
+    from skillgrid.session import job_session
 
     parser = argparse.ArgumentParser(description="Skill-demand views over a built warehouse.")
     parser.add_argument("--warehouse", required=True)
@@ -86,9 +86,8 @@ def main() -> None:
     parser.add_argument("--top-n", type=int, default=10)
     parser.add_argument("--month")
     parser.add_argument("--rows", type=int, default=20, help="rows shown per view")
-    parser.add_argument("--master", default="local[*]")
     args = parser.parse_args()
-    spark = build_session(master=args.master)
+    spark = job_session()
     views = from_warehouse(
         spark,
         args.warehouse,

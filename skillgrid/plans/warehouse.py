@@ -6,11 +6,13 @@ Mirrors the table DAG of the original pipeline:
         \-> provided-label skills         \-> geography
                                            \-> QA summary / samples
 
-The expensive stages (the regex scans over all ad text: taxonomy matches and
-per-ad skill lists) and the two marts the exploration queries read are
-written as Parquet under the session's checkpoint folder, so later queries
-re-read files instead of re-scanning text, and a lost executor never forces
-a re-scan. Cheap projections and aggregates stay lazy.
+The ads table, the expensive stages (the regex scans over all ad text:
+taxonomy matches and per-ad skill lists), the compact skills and the two marts
+the exploration queries read are written as Parquet under the session's
+checkpoint folder, so later queries re-read files instead of re-scanning text,
+and a lost executor never forces a re-scan. Cheap projections and aggregates
+stay lazy. A warehouse belongs to the state of its input files: when one of
+them changes, the next call builds another.
 """
 
 from __future__ import annotations
@@ -21,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.operators import extract, marts
-from skillgrid.session import app_id, apply_defaults, materialize, stage_path
+from skillgrid.session import app_id, apply_defaults, list_files, materialize, row_group_option, stage_path
 from skillgrid.sources import archives, binding
 
 _LOCK = threading.Lock()
-_CACHE: dict[tuple[str, str, bool], SkillWarehouse] = {}
+_CACHE: dict[tuple, SkillWarehouse] = {}
 
 
 class SkillWarehouse:
@@ -35,51 +37,46 @@ class SkillWarehouse:
         self.materialize_stages = materialize_stages
         self._tables: dict[str, DataFrame] = {}
 
-    def _stage(self, name: str, build, keep: bool) -> DataFrame:
+    def _stage(self, name: str, build, keep: bool, options: dict[str, str] | None = None) -> DataFrame:
         if name not in self._tables:
             df = build()
             if keep and self.materialize_stages:
-                df = materialize(df, name)
+                df = materialize(df, name, options=options)
             self._tables[name] = df
         return self._tables[name]
 
     # --- sources -------------------------------------------------------
     def ads(self) -> DataFrame:
-        return self._stage("ads", lambda: binding.job_ads(self.spark, self.sf_dir), keep=False)
+        """Written once; small row groups, where the session asks for them, let the text scans split it."""
+        return self._stage(
+            "ads", lambda: binding.job_ads(self.spark, self.sf_dir), keep=True, options=row_group_option(self.spark)
+        )
 
     def stg_ads(self) -> DataFrame:
         return marts.stg_ads(self.ads())
 
     def duplicate_ids(self) -> DataFrame | None:
-        """Ids on more than one ad row, written once and shared by the dedupe and
-        the distinct-ad denominators (None when stages are not materialised)."""
+        """Ids on more than one ad row, written once and shared by the distinct-ad
+        denominators (None when stages are not materialised)."""
         if not self.materialize_stages:
             return None
         return self._stage("duplicate_ids", lambda: extract.duplicate_ids(self.ads()), keep=True)
 
     # --- extraction ----------------------------------------------------
     def regex_matches(self) -> DataFrame:
-        """Backed by written tables: unique-id matches pass through, only the
-        matches of duplicated ids are shuffled for the (id, skill) dedupe."""
-        if "regex_matches" not in self._tables:
-            if self.materialize_stages:
-                df = extract.regex_skill_matches(
-                    self.ads(), stage=materialize, dup_ids=self.duplicate_ids()
-                )
-            else:
-                df = extract.regex_skill_matches(self.ads())
-            self._tables["regex_matches"] = df
-        return self._tables["regex_matches"]
+        """One row per (id, skill), deduplicated once and written."""
+        return self._stage("regex_matches", lambda: extract.regex_skill_matches(self.ads()), keep=True)
 
     def regex_skills(self) -> DataFrame:
-        return extract.regex_skills(self.regex_matches())
+        """The compact table, written on its own: marts never read headlines or snippets."""
+        return self._stage("regex_skills", lambda: extract.regex_skills(self.regex_matches()), keep=True)
 
     def ams_skills(self) -> DataFrame:
         return extract.ams_skills(self.ads())
 
     def ams_catalogue(self) -> DataFrame:
-        """Distinct ads and mentions per provided label, from the label arrays."""
-        return marts.ams_catalogue_from_ads(self.ads(), self.duplicate_ids())
+        """Distinct ads and mentions per provided label."""
+        return marts.ams_catalogue(self.ams_skills())
 
     def all_skills(self) -> DataFrame:
         return marts.all_skills(self.ams_skills(), self.regex_skills())
@@ -140,27 +137,31 @@ class SkillWarehouse:
 
     # --- replace-by-archive --------------------------------------------
     def replace_partition_demo(self, reloaded: str, emptied: str) -> DataFrame:
-        """Write the ads table, then reload two archives into it.
+        """Reload two archives of a table of two, next to the untouched others.
 
         ``reloaded`` comes back as a newer extract (``source_year`` + 10);
-        ``emptied`` comes back with no rows and must disappear. Returns the
-        table as read back after the replacement.
+        ``emptied`` comes back with no rows and must disappear. Only these two
+        archives are written to a private table; the others are read from the
+        ads table as they are. Returns the whole table after the replacement.
         """
         path = stage_path(self.spark, "ads_table")
         ads = self.ads()
-        archives.write_ads(ads, path)
+        touched = F.col("source_archive").isin(reloaded, emptied)
+        archives.write_ads(ads.where(touched), path)
         new_load = ads.where(F.col("source_archive") == reloaded).withColumn(
             "source_year", F.col("source_year") + 10
         )
         archives.replace_archive(new_load, path, reloaded)
         archives.replace_archive(new_load.where(F.lit(False)), path, emptied)
-        return archives.read_ads_table(self.spark, path, ads.select(*binding.ADS_COLUMNS).schema)
+        replaced = archives.read_ads_table(self.spark, path, ads.select(*binding.ADS_COLUMNS).schema)
+        return replaced.unionByName(ads.where(~touched | F.col("source_archive").isNull()))
 
 
 def warehouse(spark: SparkSession, sf_dir: str, materialize_stages: bool = True) -> SkillWarehouse:
-    """The (cached) warehouse of one session and input folder."""
+    """The (cached) warehouse of one session and one state of an input folder's files."""
     apply_defaults(spark)
-    key = (app_id(spark), sf_dir.rstrip("/"), materialize_stages)
+    state = tuple(f for t in binding.INPUTS for f in list_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet"))
+    key = (app_id(spark), sf_dir.rstrip("/"), materialize_stages, state)
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None or wh.spark is not spark:

@@ -20,15 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skillgrid.functions.text import month_start
-from skillgrid.operators.partitioning import spread_for_cpu
-from skillgrid.session import parallelism
+from skillgrid.session import list_files, path_exists, row_group_option
 from skillgrid.sources.binding import ADS_COLUMNS
 
-LINE_BATCH = 10_000
+BATCH_BYTES = 8 << 20  # characters of the lines that a task holds at once
 
 _LABELS = "array<struct<label: string>>"
 RAW_AD_SCHEMA = (
-    "id string, publication_date timestamp_ntz, headline string, "
+    "id string, publication_date string, headline string, "
     "description struct<text: string>, "
     "occupation variant, occupation_group variant, occupation_field variant, "
     f"must_have struct<skills: {_LABELS}>, nice_to_have struct<skills: {_LABELS}>, "
@@ -55,26 +54,32 @@ def archive_year(path: str | Path) -> int:
     return int(m.group(1))
 
 
-def archive_paths(raw_dir: str | Path, years: list[int] | None = None) -> list[str]:
-    """Sorted ``*.jsonl.zip`` archives, optionally only the given years.
+def archive_key(path: str | Path) -> str:
+    """The archive's name in the table, the same for its zip and its plain lines: ``2024.jsonl.zip``."""
+    name = Path(path).name
+    return name if name.endswith(".zip") else f"{name}.zip"
+
+
+def archive_paths(spark: SparkSession, raw_dir: str | Path, years: list[int] | None = None) -> list[str]:
+    """Sorted ``*.jsonl.zip`` archives, listed through Spark's file systems, optionally only the given years.
 
     Raises FileNotFoundError for requested years without an archive, or when
     nothing is found at all.
     """
-    paths = sorted(Path(raw_dir).glob("*.jsonl.zip"))
+    paths = [p for p, _, _ in list_files(spark, f"{str(raw_dir).rstrip('/')}/*.jsonl.zip")]
     if years:
         wanted = set(years)
         paths = [p for p in paths if archive_year(p) in wanted]
         missing = sorted(wanted - {archive_year(p) for p in paths})
         if missing:
-            raise FileNotFoundError(f"No historical archives found for years: {missing}")
+            raise FileNotFoundError(f"{raw_dir} holds no archive of the year(s) {missing}")
     if not paths:
-        raise FileNotFoundError(f"No historical archives found in {raw_dir}")
-    return [str(p) for p in paths]
+        raise FileNotFoundError(f"{raw_dir} holds no *.jsonl.zip archive")
+    return paths
 
 
 # --- S2: zip member streaming -------------------------------------------------
-def _archive_streamer(line_batch: int):
+def _archive_streamer(batch_bytes: int):
     """The per-archive reader shipped to Python workers.
 
     Defined as a closure so it is serialised by value: workers need only the
@@ -90,23 +95,24 @@ def _archive_streamer(line_batch: int):
 
         for batch in batches:
             for path, year in zip(batch["path"], batch["source_year"], strict=True):
+                path = path.removeprefix("file:")
                 name = PurePath(path).name
                 with zipfile.ZipFile(path) as archive:
                     members = [n for n in archive.namelist() if n.endswith(".jsonl")]
                     if len(members) != 1:
-                        raise ValueError(
-                            f"Expected exactly one JSONL file in {path}, found {len(members)}"
-                        )
+                        raise ValueError(f"{path} must hold one .jsonl member, it holds {len(members)}")
                     with archive.open(members[0]) as raw:
                         text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
                         lines: list[str] = []
+                        held = 0
                         for line in text:
                             line = line.rstrip("\r\n")
                             if line.strip():
                                 lines.append(line)
-                            if len(lines) >= line_batch:
+                                held += len(line)
+                            if held >= batch_bytes:
                                 yield pd.DataFrame({"line": lines, "source_archive": name, "source_year": year})
-                                lines = []
+                                lines, held = [], 0
                         if lines:
                             yield pd.DataFrame({"line": lines, "source_archive": name, "source_year": year})
 
@@ -116,23 +122,22 @@ def _archive_streamer(line_batch: int):
 def read_archive_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``(line, source_archive, source_year)`` rows from zip archives.
 
-    One task per archive streams its single JSONL member in bounded batches;
-    nothing is unpacked to a local temp folder and no archive passes through
-    the driver. Paths must be readable by the executors (a shared mount).
+    Each archive is a partition of its own: one task streams its single JSONL
+    member in batches bounded by their characters; nothing is unpacked to a
+    local temp folder and no archive passes through the driver. A zip member
+    can only be inflated from its start, so one archive is one task's work.
+    Paths must be readable by the executors (a shared mount).
     """
     listing = spark.createDataFrame(
-        [(p, archive_year(p)) for p in paths], "path string, source_year int"
-    ).repartition(max(1, len(paths)))
-    lines = listing.mapInPandas(_archive_streamer(LINE_BATCH), LINES_SCHEMA)
-    # Unzipping is sequential per archive, JSON parsing is not: with fewer
-    # archives than task slots, deal the lines out before they are parsed.
-    slots = parallelism(spark)
-    return lines.repartition(slots) if len(paths) < slots else lines
+        spark.sparkContext.parallelize([(p, archive_year(p)) for p in paths], max(1, len(paths))),
+        "path string, source_year int",
+    )
+    return listing.mapInPandas(_archive_streamer(BATCH_BYTES), LINES_SCHEMA)
 
 
 def read_jsonl_lines(spark: SparkSession, path: str, source_archive: str, source_year: int) -> DataFrame:
-    """Plain (already extracted) JSONL files: a splittable text scan."""
-    return spark.read.text(path).select(
+    """Plain (already extracted) JSONL files: a splittable text scan; blank lines are no ads."""
+    return spark.read.text(path).where(F.trim(F.regexp_replace("value", r"\s", " ")) != "").select(
         F.col("value").alias("line"),
         F.lit(source_archive).alias("source_archive"),
         F.lit(source_year).cast("int").alias("source_year"),
@@ -147,9 +152,23 @@ def parse_ad_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     the SQL loader's ``ignore_errors`` does; ``rejects`` separates them.
     """
     others = [c for c in lines.columns if c != line_col]
-    return lines.select(F.from_json(F.col(line_col), RAW_AD_SCHEMA).alias("ad"), *others).select(
-        "ad.*", *others
-    )
+    parsed = lines.select(F.from_json(F.col(line_col), RAW_AD_SCHEMA).alias("ad"), *others).select("ad.*", *others)
+    return parsed.withColumn("publication_date", wall_clock(F.col("publication_date")))
+
+
+def wall_clock(text: Column) -> Column:
+    """A date, a date and time, or an instant with a zone, as UTC wall-clock time; NULL if it is none.
+
+    The session time zone is UTC (``SESSION_DEFAULTS``), so an instant's UTC
+    reading is its cast; text without a zone is taken as it stands.
+    """
+    return F.try_to_timestamp(F.trim(text)).cast("timestamp_ntz")
+
+
+def unreadable_dates(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """Lines whose publication date is given but cannot be read."""
+    given = F.get_json_object(line_col, "$.publication_date")
+    return lines.where(given.isNotNull() & wall_clock(given).isNull())
 
 
 def _label(v: Column) -> Column:
@@ -216,7 +235,7 @@ def raw_lines_from_ads(ads: DataFrame) -> DataFrame:
     as_struct = F.to_json(F.struct(*common, *[label(c).alias(c) for c in occ], *tail))
     as_list = F.to_json(F.struct(*common, *[F.array(label(c)).alias(c) for c in occ], *tail))
     even = (F.col("id").cast("long") % 2) == 0
-    return spread_for_cpu(ads).select(
+    return ads.select(
         F.when(even, as_struct).otherwise(as_list).alias("line"),
         "source_archive",
         "source_year",
@@ -236,7 +255,8 @@ def partition_dir(table_path: str, archive: str) -> str:
 
 def write_ads(ads: DataFrame, table_path: str) -> None:
     """Full rebuild: the table becomes exactly ``ads``, partitioned by archive."""
-    ads.select(*ADS_COLUMNS).write.mode("overwrite").partitionBy("source_archive").parquet(table_path)
+    writer = ads.select(*ADS_COLUMNS).write.mode("overwrite").options(**row_group_option(ads.sparkSession))
+    writer.partitionBy("source_archive").parquet(table_path)
 
 
 def replace_archive(archive_ads: DataFrame, table_path: str, archive: str) -> None:
@@ -247,7 +267,8 @@ def replace_archive(archive_ads: DataFrame, table_path: str, archive: str) -> No
     archives are untouched. Reads the new load once.
     """
     cols = [c for c in ADS_COLUMNS if c != "source_archive"]
-    archive_ads.select(*cols).write.mode("overwrite").parquet(partition_dir(table_path, archive))
+    writer = archive_ads.select(*cols).write.mode("overwrite").options(**row_group_option(archive_ads.sparkSession))
+    writer.parquet(partition_dir(table_path, archive))
 
 
 def replace_archives_dynamic(ads: DataFrame, table_path: str) -> None:
@@ -265,11 +286,17 @@ def replace_archives_dynamic(ads: DataFrame, table_path: str) -> None:
 
 
 def read_ads_table(spark: SparkSession, table_path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The partitioned ads table, columns in table order. Archive names stay strings."""
+    """The partitioned ads table, columns in table order.
+
+    Archive names are strings whatever they look like: partition values are
+    cast back, so a bare number keeps its text as far as Spark's inference does
+    (pass the ``schema`` for names with leading zeros).
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(table_path).select(*ADS_COLUMNS)
+    table = reader.parquet(table_path).select(*ADS_COLUMNS)
+    return table.withColumn("source_archive", F.col("source_archive").cast("string"))
 
 
 def load_archives(
@@ -285,26 +312,21 @@ def load_archives(
     archive (one job each, like the SQL loader's delete + insert), so an
     archive that is now empty is cleared and every zip is read once.
     """
-    paths = archive_paths(raw_dir, years)
+    paths = archive_paths(spark, raw_dir, years)
 
     def load(selected: list[str]) -> DataFrame:
         return flatten_ads(parse_ad_lines(read_archive_lines(spark, selected)))
 
-    if not append or not _table_exists(spark, table_path):
+    # Only the path's absence means "no table": a table that cannot be read raises below, untouched.
+    if not append or not path_exists(spark, table_path):
         ads = load(paths)
         write_ads(ads, table_path)
         return read_ads_table(spark, table_path, ads.schema)
+    # All footers are read first, so damage shows before anything is replaced.
+    spark.read.option("mergeSchema", True).parquet(table_path).schema  # noqa: B018
     schema = None
     for path in paths:
         ads = load([path])
         schema = ads.schema
-        replace_archive(ads, table_path, Path(path).name)
+        replace_archive(ads, table_path, archive_key(path))
     return read_ads_table(spark, table_path, schema)
-
-
-def _table_exists(spark: SparkSession, table_path: str) -> bool:
-    try:
-        spark.read.parquet(table_path).schema  # noqa: B018
-        return True
-    except Exception:
-        return False

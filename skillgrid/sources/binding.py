@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgrid.operators.joins import bounded_broadcast
 from skillgrid.sources.tables import read_table
 
 # --- Fixed values: fixture headlines (shared with the SQL oracle). ---
@@ -55,6 +54,9 @@ ADS_COLUMNS = [
 ]
 
 
+INPUTS = ("documents", "nation", "region")  # the tables this is derived from
+
+
 def _sql_list(values: list[str]) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
@@ -91,16 +93,13 @@ def _ads_exprs() -> list[str]:
 def job_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``historical_job_ads`` (20 columns, one row per document).
 
-    ``documents`` is the large side; the nation/region dimension is joined by
-    a broadcast whose size is checked first, so the text is never shuffled.
+    ``documents`` is the large side; the two dimensions are plain joins whose
+    size in bytes Spark reads from their files and plans by.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = bounded_broadcast(
-        nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            "n_nationkey", "n_name", "r_regionkey", "r_name"
-        )
+    joined = docs.join(nation, (F.col("doc_id") % 25) == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    joined = docs.join(geo, (F.col("doc_id") % 25) == F.col("n_nationkey"))
     return joined.selectExpr(*_ads_exprs())

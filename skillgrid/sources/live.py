@@ -2,8 +2,9 @@
 
 The HTTP fetch itself is outside Spark; responses are landed as JSON files
 (one response object with a ``hits`` array per file). Nested objects are
-flattened with ``__`` separators (``description.text`` -> ``description__text``),
-and the first ``limit`` hits form the sample.
+flattened with ``__`` separators (``description.text`` -> ``description__text``).
+All landed hits are kept unless a sample size is asked for; then the first hits
+in the order of file and position form the sample.
 """
 
 from __future__ import annotations
@@ -30,13 +31,14 @@ def flatten_structs(df: DataFrame, sep: str = "__") -> DataFrame:
 def landed_hits(
     spark: SparkSession,
     path: str,
-    limit: int | None = 100,
+    limit: int | None = None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Hits of landed search responses, flattened; ``limit`` keeps the first N (the sample size)."""
+    """Hits of landed search responses, flattened; ``limit`` keeps the first N by file and position."""
     reader = spark.read.option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
-    hits = reader.json(path).select(F.explode("hits").alias("hit")).select("hit.*")
-    flat = flatten_structs(hits)
-    return flat.limit(limit) if limit else flat
+    hits = reader.json(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode("hits").alias("at", "hit"))
+    if limit is not None:
+        hits = hits.orderBy("file", "at").limit(limit)
+    return flatten_structs(hits.select("hit.*"))

@@ -25,5 +25,5 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     ``single_file`` funnels the rows through one task; use it only for small
     outputs such as a skill catalogue, never for a table that grows with data.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df  # the work before it keeps its tasks
     out.write.mode("overwrite").option("header", True).option("sep", ",").csv(path)

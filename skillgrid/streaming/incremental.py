@@ -7,6 +7,13 @@ job; the checkpoint (in the shared checkpoint folder) records which files
 are done. Each micro-batch replaces exactly the archives it contains via
 dynamic partition overwrite, which makes a replayed batch idempotent. A
 file is never split across micro-batches, so an archive is written whole.
+
+Archives have the key of the batch load (``2024.jsonl`` is ``2024.jsonl.zip``
+in the table), so loading a year both ways does not double it. Files are told
+apart by path: a new delivery of an archive is seen when it lands under a new
+path (``landing/<delivery>/2024.jsonl`` with a glob as the landing folder), and
+of several in one batch the last by path counts. A file changed in place, under
+the same path, is not read again.
 """
 
 from __future__ import annotations
@@ -21,7 +28,9 @@ from skillgrid.sources import archives
 
 def _replace_batch(table_path: str):
     def write(batch: DataFrame, _epoch: int) -> None:
-        ads = archives.flatten_ads(archives.parse_ad_lines(batch))
+        # One path per archive: a small table next to the lines.
+        last = batch.groupBy("source_archive").agg(F.max("path").alias("path"))
+        ads = archives.flatten_ads(archives.parse_ad_lines(batch.join(last, ["source_archive", "path"]).drop("path")))
         archives.replace_archives_dynamic(ads, table_path)
 
     return write
@@ -42,9 +51,10 @@ def start_archive_stream(
         reader.load(landing_dir)
         .select(
             F.col("value").alias("line"),
-            F.col("_metadata.file_name").alias("source_archive"),
+            F.concat(F.col("_metadata.file_name"), F.lit(".zip")).alias("source_archive"),
+            F.col("_metadata.file_path").alias("path"),
         )
-        .where(F.length(F.trim(F.col("line"))) > 0)
+        .where(F.trim(F.regexp_replace("line", r"\s", " ")) != "")
         .withColumn(
             "source_year",
             F.regexp_extract(F.col("source_archive"), r"^(\d+)", 1).cast("int"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skillgrid.functions.taxonomy import TECH_SKILLS
 from skillgrid.operators import extract
+from skillgrid.session import materialize
 
 M1 = dt.datetime(2024, 1, 1)
 M2 = dt.datetime(2024, 2, 1)
@@ -166,10 +167,9 @@ def test_job_skill_lists_and_job_skills(spark):
     assert skills == [("1", "python"), ("1", "rust")]
 
 
-def test_staged_dedupe_equals_full_dedupe(spark):
-    from skillgrid.session import materialize
-
-    rows = [
+def test_dedupe_plan_does_not_depend_on_repeated_ids(spark):
+    """One row per (id, skill), and the same plan with no, few and only repeated ids."""
+    few = [
         ("7", M2, "Python", None),
         ("7", M1, "python and sql", None),
         ("8", M1, "Rust", "Docker"),
@@ -177,11 +177,26 @@ def test_staged_dedupe_equals_full_dedupe(spark):
         (None, M2, "golang", None),
         ("9", M2, "C# and C++", None),
     ]
-    ads = _ads(spark, rows)
-    full = sorted(map(tuple, extract.regex_skill_matches(ads).collect()), key=repr)
-    staged = sorted(map(tuple, extract.regex_skill_matches(ads, stage=materialize).collect()), key=repr)
-    assert staged == full
-    assert sorted(r.id or "" for r in extract.duplicate_ids(ads).collect()) == ["", "7"]
+    shapes = set()
+    for rows in (few, few[2:4] + few[5:], few[:2] * 40):
+        ads = materialize(_ads(spark, rows), "dedupe_plan")
+        found = extract.regex_skill_matches(ads)
+        keys = [(r.id, r.skill) for r in found.collect()]
+        assert len(keys) == len(set(keys))
+        plan = extract.regex_skill_matches(ads)._jdf.queryExecution().executedPlan().toString()
+        shapes.add(tuple(re.findall(r"\b(\w*(?:Exchange|Join|Aggregate|Scan))\b", plan)))
+    assert len(shapes) == 1
+    assert sorted(r.id or "" for r in extract.duplicate_ids(_ads(spark, few)).collect()) == ["", "7"]
+
+
+def test_text_scan_of_large_splittable_files_is_not_shuffled(spark):
+    """Four splittable files on eight slots: the text stays where it is read."""
+    rows = [(str(i), M1, "Python", "text " * 50) for i in range(400)]
+    ads = materialize(_ads(spark, rows).repartition(4), "four_files")
+    for df in (extract.found_skill_matches(ads), extract.job_skill_lists(
+        ads.select("id", F.col("publication_month").alias("publication_date"), "headline", F.col("description_text").alias("description__text"))
+    )):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_shadowed_aliases_are_never_reported(spark):

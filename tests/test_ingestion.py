@@ -57,15 +57,15 @@ def raw_dir(tmp_dir):
     return raw
 
 
-def test_discovery_errors(raw_dir, tmp_dir):
-    assert [Path(p).name for p in archives.archive_paths(raw_dir)] == ["2022.jsonl.zip", "2024.jsonl.zip"]
-    assert len(archives.archive_paths(raw_dir, [2024])) == 1
+def test_discovery_errors(spark, raw_dir, tmp_dir):
+    assert [Path(p).name for p in archives.archive_paths(spark, raw_dir)] == ["2022.jsonl.zip", "2024.jsonl.zip"]
+    assert len(archives.archive_paths(spark, raw_dir, [2024])) == 1
     with pytest.raises(FileNotFoundError, match=r"\[2023\]"):
-        archives.archive_paths(raw_dir, [2023, 2024])
+        archives.archive_paths(spark, raw_dir, [2023, 2024])
     empty = tmp_dir / "empty"
     empty.mkdir()
     with pytest.raises(FileNotFoundError):
-        archives.archive_paths(empty)
+        archives.archive_paths(spark, empty)
 
 
 def test_full_load_both_shapes(spark, raw_dir, tmp_dir):
@@ -94,8 +94,8 @@ def test_two_members_fail(spark, tmp_dir):
     raw = tmp_dir / "raw2"
     raw.mkdir()
     _write_zip(raw / "2023.jsonl.zip", {"a.jsonl": ["{}"], "b.jsonl": ["{}"]})
-    with pytest.raises(PythonException, match="Expected exactly one JSONL file"):
-        archives.read_archive_lines(spark, archives.archive_paths(raw)).collect()
+    with pytest.raises(PythonException, match="must hold one .jsonl member"):
+        archives.read_archive_lines(spark, archives.archive_paths(spark, raw)).collect()
 
 
 def test_replace_by_archive_is_idempotent(spark, raw_dir, tmp_dir):
@@ -133,11 +133,13 @@ def test_live_sample_flatten_and_skill_lists(spark, tmp_dir):
         {"id": "a3", "publication_date": "2024-05-03T00:00:00", "headline": "x", "description": {"text": "y"}},
     ]
     (landing / "r1.json").write_text(json.dumps({"total": 3, "hits": hits}))
-    ads = live.landed_hits(spark, str(landing), limit=100)
+    ads = live.landed_hits(spark, str(landing))
     assert {"id", "headline", "description__text", "publication_date"} <= set(ads.columns)
     lists = {r.id: r.skills for r in extract.job_skill_lists(ads).collect()}
     assert lists == {"a1": ["docker", "kubernetes", "python"], "a2": [], "a3": []}
-    assert live.landed_hits(spark, str(landing), limit=2).count() == 2
+    (landing / "r0.json").write_text(json.dumps({"hits": [hits[0] | {"id": f"b{i}"} for i in range(150)]}))
+    assert live.landed_hits(spark, str(landing)).count() == 153  # nothing is dropped unless asked for
+    assert [r.id for r in live.landed_hits(spark, str(landing), limit=152).collect()][-2:] == ["a1", "a2"]
 
 
 def test_archive_stream_available_now(spark, tmp_dir):
@@ -148,13 +150,69 @@ def test_archive_stream_available_now(spark, tmp_dir):
     start_archive_stream(spark, str(landing), table, checkpoint=ckpt).awaitTermination(120)
     first = archives.read_ads_table(spark, table).collect()
     assert sorted(r.id for r in first) == ["0", "1", "2"]
-    assert {(r.source_archive, r.source_year) for r in first} == {("2023.jsonl", 2023)}
+    assert {(r.source_archive, r.source_year) for r in first} == {("2023.jsonl.zip", 2023)}
     (landing / "2024.jsonl").write_text(json.dumps(_ad(7, 2024, "struct")) + "\n")
     start_archive_stream(spark, str(landing), table, checkpoint=ckpt).awaitTermination(120)
     second = archives.read_ads_table(spark, table)
     assert sorted(r.id for r in second.collect()) == ["0", "1", "2", "7"]
 
 
+def test_stream_takes_a_new_delivery_for_the_old_one(spark, tmp_dir):
+    landing, table, ckpt = tmp_dir / "landing", str(tmp_dir / "stream_ads"), str(tmp_dir / "ckpt")
+    for delivery, ids in (("d1", [1, 2]), ("d2", [3])):
+        (landing / delivery).mkdir(parents=True)
+        (landing / delivery / "2023.jsonl").write_text("\n".join(json.dumps(_ad(i, 2023, "list")) for i in ids) + "\n \n")
+    start_archive_stream(spark, f"{landing}/*", table, checkpoint=ckpt).awaitTermination(120)
+    assert [r.id for r in archives.read_ads_table(spark, table).collect()] == ["3"]
+    (landing / "d3").mkdir()
+    (landing / "d3" / "2023.jsonl").write_text(json.dumps(_ad(4, 2023, "list")) + "\n")
+    start_archive_stream(spark, f"{landing}/*", table, checkpoint=ckpt).awaitTermination(120)
+    assert [r.id for r in archives.read_ads_table(spark, table).collect()] == ["4"]
+    # the batch load of the same year replaces it, too
+    raw = tmp_dir / "raw_year"
+    raw.mkdir()
+    _write_zip(raw / "2023.jsonl.zip", {"2023.jsonl": [json.dumps(_ad(5, 2023, "list"))]})
+    ads = archives.load_archives(spark, str(raw), table, append=True)
+    assert [r.id for r in ads.collect()] == ["5"]
+
+
+def test_append_to_a_damaged_table_raises_and_loses_nothing(spark, raw_dir, tmp_dir):
+    table = tmp_dir / "ads"
+    archives.load_archives(spark, str(raw_dir), str(table))
+    files = {p: p.read_bytes() for p in sorted(table.rglob("part-*.parquet"))}
+    victim = next(p for p in files if "2022" in str(p))
+    victim.write_bytes(b"damaged")
+    for crc in table.rglob(".part-*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception, match="(?i)parquet"):
+        archives.load_archives(spark, str(raw_dir), str(table), years=[2024], append=True)
+    victim.write_bytes(files[victim])
+    assert {p: p.read_bytes() for p in sorted(table.rglob("part-*.parquet"))} == files
+
+
+def test_one_task_per_archive(spark, tmp_dir):
+    raw = tmp_dir / "many"
+    raw.mkdir()
+    for year in range(2001, 2013):
+        _write_zip(raw / f"{year}.jsonl.zip", {"x.jsonl": [json.dumps(_ad(1, year, "list"))]})
+    lines = archives.read_archive_lines(spark, archives.archive_paths(spark, raw))
+    per_task = lines.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("source_archive").alias("n")).collect()
+    assert len(per_task) == 12 and {r.n for r in per_task} == {1}
+
+
+def test_dates_with_zones_and_blank_lines(spark, tmp_dir):
+    dates = ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05+0200", "2024-01-02T03:04:05.5+02:00", "2024-01-02T03:04:05", "2024-01-02", "soon", None]
+    lines = [json.dumps({"id": str(i), "publication_date": d}) for i, d in enumerate(dates)]
+    path = tmp_dir / "2024.jsonl"
+    path.write_text("\n\n".join(lines) + "\n \t \n")
+    raw = archives.read_jsonl_lines(spark, str(path), "2024.jsonl.zip", 2024)
+    got = {r.id: r.publication_date for r in archives.parse_ad_lines(raw).collect()}
+    day = dt.datetime(2024, 1, 2)
+    at = lambda h, us=0: day.replace(hour=h, minute=4, second=5, microsecond=us)
+    assert got == {"0": at(3), "1": at(1), "2": at(1, 500_000), "3": at(3), "4": day, "5": None, "6": None}
+    assert archives.unreadable_dates(raw).count() == 1
+
+
 def test_build_end_to_end(spark, raw_dir, tmp_dir):
     from skillgrid.plans import build
 

@@ -196,27 +196,31 @@ def test_distinct_ads_with_duplicate_flags_equals_count_distinct(spark):
         assert exact == fast
 
 
-def test_catalogue_from_ads_equals_catalogue(spark):
+def test_null_ids_are_not_counted(spark):
+    """Two ads that mention Python, one without an id: one ad, a share of 1."""
     from skillgrid.operators import extract
 
-    schema = (
-        "id string, publication_month timestamp_ntz, "
-        "must_have_skills array<struct<label:string>>, nice_to_have_skills array<struct<label:string>>"
-    )
-    L = lambda *xs: [{"label": x} for x in xs]
-    ads = spark.createDataFrame(
-        [
-            ("1", M1, L("SQL", None, "SQL"), L("SQL", "Go")),
-            ("2", M1, None, L("Java")),
-            ("2", M2, L("Java", "Go"), None),
-            (None, M1, L("Go"), []),
-            (None, M2, L("Go"), None),
-            ("3", M1, [], []),
-            ("4", M2, L("Rust"), L("Rust")),
-        ],
-        schema,
-    )
-    exact = sorted(map(tuple, marts.ams_catalogue(extract.ams_skills(ads)).collect()))
-    fast = sorted(map(tuple, marts.ams_catalogue_from_ads(ads, extract.duplicate_ids(ads)).collect()))
-    plain = sorted(map(tuple, marts.ams_catalogue_from_ads(ads).collect()))
-    assert fast == exact == plain
+    schema = "id string, publication_month timestamp_ntz, headline string, description_text string"
+    ads = spark.createDataFrame([("1", M1, "Python", None), (None, M1, "Python", None), (None, M2, "Rust", None)], schema)
+    matches = extract.regex_skill_matches(ads)
+    skills = extract.regex_skills(matches)
+    for fast in (False, True):
+        counts = marts.monthly_skill_counts(skills, one_row_per_id_skill=fast)
+        assert {(r.publication_month, r.skill): r.mentions for r in counts.collect()} == {(M1, "python"): 1, (M2, "rust"): 0}
+        dups = extract.duplicate_ids(ads) if fast else None
+        trends = {(r.publication_month, r.skill): r for r in marts.skill_trends(counts, ads, dups).collect()}
+        assert (trends[(M1, "python")].ads, trends[(M1, "python")].share_of_ads) == (1, 1.0)
+        assert (trends[(M2, "rust")].ads, trends[(M2, "rust")].share_of_ads) == (0, None)
+        qa_rows = {r.skill: (r.ads, r.matches) for r in qa.qa_summary(matches, one_row_per_id_skill=fast).collect()}
+        assert qa_rows == {"python": (1, 2), "rust": (0, 1)}
+
+
+def test_geography_joins_denominators_after_the_aggregate(spark):
+    from skillgrid.operators import extract
+
+    ads = _ads(spark)
+    geo = marts.skill_geography(_skills(spark), ads, one_row_per_id_skill=True, dup_ids=extract.duplicate_ids(ads))
+    assert sorted(map(tuple, geo.collect()), key=repr) == sorted(map(tuple, marts.skill_geography(_skills(spark), ads).collect()), key=repr)
+    plan = geo._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first_join = next(line for line in plan if "Join" in line)
+    assert "municipality_code" in first_join and "LeftOuter" in first_join

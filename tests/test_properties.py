@@ -8,8 +8,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skillgrid.operators import extract
-from skillgrid.operators.joins import bounded_broadcast, is_bounded
-from skillgrid.operators.partitioning import spread_for_cpu
 from skillgrid.plans.oracle import PATTERNS_CTE
 from skillgrid.session import materialize
 
@@ -50,28 +48,6 @@ def test_random_texts_match_sql_engine(spark, batch):
     assert got == _sql_rows(rows)
 
 
-def test_bounded_broadcast_falls_back_above_bound(spark):
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert is_bounded(small, 10) and not is_bounded(big, 999)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(bounded_broadcast(small, 10), "k")
-        plain = big.join(bounded_broadcast(big.select("k"), 999), "k")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_spread_only_for_coarse_inputs(spark):
-    many = materialize(spark.range(1000).repartition(16), "many_files")
-    assert spread_for_cpu(many, 8) is many  # enough files: no shuffle
-    one = materialize(spark.range(1000).coalesce(1), "one_file")
-    spread = spread_for_cpu(one, 8)
-    assert spread is not one and spread.rdd.getNumPartitions() == 8
-
-
 def test_materialize_keeps_types_and_order_with_a_leading_partition_column(spark):
     df = spark.createDataFrame([(True, "a", 1), (False, "b", 2)], "flag boolean, name string, n int")
     back = materialize(df, "leading_partition", partition_by=["flag"])
