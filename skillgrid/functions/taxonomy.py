@@ -142,6 +142,32 @@ def pattern_rows(
     return rows
 
 
+def surface_form(pattern: str) -> str:
+    """A short text the pattern matches: optional parts once, the first of every choice."""
+    from re import _constants as op
+    from re import _parser
+
+    def text(parts) -> str:
+        out = []
+        for kind, value in parts:
+            if kind is op.LITERAL:
+                out.append(chr(value))
+            elif kind is op.IN:
+                first, what = value[0]
+                out.append(" " if first is op.CATEGORY else chr(what if first is op.LITERAL else what[0]))
+            elif kind in (op.MAX_REPEAT, op.MIN_REPEAT):
+                out.append(text(value[2]) * max(1, value[0]))
+            elif kind is op.SUBPATTERN:
+                out.append(text(value[-1]))
+            elif kind is op.BRANCH:
+                out.append(text(value[1][0]))
+            elif kind not in (op.AT, op.ASSERT, op.ASSERT_NOT):
+                raise ValueError(f"no surface form for {kind} in {pattern!r}")
+        return "".join(out)
+
+    return text(_parser.parse(pattern))
+
+
 def taxonomy_frame(
     spark: SparkSession,
     taxonomy: dict[str, list[str]] | None = None,

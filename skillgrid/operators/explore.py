@@ -124,9 +124,9 @@ def growth(filtered: DataFrame, metric: str = "share_of_ads", top_n: int = 10, a
 
 
 def trend_pivot(selected: DataFrame, skills: list[str], metric: str = "share_of_ads") -> DataFrame:
-    """Month x skill table of ``sum(metric)``; a missing cell is NULL."""
+    """Month x skill table of ``sum(metric)``, months in order; a missing cell is NULL."""
     m = _metric(metric)
-    return selected.groupBy("publication_month").pivot("skill", list(skills)).agg(F.sum(m))
+    return selected.groupBy("publication_month").pivot("skill", list(skills)).agg(F.sum(m)).orderBy("publication_month")
 
 
 def kpis(filtered: DataFrame, metric: str = "share_of_ads") -> DataFrame:
@@ -172,9 +172,10 @@ def geo_summary(
     summary = geo.groupBy(*GEO_KEYS).agg(
         F.sum("mentions").cast("long").alias("mentions"),
         F.max("ads").alias("ads"),
-        F.round(F.avg("share_of_ads"), 10).alias("share_of_ads"),
+        F.avg("share_of_ads").alias("share_of_ads"),
     )
-    ordered = summary.orderBy(F.desc(m), *[F.asc(k) for k in GEO_KEYS])
+    # The mean's last bits depend on the order of summation: ties are judged without them.
+    ordered = summary.orderBy(F.round(F.col(m), 10).desc(), *[F.asc(k) for k in GEO_KEYS])
     return ordered.limit(top_n) if top_n else ordered
 
 
@@ -193,6 +194,6 @@ def map_points(summary: DataFrame, metric: str = "share_of_ads") -> DataFrame:
             "ads",
             "share_of_ads",
             (F.lit(RADIUS_BASE) + F.col(m) / F.col("_max") * F.lit(RADIUS_SPAN)).alias("radius"),
-            (F.col("share_of_ads") * 100).alias("share_pct"),
+            F.round(F.col("share_of_ads") * 100, 2).alias("share_pct"),
         )
     )

@@ -296,6 +296,19 @@ def skill_list_column(
     return F.transform(skill_matches_column(text_sql, taxonomy, dialect), lambda m: m["skill"])
 
 
+def skill_matches(
+    ads: DataFrame,
+    taxonomy: dict[str, list[str]] | None = None,
+    dialect: str = "python",
+    description_col: str = "description_text",
+) -> DataFrame:
+    """Per-text extraction (D3) of whole ads: one (id, skill, matched_text) row per ad and skill."""
+    prepared = with_search_columns(ads.select("id", "headline", description_col), "headline", description_col, dialect)
+    matches = skill_match_array("_search", "_folded", taxonomy, dialect)
+    found = prepared.select("id", F.explode_outer(matches).alias("m")).where(F.col("m").isNotNull())
+    return found.select("id", "m.skill", "m.matched_text")
+
+
 def job_skill_lists(
     job_ads: DataFrame,
     taxonomy: dict[str, list[str]] | None = None,
@@ -332,7 +345,6 @@ def job_skills(skill_lists: DataFrame) -> DataFrame:
 
 __all__ = [
     "MATCH_COLUMNS",
-    "TECH_SKILLS",
     "ams_skills",
     "job_skill_lists",
     "job_skills",
@@ -340,5 +352,6 @@ __all__ = [
     "regex_skills",
     "skill_list_column",
     "skill_match_array",
+    "skill_matches",
     "skill_matches_column",
 ]

@@ -11,9 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skillgrid.functions.constants import CATALOGUE_TOP, LABEL_TOP, MONTHLY_SAMPLE, MONTHLY_TOP, REGEX_TOP
-from skillgrid.operators import explore, marts, qa
+from skillgrid.operators import explore, extract, marts, qa
 from skillgrid.plans.warehouse import warehouse
 from skillgrid.sources import archives
 
@@ -49,6 +50,10 @@ def _geo_summary(spark: SparkSession, sf_dir: str, top_n: int | None) -> DataFra
     )
 
 
+def _broken(mart: DataFrame) -> DataFrame:
+    return mart.withColumn("share_of_ads", F.col("share_of_ads") * 3 - 0.25)
+
+
 QUERIES: dict[str, Query] = {
     # step 1: extraction -> marts
     "regex_matches": lambda s, d: _wh(s, d).regex_matches(),
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "ams_catalogue": lambda s, d: _wh(s, d).ams_catalogue(),
     "job_skill_lists": lambda s, d: _wh(s, d).job_skill_lists(),
     "job_skills": lambda s, d: _wh(s, d).job_skills(),
+    "skill_matches": lambda s, d: extract.skill_matches(_wh(s, d).ads()),
     # printed top-k reports of the build steps
     "regex_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).regex_skills(), REGEX_TOP),
     "ams_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).ams_skills(), LABEL_TOP),
@@ -72,7 +78,8 @@ QUERIES: dict[str, Query] = {
     "monthly_sample": lambda s, d: explore.newest_first(_wh(s, d).monthly_counts(), MONTHLY_SAMPLE),
     # step 3: geography
     "ad_locations": lambda s, d: marts.ad_locations(_wh(s, d).stg_ads()),
-    "geography": lambda s, d: _wh(s, d).geography(),
+    # ads is NULL for a NULL municipality code; as a double it compares alike in every client
+    "geography": lambda s, d: _wh(s, d).geography().withColumn("ads", F.col("ads").cast("double")),
     # step 4: QA and data tests
     "qa_summary": lambda s, d: qa.qa_summary(_wh(s, d).regex_matches(), one_row_per_id_skill=True),
     "qa_top": lambda s, d: qa.qa_top(qa.qa_summary(_wh(s, d).regex_matches(), one_row_per_id_skill=True)),
@@ -80,6 +87,9 @@ QUERIES: dict[str, Query] = {
     "quality_report": lambda s, d: qa.quality_report(_wh(s, d).test_tables()),
     "share_violations": lambda s, d: qa.share_violations(_wh(s, d).trends(), _wh(s, d).geography()),
     "not_empty_check": lambda s, d: qa.not_empty_check(_wh(s, d).monthly_counts()),
+    # the same tests over marts broken on purpose (shares moved out of bounds, no rows)
+    "share_violations_broken": lambda s, d: qa.share_violations(_broken(_wh(s, d).trends()), _broken(_wh(s, d).geography())),
+    "not_empty_check_broken": lambda s, d: qa.not_empty_check(_wh(s, d).monthly_counts().where("mentions < 0")),
     # step 5: exploration
     "trend_filter": _selected,
     "skill_totals": lambda s, d: explore.skill_totals(_wh(s, d).trends()),

@@ -36,7 +36,8 @@ def _norm(v):
         f = float(v)
         if math.isnan(f):
             return None
-        return float(f"{f:.12g}")
+        f = float(f"{f:.12g}")
+        return int(f) if f.is_integer() and abs(f) < 1e15 else f  # a nullable integer column may arrive as floats
     if isinstance(v, np.integer | int) and not isinstance(v, bool):
         return int(v)
     if isinstance(v, pd.Timestamp):
