@@ -83,12 +83,10 @@ def grouped(
 ) -> Iterator[pd.DataFrame]:
     """Calls ``work(rows, group numbers)`` on runs of whole groups of a stream sorted by ``keys``.
 
-    At most ``rows`` rows plus one group are held; callers keep groups bounded.
+    A call gets ``rows`` rows and the rest of a group; one batch and one group
+    are held. Callers keep groups bounded.
     """
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        return work(frame, breaks(frame).cumsum())
-
     def breaks(frame: pd.DataFrame) -> np.ndarray:
         new = np.zeros(len(frame), bool)
         for k in keys:
@@ -106,13 +104,20 @@ def grouped(
         if n < rows:
             continue
         frame = pd.concat(held, ignore_index=True) if len(held) > 1 else batch
-        starts = np.flatnonzero(breaks(frame))
-        if len(starts):
-            yield run(frame.iloc[: starts[-1]].reset_index(drop=True))
-            frame = frame.iloc[starts[-1] :].reset_index(drop=True)
-        held, n = [frame], len(frame)
+        new = breaks(frame)
+        group, starts = new.cumsum(), np.flatnonzero(new)
+        done = 0
+        while True:
+            # The next cut is the first start of a group after enough rows.
+            k = np.searchsorted(starts, done + rows)
+            if k == len(starts):
+                break
+            yield work(frame.iloc[done : starts[k]].reset_index(drop=True), group[done : starts[k]])
+            done = starts[k]
+        held, n = [frame.iloc[done:]], len(frame) - done
     if n:
-        yield run(pd.concat(held, ignore_index=True) if len(held) > 1 else held[0])
+        frame = pd.concat(held, ignore_index=True)
+        yield work(frame, breaks(frame).cumsum())
 
 
 def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
@@ -124,6 +129,8 @@ def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """
     both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     both = materialize(both.union(both.select("y", "x")).distinct(), f"{name}-edges")
+    if not both.limit(1).count():
+        return both.select(F.col("x").alias("node"), F.col("y").alias("label"))
     labels = materialize(both.groupBy("x").agg(F.min("y").alias("y")).select(
         F.col("x").alias("node"), F.least("x", "y").alias("label")), f"{name}-labels")
     while True:

@@ -145,7 +145,7 @@ def _blocked(rows: DataFrame, group: str, n_blocks) -> DataFrame:
     """Each row to the block pairs (bi <= bj) of its group that hold its block."""
     blocks = rows.withColumn("nb", n_blocks.cast("int")).withColumn("blk", F.pmod(F.xxhash64("rep", group), F.col("nb")).cast("int"))
     other = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    return other.withColumns({"bi": F.least("blk", "other"), "bj": F.greatest("blk", "other")}).drop("other", "nb")
+    return other.withColumns({"bi": F.least("blk", "other"), "bj": F.greatest("blk", "other")}).drop("other")
 
 
 def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -196,7 +196,8 @@ def candidate_edges(reps: DataFrame, recall: float = RECALL) -> DataFrame:
     """Spanning edges (a, b) of the candidate pairs that the buckets' brute force passes."""
     spark = reps.sparkSession
     rows = _blocked(buckets(reps, recall), "node", F.ceil(F.col("n") / BLOCK)).join(reps.select("rep", "sig"), "rep")
-    dealt = rows.repartition(tasks(spark), "node", "bi", "bj").sortWithinPartitions("node", "bi", "bj")
+    # Sorted by set too: spanning edges then lead to a bucket's least set, which the runs mostly agree on.
+    dealt = rows.repartition(tasks(spark), "node", "bi", "bj").sortWithinPartitions("node", "bi", "bj", "rep")
     edges = dealt.select("node", "bi", "bj", "blk", "rep", "sig").mapInPandas(_link_buckets, "a binary, b binary")
     return materialize(edges.distinct(), "ngram-candidates")
 
@@ -222,7 +223,7 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per group: its verified spanning edges (a, b, 0) and link counts (a, null, links)."""
+    """Per group: its verified spanning edges (a, b, blocks) and link counts (a, null, links)."""
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("rep")
@@ -251,7 +252,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame({
             "a": np.concatenate((rep[label[moved]], rep[counted])),
             "b": np.concatenate((rep[moved], np.full(len(counted), None, object))),
-            "links": np.concatenate((np.zeros(len(moved)), links[counted])).astype(np.int64),
+            "links": np.concatenate((np.full(len(moved), frame["nb"].iloc[0]), links[counted])).astype(np.int64),
         })
 
     def work(frame: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
@@ -262,7 +263,10 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def verified(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame:
-    """(a, b, links): exact spanning edges (b set) and link counts (b null) among the candidates."""
+    """(a, b, links): exact spanning edges (b set, links: blocks of the component) and link counts (b null).
+
+    An edge leads from its group's least set to another; the edges of a component of one block are a star.
+    """
     spark = docs.sparkSession
     label = components(edges, "a", "b", "ngram-comp").select(F.col("node").alias("rep"), F.col("label").alias("comp"))
     members = label.join(reps.select("rep", "doc_key", "copies", "n_set"), "rep")
@@ -271,9 +275,10 @@ def verified(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame:
     members = members.join(weight, "comp").withColumn("nb", F.least(n_blocks, F.col("n")))
     members = materialize(members.select("rep", "comp", "copies", F.col("doc_key").alias("key"), "nb"), "ngram-members")
     texts = docs.select(text_or_empty(F.col("text")).alias("text"), row_key(F.col("doc_id"), F.col("text"))[0].alias("key"))
+    # One plan at every size: the members are not broadcast while they are few.
     rows = _blocked(texts.join(members, "key"), "comp", F.col("nb"))
-    dealt = rows.select("comp", "bi", "bj", "blk", "rep", "copies", "text").repartition(tasks(spark), "comp", "bi", "bj")
-    found = dealt.sortWithinPartitions("comp", "bi", "bj").mapInPandas(_verify, "a binary, b binary, links long")
+    dealt = rows.select("comp", "bi", "bj", "blk", "nb", "rep", "copies", "text").repartition(tasks(spark), "comp", "bi", "bj")
+    found = dealt.sortWithinPartitions("comp", "bi", "bj", "rep").mapInPandas(_verify, "a binary, b binary, links long")
     return materialize(found, "ngram-links")
 
 
@@ -289,7 +294,10 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         F.min(order).alias("first"), F.count("*").alias("copies"), F.first("n_set").alias("n_set"), F.first("sig").alias("sig"),
     ).select("*", F.col("first.key").alias("doc_key")), "ngram-reps")
     found = verified(docs, reps, candidate_edges(reps, recall))
-    label = components(found.where("b is not null"), "a", "b", "ngram-class").select(F.col("node").alias("rep"), "label")
+    # Components of one block are stars already; only those compared block by block are joined up across blocks.
+    stars = found.where("b is not null and links = 1").select(F.col("b").alias("rep"), F.col("a").alias("label"))
+    wide = components(found.where("b is not null and links > 1"), "a", "b", "ngram-class").select(F.col("node").alias("rep"), "label")
+    label = stars.union(wide)
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     each = reps.select("rep", "first", "copies").join(label, "rep", "left").join(links, "rep", "left")
     each = each.select(
@@ -325,3 +333,27 @@ def drop_near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     numbered = marked.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy("__key")))
     alone = F.col("__keeps").isNull()
     return numbered.where(alone | (F.col("__keeps") & ((F.col("__same") == 1) | (F.col("__nth") == 1)))).select(*docs.columns)
+
+
+# All pairs of texts that share a shingle, and the closure of their links.
+ORACLE = f"""
+with recursive texts as (
+  select row_number() over () as k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents
+),
+shingled as (
+  select distinct k, unnest(case when len(w) between 1 and {WIDTH - 1} then [array_to_string(w, ' ')]
+    else [array_to_string(w[i : i + {WIDTH - 1}], ' ') for i in range(1, greatest(len(w) - {WIDTH - 2}, 1))] end) as g from texts
+),
+sizes as (select k, count(*) as n from shingled group by k),
+shared as (select x.k as a, y.k as b, count(*) as n from shingled x join shingled y on x.g = y.g and x.k <> y.k group by all),
+links as (
+  select a, b from shared s join sizes x on x.k = a join sizes y on y.k = b
+  where s.n * {SIMILARITY[1]} >= (x.n + y.n - s.n) * {SIMILARITY[0]}
+),
+reach(k, other) as (
+  select k, k from texts union select reach.k, links.b from reach join links on links.a = reach.other
+),
+classes as (select reach.k, min(doc_id) as class_id, count(*) as class_rows from reach join texts on texts.k = other group by reach.k),
+degrees as (select a as k, count(*) as n_links from links group by a)
+select doc_id, class_id, class_rows, coalesce(n_links, 0) as n_links from texts join classes using (k) left join degrees using (k)
+"""
