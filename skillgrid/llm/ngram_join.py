@@ -276,7 +276,7 @@ def verified(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame:
     members = materialize(members.select("rep", "comp", "copies", F.col("doc_key").alias("key"), "nb"), "ngram-members")
     texts = docs.select(text_or_empty(F.col("text")).alias("text"), row_key(F.col("doc_id"), F.col("text"))[0].alias("key"))
     # One plan at every size: the members are not broadcast while they are few.
-    rows = _blocked(texts.join(members, "key"), "comp", F.col("nb"))
+    rows = _blocked(texts.join(members.hint("merge"), "key"), "comp", F.col("nb"))
     dealt = rows.select("comp", "bi", "bj", "blk", "nb", "rep", "copies", "text").repartition(tasks(spark), "comp", "bi", "bj")
     found = dealt.sortWithinPartitions("comp", "bi", "bj", "rep").mapInPandas(_verify, "a binary, b binary, links long")
     return materialize(found, "ngram-links")
