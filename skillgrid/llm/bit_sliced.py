@@ -90,7 +90,7 @@ def index(vectors: DataFrame, n_blocks: int) -> DataFrame:
 def _add(columns: list[list[np.ndarray]], at: int, term: np.ndarray) -> None:
     """Carry-save addition: three bitmaps of one weight become one of it and one of the next."""
     while True:
-        if at == len(columns):
+        while at >= len(columns):
             columns.append([])
         held = columns[at]
         held.append(term)

@@ -19,8 +19,9 @@ shuffle of the rows on (source, size class, salt): about sqrt(rows) salts
 bound each task even if one source holds most rows, and the prefix sum is
 finished from the bucket totals (see ``common.exclusive_prefix``).
 
-Defined results: null texts have size 0 and are never favoured (a source with
-no words has target 0 and takes nothing); null sources form one source; equal
+Defined results: null texts have size 0 and are walked like any others, so
+their copies weigh nothing (a source with no words has target 0 and takes
+nothing); null sources form one source; equal
 rows may be told apart only by their copies; an empty table gives an empty
 result; extra columns pass through ``mix`` untouched.
 """
