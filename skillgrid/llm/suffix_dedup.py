@@ -17,7 +17,7 @@ places that can match are brought into the same shard first:
 2. Marks that occur once are dropped. Equal contexts of a mark collapse to one
    with its number of occurrences, before anything wide moves.
 3. The bytes of the distinct contexts are fetched from their documents and
-   dealt by mark; a shard is a few thousand contexts. Its suffix array and
+   dealt by mark; a shard is about a thousand contexts. Its suffix array and
    common prefixes give the classes of equal strings. A class that starts at
    two or more places is duplicated.
 4. A mark with more than ``SHARD`` contexts (a passage that a large part of the
@@ -46,6 +46,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +56,8 @@ from skillgrid.llm.text_hash import mix
 
 LENGTH = 200
 GRAM = 32
-SHARD = 4096  # contexts
+SHARD = 2048  # contexts of one mark that stay together
+SHARD_ROWS = 1024  # contexts of a shard, about; its arrays then stay in a core's cache
 PIECE = 1 << 20
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -98,63 +101,83 @@ def _sliding_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def winnow(data: np.ndarray, rolling: Rolling, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of starts with one mark: (mark hash, context hash, first start, number of starts)."""
+def winnow(data: np.ndarray, owner: np.ndarray, rolling: Rolling, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Runs of starts with one mark: (mark hash, context hash, first start, number of starts).
+
+    ``owner`` numbers the text of each byte; only strings inside one text count.
+    """
     width = length - gram + 1
     rolling.load(data)
     at = np.arange(len(data) - gram + 1)
     hashes = rolling.hash(at, at + gram)
     least = _sliding_least((hashes & _HIGH) | at.astype(np.uint64), width)
-    mark = (least & _LOW).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], mark[1:] != mark[:-1])))
-    span = np.diff(np.concatenate((first, [len(mark)])))
+    start = np.flatnonzero(owner[: len(data) - length + 1] == owner[length - 1 :])
+    mark = (least[start] & _LOW).astype(np.int64)
+    new = np.concatenate(([True], (mark[1:] != mark[:-1]) | (start[1:] != start[:-1] + 1)))
+    head = np.flatnonzero(new)
+    first, mark = start[head], mark[head]
+    span = np.diff(np.concatenate((head, [len(start)])))
     context = rolling.hash(first, first + span + length - 1)
-    place = mark[first] - first
-    return hashes[mark[first]], mix(context + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first, span
-
-
-def _runs(data: bytes, rolling: Rolling, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """All runs of a text, in pieces; equal neighbours at equal steps are one row (first, span, step, repeats)."""
-    parts = []
-    whole = np.frombuffer(data, np.uint8)
-    # Pieces overlap so that every start lies in one of them; a run may be cut where pieces meet,
-    # which makes two contexts of it and loses no string.
-    for a in range(0, len(whole) - length + 1, PIECE):
-        mark, context, first, span = winnow(whole[a : a + PIECE + length - 1], rolling, length, gram)
-        parts.append((mark, context, first + a, span))
-    mark, context, first, span = (np.concatenate(x) for x in zip(*parts, strict=True))
+    place = mark - first
+    return hashes[mark], mix(context + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first, span
+
+
+def _folded(text: np.ndarray, mark: np.ndarray, context: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Equal neighbours at equal steps of one text as one row: (row numbers, step, repeats)."""
     step = np.diff(first, prepend=-1)
     same = np.zeros(len(mark), bool)
-    same[1:] = (mark[1:] == mark[:-1]) & (context[1:] == context[:-1])
+    same[1:] = (mark[1:] == mark[:-1]) & (context[1:] == context[:-1]) & (text[1:] == text[:-1])
     same[2:] &= ~same[1:-1] | (step[2:] == step[1:-1])
     head = np.flatnonzero(~same)
     repeats = np.diff(np.concatenate((head, [len(mark)])))
-    return mark[head], context[head], first[head], span[head], np.where(repeats > 1, step[np.minimum(head + 1, len(step) - 1)], 0), repeats
+    return head, np.where(repeats > 1, step[np.minimum(head + 1, len(step) - 1)], 0), repeats
 
 
 _RUNS = "mark long, context long, key long, place long, again long, copies int"
 
 
+def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
+    """Buffers of about ``PIECE`` bytes: (bytes, number of their text, offset in it).
+
+    A longer text goes in pieces that overlap, so that every start lies in one
+    of them; a run may be cut where pieces meet, which makes two contexts of it
+    and loses no string.
+    """
+    held: tuple[list, list, list] = ([], [], [])
+    size = 0
+    for i, data in enumerate(texts):
+        for a in range(0, len(data) - length + 1, PIECE):
+            part = data[a : a + PIECE + length - 1]
+            if size and size + len(part) > PIECE:
+                yield held
+                held, size = ([], [], []), 0
+            for column, x in zip(held, (part, i, a), strict=True):
+                column.append(x)
+            size += len(part)
+    if size:
+        yield held
+
+
 def _scan(length: int, gram: int):
     """place packs (first start, starts), again packs (step, repeats); copies are equal texts of the batch."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rolling = Rolling(PIECE + length)
+        rolling = Rolling(PIECE + 2 * length)
         for b in batches:
-            once = b.groupby("key", sort=False).agg(text=("text", "first"), copies=("text", "size"))
-            for lo in range(0, len(once), 256):
-                part = once.iloc[lo : lo + 256]
-                found = []
-                for key, text, copies in zip(part.index, part["text"], part["copies"], strict=True):
-                    data = text.encode("utf-8", "surrogatepass")
-                    if len(data) < length:
-                        continue
-                    mark, context, first, span, step, repeats = _runs(data, rolling, length, gram)
-                    found.append(pd.DataFrame({
-                        "mark": mark.view(np.int64), "context": context.view(np.int64), "key": np.full(len(mark), key),
-                        "place": first << 16 | span, "again": step << 31 | repeats, "copies": np.full(len(mark), copies, np.int32)}))
-                if found:
-                    yield pd.concat(found, ignore_index=True)
+            keys, where, copies = np.unique(b["key"].to_numpy(), return_index=True, return_counts=True)
+            texts = [b["text"].iloc[i].encode("utf-8", "surrogatepass") for i in where]
+            for parts, number, offset in _pieces(texts, length):
+                sizes = [len(p) for p in parts]
+                owner = np.repeat(np.arange(len(parts)), sizes)
+                begin = np.cumsum([0, *sizes[:-1]])
+                mark, context, first, span = winnow(np.frombuffer(b"".join(parts), np.uint8), owner, rolling, length, gram)
+                part = owner[first]
+                first = first - begin[part] + np.array(offset)[part]
+                row, step, repeats = _folded(part, mark, context, first)
+                text = np.array(number)[part[row]]
+                yield pd.DataFrame({
+                    "mark": mark[row].view(np.int64), "context": context[row].view(np.int64), "key": keys[text],
+                    "place": first[row] << 16 | span[row], "again": step << 31 | repeats, "copies": copies[text].astype(np.int32)})
 
     return scan
 
@@ -313,22 +336,29 @@ def duplicated_starts(members: DataFrame, texts: DataFrame, length: int = LENGTH
     wanted = wanted.join(heads, "key")
     read = texts.join(wanted, (texts["key"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["head"]))
 
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text, rows in zip(b["text"], b["wanted"], strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                for lo in range(0, len(rows), 4096):
-                    out = [
-                        (r["mark"], r["context"], r["copies"], r["salts"], r["salt"], data[r["place"] >> 16 :][: (r["place"] & 0xFFFF) + length - 1])
-                        for r in rows[lo : lo + 4096]
-                    ]
-                    yield pd.DataFrame(out, columns=["mark", "context", "copies", "salts", "salt", "data"])
-
-    fetched = read.select("text", "wanted").mapInPandas(fetch, "mark long, context long, copies long, salts int, salt int, data binary")
+            lists = b.column("wanted")
+            rows = lists.flatten()
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            place = rows.field("place").to_numpy()
+            first, size = (place >> 16).tolist(), ((place & 0xFFFF) + length - 1).tolist()
+            rest = [rows.field(c) for c in ("mark", "context", "copies", "salts", "salt")]
+            done = 0
+            for text, end in zip(b.column("text"), ends.tolist(), strict=True):
+                data = text.as_buffer()
+                for lo in range(done, end, 4096):
+                    hi = min(end, lo + 4096)
+                    cut = pa.array([data[a : a + n].to_pybytes() for a, n in zip(first[lo:hi], size[lo:hi], strict=True)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in rest), cut], names=[*"mark context copies salts salt".split(), "data"])
+                done = end
+
+    schema = "mark long, context long, copies long, salts int, salt int, data binary"
+    fetched = read.select("text", "wanted").mapInArrow(fetch, schema)
     shards = fetched.repartition(tasks(spark), "mark", "salt").sortWithinPartitions("mark", "salt")
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from grouped(batches, ["mark", "salt"], lambda frame, _: _classes(frame, length), shard)
+        yield from grouped(batches, ["mark", "salt"], lambda frame, _: _classes(frame, length), SHARD_ROWS)
 
     schema = "mark long, context long, low int, high int, digest long, weight long"
     found = materialize(shards.mapInPandas(build, schema), "suffix-classes")
@@ -342,7 +372,7 @@ def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shard
 
     ``rows`` has (doc_id, key, text).
     """
-    runs = rows.select("key", "text").mapInPandas(_scan(length, gram), _RUNS)
+    runs = materialize(rows.select("key", "text").mapInPandas(_scan(length, gram), _RUNS), "suffix-runs")
     shared = runs.groupBy("mark").agg(F.sum(F.col("again").bitwiseAND(F.lit((1 << 31) - 1)) * F.col("copies")).alias("n")).where("n > 1")
     members = materialize(runs.join(shared.select("mark"), "mark"), "suffix-members")
     starts = duplicated_starts(members, rows, length, shard)
@@ -383,3 +413,4 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard:
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(_cut(length), schema)
+
