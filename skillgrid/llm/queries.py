@@ -73,5 +73,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_bit_sliced_search": bit_sliced.ORACLE,
+    "op6_suffix_dedup": suffix_dedup.ORACLE,
     "op9_url_filters": url_filter.ORACLE,
+    "op10_ngram_join": ngram_join.ORACLE,
 }

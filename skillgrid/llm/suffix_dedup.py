@@ -414,3 +414,30 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard:
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(_cut(length), schema)
 
+# Every string of LENGTH bytes is grouped with its equals; spans are cut out of the hexadecimal text.
+ORACLE = f"""
+with texts as (
+  select row_number() over () as k, doc_id, b, octet_length(b) as n_bytes, hex(b) as h
+  from (select doc_id, encode(coalesce(text, '')) as b from documents)
+),
+starts as (
+  select k, p, b[p : p + {LENGTH - 1}] as w
+  from (select k, b, unnest(range(1, greatest(n_bytes - {LENGTH - 2}, 1))) as p from texts)
+),
+twice as (select k, p from (select k, p, count(*) over (partition by w) as n from starts) where n > 1),
+ends as (
+  select k, p, max(p + {LENGTH - 1}) over (partition by k order by p rows between unbounded preceding and 1 preceding) as covered from twice
+),
+runs as (select k, p, sum(case when covered is null or p > covered + 1 then 1 else 0 end) over (partition by k order by p) as run from ends),
+spans as (select k, min(p) as a, max(p) + {LENGTH - 1} as z from runs group by k, run),
+gaps as (select k, a, z, lag(z, 1, 0) over (partition by k order by a) as before from spans),
+cut as (
+  select k, count(*) as n_spans, sum(z - a + 1) as n_removed, max(z) as last_z,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before - 1)), '' order by a) as kept
+  from gaps join texts using (k) group by k
+)
+select doc_id, cast(n_bytes as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  cast(coalesce(n_spans, 0) as bigint) as n_spans,
+  sha256(case when n_spans is null then b else unhex(kept || substr(h, 2 * last_z + 1)) end) as kept_sha256
+from texts left join cut using (k)
+"""

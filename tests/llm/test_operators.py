@@ -30,7 +30,7 @@ def rows_of(df):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_with_an_oracle(spark, name):
     db = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     want = db.sql(ORACLE_SQL[name])
@@ -138,7 +138,7 @@ def test_weighted_sum_adds_bitmaps():
 
 
 def test_quality_separates_the_held_out_fold(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"  # about 800 held-out labels
     got = QUERIES["op4_quality_gam"](spark, sf)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
     frame = got.toPandas()
@@ -146,7 +146,8 @@ def test_quality_separates_the_held_out_fold(spark):
     assert frame.score.between(0, 1).all() and (frame.predicted == (frame.score >= 0.3)).all()
     labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas().drop_duplicates("doc_id")
     test = frame[frame.held_out].merge(labels, on="doc_id")
-    assert (test.predicted == test.quality).mean() > 0.95
+    assert (test.predicted == test.quality).mean() > 0.98
+    assert test.predicted[test.quality == 1].mean() > 0.99
 
 
 def test_quality_never_sees_held_out_labels_or_other_columns(spark):
@@ -220,7 +221,7 @@ def test_mix_meets_its_targets(spark, seed):
         assert source_size == sizes[of[i]] and target == pytest.approx(want[of[i]]) and took in (0, size, 2 * size)
         taken[of[i]] += took
     assert all(abs(taken[s] - want[s]) <= 130 for s in sizes)
-    copies = Counter(r.doc_id for r in mixing.emit_copies(docs).collect())
+    copies = Counter(r.doc_id for r in mixing.emit_copies(docs).collect() if (r.text or "").split())
     assert copies == Counter({i: took // size for i, size, _, _, took in result if took})
 
 
