@@ -1,15 +1,18 @@
 """Benchmark decontamination by template canonicalisation.
 
 Method: texts become sequences of lower-case word tokens in which numbers,
-units after a number and names (capitalised words inside a sentence) are
-replaced by typed placeholders, so a question asked again with other numbers or
-names keeps its template. Windows of ``WINDOW`` tokens are hash-joined with the
-benchmark's windows; the literal words of a window must carry it
-(``LITERALS``). Joined windows that lie on one alignment of a document and an
-item are then checked for slot consistency: equal slots of the item must hold
-equal values in the document and different slots different ones, over the
-whole passage. A document is contaminated by an item if consistent windows
-cover at least ``COVER`` of the item's windows.
+units after a number and names (capitalised words inside a sentence; a run of
+them is one name) are replaced by typed placeholders, so a question asked again
+with other numbers or names keeps its template. Windows of ``WINDOW`` tokens
+are hash-joined with the benchmark's windows; the literal words of a window
+must carry it (``LITERALS``). Joined windows that lie on one alignment of a
+document and an item are checked for slot consistency: equal slots of the item
+must hold equal values in the document and different slots different ones.
+Consistent windows of neighbouring alignments (their shifts differ by no more
+than the item has words) are taken together, so words put in, left out or
+changed do not part a passage. A document is contaminated by an item if the
+windows of a passage are at least ``COVER`` of the item's windows, or cover at
+least ``COVER`` of its words, or if they match ``RUN`` words of it in a row.
 
 Scale: documents are read once, in Arrow batches, and nothing of them is
 shuffled but the windows that may match: a bit filter of fixed size
@@ -29,10 +32,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import product
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skillgrid.llm.common import materialize, row_key, text_or_empty
@@ -42,6 +47,7 @@ WINDOW = 8
 LITERALS = 4  # words of a full window that are no placeholders
 SHORTEST = 4  # the same for an item shorter than a window
 COVER = 0.7
+RUN = 13  # words of an item in a row that contaminate, whatever share of the item they are
 FILTER_BITS = 1 << 23
 # Units that may follow a number.
 _UNITS = frozenset(
@@ -55,6 +61,7 @@ _UPPER = "".join(c for c in map(chr, range(0x41, 0x590)) if c.isupper())
 _MARKED = re.compile(rf"[0-9{_UPPER}][^\W_]*(?:[.,][0-9]+)*(?: [a-z]+)?")
 _NUMBER = re.compile(r"[0-9]+(?:[.,][0-9]+)*")
 _NUM, _UNIT, _NAME = "\x01", "\x02", "\x03"
+_HYPHENS = " \t\r\n-"  # between the words of one name
 _RESERVED = re.compile("[\x01-\x03]")
 _TABLE = bytes(c if c > 127 or chr(c).isalnum() or c in (1, 2, 3) else 32 for c in range(256))
 
@@ -63,8 +70,10 @@ def canonical(text: str) -> tuple[bytes, list[str]]:
     """The text's lower-case words with placeholders, separated by blanks, and the placeholders' values in order."""
     text = _RESERVED.sub(" ", text)
     values: list[str] = []
+    name_end = -1  # where the last name ended
 
     def place(m: re.Match) -> str:
+        nonlocal name_end
         found, at = m.group(), m.start()
         if at and (text[at - 1].isalnum() or text[at - 1] == "_"):
             return found  # inside a word
@@ -79,11 +88,16 @@ def canonical(text: str) -> tuple[bytes, list[str]]:
             if unit:
                 values.append(unit)
             return f" {_NUM} {_UNIT if unit else ''} {'' if unit and not tail else rest}"
+        if name_end >= 0 and not text[name_end:at].strip(_HYPHENS):
+            name_end = at + len(head)
+            values[-1] += f" {head.lower()}"
+            return f" {rest}"
         at -= 1
         while at >= 0 and text[at] in " \t\"'(":
             at -= 1
         if at < 0 or text[at] in ".!?\r\n" or head.isupper():
             return found  # a sentence's first word, or letters in capitals
+        name_end = m.start() + len(head)
         values.append(head.lower())
         return f" {_NAME} {rest}"
 
@@ -91,15 +105,36 @@ def canonical(text: str) -> tuple[bytes, list[str]]:
 
 
 _HOLDERS = word_hashes([_NUM.encode(), _UNIT.encode(), _NAME.encode()])[0]
+_NAME_PARTS = re.compile(r"[ .,]")
 
 
-def canonical_words(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """Per text: its word hashes, the number of placeholders before each word, and their values."""
-    held = [canonical(t) for t in texts]
-    hashes, offsets = word_hashes([data for data, _ in held])
+class Reading(NamedTuple):
+    """One text as tokens; places are counted in words of the text, of which a name may have several."""
+
+    words: np.ndarray  # hashes of the tokens
+    holders: np.ndarray  # number of placeholders before each token
+    places: np.ndarray  # place of each token and the end
+    values: list[str]  # of the placeholders
+
+
+def canonical_words(texts: list[str]) -> Iterator[list[Reading]]:
+    """The readings of each text."""
+    held = [[canonical(t)] for t in texts]
+    hashes, offsets = word_hashes([data for readings in held for data, _ in readings])
     holder = np.isin(hashes, _HOLDERS)
-    for (_, values), a, z in zip(held, offsets[:-1], offsets[1:], strict=True):
-        yield hashes[a:z], np.concatenate(([0], np.cumsum(holder[a:z]))), values
+    n = 0
+    for readings in held:
+        out = []
+        for _, values in readings:
+            a, z = offsets[n], offsets[n + 1]
+            n += 1
+            size = np.ones(z - a, np.int64)
+            names = np.flatnonzero(holder[a:z])
+            for k, value in zip(names, values, strict=True):
+                if hashes[a + k] == _HOLDERS[2]:
+                    size[k] = len(_NAME_PARTS.split(value))
+            out.append(Reading(hashes[a:z], np.concatenate(([0], np.cumsum(holder[a:z]))), np.concatenate(([0], np.cumsum(size))), values))
+        yield out
 
 
 _ROLL = mix(np.arange(1, WINDOW + 1, dtype=np.uint64) * np.uint64(0xB5297A4D3F84D5B5)) | np.uint64(1)
@@ -116,26 +151,33 @@ def _window_hashes(words: np.ndarray, holders: np.ndarray, width: int) -> tuple[
     return mix(total ^ np.uint64(width)), width - (holders[width:] - holders[:-width])
 
 
+_ITEM = "n_windows int, n_words int, item_at int, item_end int, width int, hash long, item_slots array<string>"
+
+
 def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["item_id", *(c.split()[0] for c in _ITEM.split(", "))]
     for b in batches:
         out = []
-        for item, text, (words, holders, values) in zip(b["item_id"], b["text"], canonical_words(b["text"].tolist()), strict=True):
+        for item, text, (r,) in zip(b["item_id"], b["text"], canonical_words(b["text"].tolist()), strict=True):
             # In a document the item's first word may stand inside a sentence, where a capital makes it a name.
-            skip = int(text.lstrip()[:1].isupper() and len(words) > SHORTEST)
-            width = min(WINDOW, len(words) - skip)
-            hashes, literals = _window_hashes(words, holders, width)
+            skip = int(text.lstrip()[:1].isupper() and len(r.words) > SHORTEST)
+            width = min(WINDOW, len(r.words) - skip)
+            hashes, literals = _window_hashes(r.words, r.holders, width)
             least = LITERALS if width == WINDOW else SHORTEST
-            use = [k for k in np.flatnonzero(literals >= least) if k >= skip]
-            out += [(item, len(use), int(k), width, int(hashes[k].astype(np.int64)), values[holders[k] : holders[k + width]]) for k in use]
-        yield pd.DataFrame(out, columns=["item_id", "n_windows", "item_at", "width", "hash", "item_slots"])
+            use = [int(k) for k in np.flatnonzero(literals >= least) if k >= skip]
+            out += [
+                (item, len(use), int(r.places[-1]) - skip, int(r.places[k]), int(r.places[k + width]), width, int(hashes[k].astype(np.int64)),
+                 r.values[r.holders[k] : r.holders[k + width]])
+                for k in use
+            ]
+        yield pd.DataFrame(out, columns=columns)
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n_windows, item_at, width, hash, item_slots): the benchmark's windows, one set per distinct item row."""
+    """The benchmark's windows, one set per distinct item row; ``item_at`` and ``item_end`` are word numbers."""
     rows = benchmark.select("item_id", text_or_empty(F.col("text")).alias("text")).distinct()
     kind = benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"item_id {kind}, n_windows int, item_at int, width int, hash long, item_slots array<string>"
-    return materialize(rows.mapInPandas(_item_windows, schema), "bench-windows")
+    return materialize(rows.mapInPandas(_item_windows, f"item_id {kind}, {_ITEM}"), "bench-windows")
 
 
 def _bits(windows: DataFrame) -> np.ndarray:
@@ -159,13 +201,16 @@ def candidate_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             texts = canonical_words(b["text"].tolist())
-            for key, key2, doc, (words, holders, values) in zip(b["key"], b["key2"], b["doc_id"], texts, strict=True):
-                for width in widths:
-                    hashes, literals = _window_hashes(words, holders, width)
+            for key, key2, doc, readings in zip(b["key"], b["key2"], b["doc_id"], texts, strict=True):
+                for r, width in product(readings, widths):
+                    hashes, literals = _window_hashes(r.words, r.holders, width)
                     signed = hashes.view(np.int64)
                     bit = np.mod(signed, FILTER_BITS)
                     hit = ((bits[bit >> 6] >> (bit & 63)) & 1 == 1) & (literals >= SHORTEST)
-                    out += [(key, key2, doc, int(k), int(signed[k]), values[holders[k] : holders[k + width]]) for k in np.flatnonzero(hit)]
+                    out += [
+                        (key, key2, doc, int(r.places[k]), int(signed[k]), r.values[r.holders[k] : r.holders[k + width]])
+                        for k in np.flatnonzero(hit)
+                    ]
             yield pd.DataFrame(out, columns=["key", "key2", "doc_id", "at", "hash", "slots"])
 
     keys = row_key(F.col("doc_id"), F.col("text"))
@@ -174,37 +219,69 @@ def candidate_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return rows.mapInPandas(search, f"key long, key2 long, doc_id {kind}, at int, hash long, slots array<string>")
 
 
+def _spans_fold(spans: Column, longest: bool) -> Column:
+    """Words under sorted (item_at, item_end) spans: the longest stretch without a gap, or all of them."""
+    start = F.struct(F.lit(0).alias("reach"), F.lit(0).alias("length"), F.lit(0).alias("best"))
+
+    def step(acc: Column, x: Column) -> Column:
+        new = F.greatest(x["item_end"] - F.greatest(acc["reach"], x["item_at"]), F.lit(0))
+        length = F.when(longest & (x["item_at"] > acc["reach"]), new).otherwise(acc["length"] + new)
+        return F.struct(
+            F.greatest(acc["reach"], x["item_end"]).alias("reach"), length.alias("length"), F.greatest(acc["best"], length).alias("best"))
+
+    return F.aggregate(spans, start, step, lambda acc: acc["best"])
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
-    """(key, key2, doc_id, item_id, n_windows, n_matched, n_slots): every document row and item that match."""
+    """``contaminated_documents`` with the rows' keys: every document row and item that match."""
     windows = item_windows(benchmark)
     # One set of windows for each distinct document row: repeated rows match alike.
     found = candidate_windows(docs, windows).dropDuplicates(["key", "key2", "at", "hash"])
     joined = found.join(windows, "hash").select(
-        "key", "key2", "doc_id", "item_id", "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "item_slots")
+        "key", "key2", "doc_id", "item_id", "n_windows", "n_words", "item_at", "item_end", (F.col("at") - F.col("item_at")).alias("shift"),
+        "slots", "item_slots")
     joined = materialize(joined, "bench-hits")
-    passage = ["key", "key2", "item_id", "shift"]
-    # Slot values by place in the item, taken over the whole passage: equal <-> equal.
+    pair = ["key", "key2", "item_id"]
+    passage = [*pair, "shift"]
+    # Slot values by place in the item, taken over the whole alignment: equal <-> equal.
     pairs = joined.where(F.size("slots") > 0).select(*passage, F.explode(F.arrays_zip("slots", "item_slots")).alias("p"))
     pairs = pairs.select(*passage, F.col("p.slots").alias("doc_value"), F.col("p.item_slots").alias("item_value")).distinct()
     slots = pairs.groupBy(*passage).agg(
         F.count("*").alias("n_slots"), F.count_distinct("doc_value").alias("n_doc"), F.count_distinct("item_value").alias("n_item"))
     hits = joined.groupBy(*passage).agg(
-        F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.count_distinct("item_at").alias("n_matched"))
-    checked = hits.join(slots, passage, "left")
+        F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"),
+        F.sort_array(F.collect_set(F.struct("item_at", "item_end"))).alias("spans"))
+    # A null item id is an id like another.
+    same = [hits[c].eqNullSafe(slots[c]) for c in passage]
+    checked = hits.join(slots, same, "left").select(*[hits[c] for c in hits.columns], "n_slots", "n_doc", "n_item")
     consistent = F.col("n_slots").isNull() | ((F.col("n_slots") == F.col("n_doc")) & (F.col("n_slots") == F.col("n_item")))
-    checked = checked.where(consistent & (F.col("n_matched") >= F.col("n_windows") * cover))
-    best = F.max(F.struct("n_matched", F.coalesce("n_slots", F.lit(0)).alias("n_slots"), "n_windows"))
-    return checked.groupBy("key", "key2", "item_id").agg(F.first("doc_id").alias("doc_id"), best.alias("best")).select(
-        "key", "key2", "doc_id", "item_id", "best.n_windows", "best.n_matched", "best.n_slots")
+    checked = checked.where(consistent).withColumn("longest_run", _spans_fold(F.col("spans"), F.lit(True)))
+    # Alignments whose shifts differ by no more than the item's words share one of two overlapping strips.
+    strip = F.floor(F.col("shift") / F.col("n_words"))
+    near = checked.withColumn("strip", F.explode(F.array(strip, strip + 1))).groupBy(*pair, "strip").agg(
+        F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"),
+        F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.max("longest_run").alias("longest_run"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    near = near.withColumn("n_covered", _spans_fold(F.col("spans"), F.lit(False))).withColumn(
+        "n_matched", F.size(F.array_distinct(F.transform("spans", lambda x: x["item_at"]))))
+    near = near.where(
+        (F.col("n_matched") >= F.col("n_windows") * cover) | (F.col("n_covered") >= F.col("n_words") * cover) | (F.col("longest_run") >= RUN))
+    best = F.max(F.struct("n_matched", "n_covered", "longest_run", "n_slots", "n_windows", "n_words"))
+    return near.groupBy(*pair).agg(F.first("doc_id").alias("doc_id"), best.alias("best")).select(
+        "key", "key2", "doc_id", "item_id", *[f"best.{c}" for c in _FOUND])
+
+
+_FOUND = ["n_windows", "n_matched", "n_slots", "n_words", "n_covered", "longest_run"]
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_matched, n_slots): one row per contaminated document and item.
+    """One row per contaminated document and item, with what matched of the item.
 
-    ``n_slots`` is the number of slots in the passage, 0 for literal text.
-    Repeated rows give one row.
+    ``n_slots`` is the number of slots in the passage, 0 for literal text;
+    ``n_covered`` of the item's ``n_words`` words lie under matched windows,
+    ``longest_run`` of them in a row. Repeated rows give one row.
     """
-    return contaminations(docs, benchmark, cover).select("doc_id", "item_id", "n_windows", "n_matched", "n_slots")
+    return contaminations(docs, benchmark, cover).select("doc_id", "item_id", *_FOUND)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
