@@ -3,7 +3,11 @@
 Method: texts become sequences of lower-case word tokens in which numbers,
 units after a number and names (capitalised words inside a sentence; a run of
 them is one name) are replaced by typed placeholders, so a question asked again
-with other numbers or names keeps its template. Windows of ``WINDOW`` tokens
+with other numbers or names keeps its template. A text has up to three
+readings: this one, one in which a word seen as a name inside a sentence (and
+never in lower case) is a name at sentence starts too, and one in lower case
+without names, for copies in other case. A line break ends no sentence, an
+empty line does. Windows of ``WINDOW`` tokens
 are hash-joined with the benchmark's windows; the literal words of a window
 must carry it (``LITERALS``). Joined windows that lie on one alignment of a
 document and an item are checked for slot consistency: equal slots of the item
@@ -62,12 +66,18 @@ _MARKED = re.compile(rf"[0-9{_UPPER}][^\W_]*(?:[.,][0-9]+)*(?: [a-z]+)?")
 _NUMBER = re.compile(r"[0-9]+(?:[.,][0-9]+)*")
 _NUM, _UNIT, _NAME = "\x01", "\x02", "\x03"
 _HYPHENS = " \t\r\n-"  # between the words of one name
+_BEFORE = " \t\r\n\"'("  # may stand between the end of a sentence and the next one's first word
+_PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 _RESERVED = re.compile("[\x01-\x03]")
 _TABLE = bytes(c if c > 127 or chr(c).isalnum() or c in (1, 2, 3) else 32 for c in range(256))
 
 
-def canonical(text: str) -> tuple[bytes, list[str]]:
-    """The text's lower-case words with placeholders, separated by blanks, and the placeholders' values in order."""
+def canonical(text: str, names: frozenset[str] = frozenset(), first: set[str] | None = None) -> tuple[bytes, list[str]]:
+    """The text's lower-case words with placeholders, separated by blanks, and the placeholders' values in order.
+
+    ``names`` are names at sentence starts too; ``first`` receives the
+    capitalised words that begin a sentence.
+    """
     text = _RESERVED.sub(" ", text)
     values: list[str] = []
     name_end = -1  # where the last name ended
@@ -92,11 +102,14 @@ def canonical(text: str) -> tuple[bytes, list[str]]:
             name_end = at + len(head)
             values[-1] += f" {head.lower()}"
             return f" {rest}"
-        at -= 1
-        while at >= 0 and text[at] in " \t\"'(":
+        if head.isupper():
+            return found  # letters in capitals
+        while at and text[at - 1] in _BEFORE:
             at -= 1
-        if at < 0 or text[at] in ".!?\r\n" or head.isupper():
-            return found  # a sentence's first word, or letters in capitals
+        if (not at or text[at - 1] in ".!?" or _PARAGRAPH.search(text, at, m.start())) and head not in names:
+            if first is not None:
+                first.add(head)
+            return found  # a sentence's first word
         name_end = m.start() + len(head)
         values.append(head.lower())
         return f" {_NAME} {rest}"
@@ -105,27 +118,47 @@ def canonical(text: str) -> tuple[bytes, list[str]]:
 
 
 _HOLDERS = word_hashes([_NUM.encode(), _UNIT.encode(), _NAME.encode()])[0]
+_LOWER = re.compile(r"\b[a-z]\w*")
 _NAME_PARTS = re.compile(r"[ .,]")
 
 
 class Reading(NamedTuple):
-    """One text as tokens; places are counted in words of the text, of which a name may have several."""
+    """One reading of a text as tokens; places are counted in words of the text, of which a name may have several."""
 
     words: np.ndarray  # hashes of the tokens
     holders: np.ndarray  # number of placeholders before each token
     places: np.ndarray  # place of each token and the end
     values: list[str]  # of the placeholders
+    plain: bool  # without names
+
+
+def _readings(text: str) -> list[tuple[bytes, list[str], bool]]:
+    """The text's canonical forms that differ, and whether each is without names; the first one is the template."""
+    first: set[str] = set()
+    data, values = canonical(text, first=first)
+    plain, plain_values = canonical(text.lower())
+    if values == plain_values:
+        return [(data, values, True)]
+    out = [(data, values, False)]
+    seen = {part for value in values for part in value.split()}
+    again = {word for word in first if word.lower() in seen}
+    if again:
+        lower = set(_LOWER.findall(text))
+        again = {word for word in again if word.lower() not in lower}
+    if again:
+        out.append((*canonical(text, frozenset(again)), False))
+    return [*out, (plain, plain_values, True)]
 
 
 def canonical_words(texts: list[str]) -> Iterator[list[Reading]]:
     """The readings of each text."""
-    held = [[canonical(t)] for t in texts]
-    hashes, offsets = word_hashes([data for readings in held for data, _ in readings])
+    held = [_readings(t) for t in texts]
+    hashes, offsets = word_hashes([data for readings in held for data, _, _ in readings])
     holder = np.isin(hashes, _HOLDERS)
     n = 0
     for readings in held:
         out = []
-        for _, values in readings:
+        for _, values, plain in readings:
             a, z = offsets[n], offsets[n + 1]
             n += 1
             size = np.ones(z - a, np.int64)
@@ -133,7 +166,8 @@ def canonical_words(texts: list[str]) -> Iterator[list[Reading]]:
             for k, value in zip(names, values, strict=True):
                 if hashes[a + k] == _HOLDERS[2]:
                     size[k] = len(_NAME_PARTS.split(value))
-            out.append(Reading(hashes[a:z], np.concatenate(([0], np.cumsum(holder[a:z]))), np.concatenate(([0], np.cumsum(size))), values))
+            before, places = (np.concatenate(([0], np.cumsum(x))) for x in (holder[a:z], size))
+            out.append(Reading(hashes[a:z], before, places, values, plain))
         yield out
 
 
@@ -151,25 +185,34 @@ def _window_hashes(words: np.ndarray, holders: np.ndarray, width: int) -> tuple[
     return mix(total ^ np.uint64(width)), width - (holders[width:] - holders[:-width])
 
 
-_ITEM = "n_windows int, n_words int, item_at int, item_end int, width int, hash long, item_slots array<string>"
+_ITEM = "n_windows int, n_words int, item_at int, item_end int, counts boolean, width int, hash long, item_slots array<string>"
 
 
 def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["item_id", *(c.split()[0] for c in _ITEM.split(", "))]
     for b in batches:
         out = []
-        for item, text, (r,) in zip(b["item_id"], b["text"], canonical_words(b["text"].tolist()), strict=True):
-            # In a document the item's first word may stand inside a sentence, where a capital makes it a name.
-            skip = int(text.lstrip()[:1].isupper() and len(r.words) > SHORTEST)
-            width = min(WINDOW, len(r.words) - skip)
-            hashes, literals = _window_hashes(r.words, r.holders, width)
-            least = LITERALS if width == WINDOW else SHORTEST
-            use = [int(k) for k in np.flatnonzero(literals >= least) if k >= skip]
-            out += [
-                (item, len(use), int(r.places[-1]) - skip, int(r.places[k]), int(r.places[k + width]), width, int(hashes[k].astype(np.int64)),
-                 r.values[r.holders[k] : r.holders[k + width]])
-                for k in use
-            ]
+        for item, text, readings in zip(b["item_id"], b["text"], canonical_words(b["text"].tolist()), strict=True):
+            found = {}
+            template: set[int] = set()  # places of the first reading's windows
+            for n, r in enumerate(readings):
+                # In a document the item's first word may stand inside a sentence, where a capital makes it a name.
+                capital = text.lstrip()[:1].isupper() and len(r.words) > SHORTEST
+                skip = int(capital and not r.holders[1])
+                width = min(WINDOW, len(r.words) - (0 if r.plain else skip))
+                hashes, literals = _window_hashes(r.words, r.holders, width)
+                for k in np.flatnonzero(literals >= (LITERALS if width == WINDOW else SHORTEST)):
+                    if k < skip and not r.plain:
+                        continue
+                    at, end = int(r.places[k]), int(r.places[k + width])
+                    if not n and k >= skip:
+                        template.add(at)
+                    signed = int(hashes[k].astype(np.int64))
+                    found[at, end, signed] = (at, end, width, signed, r.values[r.holders[k] : r.holders[k + width]])
+            if not template:  # as when a short text's only window holds the first word
+                template = {x[0] for x in found.values()}
+            words = int(readings[-1].places[-1])
+            out += [(item, len(template), words, at, end, at in template, *rest) for at, end, *rest in found.values()]
         yield pd.DataFrame(out, columns=columns)
 
 
@@ -238,7 +281,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
     # One set of windows for each distinct document row: repeated rows match alike.
     found = candidate_windows(docs, windows).dropDuplicates(["key", "key2", "at", "hash"])
     joined = found.join(windows, "hash").select(
-        "key", "key2", "doc_id", "item_id", "n_windows", "n_words", "item_at", "item_end", (F.col("at") - F.col("item_at")).alias("shift"),
+        "key", "key2", "doc_id", "item_id", "n_windows", "n_words", "item_at", "item_end", "counts", (F.col("at") - F.col("item_at")).alias("shift"),
         "slots", "item_slots")
     joined = materialize(joined, "bench-hits")
     pair = ["key", "key2", "item_id"]
@@ -250,7 +293,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
         F.count("*").alias("n_slots"), F.count_distinct("doc_value").alias("n_doc"), F.count_distinct("item_value").alias("n_item"))
     hits = joined.groupBy(*passage).agg(
         F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"),
-        F.sort_array(F.collect_set(F.struct("item_at", "item_end"))).alias("spans"))
+        F.sort_array(F.collect_set(F.struct("item_at", "item_end", "counts"))).alias("spans"))
     # A null item id is an id like another.
     same = [hits[c].eqNullSafe(slots[c]) for c in passage]
     checked = hits.join(slots, same, "left").select(*[hits[c] for c in hits.columns], "n_slots", "n_doc", "n_item")
@@ -263,7 +306,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
         F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.max("longest_run").alias("longest_run"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     near = near.withColumn("n_covered", _spans_fold(F.col("spans"), F.lit(False))).withColumn(
-        "n_matched", F.size(F.array_distinct(F.transform("spans", lambda x: x["item_at"]))))
+        "n_matched", F.size(F.array_distinct(F.transform(F.filter("spans", lambda x: x["counts"]), lambda x: x["item_at"]))))
     near = near.where(
         (F.col("n_matched") >= F.col("n_windows") * cover) | (F.col("n_covered") >= F.col("n_words") * cover) | (F.col("longest_run") >= RUN))
     best = F.max(F.struct("n_matched", "n_covered", "longest_run", "n_slots", "n_windows", "n_words"))

@@ -28,3 +28,16 @@ def test_parts_and_edited_copies(spark):
         f"{around} {' '.join([*words[:19], *words[20:]])} {around}", f"{around} {' '.join(words[:12])} {around}", around,
     ]
     assert found(spark, items, texts) == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 0)}
+
+
+def test_other_case_line_breaks_and_names_that_begin_sentences(spark):
+    rng = random.Random(8)
+    around = prose(rng, 40)
+    asked = "Tom has 5 apples. Tom gives 2 to Ann. How many does Tom have left"
+    item = f"{prose(rng, 6)} Anna {prose(rng, 5)} Boris {prose(rng, 6)}"
+    other = asked.replace("Tom", "Tim").replace("Ann", "Sue").replace("5", "9").replace("2", "4")
+    texts = [
+        f"{around} {item.lower()} {around}", f"{around} {item.upper()} {around}", f"{around} {item.replace(' Anna', chr(10) + 'Clara')} {around}",
+        f"{around}. {other}. {around}", f"{around} How {around}. {other}. {around}", around,
+    ]
+    assert found(spark, [asked, item], texts) == {(0, 1), (1, 1), (2, 1), (3, 0), (4, 0)}
