@@ -10,9 +10,12 @@ without names, for copies in other case. A line break ends no sentence, an
 empty line does. Windows of ``WINDOW`` tokens
 are hash-joined with the benchmark's windows; the literal words of a window
 must carry it (``LITERALS``). Joined windows that lie on one alignment of a
-document and an item are checked for slot consistency: equal slots of the item
-must hold equal values in the document and different slots different ones.
-Consistent windows of neighbouring alignments (their shifts differ by no more
+document and an item are checked for slot consistency: equal names of the item
+must be equal names in the document and different ones different; different
+numbers of the item that count the same thing (the unit or word after them)
+must differ in the document. Other equalities of numbers and units are
+coincidences, which ``n_conflicts`` reports. Windows whose slots hold the
+item's own values need no consistency. Consistent windows of neighbouring alignments (their shifts differ by no more
 than the item has words) are taken together, so words put in, left out or
 changed do not part a passage. A document is contaminated by an item if the
 windows of a passage are at least ``COVER`` of the item's windows, or cover at
@@ -130,6 +133,7 @@ class Reading(NamedTuple):
     places: np.ndarray  # place of each token and the end
     values: list[str]  # of the placeholders
     plain: bool  # without names
+    data: bytes  # the tokens themselves
 
 
 def _readings(text: str) -> list[tuple[bytes, list[str], bool]]:
@@ -158,7 +162,7 @@ def canonical_words(texts: list[str]) -> Iterator[list[Reading]]:
     n = 0
     for readings in held:
         out = []
-        for _, values, plain in readings:
+        for data, values, plain in readings:
             a, z = offsets[n], offsets[n + 1]
             n += 1
             size = np.ones(z - a, np.int64)
@@ -167,7 +171,7 @@ def canonical_words(texts: list[str]) -> Iterator[list[Reading]]:
                 if hashes[a + k] == _HOLDERS[2]:
                     size[k] = len(_NAME_PARTS.split(value))
             before, places = (np.concatenate(([0], np.cumsum(x))) for x in (holder[a:z], size))
-            out.append(Reading(hashes[a:z], before, places, values, plain))
+            out.append(Reading(hashes[a:z], before, places, values, plain, data))
         yield out
 
 
@@ -185,7 +189,22 @@ def _window_hashes(words: np.ndarray, holders: np.ndarray, width: int) -> tuple[
     return mix(total ^ np.uint64(width)), width - (holders[width:] - holders[:-width])
 
 
-_ITEM = "n_windows int, n_words int, item_at int, item_end int, counts boolean, width int, hash long, item_slots array<string>"
+_ITEM = "n_windows int, n_words int, item_at int, item_end int, counts boolean, width int, hash long, item_slots array<string>, slot_kinds array<string>"
+
+
+def _slot_kinds(r: Reading) -> list[str]:
+    """What each placeholder stands for: a name, a unit, or a number of the unit or word after it."""
+    tokens = [*r.data.split(), b""]
+    kinds: list[str] = []
+    for x, after in zip(tokens, tokens[1:], strict=False):
+        if x == _NAME.encode():
+            kinds.append("name")
+        elif x == _UNIT.encode():
+            kinds.append("unit")
+        elif x == _NUM.encode():
+            counted = r.values[len(kinds) + 1] if after == _UNIT.encode() else after.decode("utf-8", "surrogatepass")
+            kinds.append("of " + counted.removesuffix("s"))
+    return kinds
 
 
 def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,6 +216,7 @@ def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             template: set[int] = set()  # places of the first reading's windows
             for n, r in enumerate(readings):
                 # In a document the item's first word may stand inside a sentence, where a capital makes it a name.
+                kinds = _slot_kinds(r)
                 capital = text.lstrip()[:1].isupper() and len(r.words) > SHORTEST
                 skip = int(capital and not r.holders[1])
                 width = min(WINDOW, len(r.words) - (0 if r.plain else skip))
@@ -208,7 +228,8 @@ def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if not n and k >= skip:
                         template.add(at)
                     signed = int(hashes[k].astype(np.int64))
-                    found[at, end, signed] = (at, end, width, signed, r.values[r.holders[k] : r.holders[k + width]])
+                    slots = slice(r.holders[k], r.holders[k + width])
+                    found[at, end, signed] = (at, end, width, signed, r.values[slots], kinds[slots])
             if not template:  # as when a short text's only window holds the first word
                 template = {x[0] for x in found.values()}
             words = int(readings[-1].places[-1])
@@ -282,39 +303,47 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
     found = candidate_windows(docs, windows).dropDuplicates(["key", "key2", "at", "hash"])
     joined = found.join(windows, "hash").select(
         "key", "key2", "doc_id", "item_id", "n_windows", "n_words", "item_at", "item_end", "counts", (F.col("at") - F.col("item_at")).alias("shift"),
-        "slots", "item_slots")
+        "slots", "item_slots", "slot_kinds", (F.col("slots") == F.col("item_slots")).alias("same"))
     joined = materialize(joined, "bench-hits")
     pair = ["key", "key2", "item_id"]
     passage = [*pair, "shift"]
-    # Slot values by place in the item, taken over the whole alignment: equal <-> equal.
-    pairs = joined.where(F.size("slots") > 0).select(*passage, F.explode(F.arrays_zip("slots", "item_slots")).alias("p"))
-    pairs = pairs.select(*passage, F.col("p.slots").alias("doc_value"), F.col("p.item_slots").alias("item_value")).distinct()
+    # Slot values by place in the item, taken over the whole alignment, first by kind.
+    pairs = joined.where(F.size("slots") > 0).select(*passage, F.explode(F.arrays_zip("slots", "item_slots", "slot_kinds")).alias("p"))
+    pairs = pairs.select(
+        *passage, F.col("p.slot_kinds").alias("kind"), F.col("p.slots").alias("doc_value"), F.col("p.item_slots").alias("item_value")).distinct()
+    n_doc, n_item = F.count_distinct("doc_value"), F.count_distinct("item_value")
+    merged, parted = F.count("*") > n_doc, F.count("*") > n_item
+    wrong = ((F.col("kind") == "name") & (merged | parted)) | (F.col("kind").startswith("of ") & merged)
+    kinds = pairs.groupBy(*passage, "kind").agg(wrong.alias("wrong")).groupBy(*passage).agg(F.max("wrong").alias("wrong"))
     slots = pairs.groupBy(*passage).agg(
-        F.count("*").alias("n_slots"), F.count_distinct("doc_value").alias("n_doc"), F.count_distinct("item_value").alias("n_item"))
-    hits = joined.groupBy(*passage).agg(
+        F.count_distinct("doc_value", "item_value").alias("n_slots"), n_doc.alias("n_doc"), n_item.alias("n_item"))
+    slots = slots.join(kinds.select(*[F.col(c).alias(f"k_{c}") for c in passage], "wrong"),
+                       [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in passage]).select(*passage, "n_slots", "n_doc", "n_item", "wrong")
+    # A null item id is an id like another.
+    slots = slots.select(*[F.col(c).alias(f"s_{c}") for c in passage], "n_slots", "wrong",
+                         (2 * F.col("n_slots") - F.col("n_doc") - F.col("n_item")).alias("n_conflicts"))
+    checked = joined.join(slots, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in passage], "left")
+    checked = checked.where(F.col("same") | ~F.col("wrong")).groupBy(*passage).agg(
         F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"),
+        F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.max(F.coalesce("n_conflicts", F.lit(0))).alias("n_conflicts"),
         F.sort_array(F.collect_set(F.struct("item_at", "item_end", "counts"))).alias("spans"))
-    # A null item id is an id like another.
-    same = [hits[c].eqNullSafe(slots[c]) for c in passage]
-    checked = hits.join(slots, same, "left").select(*[hits[c] for c in hits.columns], "n_slots", "n_doc", "n_item")
-    consistent = F.col("n_slots").isNull() | ((F.col("n_slots") == F.col("n_doc")) & (F.col("n_slots") == F.col("n_item")))
-    checked = checked.where(consistent).withColumn("longest_run", _spans_fold(F.col("spans"), F.lit(True)))
+    checked = checked.withColumn("longest_run", _spans_fold(F.col("spans"), F.lit(True)))
     # Alignments whose shifts differ by no more than the item's words share one of two overlapping strips.
     strip = F.floor(F.col("shift") / F.col("n_words"))
     near = checked.withColumn("strip", F.explode(F.array(strip, strip + 1))).groupBy(*pair, "strip").agg(
         F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"),
-        F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.max("longest_run").alias("longest_run"),
+        F.max("n_slots").alias("n_slots"), F.max("n_conflicts").alias("n_conflicts"), F.max("longest_run").alias("longest_run"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     near = near.withColumn("n_covered", _spans_fold(F.col("spans"), F.lit(False))).withColumn(
         "n_matched", F.size(F.array_distinct(F.transform(F.filter("spans", lambda x: x["counts"]), lambda x: x["item_at"]))))
     near = near.where(
         (F.col("n_matched") >= F.col("n_windows") * cover) | (F.col("n_covered") >= F.col("n_words") * cover) | (F.col("longest_run") >= RUN))
-    best = F.max(F.struct("n_matched", "n_covered", "longest_run", "n_slots", "n_windows", "n_words"))
+    best = F.max(F.struct("n_matched", "n_covered", "longest_run", "n_slots", "n_windows", "n_words", "n_conflicts"))
     return near.groupBy(*pair).agg(F.first("doc_id").alias("doc_id"), best.alias("best")).select(
         "key", "key2", "doc_id", "item_id", *[f"best.{c}" for c in _FOUND])
 
 
-_FOUND = ["n_windows", "n_matched", "n_slots", "n_words", "n_covered", "longest_run"]
+_FOUND = ["n_windows", "n_matched", "n_slots", "n_words", "n_covered", "longest_run", "n_conflicts"]
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
@@ -322,7 +351,8 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float =
 
     ``n_slots`` is the number of slots in the passage, 0 for literal text;
     ``n_covered`` of the item's ``n_words`` words lie under matched windows,
-    ``longest_run`` of them in a row. Repeated rows give one row.
+    ``longest_run`` of them in a row; ``n_conflicts`` counts the values of the
+    item or the document that one value of the other stands for. Repeated rows give one row.
     """
     return contaminations(docs, benchmark, cover).select("doc_id", "item_id", *_FOUND)
 

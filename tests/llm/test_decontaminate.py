@@ -41,3 +41,17 @@ def test_other_case_line_breaks_and_names_that_begin_sentences(spark):
         f"{around}. {other}. {around}", f"{around} How {around}. {other}. {around}", around,
     ]
     assert found(spark, [asked, item], texts) == {(0, 1), (1, 1), (2, 1), (3, 0), (4, 0)}
+
+
+def test_numbers_that_coincide_by_chance(spark):
+    rng = random.Random(9)
+    around = prose(rng, 40)
+    walk = "A boy walks 2 hours and then rides another 2 km before his lunch"
+    fruit = "In a basket there are 3 apples and 5 pears so how many are there"
+    named = "One day Anna meets Boris and then Anna tells Carl what Boris said to her"
+    texts = [
+        f"{around}. {walk.replace('2 hours', '3 hours').replace('2 km', '4 km')}. {around}",
+        f"{around}. {fruit.replace('3', '4').replace('5', '4')}. {around}",
+        f"{around}. {named.replace('Anna', 'Dora', 1).replace('Boris', 'Emil', 1)}. {around}",
+    ]
+    assert found(spark, [walk, fruit, named], texts) == {(0, 0), (1, 1)}
