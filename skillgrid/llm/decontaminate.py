@@ -9,7 +9,8 @@ never in lower case) is a name at sentence starts too, and one in lower case
 without names, for copies in other case. A line break ends no sentence, an
 empty line does. Windows of ``WINDOW`` tokens
 are hash-joined with the benchmark's windows; the literal words of a window
-must carry it (``LITERALS``). Joined windows that lie on one alignment of a
+must carry it (``LITERALS``); windows of the lower-case reading with fewer are
+joined with their values in place of the placeholders, as exact copies. Joined windows that lie on one alignment of a
 document and an item are checked for slot consistency: equal names of the item
 must be equal names in the document and different ones different; different
 numbers of the item that count the same thing (the unit or word after them)
@@ -18,7 +19,8 @@ coincidences, which ``n_conflicts`` reports. Windows whose slots hold the
 item's own values need no consistency. Consistent windows of neighbouring alignments (their shifts differ by no more
 than the item has words) are taken together, so words put in, left out or
 changed do not part a passage. A document is contaminated by an item if the
-windows of a passage are at least ``COVER`` of the item's windows, or cover at
+windows of a passage are at least ``COVER`` of the item's template windows (all
+windows, if it has no others than exact ones), or cover at
 least ``COVER`` of its words, or if they match ``RUN`` words of it in a row.
 
 Scale: documents are read once, in Arrow batches, and nothing of them is
@@ -30,8 +32,8 @@ the join. Counts per (document, item) are combined before the shuffle.
 
 Defined results: null and empty texts hold no tokens and are never
 contaminated; an item of fewer than ``WINDOW`` tokens is one window of all its
-tokens and needs at least ``SHORTEST`` literal words, else it matches nothing;
-repeated rows and ids are judged row by row, null ids included; an empty
+tokens, exact if it has fewer than ``SHORTEST`` literal words; items of fewer
+than ``FEWEST`` words match nothing; repeated rows and ids are judged row by row, null ids included; an empty
 benchmark flags nothing; extra columns are not read.
 """
 
@@ -53,6 +55,7 @@ from skillgrid.llm.text_hash import mix, word_hashes
 WINDOW = 8
 LITERALS = 4  # words of a full window that are no placeholders
 SHORTEST = 4  # the same for an item shorter than a window
+FEWEST = 3  # words of the shortest item
 COVER = 0.7
 RUN = 13  # words of an item in a row that contaminate, whatever share of the item they are
 FILTER_BITS = 1 << 23
@@ -189,7 +192,21 @@ def _window_hashes(words: np.ndarray, holders: np.ndarray, width: int) -> tuple[
     return mix(total ^ np.uint64(width)), width - (holders[width:] - holders[:-width])
 
 
-_ITEM = "n_windows int, n_words int, item_at int, item_end int, counts boolean, width int, hash long, item_slots array<string>, slot_kinds array<string>"
+def _reading_windows(r: Reading, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of a reading's windows, whether they are templates, and whether they can be joined at all."""
+    hashes, literals = _window_hashes(r.words, r.holders, width)
+    template = literals >= (LITERALS if width == WINDOW else SHORTEST)
+    if not r.plain or template.all():
+        return hashes, template, template
+    words = r.words
+    if r.values:
+        words = words.copy()
+        words[np.flatnonzero(np.diff(r.holders))] = word_hashes([" ".join(r.values).encode()])[0]
+    exact, _ = _window_hashes(words, r.holders, width)
+    return np.where(template, hashes, exact), template, np.ones(len(hashes), bool)
+
+
+_ITEM = "n_windows int, n_template int, n_words int, item_at int, item_end int, counts boolean, width int, hash long, item_slots array<string>, slot_kinds array<string>"
 
 
 def _slot_kinds(r: Reading) -> list[str]:
@@ -220,20 +237,22 @@ def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 capital = text.lstrip()[:1].isupper() and len(r.words) > SHORTEST
                 skip = int(capital and not r.holders[1])
                 width = min(WINDOW, len(r.words) - (0 if r.plain else skip))
-                hashes, literals = _window_hashes(r.words, r.holders, width)
-                for k in np.flatnonzero(literals >= (LITERALS if width == WINDOW else SHORTEST)):
+                hashes, is_template, use = _reading_windows(r, width)
+                for k in np.flatnonzero(use):
                     if k < skip and not r.plain:
                         continue
                     at, end = int(r.places[k]), int(r.places[k + width])
-                    if not n and k >= skip:
+                    if not n and k >= skip and is_template[k]:
                         template.add(at)
                     signed = int(hashes[k].astype(np.int64))
-                    slots = slice(r.holders[k], r.holders[k + width])
+                    slots = slice(r.holders[k], r.holders[k + width] if is_template[k] else r.holders[k])
                     found[at, end, signed] = (at, end, width, signed, r.values[slots], kinds[slots])
-            if not template:  # as when a short text's only window holds the first word
-                template = {x[0] for x in found.values()}
             words = int(readings[-1].places[-1])
-            out += [(item, len(template), words, at, end, at in template, *rest) for at, end, *rest in found.values()]
+            if words < FEWEST:
+                continue
+            places = {x[0] for x in found.values()}
+            template = template or places  # a short text's only window may hold the first word
+            out += [(item, len(places), len(template), words, at, end, at in template, *rest) for at, end, *rest in found.values()]
         yield pd.DataFrame(out, columns=columns)
 
 
@@ -267,12 +286,12 @@ def candidate_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
             texts = canonical_words(b["text"].tolist())
             for key, key2, doc, readings in zip(b["key"], b["key2"], b["doc_id"], texts, strict=True):
                 for r, width in product(readings, widths):
-                    hashes, literals = _window_hashes(r.words, r.holders, width)
+                    hashes, template, use = _reading_windows(r, width)
                     signed = hashes.view(np.int64)
                     bit = np.mod(signed, FILTER_BITS)
-                    hit = ((bits[bit >> 6] >> (bit & 63)) & 1 == 1) & (literals >= SHORTEST)
+                    hit = ((bits[bit >> 6] >> (bit & 63)) & 1 == 1) & use
                     out += [
-                        (key, key2, doc, int(r.places[k]), int(signed[k]), r.values[r.holders[k] : r.holders[k + width]])
+                        (key, key2, doc, int(r.places[k]), int(signed[k]), r.values[r.holders[k] : r.holders[k + width] if template[k] else r.holders[k]])
                         for k in np.flatnonzero(hit)
                     ]
             yield pd.DataFrame(out, columns=["key", "key2", "doc_id", "at", "hash", "slots"])
@@ -302,7 +321,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
     # One set of windows for each distinct document row: repeated rows match alike.
     found = candidate_windows(docs, windows).dropDuplicates(["key", "key2", "at", "hash"])
     joined = found.join(windows, "hash").select(
-        "key", "key2", "doc_id", "item_id", "n_windows", "n_words", "item_at", "item_end", "counts", (F.col("at") - F.col("item_at")).alias("shift"),
+        "key", "key2", "doc_id", "item_id", "n_windows", "n_template", "n_words", "item_at", "item_end", "counts", (F.col("at") - F.col("item_at")).alias("shift"),
         "slots", "item_slots", "slot_kinds", (F.col("slots") == F.col("item_slots")).alias("same"))
     joined = materialize(joined, "bench-hits")
     pair = ["key", "key2", "item_id"]
@@ -324,20 +343,21 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
                          (2 * F.col("n_slots") - F.col("n_doc") - F.col("n_item")).alias("n_conflicts"))
     checked = joined.join(slots, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in passage], "left")
     checked = checked.where(F.col("same") | ~F.col("wrong")).groupBy(*passage).agg(
-        F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"),
+        F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_template").alias("n_template"), F.max("n_words").alias("n_words"),
         F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.max(F.coalesce("n_conflicts", F.lit(0))).alias("n_conflicts"),
         F.sort_array(F.collect_set(F.struct("item_at", "item_end", "counts"))).alias("spans"))
     checked = checked.withColumn("longest_run", _spans_fold(F.col("spans"), F.lit(True)))
     # Alignments whose shifts differ by no more than the item's words share one of two overlapping strips.
     strip = F.floor(F.col("shift") / F.col("n_words"))
     near = checked.withColumn("strip", F.explode(F.array(strip, strip + 1))).groupBy(*pair, "strip").agg(
-        F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"),
+        F.first("doc_id").alias("doc_id"), F.max("n_windows").alias("n_windows"), F.max("n_template").alias("n_template"), F.max("n_words").alias("n_words"),
         F.max("n_slots").alias("n_slots"), F.max("n_conflicts").alias("n_conflicts"), F.max("longest_run").alias("longest_run"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     near = near.withColumn("n_covered", _spans_fold(F.col("spans"), F.lit(False))).withColumn(
-        "n_matched", F.size(F.array_distinct(F.transform(F.filter("spans", lambda x: x["counts"]), lambda x: x["item_at"]))))
-    near = near.where(
-        (F.col("n_matched") >= F.col("n_windows") * cover) | (F.col("n_covered") >= F.col("n_words") * cover) | (F.col("longest_run") >= RUN))
+        "n_matched", F.size(F.array_distinct(F.transform("spans", lambda x: x["item_at"])))).withColumn(
+        "of_template", F.size(F.array_distinct(F.transform(F.filter("spans", lambda x: x["counts"]), lambda x: x["item_at"]))))
+    near = near.where((F.col("of_template") >= F.col("n_template") * cover) | (F.col("n_covered") >= F.col("n_words") * cover)
+                      | (F.col("longest_run") >= RUN))
     best = F.max(F.struct("n_matched", "n_covered", "longest_run", "n_slots", "n_windows", "n_words", "n_conflicts"))
     return near.groupBy(*pair).agg(F.first("doc_id").alias("doc_id"), best.alias("best")).select(
         "key", "key2", "doc_id", "item_id", *[f"best.{c}" for c in _FOUND])

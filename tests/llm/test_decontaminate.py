@@ -55,3 +55,13 @@ def test_numbers_that_coincide_by_chance(spark):
         f"{around}. {named.replace('Anna', 'Dora', 1).replace('Boris', 'Emil', 1)}. {around}",
     ]
     assert found(spark, [walk, fruit, named], texts) == {(0, 0), (1, 1)}
+
+
+def test_items_of_few_literal_words_are_found_as_exact_copies(spark):
+    rng = random.Random(10)
+    around = prose(rng, 40)
+    items = ["What is 17 times 23", "12 7 19 4 33 8 5 kg 21 6 90 2 11", "Add seven twice"]
+    texts = [*(f"{around}. {x.lower()}. {around}" for x in items), f"{around} what is 17 times 24 {around}", f"{around} 12 7 19 4 33 9 5 kg 21 {around}"]
+    assert found(spark, items, texts) == {(0, 0), (1, 1), (2, 2)}
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {r.item_id: r.n_windows for r in decontaminate.item_windows(bench).collect()} == {0: 1, 1: 6, 2: 1}
