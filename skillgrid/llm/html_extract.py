@@ -57,7 +57,7 @@ _PAGE_WORDS = frozenset("header footer".split())  # boilerplate outside an artic
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/a-zA-Z][^>]*(?:>|\Z)", re.S
 )
-_MARKS = re.compile(r"\b(?:class|id|role|aria-hidden|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _RAW_END = {n: re.compile(rf"</{n}\b[^>]*(?:>|\Z)", re.I) for n in _RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -68,11 +68,13 @@ def _marked(name: str, attrs: str, in_article: bool) -> bool:
         return True
     if not attrs or name in ("html", "body", "article", "main"):
         return False
-    for m in _MARKS.finditer(attrs):
-        key = m.group().lower()
-        if key.startswith("hidden") or key.startswith("aria-hidden") and "true" in key:
+    for m in _ATTR.finditer(attrs):
+        key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
+        if key == "hidden" or key == "aria-hidden" and value.strip() == "true":
             return True
-        for word in _SPLIT.split((m.group(1) or "").lower()):
+        if key not in ("class", "id", "role"):
+            continue
+        for word in _SPLIT.split(value):
             if word in _WORDS or (word in _PAGE_WORDS and not in_article):
                 return True
     return False
