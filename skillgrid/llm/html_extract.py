@@ -4,7 +4,10 @@ Method: the page is turned into lines, one per block of running text, with
 markup, scripts, styles and comments stripped. Parts that announce themselves
 as boilerplate (navigation, page headers and footers, sidebars, notices,
 adverts, forms, reader comments; by element, role, or class and id words) and
-link lists leave empty lines behind. Text lengths are summed over a sliding
+link lists leave empty lines behind. A class or id says so only by its whole or
+last meaning, and only if the element's own lines are thin: where a window of
+them holds ``DENSE`` characters besides links, the lines stay and are judged
+like others. Text lengths are summed over a sliding
 window of ``WINDOW`` lines. The text surges where a window sum rises from zero
 and dives where it falls back to zero; what lies between a surge and a dive is
 a segment. Inside an article or main element every segment with text is kept.
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 86  # characters in a window that make a segment main text on pages without an article
+DENSE = WINDOW * SURGE  # characters in a window that no element with a mark in its class or id loses
 _GAP = [("", 0)] * WINDOW
 
 # HTML element names by role, and words that mark boilerplate in class, id or role.
@@ -53,6 +57,12 @@ _WORDS = frozenset(
     "subscription signup login share sharing social related recommended comment comments commentlist disqus respond reply "
     "replies toolbar pagination pager widget skip search dialog complementary contentinfo masthead".split()
 )
+# Words before a mark that deny it, and words after it that say only what kind of part it marks.
+_DENIED = frozenset("has have no non not with without".split())
+_PARTS = frozenset(
+    "area bar block body bottom box btn button buttons container default form group icon icons inner item items left link links list "
+    "media outer panel post posts right section slot stories top unit wrap wrapper".split()
+)
 _PAGE_WORDS = frozenset("header footer".split())  # boilerplate outside an article only
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/a-zA-Z][^>]*(?:>|\Z)", re.S
@@ -62,22 +72,39 @@ _RAW_END = {n: re.compile(rf"</{n}\b[^>]*(?:>|\Z)", re.I) for n in _RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _marked(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element announces itself as boilerplate."""
+_SURE, _LIKELY = 2, 1
+
+
+def _meant(token: str) -> str:
+    """What a class or id is about: its last word that says more than the kind of part."""
+    words = [w for w in _SPLIT.split(token) if w and not w.isdigit()]
+    if len(words) > 1 and words[0] in _DENIED:
+        return ""
+    while len(words) > 1 and words[-1] in _PARTS:
+        words.pop()
+    return words[-1] if words else ""
+
+
+def _marked(name: str, attrs: str, in_article: bool) -> int:
+    """Whether an element announces itself as boilerplate: for sure, or by the words of its class or id."""
     if name in _DROP or (name in _PAGE_WORDS and not (in_article and name == "header")):
-        return True
+        return _SURE
     if not attrs or name in ("html", "body", "article", "main"):
-        return False
+        return 0
+    found = 0
     for m in _ATTR.finditer(attrs):
         key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value.strip() == "true":
-            return True
+            return _SURE
         if key not in ("class", "id", "role"):
             continue
-        for word in _SPLIT.split(value):
+        for token in value.split():
+            word = _meant(token)
             if word in _WORDS or (word in _PAGE_WORDS and not in_article):
-                return True
-    return False
+                if key == "role":
+                    return _SURE
+                found = _LIKELY
+    return found
 
 
 def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
@@ -94,15 +121,28 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
     opened: Counter[str] = Counter()
     dropped_at: int | None = None  # stack height at which a dropped element began
     dropped_by = ""
+    back = -1  # where an element dropped for its class or id begins, else -1
+    links_before = lines_before = 0
+    sure_at: int | None = None  # stack height of an element in it that is dropped anyhow
+    own: list[int] = []  # characters besides links in the lines of that element
+    likely: list[tuple[int, int, int]] = []  # elements in it, itself included, that are dropped likewise: tag, line, stack height
+    kept: set[int] = set()  # tags whose elements have proved dense
+    dense = False
     at = 0
 
     def close_block() -> None:
-        nonlocal linked
+        nonlocal linked, dense
         if not parts:
             return
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
-        if text:
+        if text and dropped_at is not None:
+            own.append(0 if linked * 10 >= len(text) * 9 else len(text))
+            if sum(own[-WINDOW:]) >= DENSE:
+                first = next(k for k in range(len(own) - 1, -1, -1) if sum(own[k:]) >= DENSE)
+                kept.update(tag for tag, line, _ in likely if line <= first)
+                dense = True
+        elif text:
             # A block that is nothing but links is a menu.
             menu = not articles and linked * 10 >= len(text) * 9
             outside.append(("", 0) if menu else (text, len(text)))
@@ -114,33 +154,66 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         outside.extend(_GAP)
         inside.extend(_GAP)
 
+    def end_drop() -> bool:
+        """Ends the dropped element, the stack being as at its start; False if it is to be read again as a part of the page."""
+        nonlocal dropped_at, sure_at, back, links, linked, dense, at
+        close_block()
+        parts.clear()
+        again = dense
+        if again:
+            at = back
+            del inside[lines_before:], outside[lines_before:]
+        dropped_at, sure_at, back, dense = None, None, -1, False
+        links, linked = links_before, 0
+        own.clear()
+        likely.clear()
+        if not again:
+            gap()
+        return not again
+
+    def unwind() -> bool:
+        while len(stack) > dropped_at:
+            opened[stack.pop()] -= 1
+        return end_drop()
+
     def push(name: str) -> None:
         stack.append(name)
         opened[name] += 1
 
     def pop_to(name: str) -> None:
-        nonlocal articles, dropped_at
+        nonlocal articles, sure_at
         while stack:
             top = stack.pop()
             opened[top] -= 1
             if top in ("article", "main"):
                 articles -= 1
-            if dropped_at is not None and len(stack) <= dropped_at:
-                dropped_at = None
-                gap()
+            if dropped_at is not None:
+                if len(stack) <= dropped_at:
+                    if not end_drop():
+                        return
+                else:
+                    if sure_at is not None and len(stack) <= sure_at:
+                        sure_at = None
+                    while likely[1:] and likely[-1][2] >= len(stack):
+                        likely.pop()
             if top == name:
                 return
 
     n = len(html)
-    while at < n:
+    while at < n or dropped_at is not None:
+        if at >= n or dense:
+            unwind()
+            continue
         m = _TAG.search(html, at)
         text = html[at : m.start() if m else n]
-        if text and dropped_at is None:
+        read = dropped_at is None or back >= 0 and sure_at is None
+        if text and read:
             parts.append(text)
             if links:
                 linked += len(text.strip())
         if not m:
-            break
+            at = n
+            continue
         at = m.end()
         name = (m.group("name") or "").lower()
         if not name:
@@ -148,8 +221,10 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         if m.group("end"):
             if name == "a":
                 links = max(0, links - 1)
-            if name in _BLOCK and dropped_at is None:
+            if name in _BLOCK and read:
                 close_block()
+                if dense:
+                    continue
             if opened[name]:
                 pop_to(name)
             continue
@@ -160,23 +235,37 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         if dropped_at is not None:
             over = name in ("article", "main") and dropped_by not in ("article", "main") or dropped_by == "p" and name in _BLOCK
             if over or (name == dropped_by and name in _SIBLINGS):
-                while len(stack) > dropped_at:
-                    opened[stack.pop()] -= 1
-                dropped_at = None
-                gap()
+                if not unwind():
+                    continue
             else:
-                if name in _NESTS or name == dropped_by and name not in _VOID:
+                marked = 0
+                if back >= 0 and sure_at is None:
+                    if name in _BLOCK:
+                        close_block()
+                    links += name == "a"
+                    marked = 0 if name in _VOID else _marked(name, m.group("attrs"), articles > 0)
+                if marked == _SURE:
+                    sure_at = len(stack)
+                elif marked == _LIKELY and name in _NESTS:
+                    likely.append((m.start(), len(own), len(stack)))
+                if name in _NESTS or marked == _SURE or name == dropped_by and name not in _VOID:
                     push(name)
                 continue
         if name in _BLOCK:
             close_block()
-        if name == "a":
-            links += 1
-        if name not in _VOID and _marked(name, m.group("attrs"), articles > 0):
+        marked = 0 if name in _VOID else _marked(name, m.group("attrs"), articles > 0)
+        if marked == _SURE or marked == _LIKELY and m.start() not in kept:
+            close_block()
+            links_before, lines_before = links, len(outside)
             gap()
+            links += name == "a"
             dropped_at, dropped_by = len(stack), name
+            if marked == _LIKELY:
+                back = m.start()
+                likely.append((back, 0, dropped_at))
             push(name)
             continue
+        links += name == "a"
         if name in ("article", "main"):
             gap()
             articles += 1

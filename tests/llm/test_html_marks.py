@@ -21,3 +21,28 @@ LONG = "This is a long paragraph of running text that no menu would have, with m
 )
 def test_only_real_attributes_count(page, want):
     assert html_extract.main_text(page) == want
+
+
+BODY = "\n".join([LONG] * 4)
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in BODY.split("\n"))
+
+
+@pytest.mark.parametrize("mark", ['class="layout has-sidebar"', 'id="search-results"', 'class="post related"', 'class="content no-comment"', "class=related"])
+def test_marked_elements_full_of_text_stay(mark):
+    ad = "<div class='ad'>Buy</div><div class=ad-slot>Buy</div>"
+    assert html_extract.main_text(f"<body><nav>x</nav><div {mark}>{ad}{PARAGRAPHS}<div id=share>Tell</div></div><footer>y</footer></body>") == BODY
+    assert html_extract.main_text(f"<article><p>One.</p><section {mark}>{ad}{PARAGRAPHS}</section><p>Two.</p></article>") == f"One.\n{BODY}\nTwo."
+    nested = f"<div {mark}><div class=related><p>In.</p>{PARAGRAPHS}<div class=promo>No</div>"
+    assert html_extract.main_text(nested) == f"In.\n{BODY}"
+
+
+def test_thin_marked_elements_go():
+    links = "".join(f'<li><a href="/{i}">{LONG}</a></li>' for i in range(9))
+    for mark in ("class=sidebar-left", "class='x comment-list'", "id=promo-7", "class=related"):
+        assert html_extract.main_text(f"<article><p>One.</p><div {mark}><ul>{links}</ul><p>No.</p></div><p>Two.</p></article>") == "One.\nTwo."
+    assert html_extract.main_text("<article><section class='search-methods'><p>Short.</p></section></article>") == "Short."
+    assert html_extract.main_text(f"<article><div class=promo><form>{PARAGRAPHS}</form></div><p>Two.</p></article>") == "Two."
+
+
+def test_deeply_nested_marks_are_read_in_proportion():
+    assert html_extract.main_text("<div class=ad>" * 20_000 + PARAGRAPHS) == BODY
