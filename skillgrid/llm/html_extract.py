@@ -10,9 +10,11 @@ them holds ``DENSE`` characters besides links, the lines stay and are judged
 like others. Text lengths are summed over a sliding
 window of ``WINDOW`` lines. The text surges where a window sum rises from zero
 and dives where it falls back to zero; what lies between a surge and a dive is
-a segment. Inside an article or main element every segment with text is kept.
-On pages without one, segments are kept whose window sums reach ``SURGE``
-characters, or the longest segment if none does.
+a segment. A dropped element inside a container that goes on parts no segment.
+Inside an article or main element every segment with text is kept. On pages
+without one, the segments from the first to the last whose window sums reach
+``SURGE`` characters are kept, and the one right before and after them; if none
+reaches it, the longest segment.
 
 Scale: a page is one row; an Arrow-batched function of the html column, no
 shuffle, linear in the page.
@@ -154,6 +156,13 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         outside.extend(_GAP)
         inside.extend(_GAP)
 
+    def part() -> None:
+        """A dropped element begins or ends: a gap, unless a container goes on around it."""
+        if stack:
+            close_block()
+        else:
+            gap()
+
     def end_drop() -> bool:
         """Ends the dropped element, the stack being as at its start; False if it is to be read again as a part of the page."""
         nonlocal dropped_at, sure_at, back, links, linked, dense, at
@@ -168,7 +177,7 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         own.clear()
         likely.clear()
         if not again:
-            gap()
+            part()
         return not again
 
     def unwind() -> bool:
@@ -257,7 +266,7 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         if marked == _SURE or marked == _LIKELY and m.start() not in kept:
             close_block()
             links_before, lines_before = links, len(outside)
-            gap()
+            part()
             links += name == "a"
             dropped_at, dropped_by = len(stack), name
             if marked == _LIKELY:
@@ -303,7 +312,10 @@ def main_text(html: str | None) -> str:
         segments.append((high, total, held))
     if not segments:
         return ""
-    kept = segments if article else [s for s in segments if s[0] >= SURGE] or [max(segments, key=lambda s: s[1])]
+    kept = segments
+    if not article:
+        surged = [i for i, s in enumerate(segments) if s[0] >= SURGE]
+        kept = segments[max(0, surged[0] - 1) : surged[-1] + 2] if surged else [max(segments, key=lambda s: s[1])]
     return "\n".join(x for _, _, blocks in kept for x in blocks)
 
 

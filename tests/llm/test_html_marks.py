@@ -46,3 +46,12 @@ def test_thin_marked_elements_go():
 
 def test_deeply_nested_marks_are_read_in_proportion():
     assert html_extract.main_text("<div class=ad>" * 20_000 + PARAGRAPHS) == BODY
+
+
+def test_short_blocks_parted_from_the_body_by_an_advert_stay():
+    ad = "<div class=ad>Buy</div>"
+    far = f"<p>Far.</p>{ad}"
+    want = f"Head\n{LONG}\nMiddle.\n{LONG}\nEnd."
+    page = f"<h1>Head</h1>{ad}<p>{LONG}</p>{ad}<p>Middle.</p>{ad}<p>{LONG}</p>{ad}<p>End.</p>"
+    assert html_extract.main_text(f"<body>{far}{page}{ad}<p>Far.</p></body>") == want
+    assert html_extract.main_text(f"<body>{ad}<div><h1>A</h1>{ad}<h2>B</h2>{ad}<p>{LONG}</p></div>{ad}</body>") == f"A\nB\n{LONG}"
