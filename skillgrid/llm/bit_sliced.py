@@ -20,9 +20,10 @@ than one pair's bitmaps at a time. Each pair passes at most k rows per query
 on; the last step ranks those.
 
 Defined results: vectors that are null, empty, or hold null or non-finite
-components, and rows without an id, take no part, nor do components of 2^20 and
-more, whose products might not fit a long; vectors are compared with vectors of
-their own length; rows with the query's id are never its candidates; other
+components, and rows without an id, take no part; pairs with a vector whose
+products might not fit a long are scored with Python integers, block by block,
+and ``score`` is null where it does not fit a long (``rank`` is exact all the
+same); vectors are compared with vectors of their own length; rows with the query's id are never its candidates; other
 repeated rows count each, ties going to the smaller id; if a query id is
 repeated, its least vector asks; an empty table gives an empty result; extra
 columns are not read.
@@ -30,6 +31,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,18 +49,81 @@ QUERIES = 512
 SLICE_BITS = 6
 WEIGHT_BITS = 6
 _LARGEST = float(1 << 20)
+_WHOLE = float(1 << 43)
+_LARGE = float(1 << 41)  # largest component squared, times the components: integer products and their sums fit a long below it
+_LONG = (1 << 63) - 1
 _TILE = 128  # queries whose bitmaps are added at once
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def integer_vectors(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, dim, v): the usable rows with their integer components."""
+def usable_vectors(embeddings: DataFrame) -> DataFrame:
+    """(vec_id, dim, z, large): the usable rows, components rounded down to multiples of 1 / ``SCALE``; large if products may not fit a long."""
     x = F.transform("embedding", lambda c: c.cast("double"))
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
-    sound = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(_LARGEST)))
+    sound = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & sound)
-    ints = F.transform("x", lambda c: F.floor(c * F.lit(float(SCALE))).cast("long"))
-    return rows.select("vec_id", F.size("x").alias("dim"), ints.alias("v"))
+    # Doubles of _WHOLE and more are multiples already.
+    z = F.transform("x", lambda c: F.when(F.abs(c) < _WHOLE, F.floor(c * F.lit(float(SCALE))).cast("double") / SCALE).otherwise(c))
+    rows = rows.select("vec_id", F.size("x").alias("dim"), z.alias("z"))
+    most = F.array_max(F.transform("z", lambda c: F.abs(c)))
+    return rows.withColumn("large", most * most * F.col("dim") >= _LARGE)
+
+
+def integer_vectors(usable: DataFrame) -> DataFrame:
+    """(vec_id, dim, v): the integer components of the rows that are not large."""
+    return usable.where(~F.col("large")).select("vec_id", "dim", F.transform("z", lambda c: (c * F.lit(float(SCALE))).cast("long")).alias("v"))
+
+
+def _exact_integers(z: bytes, dim: int) -> np.ndarray:
+    """The integer components as Python integers."""
+    whole = [int(x) * SCALE if abs(x) >= _WHOLE else int(x * SCALE) for x in np.frombuffer(z, np.float64).tolist()]
+    return np.array(whole, dtype=object).reshape(-1, dim)
+
+
+def _order_key(score: int) -> bytes:
+    """Bytes in the order of integers of one sign."""
+    n = -(-abs(score).bit_length() // 8)
+    key = n.to_bytes(4, "big") + abs(score).to_bytes(n, "big")
+    return key if score >= 0 else bytes(255 - b for b in key)
+
+
+_FOUND = "query_id long, vec_id long, score long, beyond int, order binary"
+
+
+def exact_pairs(candidates: DataFrame, asked: DataFrame, k: int, block: int) -> DataFrame:
+    """Each query's k best of every block, by Python integers: ``beyond`` is the sign of scores that fit no long, ``order`` their order."""
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("vec_id", kind="stable")
+        z = np.stack(frame["z"].to_numpy()).astype(np.float64)
+        ids = frame["vec_id"].to_numpy(np.int64).tobytes()
+        return pd.DataFrame({"dim": [z.shape[1]], "part": [frame["part"].iloc[0]], "ids": [ids], "z": [z.tobytes()]})
+
+    def packed(rows: DataFrame, seed: int, name: str) -> tuple[DataFrame, int]:
+        n = max(1, -(-rows.count() // block))
+        parts = rows.select("vec_id", "dim", "z", F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)).cast("int").alias("part"))
+        out = parts.groupBy("dim", "part").applyInPandas(pack, "dim int, part int, ids binary, z binary")
+        return out.select("dim", *[F.col(c).alias(f"{name}{c}") for c in ("part", "ids", "z")]), n
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples(index=False):
+                ids, v = np.frombuffer(r.c_ids, np.int64), _exact_integers(r.c_z, r.dim)
+                out = []
+                for own, q in zip(np.frombuffer(r.q_ids, np.int64).tolist(), _exact_integers(r.q_z, r.dim), strict=True):
+                    scores = v.dot(q).tolist()
+                    best = heapq.nsmallest(k, ((-x, i) for x, i in zip(scores, ids.tolist(), strict=True) if i != own))
+                    for x, i in best:
+                        beyond = (-x > _LONG) - (-x < -_LONG)
+                        out.append((own, i, None if beyond else -x, beyond, _order_key(-x) if beyond else None))
+                columns = [c.split()[0] for c in _FOUND.split(", ")]
+                yield pd.DataFrame(out, columns=columns).astype({"score": "object"})
+
+    rows, n = packed(candidates, 3, "c_")
+    queries, m = packed(asked, 4, "q_")
+    rows = rows.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    queries = queries.withColumn("c_part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return rows.join(queries, ["dim", "c_part", "q_part"]).mapInPandas(search, _FOUND)
 
 
 def _pack(frame: pd.DataFrame) -> pd.DataFrame:
@@ -194,9 +259,11 @@ def search_block(ids: np.ndarray, v: np.ndarray, low: np.ndarray, width: np.ndar
 
 def top_k(embeddings: DataFrame, queries: DataFrame, k: int = TOP, block: int = BLOCK, group: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of ``embeddings`` for each row of ``queries``."""
-    vectors = integer_vectors(embeddings)
-    asked = integer_vectors(queries).groupBy("vec_id", "dim").agg(F.min("v").alias("v"))
-    asked = materialize(asked.groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q")).select("vec_id", "q.dim", "q.v"), "bsi-queries")
+    usable, asking = usable_vectors(embeddings), usable_vectors(queries)
+    vectors = integer_vectors(usable)
+    least = asking.groupBy("vec_id").agg(F.min(F.struct("dim", "z", "large")).alias("q"))
+    least = materialize(least.select("vec_id", "q.dim", "q.z", "q.large"), "bsi-queries")
+    asked = integer_vectors(least)
     n_blocks = max(1, -(-vectors.count() // block))
     n_groups = max(1, -(-asked.count() // group))
 
@@ -221,7 +288,13 @@ def top_k(embeddings: DataFrame, queries: DataFrame, k: int = TOP, block: int =
                 yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
     found = blocks.join(packed, ["dim", "block", "grp"]).mapInPandas(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumns({"beyond": F.lit(0), "order": F.lit(None).cast("binary")})
+    large = usable.where("large")
+    if least.where("large").limit(1).count():
+        found = found.union(exact_pairs(usable, least.where("large"), k, block))
+    if large.limit(1).count():
+        found = found.union(exact_pairs(large, least.where(~F.col("large")), k, block))
+    best = Window.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("order"), F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
