@@ -175,7 +175,7 @@ def geo_summary(
         F.avg("share_of_ads").alias("share_of_ads"),
     )
     # The mean's last bits depend on the order of summation: ties are judged without them.
-    ordered = summary.orderBy(F.round(F.col(m), 10).desc(), *[F.asc(k) for k in GEO_KEYS])
+    ordered = summary.orderBy(F.round(F.col(m), 10).desc(), *[F.asc_nulls_last(k) for k in GEO_KEYS])
     return ordered.limit(top_n) if top_n else ordered
 
 

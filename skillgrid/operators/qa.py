@@ -28,13 +28,13 @@ def qa_top(summary: DataFrame, k: int = QA_TOP) -> DataFrame:
 
 
 def skill_samples(matches: DataFrame, per_skill: int = SAMPLES_PER_SKILL) -> DataFrame:
-    """Newest ``per_skill`` matches per skill (month desc, then id) for review.
+    """Newest ``per_skill`` matches per skill (month desc, then id, NULL ids last) for review.
 
     ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so a skill holding a third of all matches still sends at most
     ``k`` rows per map partition.
     """
-    w = Window.partitionBy("skill").orderBy(F.desc("publication_month"), F.asc("id"))
+    w = Window.partitionBy("skill").orderBy(F.desc("publication_month"), F.asc_nulls_last("id"))
     return (
         matches.withColumn("sample_rank", F.row_number().over(w))
         .where(F.col("sample_rank") <= per_skill)

@@ -9,14 +9,14 @@ from skillgrid.plans.oracle import ORACLE_SQL
 from skillgrid.plans.registry import QUERIES
 from skillgrid.plans.verify import compare, duckdb_connection
 
-from .conftest import SF_SMALL
+from .conftest import SF_ORACLE, SF_SMALL
 
 NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
-def duck():
-    return duckdb_connection(SF_SMALL)
+def ducks():
+    return {sf: duckdb_connection(sf) for sf in (SF_SMALL, SF_ORACLE)}
 
 
 def test_every_query_has_an_oracle():
@@ -25,10 +25,11 @@ def test_every_query_has_an_oracle():
     assert len(NAMES) >= 42
 
 
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_ORACLE])
 @pytest.mark.parametrize("name", NAMES)
-def test_query_matches_oracle(spark, duck, name):
-    got = QUERIES[name](spark, SF_SMALL).toPandas()
-    want = duck.execute(ORACLE_SQL[name]).df()
+def test_query_matches_oracle(spark, ducks, name, sf):
+    got = QUERIES[name](spark, sf).toPandas()
+    want = ducks[sf].execute(ORACLE_SQL[name]).df()
     result = compare(name, got, want)
     assert result.ok, result.detail
 

@@ -16,13 +16,13 @@ def test_changed_input_gives_changed_results_in_one_session(spark, tmp_dir):
     sf = tmp_dir / "sf"
     sf.mkdir()
     for table in ("documents", "nation", "region"):
-        shutil.copy(f"{SF_SMALL}/{table}.parquet", sf)
+        shutil.copyfile(f"{SF_SMALL}/{table}.parquet", sf / f"{table}.parquet")
     before = QUERIES["regex_skills"](spark, str(sf)).count()
     rows = QUERIES["load_totals"](spark, str(sf)).first().rows
     fewer = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 20")
     fewer.coalesce(1).write.mode("overwrite").parquet(str(sf / "documents.parquet.new"))
     part = next((sf / "documents.parquet.new").glob("part-*.parquet"))
-    shutil.copy(part, sf / "documents.parquet")
+    shutil.copyfile(part, sf / "documents.parquet")
     after = QUERIES["regex_skills"](spark, str(sf)).count()
     assert 0 < after < before
     assert QUERIES["load_totals"](spark, str(sf)).first().rows < rows
