@@ -12,6 +12,7 @@ from skillgrid.llm import (
     html_extract,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_gam,
     sharding,
     suffix_dedup,
@@ -63,11 +64,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_classes(read(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.hidden_runs(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_token_counts, op2_bit_sliced_search, op3_template_decontamination, op4_quality_gam, op5_systematic_mix,
-        op6_suffix_dedup, op7_html_extraction, op8_hash_tree, op9_url_filters, op10_ngram_join,
+        op6_suffix_dedup, op7_html_extraction, op8_hash_tree, op9_url_filters, op10_ngram_join, op12_periodic_runs,
     )
 }
 
