@@ -15,6 +15,7 @@ from skillgrid.llm import (
     periodic_runs,
     quality_gam,
     sharding,
+    spelling_variants,
     suffix_dedup,
     token_counts,
     url_filter,
@@ -68,11 +69,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.hidden_runs(read(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_token_counts, op2_bit_sliced_search, op3_template_decontamination, op4_quality_gam, op5_systematic_mix,
         op6_suffix_dedup, op7_html_extraction, op8_hash_tree, op9_url_filters, op10_ngram_join, op12_periodic_runs,
+        op13_spelling_variants,
     )
 }
 

@@ -33,8 +33,10 @@ def brute_runs(s):
         same = np.concatenate(([0], codes[q:] == codes[:-q], [0])).astype(int)
         edge = np.diff(same)
         for i, j in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            if j - i + q < max(6, 4 * q):
+                continue
             w = list(s[i : i + q])
-            if j - i + q >= max(6, 4 * q) and not any(q % d == 0 and w == w[:d] * (q // d) for d in range(1, q)):
+            if not any(q % d == 0 and w == w[:d] * (q // d) for d in range(1, q)):
                 out.add((i, j - i + q, q))
     return sorted(out)
 
