@@ -18,6 +18,7 @@ from skillgrid.llm import (
     spelling_variants,
     suffix_dedup,
     token_counts,
+    toxicity,
     url_filter,
 )
 from skillgrid.llm.common import read
@@ -65,6 +66,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_classes(read(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.hidden_runs(read(spark, sf_dir, "documents"))
 
@@ -77,7 +82,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_token_counts, op2_bit_sliced_search, op3_template_decontamination, op4_quality_gam, op5_systematic_mix,
-        op6_suffix_dedup, op7_html_extraction, op8_hash_tree, op9_url_filters, op10_ngram_join, op12_periodic_runs,
+        op6_suffix_dedup, op7_html_extraction, op8_hash_tree, op9_url_filters, op10_ngram_join, op11_toxicity, op12_periodic_runs,
         op13_spelling_variants,
     )
 }

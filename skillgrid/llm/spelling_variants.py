@@ -225,7 +225,7 @@ def near_words(vocab: DataFrame, filters: BloomFilters) -> DataFrame:
                         w[:k] + (chr(c) if c else "") + w[k + 1 :]
                         for w, k, c in zip(chosen, place[part].tolist(), point[part].tolist(), strict=True)
                     ]
-                    yield pd.DataFrame({"word": chosen, "n": counts[number[part]], "edit": edits})
+                    yield pd.DataFrame({"word": pd.Series(chosen, dtype=object), "n": counts[number[part]], "edit": pd.Series(edits, dtype=object)})
 
     edits = vocab.select("word", "n").mapInPandas(probe, "word string, n long, edit string")
     known = vocab.select(F.col("word").alias("edit"), F.col("n").alias("edit_n"))
