@@ -40,6 +40,15 @@ def require_table(spark: SparkSession, path: str, hint: str) -> DataFrame:
         raise RuntimeError(f"{path} does not exist. {hint}") from exc
 
 
+def require_ads(spark: SparkSession, warehouse_dir: str, hint: str) -> DataFrame:
+    """The newest version of the ads table, or an instruction when there is none."""
+    path = _table(warehouse_dir, "historical_job_ads")
+    try:
+        return archives.read_ads_table(spark, path)
+    except FileNotFoundError as exc:
+        raise RuntimeError(f"{path} does not exist. {hint}") from exc
+
+
 def _table(warehouse_dir: str, name: str) -> str:
     return f"{warehouse_dir.rstrip('/')}/{name}"
 
@@ -52,9 +61,7 @@ def _write(df: DataFrame, warehouse_dir: str, name: str) -> DataFrame:
 
 def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame]:
     """Steps 2-4 from an existing ads table."""
-    ads = require_table(
-        spark, _table(warehouse_dir, "historical_job_ads"), "Load archives first (step 1)."
-    ).select(*archives.ADS_COLUMNS)
+    ads = require_ads(spark, warehouse_dir, "Load archives first (step 1).")
     t: dict[str, DataFrame] = {"historical_job_ads": ads}
     t["historical_job_skills"] = _write(extract.ams_skills(ads), warehouse_dir, "historical_job_skills")
     matches = _write(extract.regex_skill_matches(ads), warehouse_dir, "historical_regex_skill_matches")
@@ -169,7 +176,6 @@ def main() -> None:
 def build_skills_tables(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame]:
     """The written tables of a built warehouse, by name."""
     names = [
-        "historical_job_ads",
         "historical_job_skills",
         "historical_regex_skills",
         "historical_regex_skill_qa_summary",
@@ -177,7 +183,8 @@ def build_skills_tables(spark: SparkSession, warehouse_dir: str) -> dict[str, Da
         "monthly_skill_counts",
     ]
     hint = "Build the warehouse first."
-    return {n: require_table(spark, _table(warehouse_dir, n), hint) for n in names}
+    ads = {"historical_job_ads": require_ads(spark, warehouse_dir, hint)}
+    return {**ads, **{n: require_table(spark, _table(warehouse_dir, n), hint) for n in names}}
 
 
 if __name__ == "__main__":

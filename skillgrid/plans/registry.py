@@ -30,6 +30,7 @@ TOP_N = 10
 # Archive replacement scenario: one archive reloaded, one reloaded empty.
 RELOADED_ARCHIVE = "src3"
 EMPTIED_ARCHIVE = "src7"
+RELOADED_SINCE = "2023-09-01"
 
 
 def _wh(spark: SparkSession, sf_dir: str):
@@ -113,4 +114,7 @@ QUERIES: dict[str, Query] = {
     "replace_partition": lambda s, d: _wh(s, d).replace_partition_demo(
         RELOADED_ARCHIVE, EMPTIED_ARCHIVE
     ),
+    "archive_versions": lambda s, d: _wh(s, d).archive_versions_demo(
+        RELOADED_ARCHIVE, EMPTIED_ARCHIVE, RELOADED_SINCE
+    ),
 }

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from skillgrid.operators import extract, marts
 from skillgrid.session import app_id, apply_defaults, list_files, materialize, row_group_option, stage_path
 from skillgrid.sources import archives, binding
+from skillgrid.sources.versions import VersionedTable
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple, SkillWarehouse] = {}
@@ -153,10 +154,27 @@ class SkillWarehouse:
         )
         archives.replace_archive(new_load, path, reloaded)
         archives.replace_archive(new_load.where(F.lit(False)), path, emptied)
-        replaced = archives.read_ads_table(self.spark, path, ads.select(*binding.ADS_COLUMNS).schema)
+        replaced = archives.read_ads_table(self.spark, path)
         return replaced.unionByName(ads.where(~touched | F.col("source_archive").isNull()))
 
 
+    def archive_versions_demo(self, reloaded: str, emptied: str, since: str) -> DataFrame:
+        """Rows per archive and version after a load, a reload, a load that is never published, and a clearance.
+
+        Version 1 holds all archives; version 2 reloads one with its ads since
+        a month; version 3 clears another. Returns (source_archive, version,
+        rows, current).
+        """
+        table = VersionedTable(self.spark, stage_path(self.spark, "ads_versions"), "source_archive")
+        ads = self.ads().select("id", "publication_month", "source_archive")
+        table.stage(ads).publish(whole=True)
+        newer = ads.where((F.col("source_archive") == reloaded) & (F.col("publication_month") >= F.lit(since).cast("timestamp_ntz")))
+        table.stage(newer, [reloaded]).publish()
+        table.stage(newer.limit(1), [reloaded])  # a job that ends here leaves no trace
+        table.stage(newer.limit(0), [emptied]).publish()
+        return table.part_versions().withColumnRenamed("part", "source_archive")
+
+
 def warehouse(spark: SparkSession, sf_dir: str, materialize_stages: bool = True) -> SkillWarehouse:
     """The (cached) warehouse of one session and one state of an input folder's files."""
     apply_defaults(spark)

@@ -6,8 +6,9 @@ archive, the only Python in the path), and every line is parsed by Spark's
 JSON reader with one explicit schema. The occupation fields are a struct in
 2022 archives and a list of structs in the others; they are read as VARIANT
 and the label is taken from whichever shape is present, so one read covers
-every year. The table is Parquet partitioned by ``source_archive``: a full
-rebuild overwrites it, an append replaces only the loaded archives.
+every year. The table is versioned by ``source_archive``
+(``skillgrid.sources.versions``): a full rebuild or an append writes a new
+version aside and publishes it whole.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skillgrid.functions.text import month_start
-from skillgrid.session import list_files, path_exists, row_group_option
+from skillgrid.session import list_files, row_group_option
 from skillgrid.sources.binding import ADS_COLUMNS
+from skillgrid.sources.versions import Staged, VersionedTable
 
 BATCH_BYTES = 8 << 20  # characters of the lines that a task holds at once
 
@@ -243,60 +245,54 @@ def raw_lines_from_ads(ads: DataFrame) -> DataFrame:
 
 
 # --- S6, S7: write ------------------------------------------------------------
-# Characters Hive-style partition folders escape as %XX.
-_PATH_ESCAPES = set('"#%\'*/:=?\\{[]^\x7f') | {chr(c) for c in range(0x20)}
+def ads_table(spark: SparkSession, table_path: str) -> VersionedTable:
+    """The ads table: one versioned part per archive."""
+    return VersionedTable(spark, table_path, "source_archive")
 
 
-def partition_dir(table_path: str, archive: str) -> str:
-    """Folder of one archive's partition, with partition-value escaping."""
-    value = "".join(f"%{ord(c):02X}" if c in _PATH_ESCAPES else c for c in archive)
-    return f"{table_path.rstrip('/')}/source_archive={value}"
+def stage_ads(ads: DataFrame, table_path: str, covered: list[str] | None = None) -> Staged:
+    """Writes a load aside, in one job; ``covered`` names its archives, those without rows included."""
+    spark = ads.sparkSession
+    return ads_table(spark, table_path).stage(ads.select(*ADS_COLUMNS), covered, row_group_option(spark))
 
 
 def write_ads(ads: DataFrame, table_path: str) -> None:
     """Full rebuild: the table becomes exactly ``ads``, partitioned by archive."""
-    writer = ads.select(*ADS_COLUMNS).write.mode("overwrite").options(**row_group_option(ads.sparkSession))
-    writer.partitionBy("source_archive").parquet(table_path)
+    stage_ads(ads, table_path).publish(whole=True)
 
 
 def replace_archive(archive_ads: DataFrame, table_path: str, archive: str) -> None:
     """Replace one archive's rows (delete + insert of the SQL loader).
 
-    A static overwrite of that archive's partition folder: whatever the new
-    load holds, possibly nothing, becomes the archive's content, and other
-    archives are untouched. Reads the new load once.
+    Whatever the new load holds, possibly nothing, becomes the archive's
+    content, and other archives are untouched. Reads the new load once; until
+    it is written whole, readers see the old rows.
     """
-    cols = [c for c in ADS_COLUMNS if c != "source_archive"]
-    writer = archive_ads.select(*cols).write.mode("overwrite").options(**row_group_option(archive_ads.sparkSession))
-    writer.parquet(partition_dir(table_path, archive))
+    stage_ads(archive_ads.withColumn("source_archive", F.lit(archive)), table_path, [archive]).publish()
 
 
-def replace_archives_dynamic(ads: DataFrame, table_path: str) -> None:
-    """Replace every archive present in ``ads`` in one job (dynamic overwrite).
+def replace_archives(ads: DataFrame, table_path: str, tags: dict[str, str] | None = None) -> None:
+    """Replace every archive present in ``ads`` in one job and at once.
 
-    For micro-batches, where each archive file arrives with its rows.
+    For micro-batches, where each archive file arrives with its rows; a batch
+    whose ``tags`` the table already bears is not published again.
     """
-    (
-        ads.select(*ADS_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_archive")
-        .parquet(table_path)
-    )
+    stage_ads(ads, table_path).publish(tags=tags)
+
+
+def read_ads_table(spark: SparkSession, table_path: str, version: int | None = None) -> DataFrame:
+    """The ads table's newest version (or a given one), columns in table order; archive names are strings."""
+    return ads_table(spark, table_path).read(version).select(*ADS_COLUMNS)
 
 
-def read_ads_table(spark: SparkSession, table_path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The partitioned ads table, columns in table order.
+def stage_archives(spark: SparkSession, raw_dir: str, table_path: str, years: list[int] | None = None) -> Staged:
+    """Discover, read, flatten and write archives aside: every zip is read once, in one job for all of them.
 
-    Archive names are strings whatever they look like: partition values are
-    cast back, so a bare number keeps its text as far as Spark's inference does
-    (pass the ``schema`` for names with leading zeros).
+    A zip that cannot be read raises here, with the table as it was.
     """
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    table = reader.parquet(table_path).select(*ADS_COLUMNS)
-    return table.withColumn("source_archive", F.col("source_archive").cast("string"))
+    paths = archive_paths(spark, raw_dir, years)
+    ads = flatten_ads(parse_ad_lines(read_archive_lines(spark, paths)))
+    return stage_ads(ads, table_path, [archive_key(p) for p in paths])
 
 
 def load_archives(
@@ -306,27 +302,22 @@ def load_archives(
     years: list[int] | None = None,
     append: bool = False,
 ) -> DataFrame:
-    """Discover, read, flatten and write archives; return the written table.
+    """Load archives and return the written table.
 
-    A rebuild reads all archives in one job. ``append`` replaces archive by
-    archive (one job each, like the SQL loader's delete + insert), so an
-    archive that is now empty is cleared and every zip is read once.
+    A rebuild makes the table exactly these archives; ``append`` replaces them
+    and keeps the others. Either way all archives of the load become visible
+    at once, when the last one is written; an archive that is now empty is
+    cleared. A table that cannot be read is not appended to.
     """
-    paths = archive_paths(spark, raw_dir, years)
-
-    def load(selected: list[str]) -> DataFrame:
-        return flatten_ads(parse_ad_lines(read_archive_lines(spark, selected)))
-
-    # Only the path's absence means "no table": a table that cannot be read raises below, untouched.
-    if not append or not path_exists(spark, table_path):
-        ads = load(paths)
-        write_ads(ads, table_path)
-        return read_ads_table(spark, table_path, ads.schema)
-    # All footers are read first, so damage shows before anything is replaced.
-    spark.read.option("mergeSchema", True).parquet(table_path).schema  # noqa: B018
-    schema = None
-    for path in paths:
-        ads = load([path])
-        schema = ads.schema
-        replace_archive(ads, table_path, archive_key(path))
-    return read_ads_table(spark, table_path, schema)
+    if append:
+        check_readable(spark, table_path)
+    stage_archives(spark, raw_dir, table_path, years).publish(whole=not append)
+    return read_ads_table(spark, table_path)
+
+
+def check_readable(spark: SparkSession, table_path: str) -> None:
+    """Raises if a file of the table's newest version is damaged (every footer is read)."""
+    manifest = ads_table(spark, table_path).manifest()
+    folders = [f"{table_path.rstrip('/')}/{e.folder}" for e in manifest.entries if e.folder] if manifest else []
+    if folders:
+        spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*folders).schema  # noqa: B018

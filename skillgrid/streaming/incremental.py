@@ -4,9 +4,10 @@ The replace-by-archive load (S7) as a stream over a landing folder of JSON
 lines files (one file per archive). ``trigger(availableNow=True)`` processes
 every file not yet seen and stops, so a scheduler can run it like a batch
 job; the checkpoint (in the shared checkpoint folder) records which files
-are done. Each micro-batch replaces exactly the archives it contains via
-dynamic partition overwrite, which makes a replayed batch idempotent. A
-file is never split across micro-batches, so an archive is written whole.
+are done. Each micro-batch publishes one version of the table that replaces
+exactly the archives it contains; the version bears the batch's number, so a
+replayed batch publishes nothing new. A file is never split across
+micro-batches, so an archive is written whole.
 
 Archives have the key of the batch load (``2024.jsonl`` is ``2024.jsonl.zip``
 in the table), so loading a year both ways does not double it. Files are told
@@ -26,12 +27,12 @@ from skillgrid.session import checkpoint_root
 from skillgrid.sources import archives
 
 
-def _replace_batch(table_path: str):
-    def write(batch: DataFrame, _epoch: int) -> None:
+def _replace_batch(table_path: str, stream: str):
+    def write(batch: DataFrame, epoch: int) -> None:
         # One path per archive: a small table next to the lines.
         last = batch.groupBy("source_archive").agg(F.max("path").alias("path"))
         ads = archives.flatten_ads(archives.parse_ad_lines(batch.join(last, ["source_archive", "path"]).drop("path")))
-        archives.replace_archives_dynamic(ads, table_path)
+        archives.replace_archives(ads, table_path, {stream: str(epoch)})
 
     return write
 
@@ -62,7 +63,7 @@ def start_archive_stream(
     )
     location = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/skillgrid-streams/archives"
     return (
-        lines.writeStream.foreachBatch(_replace_batch(table_path))
+        lines.writeStream.foreachBatch(_replace_batch(table_path, location))
         .option("checkpointLocation", location)
         .trigger(availableNow=True)
         .start()
