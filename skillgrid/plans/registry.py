@@ -58,6 +58,8 @@ def _broken(mart: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # step 1: extraction -> marts
     "regex_matches": lambda s, d: _wh(s, d).regex_matches(),
+    "regex_matches_indexed": lambda s, d: _wh(s, d).indexed_matches(),
+    "word_matches": lambda s, d: _wh(s, d).word_matches(),
     "regex_skills": lambda s, d: _wh(s, d).regex_skills(),
     "monthly_counts": lambda s, d: _wh(s, d).monthly_counts(),
     "trends": lambda s, d: _wh(s, d).trends(),

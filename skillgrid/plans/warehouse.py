@@ -22,9 +22,10 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgrid.operators import extract, marts
+from skillgrid.functions.taxonomy import taxonomy_frame
+from skillgrid.operators import anchor_join, extract, marts
 from skillgrid.session import app_id, apply_defaults, list_files, materialize, row_group_option, stage_path
-from skillgrid.sources import archives, binding
+from skillgrid.sources import archives, binding, tables
 from skillgrid.sources.versions import VersionedTable
 
 _LOCK = threading.Lock()
@@ -72,6 +73,15 @@ class SkillWarehouse:
         """The compact table, written on its own: marts never read headlines or snippets."""
         return self._stage("regex_skills", lambda: extract.regex_skills(self.regex_matches()), keep=True)
 
+    def indexed_matches(self) -> DataFrame:
+        """The fixed taxonomy as a relation, joined by the alias index: the rows of ``regex_matches``."""
+        return anchor_join.regex_skill_matches(self.ads(), taxonomy_frame(self.spark))
+
+    def word_matches(self) -> DataFrame:
+        """A taxonomy of thousands of aliases (the corpus's rare words), joined by the alias index."""
+        docs = tables.read_table(self.spark, self.sf_dir, "documents").select("doc_id", "text")
+        return anchor_join.regex_skill_matches(self.ads(), anchor_join.word_taxonomy(docs, "doc_id", "text"))
+
     def ams_skills(self) -> DataFrame:
         return extract.ams_skills(self.ads())
 
