@@ -5,8 +5,10 @@ skill: an ordered ``CASE WHEN`` over that skill's aliases, so the first alias
 that matches wins without a join or a window over wide rows. Each alias is
 guarded by a ``contains`` test on its longest literal (and each skill by a
 literal all its aliases share), which skips the regex engine for almost every
-(ad, alias) pair. All of it is a narrow projection: the ad text is read once
-and never shuffled. Only the (id, skill) dedupe shuffles, and with a staging
+(ad, alias) pair. Where several extractions read the same ads, ``with_alias_bits``
+makes those tests once and stores them with the ads as two longs, and each
+extraction runs the regex engine only where a bit is set. All of it is a narrow
+projection: the ad text is read once and never shuffled. Only the (id, skill) dedupe shuffles, and with a staging
 function only for duplicated ids.
 """
 
@@ -79,6 +81,71 @@ def _skill_gate(anchors: list[str | None], min_len: int = 3) -> str | None:
     return best if len(best) >= min_len else None
 
 
+# Two longs of an ad that say which of the fixed taxonomy's aliases its text may hold.
+ALIAS_BITS = ["alias_bits_0", "alias_bits_1"]
+
+
+def _mask_sql(masks: dict[str, int]) -> str:
+    """A test of whether one of the aliases with these bits is possible."""
+    return "(" + " OR ".join(f"(`{c}` & {_long(m)}) <> 0L" for c, m in masks.items()) + ")"
+
+
+def _long(mask: int) -> str:
+    """A mask of 64 bits as a signed SQL long."""
+    return f"bigint('{mask - (1 << 64) if mask >= 1 << 63 else mask}')"
+
+
+def with_alias_bits(ads: DataFrame) -> DataFrame:
+    """Adds ``ALIAS_BITS``: for each alias of the fixed taxonomy, whether the ad's text holds its anchor.
+
+    Valid for both dialects: the text is folded in the way that folds more
+    (which only adds candidates), and an alias's bit is set by its anchor in
+    either dialect; without an anchor it is always set. Each distinct anchor is
+    searched once; anchors that share a substring wait for that.
+    """
+    anchors: dict[str, set[int]] = {}
+    always: set[int] = set()
+    groups: dict[str, list[str | None]] = {}
+    for dialect in ("re2", "python"):
+        rows = pattern_rows(None, dialect)
+        if len(rows) > 64 * len(ALIAS_BITS):
+            raise ValueError(f"{len(rows)} aliases do not fit {len(ALIAS_BITS)} longs; use operators.anchor_join")
+        for number, (skill, _order, pattern) in enumerate(rows):
+            anchor = literal_anchor(pattern)
+            groups.setdefault(skill, []).append(anchor)
+            if anchor is None:
+                always.add(number)
+            else:
+                anchors.setdefault(anchor, set()).add(number)
+    gate_of = {a: gate for found in groups.values() if (gate := _skill_gate(found)) for a in found}
+    by_gate: dict[str | None, list[str]] = {}
+    for anchor in anchors:
+        by_gate.setdefault(gate_of.get(anchor), []).append(anchor)
+    prepared = with_search_columns(ads, "headline", "description_text", "python")
+    columns = []
+    for k, name in enumerate(ALIAS_BITS):
+        mask = lambda numbers: sum(1 << (n % 64) for n in numbers if n // 64 == k)  # noqa: B023, E731
+        parts = [_long(mask(always))]
+        for gate, members in by_gate.items():
+            tests = [
+                f"CASE WHEN contains(`_folded`, {_sql_string(a)}) THEN {_long(mask(anchors[a]))} ELSE 0L END"
+                for a in members if mask(anchors[a])
+            ]
+            if not tests:
+                continue
+            if gate is None:
+                parts += tests
+            else:
+                parts.append(f"CASE WHEN contains(`_folded`, {_sql_string(gate)}) THEN {' | '.join(tests)} ELSE 0L END")
+        # Array elements are compiled in methods of their own, a long chain of ORs is not.
+        columns.append(F.expr(f"aggregate(array({', '.join(parts)}), 0L, (a, x) -> a | x)").alias(name))
+    return prepared.select(*[F.col(c) for c in ads.columns], *columns)
+
+
+def has_alias_bits(ads: DataFrame) -> bool:
+    return set(ALIAS_BITS) <= set(ads.columns)
+
+
 def skill_match_sql(
     search: str,
     folded: str | None = None,
@@ -86,6 +153,7 @@ def skill_match_sql(
     dialect: str = "re2",
     prefilter: bool = True,
     with_text: bool = True,
+    bits: bool = False,
 ) -> str:
     """SQL text of ``array<struct<skill, pattern_order, matched_text>>``, one entry per matched skill.
 
@@ -94,8 +162,11 @@ def skill_match_sql(
     its aliases: the first alias that matches wins, ``matched_text`` is the
     raw match (group 0), or NULL without ``with_text`` (one regex call per hit
     instead of two, for callers that need skill names only). Each alias is
-    guarded by ``contains`` on its anchor.
+    guarded by ``contains`` on its anchor, or with ``bits`` (fixed taxonomy
+    only) by its bit of the row's ``ALIAS_BITS``.
     """
+    if bits:
+        return _bit_match_sql(search, dialect, with_text)
     if folded is None:
         src, dst = PREFILTER_FOLDS[dialect]
         present = " OR ".join(f"contains({search}, {_sql_string(c)})" for c in src)
@@ -123,6 +194,24 @@ def skill_match_sql(
     return "array_compact(array(" + ",\n".join(per_skill) + "))"
 
 
+def _bit_match_sql(search: str, dialect: str, with_text: bool) -> str:
+    """``skill_match_sql`` of the fixed taxonomy over rows that have ``ALIAS_BITS``."""
+    per_skill: dict[str, list[str]] = {}
+    masks: dict[str, dict[str, int]] = {}
+    for number, (skill, order, pattern) in enumerate(pattern_rows(None, dialect)):
+        column, k = ALIAS_BITS[number // 64], number % 64
+        mine = masks.setdefault(skill, {})
+        mine[column] = mine.get(column, 0) | 1 << k
+        java = _sql_string(to_java(pattern, dialect))
+        text = f"regexp_extract({search}, {java}, 0)" if with_text else "CAST(NULL AS STRING)"
+        per_skill.setdefault(skill, []).append(
+            f"WHEN {_mask_sql({column: 1 << k})} AND {search} RLIKE {java} THEN named_struct('skill', {_sql_string(skill)}, "
+            f"'pattern_order', {order}, 'matched_text', {text})"
+        )
+    cases = [f"CASE WHEN {_mask_sql(masks[s])} THEN CASE {' '.join(w)} END END" for s, w in per_skill.items()]
+    return "array_compact(array(" + ",\n".join(cases) + "))"
+
+
 def skill_match_array(
     search_col: str = "_search",
     folded_col: str | None = "_folded",
@@ -130,6 +219,7 @@ def skill_match_array(
     dialect: str = "re2",
     prefilter: bool = True,
     with_text: bool = True,
+    bits: bool = False,
 ) -> Column:
     """The match array over the named text columns, as one parsed expression.
 
@@ -139,7 +229,7 @@ def skill_match_array(
     Catalyst keeps a multiply-referenced projection instead of inlining it.
     """
     folded = f"`{folded_col}`" if folded_col else None
-    return F.expr(skill_match_sql(f"`{search_col}`", folded, taxonomy, dialect, prefilter, with_text))
+    return F.expr(skill_match_sql(f"`{search_col}`", folded, taxonomy, dialect, prefilter, with_text, bits))
 
 
 def found_skill_matches(
@@ -155,12 +245,10 @@ def found_skill_matches(
     400 characters of the whitespace-collapsed description. A narrow stage:
     one projection and a generator over each ad row, no shuffle of the text.
     """
-    prepared = with_search_columns(
-        ads.select("id", "publication_month", "headline", "description_text"),
-        "headline",
-        "description_text",
-        dialect,
-    ).withColumn("_head", tx.snippet_head(F.col("description_text")))
+    bits = taxonomy is None and prefilter and has_alias_bits(ads)
+    columns = ["id", "publication_month", "headline", "description_text"]
+    prepared = _searched(ads, columns, "headline", "description_text", dialect, bits)
+    prepared = prepared.withColumn("_head", tx.snippet_head(F.col("description_text")))
     prepared = prepared.withColumn(
         "description_snippet", tx.snippet_from_head(F.col("_head"), F.col("description_text"))
     )
@@ -169,7 +257,7 @@ def found_skill_matches(
         "publication_month",
         "headline",
         "description_snippet",
-        F.inline(skill_match_array("_search", "_folded", taxonomy, dialect, prefilter)),
+        F.inline(skill_match_array("_search", "_folded", taxonomy, dialect, prefilter, bits=bits)),
     ).withColumn("matched_text", tx.trim_space_separators(F.col("matched_text")))
 
 
@@ -266,6 +354,18 @@ def with_search_columns(
     ).withColumn("_folded", prefilter_text(F.col("_search"), dialect))
 
 
+def _searched(ads: DataFrame, columns: list[str], headline: str, description: str, dialect: str, bits: bool) -> DataFrame:
+    """The columns with ``_search``, and ``_folded`` unless the rows' alias bits take its place.
+
+    Text is put together only for rows with a bit set.
+    """
+    if not bits:
+        return with_search_columns(ads.select(*columns), headline, description, dialect)
+    possible = F.expr(_mask_sql({c: (1 << 64) - 1 for c in ALIAS_BITS}))
+    text = tx.search_text(F.col(headline), F.col(description))
+    return ads.select(*columns, *ALIAS_BITS).withColumn("_search", F.when(possible, text))
+
+
 def _sorted_matches(match_array: Column) -> Column:
     found = F.transform(
         match_array,
@@ -303,8 +403,9 @@ def skill_matches(
     description_col: str = "description_text",
 ) -> DataFrame:
     """Per-text extraction (D3) of whole ads: one (id, skill, matched_text) row per ad and skill."""
-    prepared = with_search_columns(ads.select("id", "headline", description_col), "headline", description_col, dialect)
-    matches = skill_match_array("_search", "_folded", taxonomy, dialect)
+    bits = taxonomy is None and has_alias_bits(ads)
+    prepared = _searched(ads, ["id", "headline", description_col], "headline", description_col, dialect, bits)
+    matches = skill_match_array("_search", "_folded", taxonomy, dialect, bits=bits)
     found = prepared.select("id", F.explode_outer(matches).alias("m")).where(F.col("m").isNotNull())
     return found.select("id", "m.skill", "m.matched_text")
 
@@ -316,13 +417,10 @@ def job_skill_lists(
     description_col: str = "description__text",
 ) -> DataFrame:
     """``job_skill_lists``: id, publication_date, skills[] (sorted) per ad."""
-    prepared = with_search_columns(
-        job_ads.select("id", "publication_date", "headline", description_col),
-        "headline",
-        description_col,
-        dialect,
-    )
-    matches = skill_match_array("_search", "_folded", taxonomy, dialect, with_text=False)
+    bits = taxonomy is None and has_alias_bits(job_ads)
+    columns = ["id", "publication_date", "headline", description_col]
+    prepared = _searched(job_ads, columns, "headline", description_col, dialect, bits)
+    matches = skill_match_array("_search", "_folded", taxonomy, dialect, with_text=False, bits=bits)
     # entries are already in taxonomy order with one per skill: sort the names
     return prepared.select(
         "id",

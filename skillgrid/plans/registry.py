@@ -70,7 +70,7 @@ QUERIES: dict[str, Query] = {
     "ams_catalogue": lambda s, d: _wh(s, d).ams_catalogue(),
     "job_skill_lists": lambda s, d: _wh(s, d).job_skill_lists(),
     "job_skills": lambda s, d: _wh(s, d).job_skills(),
-    "skill_matches": lambda s, d: extract.skill_matches(_wh(s, d).ads()),
+    "skill_matches": lambda s, d: extract.skill_matches(_wh(s, d).marked_ads()),
     # printed top-k reports of the build steps
     "regex_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).regex_skills(), REGEX_TOP),
     "ams_top_skills": lambda s, d: explore.top_by_rows(_wh(s, d).ams_skills(), LABEL_TOP),

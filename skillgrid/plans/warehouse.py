@@ -48,12 +48,21 @@ class SkillWarehouse:
         return self._tables[name]
 
     # --- sources -------------------------------------------------------
-    def ads(self) -> DataFrame:
-        """Written once; small row groups, where the session asks for them, let the text scans split it."""
+    def marked_ads(self) -> DataFrame:
+        """The ads with their alias bits, written once: the only scan of all text for anchors.
+
+        Small row groups, where the session asks for them, let the text scans split it.
+        """
         return self._stage(
-            "ads", lambda: binding.job_ads(self.spark, self.sf_dir), keep=True, options=row_group_option(self.spark)
+            "ads",
+            lambda: extract.with_alias_bits(binding.job_ads(self.spark, self.sf_dir)),
+            keep=True,
+            options=row_group_option(self.spark),
         )
 
+    def ads(self) -> DataFrame:
+        return self.marked_ads().drop(*extract.ALIAS_BITS)
+
     def stg_ads(self) -> DataFrame:
         return marts.stg_ads(self.ads())
 
@@ -67,7 +76,7 @@ class SkillWarehouse:
     # --- extraction ----------------------------------------------------
     def regex_matches(self) -> DataFrame:
         """One row per (id, skill), deduplicated once and written."""
-        return self._stage("regex_matches", lambda: extract.regex_skill_matches(self.ads()), keep=True)
+        return self._stage("regex_matches", lambda: extract.regex_skill_matches(self.marked_ads()), keep=True)
 
     def regex_skills(self) -> DataFrame:
         """The compact table, written on its own: marts never read headlines or snippets."""
@@ -94,10 +103,9 @@ class SkillWarehouse:
 
     def live_sample(self) -> DataFrame:
         """Live-sample shaped ads: nested description flattened to ``description__text``."""
-        ads = self.ads()
-        return ads.select(
-            "id", "publication_date", "headline", ads.description_text.alias("description__text")
-        )
+        ads = self.marked_ads()
+        text = ads.description_text.alias("description__text")
+        return ads.select("id", "publication_date", "headline", text, *extract.ALIAS_BITS)
 
     def job_skill_lists(self) -> DataFrame:
         return self._stage(

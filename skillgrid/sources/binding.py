@@ -114,9 +114,14 @@ def job_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``historical_job_ads`` (20 columns, one row per document and variant).
 
     ``documents`` is the large side; the two dimensions are plain joins whose
-    size in bytes Spark reads from their files and plans by.
+    size in bytes Spark reads from their files and plans by. An input of fewer
+    splits than cores (one file of one row group) is dealt out first; larger
+    ones are scanned where they lie.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    cores = spark.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < cores:
+        docs = docs.repartition(cores, "doc_id")
     docs = docs.withColumn("v", F.explode(F.expr(_VARIANTS))).withColumn(
         "headlines", F.expr(f"array({_sql_list(SURFACE_HEADLINES)})")
     )
