@@ -381,6 +381,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVE
     """``docs`` without the contaminated rows, columns unchanged."""
     flagged = materialize(contaminations(docs, benchmark, cover).select("key", "key2").distinct(), "bench-flagged")
     keys = row_key(F.col("doc_id"), F.col("text"))
-    keyed = docs.withColumns({"__key": keys[0], "__key2": keys[1]})
-    flagged = flagged.select(F.col("key").alias("__key"), F.col("key2").alias("__key2"))
-    return keyed.join(flagged, ["__key", "__key2"], "left_anti").select(*docs.columns)
+    # Rows travel as one struct, so no column of theirs can be mistaken for one of ours.
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    keyed = docs.select(row, keys[0].alias("key"), keys[1].alias("key2"))
+    return keyed.join(flagged, ["key", "key2"], "left_anti").select("row.*")

@@ -77,32 +77,40 @@ def source_targets(sized: DataFrame) -> DataFrame:
     return stats.withColumn("target", F.least(F.col("__weight") * F.lit(level), stop))
 
 
-def mix(docs: DataFrame, seed: int = 5) -> DataFrame:
-    """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__copies`` (0, 1 or 2) added."""
-    sized = docs.withColumn("__source", _source_key(F.col("source"))).withColumn("__size", words(F.col("text")))
+def sized_rows(docs: DataFrame, carried: list[Column], seed: int = 5) -> DataFrame:
+    """The carried columns with ``__source``, ``__size``, ``__doc`` and ``__identity``: all the mixture needs of a row."""
+    return docs.select(
+        *carried,
+        _source_key(F.col("source")).alias("__source"),
+        words(F.col("text")).alias("__size"),
+        F.col("doc_id").alias("__doc"),
+        F.xxhash64(F.lit(seed), "doc_id", "text").alias("__identity"),
+    )
+
+
+def mix(sized: DataFrame, seed: int = 5) -> DataFrame:
+    """``sized_rows`` with ``__size``, ``__source_size``, ``__target`` and ``__copies`` (0, 1 or 2)."""
     stats = source_targets(sized.select("__source", "__size"))
     rows = stats.agg(F.sum("__n")).first()[0] or 0
     salts = max(1, math.isqrt(rows) // 64)
-    identity = F.xxhash64(F.lit(seed), "doc_id", "text")
     bucketed = sized.withColumns({
         "__class": F.floor(F.log2(F.col("__size") + F.lit(1.0)) * 16).cast("int"),
-        "__salt": F.pmod(identity, F.lit(salts)).cast("int"),
-        "__identity": identity,
+        "__salt": F.pmod("__identity", F.lit(salts)).cast("int"),
     })
-    order = [F.col("__size"), F.col("__identity"), F.col("doc_id")]
+    order = [F.col("__size"), F.col("__identity"), F.col("__doc")]
     facts = stats.select("__source", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
     found = row_rank(bucketed, ["__source"], ["__class", "__salt"], order, "__before", facts)
     expected = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
     offset = F.pmod(F.xxhash64(F.lit(seed), "__source"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     crossed = F.floor(F.col("__before") * expected + expected + offset) - F.floor(F.col("__before") * expected + offset)
     copies = F.least(F.greatest(crossed, F.lit(0)), F.lit(MOST_COPIES)).cast("int")
-    return found.withColumn("__copies", copies).drop("__source", "__class", "__salt", "__identity", "__before")
+    return found.withColumn("__copies", copies).drop("__source", "__class", "__salt", "__identity", "__before", "__doc")
 
 
 def mixed_documents(docs: DataFrame, seed: int = 5) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for every document row."""
-    narrow = docs.select("doc_id", "source", "text")
-    return mix(narrow, seed).select(
+    """(doc_id, size, source_size, target, taken) for every document row; texts are read once."""
+    sized = materialize(sized_rows(docs, [F.col("doc_id")], seed), "mix-sizes")
+    return mix(sized, seed).select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
         (F.col("__copies") * F.col("__size")).cast("long").alias("taken"),
     )
@@ -110,5 +118,7 @@ def mixed_documents(docs: DataFrame, seed: int = 5) -> DataFrame:
 
 def emit_copies(docs: DataFrame, seed: int = 5) -> DataFrame:
     """The mixture itself: every row of ``docs`` once per copy, columns unchanged."""
-    taken = mix(docs, seed).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    # Rows travel as one struct, so no column of theirs can be mistaken for one of ours.
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    taken = mix(sized_rows(docs, [row], seed), seed).where("__copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("row.*")

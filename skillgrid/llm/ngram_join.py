@@ -105,10 +105,16 @@ def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield a, len(sizes)
 
 
+def _row_name() -> F.Column:
+    """Both 64-bit hashes of id and text, as 16 bytes: rows equal in both share it."""
+    halves = [F.lpad(F.hex(h), 16, "0") for h in row_key(F.col("doc_id"), F.col("text"))]
+    return F.unhex(F.concat(*halves))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, key, rep, n_set, sig) per row; rep and sig are null without words."""
-    rows = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"), row_key(F.col("doc_id"), F.col("text"))[0].alias("key"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, rep binary, n_set long, sig binary"
+    rows = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"), _row_name().alias("key"))
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key binary, rep binary, n_set long, sig binary"
     return materialize(rows.mapInPandas(_signatures, schema), "ngram-signatures")
 
 
@@ -274,7 +280,7 @@ def verified(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame:
     n_blocks = F.greatest(F.ceil(F.col("n") / VERIFY_BLOCK), F.ceil(F.col("total") / VERIFY_SHINGLES))
     members = members.join(weight, "comp").withColumn("nb", F.least(n_blocks, F.col("n")))
     members = materialize(members.select("rep", "comp", "copies", F.col("doc_key").alias("key"), "nb"), "ngram-members")
-    texts = docs.select(text_or_empty(F.col("text")).alias("text"), row_key(F.col("doc_id"), F.col("text"))[0].alias("key"))
+    texts = docs.select(text_or_empty(F.col("text")).alias("text"), _row_name().alias("key"))
     # One plan at every size: the members are not broadcast while they are few.
     rows = _blocked(texts.join(members.hint("merge"), "key"), "comp", F.col("nb"))
     dealt = rows.select("comp", "bi", "bj", "blk", "nb", "rep", "copies", "text").repartition(tasks(spark), "comp", "bi", "bj")
@@ -326,13 +332,14 @@ def drop_near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """``docs`` with one row of every class, the one with the least id; columns unchanged."""
     found = near_duplicates(docs, recall).where("class is not null")
     # Rows equal in id and text share a key: of those, too, one stays.
-    fate = found.groupBy("key").agg(F.max(F.col("key") == F.col("keeper")).alias("__keeps"), F.count("*").alias("__same"))
-    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))[0])
-    marked = keyed.join(fate.withColumnRenamed("key", "__key"), "__key", "left")
+    fate = found.groupBy("key").agg(F.max(F.col("key") == F.col("keeper")).alias("keeps"), F.count("*").alias("same"))
+    # Rows travel as one struct, so no column of theirs can be mistaken for one of ours.
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), _row_name().alias("key"))
+    marked = keyed.join(fate, "key", "left")
     # The join has dealt and sorted the rows by key, so numbering equal rows moves nothing again.
-    numbered = marked.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy("__key")))
-    alone = F.col("__keeps").isNull()
-    return numbered.where(alone | (F.col("__keeps") & ((F.col("__same") == 1) | (F.col("__nth") == 1)))).select(*docs.columns)
+    numbered = marked.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+    alone = F.col("keeps").isNull()
+    return numbered.where(alone | (F.col("keeps") & ((F.col("same") == 1) | (F.col("nth") == 1)))).select("row.*")
 
 
 # All pairs of texts that share a shingle, and the closure of their links.

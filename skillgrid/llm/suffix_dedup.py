@@ -51,7 +51,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skillgrid.llm.common import grouped, materialize, tasks, text_or_empty
+from skillgrid.llm.common import grouped, materialize, row_key, tasks, text_or_empty
 from skillgrid.llm.text_hash import mix
 
 LENGTH = 200
@@ -133,7 +133,7 @@ def _folded(text: np.ndarray, mark: np.ndarray, context: np.ndarray, first: np.n
     return head, np.where(repeats > 1, step[np.minimum(head + 1, len(step) - 1)], 0), repeats
 
 
-_RUNS = "mark long, context long, key long, place long, again long, copies int"
+_RUNS = "mark long, context long, key long, key2 long, place long, again long, copies int"
 
 
 def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
@@ -164,7 +164,7 @@ def _scan(length: int, gram: int):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rolling = Rolling(PIECE + 2 * length)
         for b in batches:
-            keys, where, copies = np.unique(b["key"].to_numpy(), return_index=True, return_counts=True)
+            keys, where, copies = np.unique(b[["key", "key2"]].to_numpy(), axis=0, return_index=True, return_counts=True)
             texts = [b["text"].iloc[i].encode("utf-8", "surrogatepass") for i in where]
             for parts, number, offset in _pieces(texts, length):
                 sizes = [len(p) for p in parts]
@@ -176,7 +176,8 @@ def _scan(length: int, gram: int):
                 row, step, repeats = _folded(part, mark, context, first)
                 text = np.array(number)[part[row]]
                 yield pd.DataFrame({
-                    "mark": mark[row].view(np.int64), "context": context[row].view(np.int64), "key": keys[text],
+                    "mark": mark[row].view(np.int64), "context": context[row].view(np.int64),
+                    "key": keys[text, 0], "key2": keys[text, 1],
                     "place": first[row] << 16 | span[row], "again": step << 31 | repeats, "copies": copies[text].astype(np.int32)})
 
     return scan
@@ -325,16 +326,17 @@ def duplicated_starts(members: DataFrame, texts: DataFrame, length: int = LENGTH
     spark = members.sparkSession
     repeats = F.col("again").bitwiseAND(F.lit((1 << 31) - 1))
     contexts = members.groupBy("mark", "context").agg(
-        F.sum(repeats * F.col("copies")).alias("copies"), F.min(F.struct("key", "place")).alias("source"))
+        F.sum(repeats * F.col("copies")).alias("copies"), F.min(F.struct("key", "key2", "place")).alias("source"))
     contexts = materialize(contexts, "suffix-contexts")
     many = contexts.groupBy("mark").agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("salts"))
     dealt = contexts.join(many, "mark").withColumn("salt", F.pmod("context", F.col("salts")).cast("int"))
-    wanted = dealt.groupBy(F.col("source.key").alias("key")).agg(
+    wanted = dealt.groupBy(F.col("source.key").alias("key"), F.col("source.key2").alias("key2")).agg(
         F.collect_list(F.struct("mark", "context", F.col("source.place").alias("place"), "copies", "salts", "salt")).alias("wanted"))
     # Of rows with equal texts, the one with the least id is read.
-    heads = texts.groupBy("key").agg(F.min("doc_id").alias("head"))
-    wanted = wanted.join(heads, "key")
-    read = texts.join(wanted, (texts["key"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["head"]))
+    heads = texts.groupBy("key", "key2").agg(F.min("doc_id").alias("head"))
+    wanted = wanted.join(heads, ["key", "key2"])
+    same = (texts["key"] == wanted["key"]) & (texts["key2"] == wanted["key2"])
+    read = texts.join(wanted, same & texts["doc_id"].eqNullSafe(wanted["head"]))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -368,16 +370,16 @@ def duplicated_starts(members: DataFrame, texts: DataFrame, length: int = LENGTH
 
 
 def removed_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """(key, spans): per distinct text with duplicated strings, the byte intervals of its runs, unmerged.
+    """(key, key2, spans): per distinct text with duplicated strings, the byte intervals of its runs, unmerged.
 
-    ``rows`` has (doc_id, key, text).
+    ``rows`` has (doc_id, key, key2, text); the two hashes together name a text.
     """
-    runs = materialize(rows.select("key", "text").mapInPandas(_scan(length, gram), _RUNS), "suffix-runs")
+    runs = materialize(rows.select("key", "key2", "text").mapInPandas(_scan(length, gram), _RUNS), "suffix-runs")
     shared = runs.groupBy("mark").agg(F.sum(F.col("again").bitwiseAND(F.lit((1 << 31) - 1)) * F.col("copies")).alias("n")).where("n > 1")
     members = materialize(runs.join(shared.select("mark"), "mark"), "suffix-members")
     starts = duplicated_starts(members, rows, length, shard)
-    hits = members.select("mark", "context", "key", "place", "again").distinct().join(starts, ["mark", "context"])
-    return hits.groupBy("key").agg(F.collect_list(F.struct("place", "again", "low", "high")).alias("spans"))
+    hits = members.select("mark", "context", "key", "key2", "place", "again").distinct().join(starts, ["mark", "context"])
+    return hits.groupBy("key", "key2").agg(F.collect_list(F.struct("place", "again", "low", "high")).alias("spans"))
 
 
 def _cut(length: int):
@@ -408,11 +410,12 @@ def _cut(length: int):
 def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every document row."""
     text = text_or_empty(F.col("text"))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("key"), text.alias("text"))
+    keys = row_key(text)
+    rows = docs.select("doc_id", keys[0].alias("key"), keys[1].alias("key2"), text.alias("text"))
     spans = removed_spans(rows, length, gram, shard)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(_cut(length), schema)
+    return rows.join(spans, ["key", "key2"], "left").select("doc_id", "text", "spans").mapInPandas(_cut(length), schema)
 
 # Every string of LENGTH bytes is grouped with its equals; spans are cut out of the hexadecimal text.
 ORACLE = f"""

@@ -30,5 +30,6 @@ def with_clashes(df):
     """The same rows with extra columns whose names operators may use themselves."""
     from pyspark.sql import functions as F
 
-    names = ["key", "rep", "node", "label", "score", "size", "target", "source_size", "copies", "shard", "slot", "rank", "host", "n", "text_crc32"]
+    names = ["key", "rep", "node", "label", "score", "size", "target", "source_size", "copies", "shard", "slot", "rank", "host", "n", "text_crc32",
+             "__size", "__source", "__target", "__copies", "__key", "__key2", "__nth", "__same", "__salt", "key2", "row", "text_size", "runs", "y", "id"]
     return df.withColumns({c: F.lit(7) for c in names if c not in df.columns})

@@ -7,6 +7,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from skillgrid.llm import decontaminate, ngram_join
 from skillgrid.llm.common import components
@@ -96,6 +99,20 @@ def test_one_row_of_every_class_stays(spark):
     assert {1, 2, 3} <= set(ids) and ids.count(6) == 1 and None not in ids
 
 
+@pytest.mark.parametrize("half", [0, 1])
+def test_colliding_hashes_drop_no_clean_document(spark, monkeypatch, half):
+    """Every row has the same hash in one half of its name; the other half tells them apart."""
+    rows = awkward_docs(random.Random(3))
+    real = ngram_join.row_key
+    monkeypatch.setattr(ngram_join, "row_key", lambda *cols: [F.lit(7).cast("long") if k == half else h for k, h in enumerate(real(*cols))])
+    docs = with_clashes(spark.createDataFrame(rows, DOCS))
+    classes = Counter((c, n) for _, c, n, _ in brute_classes(rows))
+    kept = ngram_join.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and kept.count() == sum(1 if n > 1 else count for (_, n), count in classes.items())
+    got = ngram_join.near_duplicate_classes(docs)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_classes(rows)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     assert ngram_join.near_duplicate_classes(docs).count() == 0

@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from skillgrid.llm import bit_sliced, html_extract, mixing, quality_gam, sharding, suffix_dedup, token_counts, url_filter
@@ -270,6 +271,19 @@ def test_cut_equals_brute_force(spark, monkeypatch, length, gram, shard, piece):
     assert rows_of(got) == _brute_cut(rows, length)
 
 
+@pytest.mark.parametrize("half", [0, 1])
+def test_colliding_hashes_cut_nothing_across(spark, monkeypatch, half):
+    """All texts have the same hash in one half of their name; the other half tells them apart."""
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abé c") for _ in range(n))
+    p = text(60)
+    rows = [(i, text(20) + p[: 10 + 5 * i] + text(30)) for i in range(12)] + [(20, text(90)), (21, text(80)), (None, p), (22, p)]
+    real = suffix_dedup.row_key
+    monkeypatch.setattr(suffix_dedup, "row_key", lambda *cols: [F.lit(7).cast("long") if k == half else h for k, h in enumerate(real(*cols))])
+    got = suffix_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), 20, 5, 4)
+    assert rows_of(got) == _brute_cut(rows, 20)
+
+
 def test_cut_of_given_and_awkward_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     assert rows_of(suffix_dedup.deduplicate(docs)) == _brute_cut([tuple(r) for r in docs.collect()], 200)
