@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Method: texts become sequences of lower-case word tokens in which numbers,
-units after a number and names (capitalised words inside a sentence; a run of
+Method: texts become sequences of lower-case word tokens in which numbers (in
+digits or words), units after a number and names (capitalised words inside a sentence; a run of
 them is one name) are replaced by typed placeholders, so a question asked again
 with other numbers or names keeps its template. A text has up to three
 readings: this one, one in which a word seen as a name inside a sentence (and
@@ -12,10 +12,9 @@ are hash-joined with the benchmark's windows; the literal words of a window
 must carry it (``LITERALS``); windows of the lower-case reading with fewer are
 joined with their values in place of the placeholders, as exact copies. Joined windows that lie on one alignment of a
 document and an item are checked for slot consistency: equal names of the item
-must be equal names in the document and different ones different; different
-numbers of the item that count the same thing (the unit or word after them)
-must differ in the document. Other equalities of numbers and units are
-coincidences, which ``n_conflicts`` reports. Windows whose slots hold the
+must be equal names in the document and different ones different. Numbers and
+units may coincide, as small numbers asked anew often do; ``n_conflicts``
+reports it. Windows whose slots hold the
 item's own values need no consistency. Consistent windows of neighbouring alignments (their shifts differ by no more
 than the item has words) are taken together, so words put in, left out or
 changed do not part a passage. A document is contaminated by an item if the
@@ -32,8 +31,8 @@ the join. Counts per (document, item) are combined before the shuffle.
 
 Defined results: null and empty texts hold no tokens and are never
 contaminated; an item of fewer than ``WINDOW`` tokens is one window of all its
-tokens, exact if it has fewer than ``SHORTEST`` literal words; items of fewer
-than ``FEWEST`` words match nothing; repeated rows and ids are judged row by row, null ids included; an empty
+tokens, exact if it has fewer than ``SHORTEST`` literal words (so an item of one
+word is contained wherever that word is); repeated rows and ids are judged row by row, null ids included; an empty
 benchmark flags nothing; extra columns are not read.
 """
 
@@ -54,8 +53,7 @@ from skillgrid.llm.text_hash import mix, word_hashes
 
 WINDOW = 8
 LITERALS = 4  # words of a full window that are no placeholders
-SHORTEST = 4  # the same for an item shorter than a window
-FEWEST = 3  # words of the shortest item
+SHORTEST = 2  # the same for an item shorter than a window
 COVER = 0.7
 RUN = 13  # words of an item in a row that contaminate, whatever share of the item they are
 FILTER_BITS = 1 << 23
@@ -66,6 +64,13 @@ _UNITS = frozenset(
     "euro euros cent cents pound pounds ounce ounces gallon gallons liter liters litre litres meter meters metre metres "
     "gram grams kilogram kilograms celsius fahrenheit watt watts volt volts hz khz mhz ghz kb mb gb tb".split()
 )
+# Number words.
+_NUMBER_WORDS = {
+    "zero": "0", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9", "ten": "10",
+    "eleven": "11", "twelve": "12", "thirteen": "13", "fourteen": "14", "fifteen": "15", "sixteen": "16", "seventeen": "17",
+    "eighteen": "18", "nineteen": "19", "twenty": "20", "thirty": "30", "forty": "40", "fifty": "50", "sixty": "60",
+    "seventy": "70", "eighty": "80", "ninety": "90", "hundred": "100", "thousand": "1000", "million": "1000000",
+}
 _UPPER = "".join(c for c in map(chr, range(0x41, 0x590)) if c.isupper())
 # A number or a capitalised word, with the lower-case word after it (a unit, perhaps).
 _MARKED = re.compile(rf"[0-9{_UPPER}][^\W_]*(?:[.,][0-9]+)*(?: [a-z]+)?")
@@ -124,6 +129,8 @@ def canonical(text: str, names: frozenset[str] = frozenset(), first: set[str] |
 
 
 _HOLDERS = word_hashes([_NUM.encode(), _UNIT.encode(), _NAME.encode()])[0]
+_COUNTED = np.sort(word_hashes([w.encode() for w in _NUMBER_WORDS])[0])
+_MEASURED = np.sort(word_hashes([w.encode() for w in sorted(_UNITS)])[0])
 _LOWER = re.compile(r"\b[a-z]\w*")
 _NAME_PARTS = re.compile(r"[ .,]")
 
@@ -157,6 +164,28 @@ def _readings(text: str) -> list[tuple[bytes, list[str], bool]]:
     return [*out, (plain, plain_values, True)]
 
 
+def _with_number_words(hashes: np.ndarray, holder: np.ndarray, data: bytes, values: list[str]) -> tuple[np.ndarray, np.ndarray, bytes, list[str]]:
+    """A reading with placeholders for number words, and for units after them, too."""
+    numbers = np.isin(hashes, _COUNTED)
+    if not numbers.any():
+        return hashes, holder, data, values
+    units = np.isin(hashes, _MEASURED) & ~holder
+    units[0] = False
+    units[1:] &= numbers[:-1]
+    hashes, tokens, given, out = hashes.copy(), data.split(), iter(values), []
+    hashes[numbers], hashes[units] = _HOLDERS[0], _HOLDERS[1]
+    for k in np.flatnonzero(holder | numbers | units).tolist():
+        if holder[k]:
+            out.append(next(given))
+        elif numbers[k]:
+            out.append(_NUMBER_WORDS[tokens[k].decode()])
+            tokens[k] = _NUM.encode()
+        else:
+            out.append(tokens[k].decode())
+            tokens[k] = _UNIT.encode()
+    return hashes, holder | numbers | units, b" ".join(tokens), out
+
+
 def canonical_words(texts: list[str]) -> Iterator[list[Reading]]:
     """The readings of each text."""
     held = [_readings(t) for t in texts]
@@ -168,13 +197,13 @@ def canonical_words(texts: list[str]) -> Iterator[list[Reading]]:
         for data, values, plain in readings:
             a, z = offsets[n], offsets[n + 1]
             n += 1
+            words, held_by, data, values = _with_number_words(hashes[a:z], holder[a:z], data, values)
             size = np.ones(z - a, np.int64)
-            names = np.flatnonzero(holder[a:z])
-            for k, value in zip(names, values, strict=True):
-                if hashes[a + k] == _HOLDERS[2]:
+            for k, value in zip(np.flatnonzero(held_by), values, strict=True):
+                if words[k] == _HOLDERS[2]:
                     size[k] = len(_NAME_PARTS.split(value))
-            before, places = (np.concatenate(([0], np.cumsum(x))) for x in (holder[a:z], size))
-            out.append(Reading(hashes[a:z], before, places, values, plain, data))
+            before, places = (np.concatenate(([0], np.cumsum(x))) for x in (held_by, size))
+            out.append(Reading(words, before, places, values, plain, data))
         yield out
 
 
@@ -209,19 +238,12 @@ def _reading_windows(r: Reading, width: int) -> tuple[np.ndarray, np.ndarray, np
 _ITEM = "n_windows int, n_template int, n_words int, item_at int, item_end int, counts boolean, width int, hash long, item_slots array<string>, slot_kinds array<string>"
 
 
+_KINDS = {_NAME.encode(): "name", _UNIT.encode(): "unit", _NUM.encode(): "number"}
+
+
 def _slot_kinds(r: Reading) -> list[str]:
-    """What each placeholder stands for: a name, a unit, or a number of the unit or word after it."""
-    tokens = [*r.data.split(), b""]
-    kinds: list[str] = []
-    for x, after in zip(tokens, tokens[1:], strict=False):
-        if x == _NAME.encode():
-            kinds.append("name")
-        elif x == _UNIT.encode():
-            kinds.append("unit")
-        elif x == _NUM.encode():
-            counted = r.values[len(kinds) + 1] if after == _UNIT.encode() else after.decode("utf-8", "surrogatepass")
-            kinds.append("of " + counted.removesuffix("s"))
-    return kinds
+    """What each placeholder stands for."""
+    return [_KINDS[x] for x in r.data.split() if x in _KINDS]
 
 
 def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -248,8 +270,6 @@ def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     slots = slice(r.holders[k], r.holders[k + width] if is_template[k] else r.holders[k])
                     found[at, end, signed] = (at, end, width, signed, r.values[slots], kinds[slots])
             words = int(readings[-1].places[-1])
-            if words < FEWEST:
-                continue
             places = {x[0] for x in found.values()}
             template = template or places  # a short text's only window may hold the first word
             out += [(item, len(places), len(template), words, at, end, at in template, *rest) for at, end, *rest in found.values()]
@@ -331,8 +351,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
     pairs = pairs.select(
         *passage, F.col("p.slot_kinds").alias("kind"), F.col("p.slots").alias("doc_value"), F.col("p.item_slots").alias("item_value")).distinct()
     n_doc, n_item = F.count_distinct("doc_value"), F.count_distinct("item_value")
-    merged, parted = F.count("*") > n_doc, F.count("*") > n_item
-    wrong = ((F.col("kind") == "name") & (merged | parted)) | (F.col("kind").startswith("of ") & merged)
+    wrong = (F.col("kind") == "name") & ((F.count("*") > n_doc) | (F.count("*") > n_item))
     kinds = pairs.groupBy(*passage, "kind").agg(wrong.alias("wrong")).groupBy(*passage).agg(F.max("wrong").alias("wrong"))
     slots = pairs.groupBy(*passage).agg(
         F.count_distinct("doc_value", "item_value").alias("n_slots"), n_doc.alias("n_doc"), n_item.alias("n_item"))

@@ -57,11 +57,28 @@ def test_numbers_that_coincide_by_chance(spark):
     assert found(spark, [walk, fruit, named], texts) == {(0, 0), (1, 1)}
 
 
-def test_items_of_few_literal_words_are_found_as_exact_copies(spark):
+def test_items_of_few_literal_words(spark):
+    """Two literal words make a short item a template; long runs of numbers are found as exact copies."""
     rng = random.Random(10)
     around = prose(rng, 40)
     items = ["What is 17 times 23", "12 7 19 4 33 8 5 kg 21 6 90 2 11", "Add seven twice"]
     texts = [*(f"{around}. {x.lower()}. {around}" for x in items), f"{around} what is 17 times 24 {around}", f"{around} 12 7 19 4 33 9 5 kg 21 {around}"]
-    assert found(spark, items, texts) == {(0, 0), (1, 1), (2, 2)}
+    assert found(spark, items, texts) == {(0, 0), (1, 1), (2, 2), (3, 0)}
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     assert {r.item_id: r.n_windows for r in decontaminate.item_windows(bench).collect()} == {0: 1, 1: 6, 2: 1}
+
+
+def test_items_asked_again(spark):
+    rng = random.Random(11)
+    around = prose(rng, 40)
+    items = [
+        "If a train goes 60 km in 2 hours and then 90 km in 3 hours how far does it go in all", "What is 17 times 23", "Name two",
+        "Anna has nine apples and then Boris gives her four more so how many apples does she hold now",
+        "A rope of 3 meters is cut in two and one part is used for the old swing", "Swizzle",
+    ]
+    texts = [
+        items[0].replace("60", "70", 1).replace("2 hours", "3 hours").replace("90", "80", 1), items[0].replace("60", "70", 1).replace("90", "70", 1),
+        "what is 18 times 25", "Name two", items[3].replace("nine", "seven").replace("four", "12"), items[4].replace("3 meters", "five meters"),
+        "nothing of that kind", "they said swizzle and left",
+    ]
+    assert found(spark, items, [f"{around}. {t}. {around}" for t in texts]) == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (7, 5)}
