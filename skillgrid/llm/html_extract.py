@@ -4,17 +4,19 @@ Method: the page is turned into lines, one per block of running text, with
 markup, scripts, styles and comments stripped. Parts that announce themselves
 as boilerplate (navigation, page headers and footers, sidebars, notices,
 adverts, forms, reader comments; by element, role, or class and id words) and
-link lists leave empty lines behind. A class or id says so only by its whole or
-last meaning, and only if the element's own lines are thin: where a window of
-them holds ``DENSE`` characters besides links, the lines stay and are judged
-like others. Text lengths are summed over a sliding
+link lists leave empty lines behind. A class or id that means nothing else (``ad``,
+``comments``, ``cookie-notice``) says so for sure, unless a class beside it names
+content. Another says so by its last meaning (``related``, ``site-search``), and
+only if the element's own lines are thin: where a window of them holds ``DENSE``
+characters besides links, the lines stay and are judged like others. Text lengths are summed over a sliding
 window of ``WINDOW`` lines. The text surges where a window sum rises from zero
 and dives where it falls back to zero; what lies between a surge and a dive is
 a segment. A dropped element inside a container that goes on parts no segment.
-Inside an article or main element every segment with text is kept. On pages
-without one, the segments from the first to the last whose window sums reach
-``SURGE`` characters are kept, and the one right before and after them; if none
-reaches it, the longest segment.
+The segments from the first to the last whose window sums reach ``SURGE``
+characters are kept, and the one right before and after them; if none reaches
+it, the longest segment (in an article, all). On pages with article or main
+elements only those count, and of several the one with most text and those at
+least a ``TEASER``-th as long. Lines at the end that are a copyright notice go.
 
 Scale: a page is one row; an Arrow-batched function of the html column, no
 shuffle, linear in the page.
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 WINDOW = 3
 SURGE = 86  # characters in a window that make a segment main text on pages without an article
 DENSE = WINDOW * SURGE  # characters in a window that no element with a mark in its class or id loses
+TEASER = 4  # an article with less than this part of the main one's characters is a pointer to another page
 _GAP = [("", 0)] * WINDOW
 
 # HTML element names by role, and words that mark boilerplate in class, id or role.
@@ -59,12 +62,21 @@ _WORDS = frozenset(
     "subscription signup login share sharing social related recommended comment comments commentlist disqus respond reply "
     "replies toolbar pagination pager widget skip search dialog complementary contentinfo masthead".split()
 )
+# Of these, the words that leave no doubt when a class or id means nothing else.
+_SURE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored promo banner nav navbar navigation breadcrumb breadcrumbs sidebar "
+    "cookie cookies consent gdpr notice notices newsletter subscribe subscription signup login comment comments commentlist disqus respond "
+    "replies toolbar pagination pager".split()
+)
+# Classes that name content, whatever stands beside them.
+_CONTENT = frozenset("article content entry main post story text".split())
 # Words before a mark that deny it, and words after it that say only what kind of part it marks.
 _DENIED = frozenset("has have no non not with without".split())
 _PARTS = frozenset(
     "area bar block body bottom box btn button buttons container default form group icon icons inner item items left link links list "
     "media outer panel post posts right section slot stories top unit wrap wrapper".split()
 )
+_COPYRIGHT = re.compile(r"(?:©|\(c\)|copyright\b).{0,120}", re.I | re.S)
 _PAGE_WORDS = frozenset("header footer".split())  # boilerplate outside an article only
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/a-zA-Z][^>]*(?:>|\Z)", re.S
@@ -87,13 +99,21 @@ def _meant(token: str) -> str:
     return words[-1] if words else ""
 
 
+def _only_marks(token: str, in_article: bool) -> bool:
+    """Whether a class or id means boilerplate and nothing else; a footer does outside an article."""
+    words = [w for w in _SPLIT.split(token) if w and not w.isdigit()]
+    sure = _SURE_WORDS if in_article else _SURE_WORDS | {"footer"}
+    return any(w in sure for w in words) and all(w in sure or w in _PARTS or w in ("site", "page") for w in words)
+
+
 def _marked(name: str, attrs: str, in_article: bool) -> int:
     """Whether an element announces itself as boilerplate: for sure, or by the words of its class or id."""
     if name in _DROP or (name in _PAGE_WORDS and not (in_article and name == "header")):
         return _SURE
-    if not attrs or name in ("html", "body", "article", "main"):
+    if not attrs or name in ("html", "body", "main") or name == "article" and not in_article:
         return 0
     found = 0
+    sure = content = False
     for m in _ATTR.finditer(attrs):
         key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value.strip() == "true":
@@ -102,11 +122,15 @@ def _marked(name: str, attrs: str, in_article: bool) -> int:
             continue
         for token in value.split():
             word = _meant(token)
+            sure |= _only_marks(token, in_article)
+            content |= token in _CONTENT
             if word in _WORDS or (word in _PAGE_WORDS and not in_article):
                 if key == "role":
                     return _SURE
                 found = _LIKELY
-    return found
+    if sure and not content:
+        return _SURE
+    return 0 if name == "article" else found
 
 
 def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
@@ -119,6 +143,7 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
     parts: list[str] = []
     linked = 0  # characters of the block that are link text
     links = articles = 0
+    tops: list[int] = []  # where the outermost articles begin and end
     stack: list[str] = []
     opened: Counter[str] = Counter()
     dropped_at: int | None = None  # stack height at which a dropped element began
@@ -194,8 +219,10 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         while stack:
             top = stack.pop()
             opened[top] -= 1
-            if top in ("article", "main"):
+            if top in ("article", "main") and not (dropped_at is not None and len(stack) >= dropped_at):
                 articles -= 1
+                if not articles:
+                    tops.append(len(inside))
             if dropped_at is not None:
                 if len(stack) <= dropped_at:
                     if not end_drop():
@@ -278,10 +305,17 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         if name in ("article", "main"):
             gap()
             articles += 1
+            if articles == 1:
+                tops.append(len(inside))
         if name in _NESTS:
             push(name)
     close_block()
     if any(size for _, size in inside):
+        bounds = [*tops, len(inside)] if len(tops) % 2 else tops
+        sums = [sum(size for _, size in inside[a:z]) for a, z in zip(bounds[::2], bounds[1::2], strict=True)]
+        for a, z, total in zip(bounds[::2], bounds[1::2], sums, strict=True):
+            if total * TEASER < max(sums):
+                inside[a:z] = [("", 0)] * (z - a)
         return inside, True
     return outside, False
 
@@ -312,11 +346,15 @@ def main_text(html: str | None) -> str:
         segments.append((high, total, held))
     if not segments:
         return ""
-    kept = segments
-    if not article:
-        surged = [i for i, s in enumerate(segments) if s[0] >= SURGE]
-        kept = segments[max(0, surged[0] - 1) : surged[-1] + 2] if surged else [max(segments, key=lambda s: s[1])]
-    return "\n".join(x for _, _, blocks in kept for x in blocks)
+    surged = [i for i, s in enumerate(segments) if s[0] >= SURGE]
+    if surged:
+        kept = segments[max(0, surged[0] - 1) : surged[-1] + 2]
+    else:
+        kept = segments if article else [max(segments, key=lambda s: s[1])]
+    blocks = [x for _, _, blocks in kept for x in blocks]
+    while not article and len(blocks) > 1 and _COPYRIGHT.fullmatch(blocks[-1]):
+        blocks.pop()
+    return "\n".join(blocks)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
