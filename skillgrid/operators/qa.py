@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skillgrid.functions.constants import LABEL_SOURCE, QA_TOP, REGEX_SOURCE, SAMPLES_PER_SKILL
@@ -109,8 +109,8 @@ def _table_report(name: str, df: DataFrame, checks: list[tuple[str, str | None,
     return df.agg(F.array(*aggs).alias("r")).select(F.inline("r"))
 
 
-def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """The 26 data tests as one DataFrame(table_name, test_name, column_name, failures)."""
+def declared_tests() -> dict[str, list[tuple[str, str | None, tuple | None]]]:
+    """The 26 data tests by table: (test, column, accepted values)."""
     checks: dict[str, list] = {}
     for table, test, column, accepted in SOURCE_TESTS:
         checks.setdefault(table, []).append((test, column, accepted))
@@ -119,13 +119,84 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     checks["monthly_skill_counts"].append(("not_empty", None, None))
     checks["mart_dashboard_skill_trends"].append(("share_bounds", "share_of_ads", None))
     checks["mart_skill_geography"].append(("share_bounds", "share_of_ads", None))
-    reports = [_table_report(t, tables[t], c) for t, c in checks.items()]
+    return checks
+
+
+def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """The 26 data tests as one DataFrame(table_name, test_name, column_name, failures)."""
+    reports = [_table_report(t, tables[t], c) for t, c in declared_tests().items()]
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
     return out
 
 
+class ObservedTests:
+    """The data tests, counted by the jobs that write the tables.
+
+    ``watch`` adds the tests' counts to a frame as observed metrics; the next
+    action over it, its write, collects them on the way. ``report`` then needs
+    no scan: only a table that nothing watched is aggregated, and the distinct
+    values of a failing ``accepted_values`` test are counted in the table, once
+    its rows show that there are any.
+    """
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        """``df``, observed if the table has tests; the last frame watched under a name counts."""
+        checks = declared_tests().get(name)
+        if not checks:
+            return df
+        self._seen[name] = Observation()
+        metrics = [_observed_expr(test, c, a).cast("long").alias(f"m{i}") for i, (test, c, a) in enumerate(checks)]
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"), *metrics)
+
+    def _failures(self, name: str, checks: list, table: DataFrame, rest: DataFrame | None) -> list[int] | None:
+        """The failures from the observed counts and, for rows written earlier, from ``rest``; None without counts."""
+        found = self._seen[name].get if name in self._seen else None
+        if not found:
+            return None  # never written, or no row reached the job
+        counts = [found[f"m{i}"] for i in range(len(checks))]
+        if rest is not None:
+            more = rest.agg(*[F.coalesce(_observed_expr(t, c, a).cast("long"), F.lit(0)).alias(f"m{i}") for i, (t, c, a) in enumerate(checks)]).first()
+            counts = [n + more[f"m{i}"] for i, n in enumerate(counts)]
+        out = []
+        for (test, column, accepted), n in zip(checks, counts, strict=True):
+            if test == "not_empty":
+                n = int(n == 0)
+            elif test == "accepted_values" and n:
+                n = table.agg(_check_expr(test, column, accepted)).first()[0]
+            out.append(n)
+        return out
+
+    def report(self, tables: dict[str, DataFrame], rest: dict[str, DataFrame] | None = None) -> DataFrame:
+        """``quality_report`` of the tables; ``rest`` has rows of a table that were not written by the watched job."""
+        rows: list[tuple] = []
+        unseen: list[DataFrame] = []
+        for name, checks in declared_tests().items():
+            failures = self._failures(name, checks, tables[name], (rest or {}).get(name))
+            if failures is None:
+                unseen.append(_table_report(name, tables[name], checks))
+            else:
+                rows += [(name, test, column, n) for (test, column, _), n in zip(checks, failures, strict=True)]
+        spark = next(iter(tables.values())).sparkSession
+        out = spark.createDataFrame(rows, "table_name string, test_name string, column_name string, failures long")
+        for r in unseen:
+            out = out.unionByName(r)
+        return out
+
+
+def _observed_expr(test: str, column: str | None, accepted: tuple[str, ...] | None):
+    """What a writing job counts for one test: an aggregate without distinct, additive over rows."""
+    if test == "accepted_values":
+        return F.count_if(F.col(column).isNotNull() & ~F.col(column).isin(*accepted))
+    if test == "not_empty":
+        return F.count(F.lit(1))
+    return _check_expr(test, column, accepted)
+
+
 def share_violations(trends: DataFrame, geography: DataFrame) -> DataFrame:
     """Rows of either mart whose share_of_ads is outside [0, 1] (a row = a failure)."""
 

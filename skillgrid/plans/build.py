@@ -13,7 +13,11 @@ Steps, each writing one Parquet table under the warehouse folder:
    ``mart_dashboard_skill_trends``, ``mart_skill_geography``.
 5. ``ams_skill_catalogue`` and its CSV; with ``--live``, ``job_skill_lists`` and
    ``job_skills`` from landed search responses.
-6. The data tests; a failing test raises unless ``fail_on_test=False``.
+6. The data tests, counted while the tables are written. A failing test raises
+   unless ``fail_on_test=False``, and nothing of the build is published.
+
+All tables are written aside; the ads' new version and the others' successors
+take their places when the tests have passed.
 
 The session is the submitter's: master, memory and partition numbers are left
 to ``spark-submit``.
@@ -29,7 +33,7 @@ from pyspark.sql.utils import AnalysisException
 
 from skillgrid.operators import extract, marts, qa
 from skillgrid.sources import archives, live
-from skillgrid.sources.sinks import export_csv, write_table
+from skillgrid.sources.sinks import StagedTables, export_csv, write_table
 
 
 def require_table(spark: SparkSession, path: str, hint: str) -> DataFrame:
@@ -60,43 +64,45 @@ def _write(df: DataFrame, warehouse_dir: str, name: str) -> DataFrame:
 
 
 def build_skills(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame]:
-    """Steps 2-4 from an existing ads table."""
+    """Steps 2-5 from an existing ads table."""
     ads = require_ads(spark, warehouse_dir, "Load archives first (step 1).")
+    staged = StagedTables(spark, warehouse_dir)
+    stage_skills(ads, staged)
+    return _published(spark, warehouse_dir, staged, ads)
+
+
+def _published(spark: SparkSession, warehouse_dir: str, staged: StagedTables, ads: DataFrame) -> dict[str, DataFrame]:
+    """Publishes the staged tables and the catalogue's CSV; returns all tables."""
+    staged.publish()
+    t = {n: spark.read.parquet(_table(warehouse_dir, n)) for n in staged.names}
+    # One row per label: a small table, exported as one file.
+    export_csv(t["ams_skill_catalogue"].orderBy(F.desc("ads"), "skill"), _table(warehouse_dir, "ams_skill_catalogue_csv"), single_file=True)
+    return {"historical_job_ads": ads, **t}
+
+
+def stage_skills(ads: DataFrame, staged: StagedTables, tests: qa.ObservedTests | None = None) -> dict[str, DataFrame]:
+    """Steps 2-5, written aside; ``tests`` watches the tables as they are written."""
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        return staged.write(tests.watch(name, df) if tests else df, name)
+
     t: dict[str, DataFrame] = {"historical_job_ads": ads}
-    t["historical_job_skills"] = _write(extract.ams_skills(ads), warehouse_dir, "historical_job_skills")
-    matches = _write(extract.regex_skill_matches(ads), warehouse_dir, "historical_regex_skill_matches")
-    dup_ids = _write(extract.duplicate_ids(ads), warehouse_dir, "duplicate_ad_ids")
+    t["historical_job_skills"] = write(extract.ams_skills(ads), "historical_job_skills")
+    matches = write(extract.regex_skill_matches(ads), "historical_regex_skill_matches")
+    dup_ids = write(extract.duplicate_ids(ads), "duplicate_ad_ids")
     t["historical_regex_skill_matches"] = matches
-    t["historical_regex_skills"] = _write(extract.regex_skills(matches), warehouse_dir, "historical_regex_skills")
-    t["historical_regex_skill_qa_summary"] = _write(
-        qa.qa_summary(matches, one_row_per_id_skill=True), warehouse_dir, "historical_regex_skill_qa_summary"
-    )
-    t["historical_regex_skill_samples"] = _write(
-        qa.skill_samples(matches), warehouse_dir, "historical_regex_skill_samples"
-    )
-    t["all_historical_job_skills"] = _write(
-        marts.all_skills(t["historical_job_skills"], t["historical_regex_skills"]),
-        warehouse_dir,
-        "all_historical_job_skills",
-    )
-    counts = _write(
-        marts.monthly_skill_counts(t["historical_regex_skills"], one_row_per_id_skill=True),
-        warehouse_dir,
-        "monthly_skill_counts",
-    )
+    t["historical_regex_skills"] = write(extract.regex_skills(matches), "historical_regex_skills")
+    t["historical_regex_skill_qa_summary"] = write(qa.qa_summary(matches, one_row_per_id_skill=True), "historical_regex_skill_qa_summary")
+    t["historical_regex_skill_samples"] = write(qa.skill_samples(matches), "historical_regex_skill_samples")
+    t["all_historical_job_skills"] = write(
+        marts.all_skills(t["historical_job_skills"], t["historical_regex_skills"]), "all_historical_job_skills")
+    counts = write(marts.monthly_skill_counts(t["historical_regex_skills"], one_row_per_id_skill=True), "monthly_skill_counts")
     t["monthly_skill_counts"] = counts
     stg = marts.stg_ads(ads)
-    t["mart_dashboard_skill_trends"] = _write(
-        marts.skill_trends(counts, stg, dup_ids), warehouse_dir, "mart_dashboard_skill_trends"
-    )
-    t["mart_skill_geography"] = _write(
-        marts.skill_geography(t["historical_regex_skills"], stg, one_row_per_id_skill=True, dup_ids=dup_ids),
-        warehouse_dir,
-        "mart_skill_geography",
-    )
-    t["ams_skill_catalogue"] = _write(marts.ams_catalogue(t["historical_job_skills"]), warehouse_dir, "ams_skill_catalogue")
-    # One row per label: a small table, exported as one file.
-    export_csv(t["ams_skill_catalogue"].orderBy(F.desc("ads"), "skill"), _table(warehouse_dir, "ams_skill_catalogue_csv"), single_file=True)
+    t["mart_dashboard_skill_trends"] = write(marts.skill_trends(counts, stg, dup_ids), "mart_dashboard_skill_trends")
+    t["mart_skill_geography"] = write(
+        marts.skill_geography(t["historical_regex_skills"], stg, one_row_per_id_skill=True, dup_ids=dup_ids), "mart_skill_geography")
+    t["ams_skill_catalogue"] = write(marts.ams_catalogue(t["historical_job_skills"]), "ams_skill_catalogue")
     return t
 
 
@@ -115,22 +121,32 @@ def run(
     append: bool = False,
     fail_on_test: bool = True,
 ) -> DataFrame:
-    """Build every table; return the data-test report."""
-    archives.load_archives(spark, raw_dir, _table(warehouse_dir, "historical_job_ads"), years, append)
-    tables = build_skills(spark, warehouse_dir)
-    report = qa.quality_report({k: tables[k] for k in (
-        "historical_job_ads",
-        "historical_job_skills",
-        "historical_regex_skills",
-        "monthly_skill_counts",
-        "mart_dashboard_skill_trends",
-        "mart_skill_geography",
-    )})
-    report = _write(report, warehouse_dir, "data_test_report")
-    failed = report.where(F.col("failures") > 0)
-    if fail_on_test and failed.limit(1).count():
-        rows = [tuple(r) for r in failed.collect()]  # at most one row per declared test
-        raise AssertionError(f"data tests failed: {rows}")
+    """Build every table; return the data-test report.
+
+    With ``fail_on_test``, a failing test leaves every table as it was; the
+    report tells what failed.
+    """
+    path = _table(warehouse_dir, "historical_job_ads")
+    if append:
+        archives.check_readable(spark, path)
+    tests, staged = qa.ObservedTests(), StagedTables(spark, warehouse_dir)
+    load = archives.stage_archives(spark, raw_dir, path, years, lambda ads: tests.watch("historical_job_ads", ads))
+    try:
+        ads = load.view(whole=not append).select(*archives.ADS_COLUMNS)
+        tables = stage_skills(ads, staged, tests)
+        # Of the ads, those of archives that stay were counted by no job of this build: two columns are read.
+        kept = load.others(whole=not append)
+        found = tests.report(tables, {"historical_job_ads": kept} if kept is not None else None)
+        report = _write(found, warehouse_dir, "data_test_report")
+        failed = [tuple(r) for r in report.where(F.col("failures") > 0).collect()]  # at most one row per declared test
+        if failed and fail_on_test:
+            raise AssertionError(f"data tests failed: {failed}")
+    except BaseException:
+        load.discard()
+        staged.discard()
+        raise
+    load.publish(whole=not append)
+    _published(spark, warehouse_dir, staged, archives.read_ads_table(spark, path))
     return report
 
 

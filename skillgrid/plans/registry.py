@@ -88,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "qa_top": lambda s, d: qa.qa_top(qa.qa_summary(_wh(s, d).regex_matches(), one_row_per_id_skill=True)),
     "samples": lambda s, d: qa.skill_samples(_wh(s, d).regex_matches()),
     "quality_report": lambda s, d: qa.quality_report(_wh(s, d).test_tables()),
+    "quality_report_observed": lambda s, d: _wh(s, d).observed_report(),
     "share_violations": lambda s, d: qa.share_violations(_wh(s, d).trends(), _wh(s, d).geography()),
     "not_empty_check": lambda s, d: qa.not_empty_check(_wh(s, d).monthly_counts()),
     # the same tests over marts broken on purpose (shares moved out of bounds, no rows)

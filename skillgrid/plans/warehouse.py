@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.functions.taxonomy import taxonomy_frame
-from skillgrid.operators import anchor_join, extract, marts
+from skillgrid.operators import anchor_join, extract, marts, qa
 from skillgrid.session import app_id, apply_defaults, list_files, materialize, row_group_option, stage_path
 from skillgrid.sources import archives, binding, tables
 from skillgrid.sources.versions import VersionedTable
@@ -32,18 +32,28 @@ _LOCK = threading.Lock()
 _CACHE: dict[tuple, SkillWarehouse] = {}
 
 
+# Stages that the data tests know by their warehouse names.
+TEST_NAMES = {
+    "ads": "historical_job_ads",
+    "regex_skills": "historical_regex_skills",
+    "trends": "mart_dashboard_skill_trends",
+    "geography": "mart_skill_geography",
+}
+
+
 class SkillWarehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, materialize_stages: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize_stages = materialize_stages
         self._tables: dict[str, DataFrame] = {}
+        self._tests = qa.ObservedTests()
 
     def _stage(self, name: str, build, keep: bool, options: dict[str, str] | None = None) -> DataFrame:
         if name not in self._tables:
             df = build()
             if keep and self.materialize_stages:
-                df = materialize(df, name, options=options)
+                df = materialize(self._tests.watch(TEST_NAMES.get(name, name), df), name, options=options)
             self._tables[name] = df
         return self._tables[name]
 
@@ -154,6 +164,10 @@ class SkillWarehouse:
             "mart_skill_geography": self.geography(),
         }
 
+    def observed_report(self) -> DataFrame:
+        """The data tests from the counts that the stages' writing jobs made; tables that are not written are scanned."""
+        return self._tests.report(self.test_tables())
+
     # --- replace-by-archive --------------------------------------------
     def replace_partition_demo(self, reloaded: str, emptied: str) -> DataFrame:
         """Reload two archives of a table of two, next to the untouched others.

@@ -14,6 +14,7 @@ version aside and publishes it whole.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -285,14 +286,21 @@ def read_ads_table(spark: SparkSession, table_path: str, version: int | None = N
     return ads_table(spark, table_path).read(version).select(*ADS_COLUMNS)
 
 
-def stage_archives(spark: SparkSession, raw_dir: str, table_path: str, years: list[int] | None = None) -> Staged:
+def stage_archives(
+    spark: SparkSession,
+    raw_dir: str,
+    table_path: str,
+    years: list[int] | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> Staged:
     """Discover, read, flatten and write archives aside: every zip is read once, in one job for all of them.
 
-    A zip that cannot be read raises here, with the table as it was.
+    A zip that cannot be read raises here, with the table as it was. ``watch``
+    may observe the ads on their way to the files.
     """
     paths = archive_paths(spark, raw_dir, years)
     ads = flatten_ads(parse_ad_lines(read_archive_lines(spark, paths)))
-    return stage_ads(ads, table_path, [archive_key(p) for p in paths])
+    return stage_ads(watch(ads) if watch else ads, table_path, [archive_key(p) for p in paths])
 
 
 def load_archives(
