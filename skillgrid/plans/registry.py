@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.functions.constants import CATALOGUE_TOP, LABEL_TOP, MONTHLY_SAMPLE, MONTHLY_TOP, REGEX_TOP
-from skillgrid.operators import explore, extract, marts, qa
+from skillgrid.operators import explore, extract, incremental_marts, marts, qa
 from skillgrid.plans.warehouse import warehouse
 from skillgrid.sources import archives
 
@@ -117,6 +117,12 @@ QUERIES: dict[str, Query] = {
     "replace_partition": lambda s, d: _wh(s, d).replace_partition_demo(
         RELOADED_ARCHIVE, EMPTIED_ARCHIVE
     ),
+    "incremental_trends": lambda s, d: incremental_marts.skill_trends(
+        _wh(s, d).incremental_marts(RELOADED_ARCHIVE, RELOADED_SINCE)
+    ),
+    "incremental_geography": lambda s, d: incremental_marts.skill_geography(
+        _wh(s, d).incremental_marts(RELOADED_ARCHIVE, RELOADED_SINCE)
+    ).withColumn("ads", F.col("ads").cast("double")),
     "archive_versions": lambda s, d: _wh(s, d).archive_versions_demo(
         RELOADED_ARCHIVE, EMPTIED_ARCHIVE, RELOADED_SINCE
     ),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.functions.taxonomy import taxonomy_frame
-from skillgrid.operators import anchor_join, extract, marts, qa
+from skillgrid.operators import anchor_join, extract, incremental_marts, marts, qa
 from skillgrid.session import app_id, apply_defaults, list_files, materialize, row_group_option, stage_path
 from skillgrid.sources import archives, binding, tables
 from skillgrid.sources.versions import VersionedTable
@@ -48,6 +48,7 @@ class SkillWarehouse:
         self.materialize_stages = materialize_stages
         self._tables: dict[str, DataFrame] = {}
         self._tests = qa.ObservedTests()
+        self._incremental: incremental_marts.IncrementalMarts | None = None
 
     def _stage(self, name: str, build, keep: bool, options: dict[str, str] | None = None) -> DataFrame:
         if name not in self._tables:
@@ -190,6 +191,17 @@ class SkillWarehouse:
         return replaced.unionByName(ads.where(~touched | F.col("source_archive").isNull()))
 
 
+    def incremental_marts(self, reloaded: str, since: str) -> dict[str, DataFrame]:
+        """Mart states after one archive was replaced by its ads since a month, on top of a build of all archives."""
+        if self._incremental is None:
+            ads = self.marked_ads()
+            made = incremental_marts.IncrementalMarts(self.spark, stage_path(self.spark, "incremental"))
+            made.build(ads)
+            newer = ads.where((F.col("source_archive") == reloaded) & (F.col("publication_month") >= F.lit(since).cast("timestamp_ntz")))
+            made.replace(newer, reloaded)
+            self._incremental = made
+        return self._incremental.marts()
+
     def archive_versions_demo(self, reloaded: str, emptied: str, since: str) -> DataFrame:
         """Rows per archive and version after a load, a reload, a load that is never published, and a clearance.
 
