@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.functions.constants import CATALOGUE_TOP, LABEL_TOP, MONTHLY_SAMPLE, MONTHLY_TOP, REGEX_TOP
-from skillgrid.operators import explore, extract, incremental_marts, marts, qa
+from skillgrid.operators import distinct_bitmaps, explore, extract, incremental_marts, marts, qa
 from skillgrid.plans.warehouse import warehouse
 from skillgrid.sources import archives
 
@@ -31,6 +31,13 @@ TOP_N = 10
 RELOADED_ARCHIVE = "src3"
 EMPTIED_ARCHIVE = "src7"
 RELOADED_SINCE = "2023-09-01"
+# Overlapping windows of months for distinct counts.
+DISTINCT_WINDOWS = [
+    ("2023", "2023-01-01", "2023-12-01"),
+    ("2024", "2024-01-01", "2024-12-01"),
+    ("last spring", "2024-03-01", "2024-05-01"),
+    ("all", "2023-01-01", "2024-12-01"),
+]
 
 
 def _wh(spark: SparkSession, sf_dir: str):
@@ -117,6 +124,11 @@ QUERIES: dict[str, Query] = {
     "replace_partition": lambda s, d: _wh(s, d).replace_partition_demo(
         RELOADED_ARCHIVE, EMPTIED_ARCHIVE
     ),
+    # distinct ads over windows and regions, from bitmaps
+    "window_distincts": lambda s, d: distinct_bitmaps.window_distincts(
+        _wh(s, d).cell_bitmaps(), s.createDataFrame(DISTINCT_WINDOWS, "window string, first_month string, last_month string"), ["region", "skill"]
+    ),
+    "region_distincts": lambda s, d: distinct_bitmaps.distinct_ads(_wh(s, d).cell_bitmaps(), ["region", "municipality"]),
     "incremental_trends": lambda s, d: incremental_marts.skill_trends(
         _wh(s, d).incremental_marts(RELOADED_ARCHIVE, RELOADED_SINCE)
     ),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.functions.taxonomy import taxonomy_frame
-from skillgrid.operators import anchor_join, extract, incremental_marts, marts, qa
+from skillgrid.operators import anchor_join, distinct_bitmaps, extract, incremental_marts, marts, qa
 from skillgrid.session import app_id, apply_defaults, list_files, materialize, row_group_option, stage_path
 from skillgrid.sources import archives, binding, tables
 from skillgrid.sources.versions import VersionedTable
@@ -153,6 +153,11 @@ class SkillWarehouse:
             keep=True,
         )
 
+    def cell_bitmaps(self) -> DataFrame:
+        """The ids of each (month, place, skill) as bitmaps, written once."""
+        pairs = lambda: distinct_bitmaps.located_skills(self.regex_skills(), marts.ad_locations(self.stg_ads()))
+        return self._stage("cell_bitmaps", lambda: distinct_bitmaps.cell_bitmaps(pairs()), keep=True)
+
     # --- data tests ----------------------------------------------------
     def test_tables(self) -> dict[str, DataFrame]:
         """The tables the data tests run on, by their warehouse names."""
