@@ -82,3 +82,76 @@ def test_items_asked_again(spark):
         "nothing of that kind", "they said swizzle and left",
     ]
     assert found(spark, items, [f"{around}. {t}. {around}" for t in texts]) == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (7, 5)}
+
+
+def _brute_pairs(items, texts):
+    """(document, item) pairs by comparing every window of every item with every window of every document, in plain Python.
+
+    For lower-case texts whose only placeholders are numbers, so that each has one reading.
+    """
+
+    def windows(words, width):
+        for k in range(len(words) - width + 1):
+            w = words[k : k + width]
+            literals = sum(not x.isdigit() for x in w)
+            template = literals >= (decontaminate.LITERALS if width == decontaminate.WINDOW else decontaminate.SHORTEST)
+            yield k, template, (template, *("#" if template and x.isdigit() else x for x in w))
+
+    def covered(spans):
+        return len({p for a, z in spans for p in range(a, z)})
+
+    def longest(spans):
+        places = sorted({p for a, z in spans for p in range(a, z)})
+        best = run = 0
+        for i, p in enumerate(places):
+            run = run + 1 if i and places[i - 1] == p - 1 else 1
+            best = max(best, run)
+        return best
+
+    out = set()
+    for j, item in enumerate(items):
+        words = item.split()
+        if not words:
+            continue
+        width = min(decontaminate.WINDOW, len(words))
+        mine = list(windows(words, width))
+        counted = {k for k, template, _ in mine if template} or {k for k, _, _ in mine}
+        for i, text in enumerate(texts):
+            theirs = {}
+            for at, _, key in windows(text.split(), width):
+                theirs.setdefault(key, []).append(at)
+            alignments = {}
+            for k, _, key in mine:
+                for at in theirs.get(key, ()):
+                    alignments.setdefault(at - k, set()).add((k, k + width))
+            strips = {}
+            for shift, spans in alignments.items():
+                for strip in (shift // len(words), shift // len(words) + 1):
+                    strips.setdefault(strip, []).append(spans)
+            for parts in strips.values():
+                spans = set().union(*parts)
+                hit = len({a for a, _ in spans} & counted) >= decontaminate.COVER * len(counted)
+                if hit or covered(spans) >= decontaminate.COVER * len(words) or max(map(longest, parts)) >= decontaminate.RUN:
+                    out.add((i, j))
+    return out
+
+
+def test_pairs_equal_brute_force_over_all_windows(spark):
+    rng = random.Random(13)
+
+    def words(n):
+        return [str(rng.randrange(30)) if rng.random() < 0.15 else w for w in prose(rng, n).split()]
+
+    items = [words(rng.choice([1, 2, 4, 6, 9, 14, 20, 38])) for _ in range(24)] + [["7", "9", "11"], ["3"] * 12, []]
+    texts = []
+    for _ in range(160):
+        item = list(rng.choice(items))
+        for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            k = rng.randrange(len(item) + 1)
+            item[k : k + rng.randint(0, 1)] = rng.choice([[], words(1), words(2)])
+        a, z = sorted((rng.randint(0, len(item)), rng.choice([len(item), rng.randint(0, len(item))])))
+        item = [str(rng.randrange(30)) if x.isdigit() and rng.random() < 0.5 else x for x in item[a if rng.random() < 0.4 else 0 : z or None]]
+        texts.append(" ".join(words(rng.randint(0, 30)) + item + words(rng.randint(0, 30))))
+    want = _brute_pairs([" ".join(x) for x in items], texts)
+    assert found(spark, [" ".join(x) for x in items], texts) == want
+    assert 40 < len(want) < len(items) * len(texts) / 4
