@@ -14,10 +14,12 @@ function only for duplicated ids.
 
 from __future__ import annotations
 
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skillgrid.functions import literals
 from skillgrid.functions import text as tx
 from skillgrid.functions.constants import LABEL_SOURCE, REGEX_SOURCE
 from skillgrid.functions.regex import PREFILTER_FOLDS, literal_anchor, to_java
@@ -100,43 +102,40 @@ def with_alias_bits(ads: DataFrame) -> DataFrame:
 
     Valid for both dialects: the text is folded in the way that folds more
     (which only adds candidates), and an alias's bit is set by its anchor in
-    either dialect; without an anchor it is always set. Each distinct anchor is
-    searched once; anchors that share a substring wait for that.
+    either dialect; without an anchor it is always set. All anchors are searched
+    in one pass over the text (``functions.literals``).
     """
     anchors: dict[str, set[int]] = {}
     always: set[int] = set()
-    groups: dict[str, list[str | None]] = {}
     for dialect in ("re2", "python"):
         rows = pattern_rows(None, dialect)
         if len(rows) > 64 * len(ALIAS_BITS):
             raise ValueError(f"{len(rows)} aliases do not fit {len(ALIAS_BITS)} longs; use operators.anchor_join")
-        for number, (skill, _order, pattern) in enumerate(rows):
+        for number, (_skill, _order, pattern) in enumerate(rows):
             anchor = literal_anchor(pattern)
-            groups.setdefault(skill, []).append(anchor)
             if anchor is None:
                 always.add(number)
             else:
                 anchors.setdefault(anchor, set()).add(number)
-    gate_of = {a: gate for found in groups.values() if (gate := _skill_gate(found)) for a in found}
-    by_gate: dict[str | None, list[str]] = {}
-    for anchor in anchors:
-        by_gate.setdefault(gate_of.get(anchor), []).append(anchor)
+    masks = lambda numbers: [sum(1 << (n % 64) for n in numbers if n // 64 == k) for k in range(len(ALIAS_BITS))]
+    # A short anchor is mostly found early in a text; the long ones are searched together.
+    long = {a: numbers for a, numbers in anchors.items() if len(a.encode()) >= literals.GRAM}
+    searched = literals.LiteralSet({a.encode(): masks(numbers) for a, numbers in long.items()})
+
+    @F.pandas_udf(", ".join(f"{c} long" for c in ALIAS_BITS))
+    def found_bits(texts: pd.Series) -> pd.DataFrame:
+        found = searched.search(texts.tolist(), len(ALIAS_BITS))
+        return pd.DataFrame(found.view(np.int64), columns=ALIAS_BITS)
+
     prepared = with_search_columns(ads, "headline", "description_text", "python")
+    prepared = prepared.withColumn("_found", found_bits(F.col("_folded").cast("binary")))
     columns = []
     for k, name in enumerate(ALIAS_BITS):
-        mask = lambda numbers: sum(1 << (n % 64) for n in numbers if n // 64 == k)  # noqa: B023, E731
-        parts = [_long(mask(always))]
-        for gate, members in by_gate.items():
-            tests = [
-                f"CASE WHEN contains(`_folded`, {_sql_string(a)}) THEN {_long(mask(anchors[a]))} ELSE 0L END"
-                for a in members if mask(anchors[a])
-            ]
-            if not tests:
-                continue
-            if gate is None:
-                parts += tests
-            else:
-                parts.append(f"CASE WHEN contains(`_folded`, {_sql_string(gate)}) THEN {' | '.join(tests)} ELSE 0L END")
+        parts = [_long(masks(always)[k]), f"`_found`.`{name}`"]
+        parts += [
+            f"CASE WHEN contains(`_folded`, {_sql_string(a)}) THEN {_long(masks(numbers)[k])} ELSE 0L END"
+            for a, numbers in anchors.items() if a not in long and masks(numbers)[k]
+        ]
         # Array elements are compiled in methods of their own, a long chain of ORs is not.
         columns.append(F.expr(f"aggregate(array({', '.join(parts)}), 0L, (a, x) -> a | x)").alias(name))
     return prepared.select(*[F.col(c) for c in ads.columns], *columns)
