@@ -67,6 +67,18 @@ def _boundary(dialect: str, negate: bool = False) -> str:
     return f"(?:(?<={w})(?!{w})|(?<!{w})(?={w}))"
 
 
+def _opening(pattern: str, i: int, dialect: str) -> str | None:
+    """The boundary before a literal word character at ``pattern[i]``: what a search can reject by one character.
+
+    Not where the character is optional, or also stands for one that is no word
+    character (RE2's word characters are ASCII, and s and k match two others).
+    """
+    c = pattern[i : i + 1]
+    if not (c.isascii() and c.isalnum()) or pattern[i + 1 : i + 2] in set("?*{") or (dialect == "re2" and c in "sSkK"):
+        return None
+    return f"(?={c})(?<!{_word_class(dialect)})"
+
+
 def _class_body(letter: str, dialect: str) -> str | None:
     """Contents (no brackets) of a shorthand class usable inside ``[...]``."""
     if letter == "s":
@@ -96,7 +108,7 @@ def to_java(pattern: str, dialect: str = "re2") -> str:
                 out.append(body if body is not None else "\\" + e)
                 continue
             if e == "b":
-                out.append(_boundary(dialect))
+                out.append(_opening(pattern, i, dialect) or _boundary(dialect))
             elif e == "B":
                 out.append(_boundary(dialect, negate=True))
             elif e in "wsd":
@@ -260,3 +272,22 @@ def literal_anchor(pattern: str) -> str | None:
     cut()
     best = max(runs, key=len, default="")
     return best.lower() or None
+
+
+def match_reach(pattern: str) -> int | None:
+    """An upper bound of a match's code points, or None.
+
+    Only for patterns of single characters, classes, shorthands and word
+    boundaries, some of them optional: whether such a pattern matches at a place
+    depends on the match and one character before and after it.
+    """
+    plain, i = [], 0
+    while i < len(pattern):
+        if pattern[i] == "\\":
+            if pattern[i + 1 : i + 2] not in _LITERAL_ESCAPES | set("bBwWsSdD"):
+                return None
+            i += 2
+            continue
+        plain.append(pattern[i])
+        i += 1
+    return None if set(plain) & set("*+{(|^$") else len(pattern)

@@ -11,7 +11,9 @@ the join is one of equal keys:
    table of the keys is broadcast to the scan (``BITS`` bits, whatever the taxonomy).
 3. An equi-join on the gram gives candidate (ad, alias) pairs; each alias has one
    key, so a pair comes up once.
-4. Candidates meet their ad's text by row key, and the regex decides.
+4. Candidates meet their ad's text by row key, and the regex decides. Where a
+   match's length is bounded, it runs only from the key's first to its last place
+   in the text, with as much text on either side as a match can take.
 
 A key that many texts hold, such as a one-letter anchor, is salted over all shuffle
 partitions, on both sides; so is the key of aliases without an anchor, whose regex
@@ -73,31 +75,39 @@ def _known(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
-def text_grams(texts: list[str], table: np.ndarray, widths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Blocks of (text number, gram hash): the distinct grams of every text that the bit table knows.
+def gram_spans(texts: list[str], table: np.ndarray, widths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of (text number, gram hash, first, last): the distinct grams of every text that the bit table knows.
 
-    Texts are strung together up to ``PIECE`` bytes; a gram that runs over a
-    text's end counts as the text's, which adds a candidate at most.
+    ``first`` and ``last`` are the code points of the text in which the gram
+    begins for the first and for the last time. Texts are strung together up to
+    ``PIECE`` bytes; a gram that runs over a text's end counts as the text's,
+    which adds a candidate or widens a span at most.
     """
     held: list[np.ndarray] = []
     first = size = 0
 
-    def block(first: int, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def block(first: int, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         data = np.concatenate(parts)
         starts = np.cumsum([0] + [len(p) for p in parts])[:-1]
-        numbers, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        points = np.cumsum([0] + [len(t) for t in texts[first : first + len(parts)]])[:-1]
+        numbers, grams, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        passed = -1
         for a in range(0, len(data), PIECE):
+            point = np.cumsum((data[a : a + PIECE] & 0xC0) != 0x80) + passed
+            passed = point[-1]
             for w in widths:
                 hashes = gram_hashes(data[a : a + PIECE + w - 1].astype(np.uint64), w)
                 at = np.flatnonzero(_known(hashes, table))
-                numbers.append(np.searchsorted(starts, at + a, side="right") - 1)
+                number = np.searchsorted(starts, at + a, side="right") - 1
+                numbers.append(number)
                 grams.append(hashes[at])
-        number, gram = np.concatenate(numbers), np.concatenate(grams)
-        order = np.lexsort((gram, number))
-        number, gram = number[order], gram[order]
-        new = np.ones(len(gram), bool)
-        new[1:] = (gram[1:] != gram[:-1]) | (number[1:] != number[:-1])
-        return first + number[new], gram[new]
+                places.append(point[at] - points[number])
+        number, gram, place = np.concatenate(numbers), np.concatenate(grams), np.concatenate(places)
+        order = np.lexsort((place, gram, number))
+        number, gram, place = number[order], gram[order], place[order]
+        new = np.ones(len(gram) + 1, bool)
+        new[1:-1] = (gram[1:] != gram[:-1]) | (number[1:] != number[:-1])
+        return first + number[new[:-1]], gram[new[:-1]], place[new[:-1]], place[new[1:]]
 
     for i, t in enumerate(texts):
         if held and size + len(t) > PIECE:
@@ -111,8 +121,14 @@ def text_grams(texts: list[str], table: np.ndarray, widths: list[int]) -> Iterat
         yield block(first, held)
 
 
+def text_grams(texts: list[str], table: np.ndarray, widths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``gram_spans`` without the spans."""
+    for number, gram, _first, _last in gram_spans(texts, table, widths):
+        yield number, gram
+
+
 def anchored(patterns: DataFrame, dialect: str = "re2") -> DataFrame:
-    """(skill, pattern_order, java, anchor) of a taxonomy relation (skill, pattern_order, pattern)."""
+    """(skill, pattern_order, java, anchor, reach) of a taxonomy relation (skill, pattern_order, pattern)."""
 
     def translate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -120,10 +136,11 @@ def anchored(patterns: DataFrame, dialect: str = "re2") -> DataFrame:
                 "skill": b["skill"].astype(object), "pattern_order": b["pattern_order"],
                 "java": pd.Series([regex_dialects.to_java(p, dialect) for p in b["pattern"]], dtype=object),
                 "anchor": pd.Series([regex_dialects.literal_anchor(p) for p in b["pattern"]], dtype=object),
+                "reach": pd.array([regex_dialects.match_reach(p) for p in b["pattern"]], dtype="Int32"),
             })
 
     rows = patterns.select("skill", F.col("pattern_order").cast("int").alias("pattern_order"), "pattern").dropna()
-    return rows.mapInPandas(translate, "skill string, pattern_order int, java string, anchor string")
+    return rows.mapInPandas(translate, "skill string, pattern_order int, java string, anchor string, reach int")
 
 
 def _grams(aliases: DataFrame) -> DataFrame:
@@ -139,7 +156,7 @@ def _grams(aliases: DataFrame) -> DataFrame:
             rows["gram"] = (np.concatenate(grams) if grams else np.zeros(0, np.uint64)).view(np.int64)
             yield rows
 
-    schema = "skill string, pattern_order int, java string, anchor string, width long, gram long"
+    schema = "skill string, pattern_order int, java string, anchor string, reach int, width long, gram long"
     return aliases.where("anchor is not null").mapInPandas(split, schema)
 
 
@@ -155,22 +172,22 @@ def _bit_table(grams: DataFrame):
 
 
 def _emit(texts: DataFrame, bits, columns: str) -> DataFrame:
-    """The key columns of every text with each of its grams that the bit table knows."""
+    """The key columns of every text with each of its grams that the bit table knows, and the gram's first and last place."""
     names = [c.split()[0] for c in columns.split(", ")]
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, widths = bits.value
         for batch in batches:
-            for number, gram in text_grams(batch["_folded"].tolist(), table, widths):
+            for number, gram, first, last in gram_spans(batch["_folded"].tolist(), table, widths):
                 rows = batch[names].iloc[number].reset_index(drop=True)
-                rows["gram"] = gram.view(np.int64)
+                rows["gram"], rows["first"], rows["last"] = gram.view(np.int64), first, last
                 yield rows
 
-    return texts.mapInPandas(emit, f"{columns}, gram long")
+    return texts.mapInPandas(emit, f"{columns}, gram long, first int, last int")
 
 
 def alias_index(patterns: DataFrame, texts: DataFrame, dialect: str = "re2") -> DataFrame:
-    """(gram, width, skill, pattern_order, java, anchor, hot): each alias under the rarest gram of its anchor.
+    """(gram, width, skill, pattern_order, java, anchor, reach, hot): each alias under the rarest gram of its anchor.
 
     ``texts`` has a column ``_folded``; its grams are counted in a sample of
     about ``STATISTICS_ROWS`` rows. ``hot`` marks keys that many texts hold.
@@ -182,13 +199,13 @@ def alias_index(patterns: DataFrame, texts: DataFrame, dialect: str = "re2") ->
     seen = _emit(sample.withColumn("one", F.lit(1)), _bit_table(grams), "one int")
     statistics = seen.groupBy("gram").agg(F.count("*").alias("texts"))
     rated = grams.join(statistics, "gram", "left").withColumn("texts", F.coalesce("texts", F.lit(0).cast("long")))
-    best = rated.groupBy("skill", "pattern_order", "java", "anchor", "width").agg(F.min(F.struct("texts", "gram")).alias("k"))
+    best = rated.groupBy("skill", "pattern_order", "java", "anchor", "reach", "width").agg(F.min(F.struct("texts", "gram")).alias("k"))
     keyed = best.select(
-        F.col("k.gram").alias("gram"), "width", "skill", "pattern_order", "java", "anchor",
+        F.col("k.gram").alias("gram"), "width", "skill", "pattern_order", "java", "anchor", "reach",
         (F.col("k.texts") > HOT_SHARE * min(rows, STATISTICS_ROWS)).alias("hot"),
     )
     bare = aliases.where("anchor is null").select(
-        F.lit(NO_ANCHOR).cast("long").alias("gram"), F.lit(0).cast("long").alias("width"), "skill", "pattern_order", "java", "anchor", F.lit(True).alias("hot"))
+        F.lit(NO_ANCHOR).cast("long").alias("gram"), F.lit(0).cast("long").alias("width"), "skill", "pattern_order", "java", "anchor", "reach", F.lit(True).alias("hot"))
     return materialize(keyed.unionByName(bare), "alias-index")
 
 
@@ -198,19 +215,25 @@ def numbered(ads: DataFrame) -> DataFrame:
 
 
 def candidates(texts: DataFrame, index: DataFrame) -> DataFrame:
-    """(_file, _row, skill, pattern_order, java, anchor): the pairs whose regex has to be run, each once."""
+    """(_file, _row, first, last, skill, pattern_order, java, anchor, reach): the pairs whose regex has to be run, each once.
+
+    The alias's key is in the text from the code point ``first`` to ``last``; null where no key or no place is known.
+    """
     salts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    emitted = _emit(texts, _bit_table(index.where(F.col("gram") != NO_ANCHOR)), "_file long, _row long")
+    emitted = _emit(texts, _bit_table(index.where(F.col("gram") != NO_ANCHOR)), "_file long, _row long, _aligned boolean")
+    known = lambda c: F.when(F.col("_aligned"), F.col(c)).alias(c)
+    emitted = emitted.select("_file", "_row", "gram", known("first"), known("last"))
     if index.where(F.col("gram") == NO_ANCHOR).limit(1).count():
-        emitted = emitted.unionByName(texts.select("_file", "_row", F.lit(NO_ANCHOR).cast("long").alias("gram")))
+        emitted = emitted.unionByName(texts.select(
+            "_file", "_row", F.lit(NO_ANCHOR).cast("long").alias("gram"), *[F.lit(None).cast("int").alias(c) for c in ("first", "last")]))
     # A key in over HOT_SHARE of the texts: there are at most 1 / HOT_SHARE times the grams of a text of them.
     hot = index.where("hot").select("gram").distinct().withColumn("_hot", F.lit(True))
     emitted = emitted.join(F.broadcast(hot), "gram", "left")
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_file", "_row"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
     spread = F.explode(F.sequence(F.lit(0), F.when(F.col("hot"), F.lit(salts - 1)).otherwise(F.lit(0))))
-    left = emitted.select("_file", "_row", "gram", salt.alias("salt"))
-    right = index.select("gram", "skill", "pattern_order", "java", "anchor", spread.alias("salt"))
-    return left.join(right, ["gram", "salt"]).select("_file", "_row", "skill", "pattern_order", "java", "anchor")
+    left = emitted.select("_file", "_row", "gram", "first", "last", salt.alias("salt"))
+    right = index.select("gram", "skill", "pattern_order", "java", "anchor", "reach", spread.alias("salt"))
+    return left.join(right, ["gram", "salt"]).select("_file", "_row", "first", "last", "skill", "pattern_order", "java", "anchor", "reach")
 
 
 def found_matches(ads: DataFrame, patterns: DataFrame, dialect: str = "re2") -> DataFrame:
@@ -220,14 +243,20 @@ def found_matches(ads: DataFrame, patterns: DataFrame, dialect: str = "re2") ->
     """
     whole = tx.search_text(F.col("headline"), F.col("description_text"))
     keyed = numbered(ads.select("id", "publication_month", "headline", "description_text"))
-    texts = keyed.select("_file", "_row", prefilter_text(whole, dialect).alias("_folded"))
+    folded = prefilter_text(whole, dialect)
+    # Folding keeps the places of characters unless it makes one of them two.
+    texts = keyed.select("_file", "_row", whole.alias("_search"), folded.alias("_folded"))
+    texts = texts.select("_file", "_row", "_folded", (F.length("_search") == F.length("_folded")).alias("_aligned"))
     pairs = candidates(texts, alias_index(patterns, texts, dialect))
     # What a match row shows is made once per ad, not once per candidate.
     snippet = tx.snippet_from_head(tx.snippet_head(F.col("description_text")), F.col("description_text"))
     shown = keyed.select("_file", "_row", "id", "publication_month", "headline", snippet.alias("description_snippet"), whole.alias("_search"))
+    # A match holds the alias's key: with its length bounded, it is near one of the key's places.
+    begin = "greatest(1, first - reach)"
+    near = F.expr(f"if(first + reach is null, _search, substring(_search, {begin}, last + reach + 3 - {begin}))")
     # One search tells whether and what: an empty string is no match, but for an alias without an anchor.
     bare = F.col("anchor").isNull()
-    found = F.when(~bare | F.rlike(F.col("_search"), F.col("java")), F.expr("regexp_extract(_search, java, 0)"))
+    found = F.when(~bare | F.rlike(F.col("_search"), F.col("java")), F.call_function("regexp_extract", near, F.col("java"), F.lit(0)))
     # Few bytes, much regex work: a number of partitions of its own keeps AQE from merging them.
     width = int(ads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs.repartition(width, "_file", "_row")
