@@ -71,7 +71,9 @@ def best_matches(states: dict[str, DataFrame]) -> DataFrame:
 
 def contributions(states: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """What the states' ids add to each mart."""
-    skills = best_matches(states).select("id", "publication_month", "skill")
+    # The winner's month is the least struct's second field: headlines and snippets stay out of the shuffle.
+    first = states["matches"].groupBy("id", "skill").agg(F.min(F.struct("best.pattern_order", "best.publication_month")).alias("w"))
+    skills = first.select("id", F.col("w.publication_month").alias("publication_month"), "skill")
     months = states["months"].select("publication_month", "id").distinct()
     per_ad = states["places"].groupBy("id", "publication_month", *PLACE).agg(
         F.sum("n").alias("n"), F.sum("lon_sum").cast(_SUM).alias("lon_sum"), F.sum("lat_sum").cast(_SUM).alias("lat_sum"))

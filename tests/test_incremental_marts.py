@@ -95,3 +95,12 @@ def test_given_tables(spark, tmp_dir):
     newer = ads.where("source_archive = 'src3'").withColumn("headline", F.lit("Rust and Go"))
     made.replace(newer, "src3")
     _check(spark, made, ads.where("source_archive <> 'src3'").unionByName(newer))
+
+
+def test_contributions_carry_no_texts(spark, tmp_dir):
+    frame = spark.createDataFrame(_ads(random.Random(7), "a", 20), ADS)
+    made = im.IncrementalMarts(spark, str(tmp_dir / "marts"))
+    made.build(frame)
+    for df in im.contributions(made.states()).values():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "best.headline" not in plan and "description_snippet" not in plan.split("Relation")[0]
