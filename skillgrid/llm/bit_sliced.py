@@ -14,10 +14,12 @@ rows whose sum is within the proven rounding error of it are the boundary, and
 those rows, with the certain ones, are resolved by exact inner products. The
 error bound is worst-case, so the result is exact.
 
-Scale: every (block of rows, group of ``QUERIES`` queries) is one row of an
-equi-join on their numbers and is worked on by itself, so no task holds more
-than one pair's bitmaps at a time. Each pair passes at most k rows per query
-on; the last step ranks those.
+Scale: only the queries are replicated, group of ``QUERIES`` by group, to the
+blocks; a block is shuffled once. Every (block of rows, group) is one row of an
+equi-join on the block's number and is worked on by itself, so no task holds
+more than one pair's bitmaps at a time. The join is always a merge join: Spark's
+size estimates leave out the replication, and neither side may go to the driver.
+Each pair passes at most k rows per query on; the last step ranks those.
 
 Defined results: vectors that are null, empty, or hold null or non-finite
 components, and rows without an id, take no part; pairs with a vector whose
@@ -39,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skillgrid.llm.common import materialize
+from skillgrid.llm.common import materialize, tasks
 
 SCALE = 1024
 TOP = 10
@@ -48,6 +50,7 @@ BLOCK = 4096
 QUERIES = 512
 SLICE_BITS = 6
 WEIGHT_BITS = 6
+MOST_TASKS = 2000  # of a join of blocks and query groups, unless the session's shuffle width is larger
 _LARGEST = float(1 << 20)
 _WHOLE = float(1 << 43)
 _LARGE = float(1 << 41)  # largest component squared, times the components: integer products and their sums fit a long below it
@@ -120,10 +123,29 @@ def exact_pairs(candidates: DataFrame, asked: DataFrame, k: int, block: int) ->
                 yield pd.DataFrame(out, columns=columns).astype({"score": "object"})
 
     rows, n = packed(candidates, 3, "c_")
-    queries, m = packed(asked, 4, "q_")
-    rows = rows.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    queries, _ = packed(asked, 4, "q_")
     queries = queries.withColumn("c_part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return rows.join(queries, ["dim", "c_part", "q_part"]).mapInPandas(search, _FOUND)
+    return _by_block(queries, rows, "c_part", n).mapInPandas(search, _FOUND)
+
+
+def _by_block(asked: DataFrame, blocks: DataFrame, number: str, n_blocks: int) -> DataFrame:
+    """Every block's row joined with the groups dealt to it; the right side of a merge join is held key by key, one block.
+
+    The rows are few and their work is long, so the tasks follow the number of blocks, not the bytes.
+    """
+    n = max(tasks(asked.sparkSession), min(n_blocks, MOST_TASKS))
+    return asked.repartition(n, "dim", number).join(blocks.repartition(n, "dim", number).hint("merge"), ["dim", number])
+
+
+def _narrow(v: np.ndarray) -> bytes:
+    """The integers in the smallest type that holds them all."""
+    fits = (t for t in (np.int16, np.int32) if np.iinfo(t).min <= v.min() and v.max() <= np.iinfo(t).max)
+    return v.astype(next(fits, np.int64)).tobytes()
+
+
+def _wide(packed: bytes, rows: int, dim: int) -> np.ndarray:
+    """The integers of :func:`_narrow`, one row each vector."""
+    return np.frombuffer(packed, f"i{len(packed) // (rows * dim)}").astype(np.int64).reshape(rows, dim)
 
 
 def _pack(frame: pd.DataFrame) -> pd.DataFrame:
@@ -141,7 +163,7 @@ def _pack(frame: pd.DataFrame) -> pd.DataFrame:
         slices[:, b, : packed.shape[0]] = packed.T
     return pd.DataFrame({
         "dim": [v.shape[1]], "block": [frame["block"].iloc[0]], "ids": [frame["vec_id"].to_numpy(np.int64).tobytes()],
-        "low": [low.tobytes()], "width": [width.astype(np.int64).tobytes()], "slices": [slices.tobytes()], "vectors": [v.tobytes()],
+        "low": [low.tobytes()], "width": [width.astype(np.int64).tobytes()], "slices": [slices.tobytes()], "vectors": [_narrow(v)],
     })
 
 
@@ -270,24 +292,24 @@ def top_k(embeddings: DataFrame, queries: DataFrame, k: int = TOP, block: int =
     def pack_queries(frame: pd.DataFrame) -> pd.DataFrame:
         v = np.stack(frame["v"].to_numpy()).astype(np.int64)
         ids = frame["vec_id"].to_numpy(np.int64)
-        return pd.DataFrame({"dim": [v.shape[1]], "grp": [frame["grp"].iloc[0]], "q_ids": [ids.tobytes()], "q": [v.tobytes()]})
+        return pd.DataFrame({"dim": [v.shape[1]], "grp": [frame["grp"].iloc[0]], "q_ids": [ids.tobytes()], "q": [_narrow(v)]})
 
     grouped = asked.withColumn("grp", F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(n_groups)).cast("int"))
     packed = grouped.groupBy("dim", "grp").applyInPandas(pack_queries, "dim int, grp int, q_ids binary, q binary")
-    blocks = index(vectors, n_blocks).withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+    blocks = index(vectors, n_blocks)
     packed = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples(index=False):
                 read = lambda x: np.frombuffer(x, np.int64)
-                ids = read(r.ids)
+                ids, q_ids = read(r.ids), read(r.q_ids)
                 slices = np.frombuffer(r.slices, np.uint64).reshape(r.dim, SLICE_BITS, -1)
-                rows = search_block(
-                    ids, read(r.vectors).reshape(-1, r.dim), read(r.low), read(r.width), slices, read(r.q_ids), read(r.q).reshape(-1, r.dim), k)
+                v, q = _wide(r.vectors, len(ids), r.dim), _wide(r.q, len(q_ids), r.dim)
+                rows = search_block(ids, v, read(r.low), read(r.width), slices, q_ids, q, k)
                 yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
-    found = blocks.join(packed, ["dim", "block", "grp"]).mapInPandas(search, "query_id long, vec_id long, score long")
+    found = _by_block(packed, blocks, "block", n_blocks).mapInPandas(search, "query_id long, vec_id long, score long")
     found = found.withColumns({"beyond": F.lit(0), "order": F.lit(None).cast("binary")})
     large = usable.where("large")
     if least.where("large").limit(1).count():
