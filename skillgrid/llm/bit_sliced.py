@@ -171,7 +171,8 @@ def index(vectors: DataFrame, n_blocks: int) -> DataFrame:
     """The bit-sliced index, one row per block, written to the shared folder."""
     rows = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
     schema = "dim int, block int, ids binary, low binary, width binary, slices binary, vectors binary"
-    return materialize(rows.groupBy("dim", "block").applyInPandas(_pack, schema), "bsi-index")
+    # A reader holds a row group; one of 128 MB is many blocks.
+    return materialize(rows.groupBy("dim", "block").applyInPandas(_pack, schema), "bsi-index", options={"parquet.block.row.count.limit": "4"})
 
 
 def _add(columns: list[list[np.ndarray]], at: int, term: np.ndarray) -> None:

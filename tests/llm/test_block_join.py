@@ -7,6 +7,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from skillgrid.llm import bit_sliced
@@ -43,3 +44,10 @@ def test_narrow_integers_come_back():
         packed = bit_sliced._narrow(v)
         assert (bit_sliced._wide(packed, 2, 3) == v).all()
     assert len(bit_sliced._narrow(np.full((5, 4), 32767, np.int64))) == 40
+
+
+def test_index_is_read_a_few_blocks_at_a_time(spark):
+    vectors = spark.createDataFrame([(i, 2, [i, -i]) for i in range(400)], "vec_id long, dim int, v array<long>")
+    index = bit_sliced.index(vectors.coalesce(1), 100)
+    groups = [m.row_group(g).num_rows for f in index.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for g in range(m.num_row_groups)]
+    assert sum(groups) == index.count() > 50 and max(groups) <= 4
